@@ -1,0 +1,267 @@
+"""Versioned Parquet table with keyed merge (upsert) and history.
+
+Where no transactional table format is installed, this gives the user-level
+result of a ``MERGE`` from ``foreachBatch``: every applied batch makes a new
+table version, older versions stay readable, and ``history()`` lists them.
+
+Layout under the table path::
+
+    data/v-<version>/tl_bucket=<b>/part-*.parquet   rows of bucket b written by that version
+    _manifest/v-<version>/                           (bucket, data_version): where each bucket lives
+    _history/v-<version>/                            one row; written last, it commits the version
+
+Rows are spread over ``buckets`` buckets by ``pmod(xxhash64(keys), buckets)``.
+A merge reads and rewrites only the buckets its source batch touches; the
+manifest points every other bucket at the version that last wrote it. So a
+small batch against a large table costs the touched buckets, not the table.
+Data is never overwritten in place: a version only adds folders. One writer
+per table.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+import functools
+import json
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
+
+BUCKET = "tl_bucket"
+
+HISTORY_DDL = (
+    "version BIGINT, ts TIMESTAMP, operation STRING, writer STRING, batch_id BIGINT, "
+    "rows_inserted BIGINT, rows_updated BIGINT, rows_written BIGINT, "
+    "buckets_written INT, bucket_count INT, keys STRING, schema_json STRING"
+)
+MANIFEST_DDL = "bucket INT, data_version BIGINT"
+
+
+class DuplicateSourceKeyError(ValueError):
+    """More than one source row matches the same target key."""
+
+
+class VersionedTable:
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: Sequence[str] = (),
+        buckets: int = 16,
+    ):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.keys = list(keys)
+        self.buckets = buckets if self.keys else 1
+
+    # -- metadata -------------------------------------------------------------
+
+    def _v(self, kind: str, version: int) -> str:
+        return f"{self.path}/{kind}/v-{version:08d}"
+
+    def history(self) -> DataFrame:
+        """One row per committed version (the version's history row commits it)."""
+        try:
+            return self.spark.read.schema(HISTORY_DDL).parquet(f"{self.path}/_history/v-*")
+        except AnalysisException:
+            return self.spark.createDataFrame([], HISTORY_DDL)
+
+    def _latest(self):
+        rows = self.history().orderBy(F.col("version").desc()).limit(1).collect()
+        return rows[0] if rows else None
+
+    def version(self) -> int | None:
+        latest = self._latest()
+        return None if latest is None else latest["version"]
+
+    def _manifest(self, version: int) -> dict[int, int]:
+        # Bounded by the bucket count.
+        rows = self.spark.read.schema(MANIFEST_DDL).parquet(self._v("_manifest", version)).collect()
+        return {r["bucket"]: r["data_version"] for r in rows}
+
+    def _applied(self, writer: str | None, batch_id: int | None) -> bool:
+        if batch_id is None:
+            return False
+        h = self.history().where(F.col("batch_id") == F.lit(batch_id))
+        h = h.where(F.col("writer").isNull() if writer is None else F.col("writer") == F.lit(writer))
+        return h.limit(1).count() > 0
+
+    # -- reading --------------------------------------------------------------
+
+    def _read_buckets(self, schema: StructType, manifest: Mapping[int, int], buckets=None) -> DataFrame:
+        wanted = sorted(manifest if buckets is None else set(buckets) & set(manifest))
+        paths = [f"{self._v('data', manifest[b])}/{BUCKET}={b}" for b in wanted]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The table as of ``version`` (default: latest committed)."""
+        h = self.history()
+        if version is not None:
+            h = h.where(F.col("version") == F.lit(version))
+        rows = h.orderBy(F.col("version").desc()).limit(1).collect()
+        if not rows:
+            raise FileNotFoundError(f"no committed version at {self.path}")
+        row = rows[0]
+        schema = StructType.fromJson(json.loads(row["schema_json"]))
+        return self._read_buckets(schema, self._manifest(row["version"]))
+
+    # -- writing --------------------------------------------------------------
+
+    def _bucket_expr(self) -> Column:
+        if not self.keys:
+            return F.lit(0)
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+
+    def _commit(
+        self,
+        version: int,
+        operation: str,
+        writer: str | None,
+        batch_id: int | None,
+        manifest: Mapping[int, int],
+        schema: StructType,
+        stats: Mapping[str, int],
+        buckets_written: int,
+    ) -> None:
+        self.spark.createDataFrame(
+            sorted(manifest.items()), MANIFEST_DDL
+        ).coalesce(1).write.mode("overwrite").parquet(self._v("_manifest", version))
+        row = (
+            version,
+            _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
+            operation,
+            writer,
+            batch_id,
+            int(stats.get("inserted") or 0),
+            int(stats.get("updated") or 0),
+            int(stats.get("written") or 0),
+            buckets_written,
+            self.buckets,
+            ",".join(self.keys),
+            schema.json(),
+        )
+        self.spark.createDataFrame([row], HISTORY_DDL).coalesce(1).write.mode("overwrite").parquet(
+            self._v("_history", version)
+        )
+
+    def _write_data(self, df: DataFrame, version: int, metrics: list[Column]) -> dict:
+        obs = Observation(f"tl_{version}_{id(df)}")
+        observed = df.observe(obs, *metrics)
+        observed.write.mode("overwrite").partitionBy(BUCKET).parquet(self._v("data", version))
+        return obs.get
+
+    def overwrite(self, df: DataFrame, batch_id: int | None = None, writer: str | None = None) -> int | None:
+        """New version holding exactly ``df`` (complete-mode results)."""
+        if self._applied(writer, batch_id):
+            return None
+        latest = self._latest()
+        version = 0 if latest is None else latest["version"] + 1
+        data = df.withColumn(BUCKET, self._bucket_expr())
+        stats = self._write_data(
+            data,
+            version,
+            [F.count(F.lit(1)).alias("written"), F.collect_set(BUCKET).alias("buckets")],
+        )
+        written = [int(b) for b in (stats.get("buckets") or [])]
+        manifest = {b: version for b in written}
+        stats = {"inserted": stats.get("written"), "written": stats.get("written")}
+        self._commit(version, "WRITE", writer, batch_id, manifest, df.schema, stats, len(written))
+        return version
+
+    def merge(
+        self,
+        source: DataFrame,
+        update: Mapping[str, str] | None = None,
+        insert: Mapping[str, str] | None = None,
+        batch_id: int | None = None,
+        writer: str | None = None,
+    ) -> int | None:
+        """Upsert ``source`` on the table keys.
+
+        ``update`` maps target columns to SQL expressions over ``target.`` and
+        ``source.`` (applied to matched rows; other columns keep their value);
+        ``insert`` maps columns to expressions over ``source.`` (unmatched
+        source rows; ``None`` skips inserts). Two source rows with one key raise
+        ``DuplicateSourceKeyError``. With ``batch_id`` (and ``writer``) the call
+        is idempotent: a batch already committed is skipped.
+        """
+        if not self.keys:
+            raise ValueError("merge needs a keyed table")
+        if self._applied(writer, batch_id):
+            return None
+        update = dict(update or {})
+        src = source.persist()
+        try:
+            dup = src.groupBy(*self.keys).count().where(F.col("count") > 1).limit(1).count()
+            if dup:
+                raise DuplicateSourceKeyError(
+                    f"source has more than one row for a key of {self.keys}; merge is ambiguous"
+                )
+            return self._merge(src, update, insert, batch_id, writer)
+        finally:
+            src.unpersist()
+
+    def _merge(self, src, update, insert, batch_id, writer) -> int:
+        latest = self._latest()
+        if latest is None:
+            if insert is None:
+                raise ValueError("the table does not exist and no insert clause was given")
+            version = 0
+            schema = (
+                src.alias("source")
+                .select(*[F.expr(e).alias(c) for c, e in insert.items()])
+                .schema
+            )
+            manifest: dict[int, int] = {}
+        else:
+            version = latest["version"] + 1
+            schema = StructType.fromJson(json.loads(latest["schema_json"]))
+            manifest = self._manifest(latest["version"])
+        src_b = src.withColumn(BUCKET, self._bucket_expr())
+        # Bounded by the bucket count.
+        touched = sorted(r[0] for r in src_b.select(BUCKET).distinct().collect())
+        target = self._read_buckets(schema, manifest, touched).withColumn(BUCKET, self._bucket_expr())
+        t = target.withColumn("__t", F.lit(True)).alias("target")
+        s = src_b.withColumn("__s", F.lit(True)).alias("source")
+        cond = functools.reduce(
+            lambda a, b: a & b, [F.col(f"target.`{k}`") == F.col(f"source.`{k}`") for k in self.keys]
+        )
+        j = t.join(s, cond, "full_outer")
+        matched = F.col("target.__t").isNotNull() & F.col("source.__s").isNotNull()
+        inserted = F.col("target.__t").isNull()
+        out = []
+        for f in schema.fields:
+            keep = F.col(f"target.`{f.name}`")
+            upd = F.expr(update[f.name]) if f.name in update else keep
+            ins = F.expr(insert[f.name]) if insert and f.name in insert else F.lit(None)
+            out.append(F.when(matched, upd).when(inserted, ins).otherwise(keep).cast(f.dataType).alias(f.name))
+        out.append(F.coalesce(F.col(f"target.{BUCKET}"), F.col(f"source.{BUCKET}")).alias(BUCKET))
+        out.append(matched.alias("__m"))
+        out.append(inserted.alias("__i"))
+        merged = j.select(*out)
+        if insert is None:
+            merged = merged.where(~F.col("__i"))
+        stats = self._write_merged(merged, version)
+        new_manifest = dict(manifest)
+        for b in touched:
+            new_manifest[b] = version
+        self._commit(version, "MERGE", writer, batch_id, new_manifest, schema, stats, len(touched))
+        return version
+
+    def _write_merged(self, merged: DataFrame, version: int) -> dict:
+        obs = Observation(f"tl_merge_{version}_{id(merged)}")
+        observed = merged.observe(
+            obs,
+            F.sum(F.col("__i").cast("long")).alias("inserted"),
+            F.sum(F.col("__m").cast("long")).alias("updated"),
+            F.count(F.lit(1)).alias("written"),
+        )
+        observed.drop("__m", "__i").write.mode("overwrite").partitionBy(BUCKET).parquet(
+            self._v("data", version)
+        )
+        return obs.get
