@@ -351,7 +351,7 @@ def foreach_rows(spark: SparkSession, sf: str) -> DataFrame:
     """OP-55: row-level foreach writer (runs on the executors)."""
     parsed, st = stream_transactions(spark, sf)
     out = scratch_path(spark, "rows")
-    run(parsed.select(*SINK_COLUMNS), "foreach", "append", target=RowFileWriter(out, SINK_COLUMNS),
+    run(parsed.select(*SINK_COLUMNS), "foreach", "append", target=RowFileWriter(out, SINK_DDL),
         checkpoint=scratch_path(spark, "checkpoint"))
     return read_rows(spark, out, SINK_DDL)
 

@@ -21,8 +21,7 @@ _METADATA = "batchWatermarkMs BIGINT, batchTimestampMs BIGINT, conf MAP<STRING,
 
 def _log(spark: SparkSession, folder: str) -> DataFrame:
     return (
-        spark.read.option("wholetext", "true")
-        .text(folder)
+        spark.read.text(folder, wholetext=True)
         .select(
             F.col("_metadata.file_name").cast("long").alias("batch_id"),
             F.col("value"),

@@ -8,10 +8,12 @@ All output goes to folders the caller chooses under the shared folder.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 
 def _batch_dir(path: str, batch_id: int) -> str:
@@ -125,9 +127,11 @@ class RowFileWriter:
     overwrites its own files.
     """
 
-    def __init__(self, path: str, columns: Sequence[str], chunk_rows: int = 50_000):
+    def __init__(self, path: str, schema: str | StructType, chunk_rows: int = 50_000):
         self.path = path.rstrip("/")
-        self.columns = list(columns)
+        st = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
+        self.schema_json = st.json()
+        self.columns = st.fieldNames()
         self.chunk_rows = chunk_rows
         self._rows: list[tuple] = []
         self._chunk = 0
@@ -153,8 +157,11 @@ class RowFileWriter:
         filesystem, root = _arrow_target(self.path)
         folder = f"{root}/epoch-{self._epoch:08d}"
         filesystem.create_dir(folder, recursive=True)
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        schema = to_arrow_schema(StructType.fromJson(json.loads(self.schema_json)))
         cols = list(zip(*self._rows))
-        table = pa.table({c: list(v) for c, v in zip(self.columns, cols)})
+        table = pa.table({c: list(v) for c, v in zip(self.columns, cols)}, schema=schema)
         name = f"{folder}/part-{self._partition:05d}-{self._chunk:05d}.parquet"
         pq.write_table(table, name, filesystem=filesystem)
         self._rows = []
