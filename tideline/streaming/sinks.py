@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from tideline.streaming.files import arrow_target
+
 
 def _batch_dir(path: str, batch_id: int) -> str:
     return f"{path}/batch-{batch_id:08d}"
@@ -101,23 +103,6 @@ class JdbcWriter:
         df.write.jdbc(self.url, self.table, mode="append", properties=props)
 
 
-def _arrow_target(path: str):
-    """pyarrow filesystem + path for a Spark-style URI (``file:/x``, ``hdfs://``, ``s3a://``)."""
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        local = path[len("file:"):]
-        while local.startswith("//"):
-            local = local[1:]
-        return fs.LocalFileSystem(), local
-    if "://" not in path:
-        return fs.LocalFileSystem(), path
-    if path.startswith("s3a://") or path.startswith("s3n://"):
-        path = "s3://" + path.split("://", 1)[1]
-    filesystem, inner = fs.FileSystem.from_uri(path)
-    return filesystem, inner
-
-
 class RowFileWriter:
     """``foreach`` writer: rows of each (partition, epoch) to Parquet files.
 
@@ -154,7 +139,7 @@ class RowFileWriter:
         import pyarrow as pa
         import pyarrow.parquet as pq
 
-        filesystem, root = _arrow_target(self.path)
+        filesystem, root = arrow_target(self.path)
         folder = f"{root}/epoch-{self._epoch:08d}"
         filesystem.create_dir(folder, recursive=True)
         from pyspark.sql.pandas.types import to_arrow_schema

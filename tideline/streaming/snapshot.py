@@ -7,15 +7,20 @@ table version, older versions stay readable, and ``history()`` lists them.
 Layout under the table path::
 
     data/v-<version>/tl_bucket=<b>/part-*.parquet   rows of bucket b written by that version
-    _manifest/v-<version>/                           (bucket, data_version): where each bucket lives
-    _history/v-<version>/                            one row; written last, it commits the version
+    _history/v-<version>/                            one row, written last: it commits the
+                                                     version and carries its manifest
 
 Rows are spread over ``buckets`` buckets by ``pmod(xxhash64(keys), buckets)``.
 A merge reads and rewrites only the buckets its source batch touches; the
-manifest points every other bucket at the version that last wrote it. So a
-small batch against a large table costs the touched buckets, not the table.
-Data is never overwritten in place: a version only adds folders. One writer
-per table.
+manifest (bucket -> version that last wrote it, bounded by the bucket count)
+points every other bucket at older data. So a small batch against a large
+table costs the touched buckets, not the table. Data is never overwritten in
+place: a version only adds folders, and an interrupted version (data without
+history row) is invisible and rewritten by the next attempt.
+
+One writer per table: the writer keeps the committed state (latest version,
+manifest, applied batch ids) after reading it once, so a merge costs one
+aggregate over the source batch, one data write and one commit row.
 """
 
 from __future__ import annotations
@@ -27,17 +32,24 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import StructType, _parse_datatype_string
+
+from tideline.streaming.files import exists, write_record
 
 BUCKET = "tl_bucket"
 
 HISTORY_DDL = (
     "version BIGINT, ts TIMESTAMP, operation STRING, writer STRING, batch_id BIGINT, "
     "rows_inserted BIGINT, rows_updated BIGINT, rows_written BIGINT, "
-    "buckets_written INT, bucket_count INT, keys STRING, schema_json STRING"
+    "buckets_written INT, bucket_count INT, keys STRING, schema_json STRING, "
+    "manifest ARRAY<STRUCT<bucket: INT, data_version: BIGINT>>"
 )
-MANIFEST_DDL = "bucket INT, data_version BIGINT"
+
+
+
+@functools.cache
+def _history_schema() -> StructType:
+    return _parse_datatype_string(HISTORY_DDL)
 
 
 class DuplicateSourceKeyError(ValueError):
@@ -56,6 +68,7 @@ class VersionedTable:
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.buckets = buckets if self.keys else 1
+        self._state: dict | None = None  # committed state, loaded once per writer
 
     # -- metadata -------------------------------------------------------------
 
@@ -64,30 +77,33 @@ class VersionedTable:
 
     def history(self) -> DataFrame:
         """One row per committed version (the version's history row commits it)."""
-        try:
-            return self.spark.read.schema(HISTORY_DDL).parquet(f"{self.path}/_history/v-*")
-        except AnalysisException:
+        if not exists(f"{self.path}/_history"):
             return self.spark.createDataFrame([], HISTORY_DDL)
-
-    def _latest(self):
-        rows = self.history().orderBy(F.col("version").desc()).limit(1).collect()
-        return rows[0] if rows else None
+        return self.spark.read.schema(HISTORY_DDL).parquet(f"{self.path}/_history/v-*")
+
+    def _load(self) -> dict:
+        """Latest committed version, its manifest and schema, and applied (writer, batch) ids."""
+        if self._state is None:
+            h = self.history()
+            latest = h.orderBy(F.col("version").desc()).limit(1).collect()
+            applied = {
+                (r["writer"], r["batch_id"])
+                for r in h.where(F.col("batch_id").isNotNull()).select("writer", "batch_id").collect()
+            }
+            if latest:
+                row = latest[0]
+                self._state = {
+                    "version": row["version"],
+                    "manifest": {m["bucket"]: m["data_version"] for m in row["manifest"]},
+                    "schema": StructType.fromJson(json.loads(row["schema_json"])),
+                    "applied": applied,
+                }
+            else:
+                self._state = {"version": None, "manifest": {}, "schema": None, "applied": applied}
+        return self._state
 
     def version(self) -> int | None:
-        latest = self._latest()
-        return None if latest is None else latest["version"]
-
-    def _manifest(self, version: int) -> dict[int, int]:
-        # Bounded by the bucket count.
-        rows = self.spark.read.schema(MANIFEST_DDL).parquet(self._v("_manifest", version)).collect()
-        return {r["bucket"]: r["data_version"] for r in rows}
-
-    def _applied(self, writer: str | None, batch_id: int | None) -> bool:
-        if batch_id is None:
-            return False
-        h = self.history().where(F.col("batch_id") == F.lit(batch_id))
-        h = h.where(F.col("writer").isNull() if writer is None else F.col("writer") == F.lit(writer))
-        return h.limit(1).count() > 0
+        return self._load()["version"]
 
     # -- reading --------------------------------------------------------------
 
@@ -108,7 +124,8 @@ class VersionedTable:
             raise FileNotFoundError(f"no committed version at {self.path}")
         row = rows[0]
         schema = StructType.fromJson(json.loads(row["schema_json"]))
-        return self._read_buckets(schema, self._manifest(row["version"]))
+        manifest = {m["bucket"]: m["data_version"] for m in row["manifest"]}
+        return self._read_buckets(schema, manifest)
 
     # -- writing --------------------------------------------------------------
 
@@ -128,49 +145,50 @@ class VersionedTable:
         stats: Mapping[str, int],
         buckets_written: int,
     ) -> None:
-        self.spark.createDataFrame(
-            sorted(manifest.items()), MANIFEST_DDL
-        ).coalesce(1).write.mode("overwrite").parquet(self._v("_manifest", version))
-        row = (
-            version,
-            _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
-            operation,
-            writer,
-            batch_id,
-            int(stats.get("inserted") or 0),
-            int(stats.get("updated") or 0),
-            int(stats.get("written") or 0),
-            buckets_written,
-            self.buckets,
-            ",".join(self.keys),
-            schema.json(),
-        )
-        self.spark.createDataFrame([row], HISTORY_DDL).coalesce(1).write.mode("overwrite").parquet(
-            self._v("_history", version)
-        )
+        row = {
+            "version": version,
+            "ts": _dt.datetime.now(_dt.timezone.utc),
+            "operation": operation,
+            "writer": writer,
+            "batch_id": batch_id,
+            "rows_inserted": int(stats.get("inserted") or 0),
+            "rows_updated": int(stats.get("updated") or 0),
+            "rows_written": int(stats.get("written") or 0),
+            "buckets_written": buckets_written,
+            "bucket_count": self.buckets,
+            "keys": ",".join(self.keys),
+            "schema_json": schema.json(),
+            "manifest": [{"bucket": b, "data_version": v} for b, v in sorted(manifest.items())],
+        }
+        # The commit record is one small row; written last, atomically.
+        write_record(self._v("_history", version), [row], _history_schema())
+        state = self._load()
+        state.update(version=version, manifest=dict(manifest), schema=schema)
+        if batch_id is not None:
+            state["applied"].add((writer, batch_id))
+
+    def _next_version(self) -> int:
+        v = self._load()["version"]
+        return 0 if v is None else v + 1
 
-    def _write_data(self, df: DataFrame, version: int, metrics: list[Column]) -> dict:
-        obs = Observation(f"tl_{version}_{id(df)}")
-        observed = df.observe(obs, *metrics)
-        observed.write.mode("overwrite").partitionBy(BUCKET).parquet(self._v("data", version))
-        return obs.get
+    def _applied(self, writer: str | None, batch_id: int | None) -> bool:
+        return batch_id is not None and (writer, batch_id) in self._load()["applied"]
 
     def overwrite(self, df: DataFrame, batch_id: int | None = None, writer: str | None = None) -> int | None:
         """New version holding exactly ``df`` (complete-mode results)."""
         if self._applied(writer, batch_id):
             return None
-        latest = self._latest()
-        version = 0 if latest is None else latest["version"] + 1
-        data = df.withColumn(BUCKET, self._bucket_expr())
-        stats = self._write_data(
-            data,
-            version,
-            [F.count(F.lit(1)).alias("written"), F.collect_set(BUCKET).alias("buckets")],
+        version = self._next_version()
+        obs = Observation(f"tl_write_{version}_{id(df)}")
+        data = df.withColumn(BUCKET, self._bucket_expr()).observe(
+            obs, F.count(F.lit(1)).alias("written"), F.collect_set(BUCKET).alias("buckets")
         )
-        written = [int(b) for b in (stats.get("buckets") or [])]
-        manifest = {b: version for b in written}
-        stats = {"inserted": stats.get("written"), "written": stats.get("written")}
-        self._commit(version, "WRITE", writer, batch_id, manifest, df.schema, stats, len(written))
+        data.write.mode("overwrite").partitionBy(BUCKET).parquet(self._v("data", version))
+        got = obs.get
+        written = sorted(int(b) for b in (got.get("buckets") or []))
+        stats = {"inserted": got.get("written"), "written": got.get("written")}
+        self._commit(version, "WRITE", writer, batch_id, {b: version for b in written}, df.schema,
+                     stats, len(written))
         return version
 
     def merge(
@@ -186,48 +204,48 @@ class VersionedTable:
         ``update`` maps target columns to SQL expressions over ``target.`` and
         ``source.`` (applied to matched rows; other columns keep their value);
         ``insert`` maps columns to expressions over ``source.`` (unmatched
-        source rows; ``None`` skips inserts). Two source rows with one key raise
-        ``DuplicateSourceKeyError``. With ``batch_id`` (and ``writer``) the call
-        is idempotent: a batch already committed is skipped.
+        source rows; ``None`` skips inserts). Target rows without a source row
+        are kept. Keys match by equality (a NULL key never matches). Two source
+        rows with one key raise ``DuplicateSourceKeyError``. With ``batch_id``
+        (and ``writer``) the call is idempotent: a committed batch is skipped.
         """
         if not self.keys:
             raise ValueError("merge needs a keyed table")
         if self._applied(writer, batch_id):
             return None
-        update = dict(update or {})
-        src = source.persist()
+        src = source.withColumn(BUCKET, self._bucket_expr()).persist()
         try:
-            dup = src.groupBy(*self.keys).count().where(F.col("count") > 1).limit(1).count()
-            if dup:
+            # One aggregate answers both questions: which buckets the batch
+            # touches (bounded by the bucket count) and whether a key repeats.
+            per_bucket = (
+                src.groupBy(BUCKET, *self.keys)
+                .count()
+                .groupBy(BUCKET)
+                .agg(F.max("count").alias("most"))
+                .collect()
+            )
+            if any(r["most"] > 1 for r in per_bucket):
                 raise DuplicateSourceKeyError(
                     f"source has more than one row for a key of {self.keys}; merge is ambiguous"
                 )
-            return self._merge(src, update, insert, batch_id, writer)
+            touched = sorted(r[BUCKET] for r in per_bucket)
+            return self._merge(src, touched, dict(update or {}), insert, batch_id, writer)
         finally:
             src.unpersist()
 
-    def _merge(self, src, update, insert, batch_id, writer) -> int:
-        latest = self._latest()
-        if latest is None:
+    def _merge(self, src, touched, update, insert, batch_id, writer) -> int:
+        state = self._load()
+        version = self._next_version()
+        if state["schema"] is None:
             if insert is None:
                 raise ValueError("the table does not exist and no insert clause was given")
-            version = 0
-            schema = (
-                src.alias("source")
-                .select(*[F.expr(e).alias(c) for c, e in insert.items()])
-                .schema
-            )
-            manifest: dict[int, int] = {}
+            schema = src.alias("source").select(*[F.expr(e).alias(c) for c, e in insert.items()]).schema
         else:
-            version = latest["version"] + 1
-            schema = StructType.fromJson(json.loads(latest["schema_json"]))
-            manifest = self._manifest(latest["version"])
-        src_b = src.withColumn(BUCKET, self._bucket_expr())
-        # Bounded by the bucket count.
-        touched = sorted(r[0] for r in src_b.select(BUCKET).distinct().collect())
+            schema = state["schema"]
+        manifest = state["manifest"]
         target = self._read_buckets(schema, manifest, touched).withColumn(BUCKET, self._bucket_expr())
         t = target.withColumn("__t", F.lit(True)).alias("target")
-        s = src_b.withColumn("__s", F.lit(True)).alias("source")
+        s = src.withColumn("__s", F.lit(True)).alias("source")
         cond = functools.reduce(
             lambda a, b: a & b, [F.col(f"target.`{k}`") == F.col(f"source.`{k}`") for k in self.keys]
         )
@@ -241,19 +259,9 @@ class VersionedTable:
             ins = F.expr(insert[f.name]) if insert and f.name in insert else F.lit(None)
             out.append(F.when(matched, upd).when(inserted, ins).otherwise(keep).cast(f.dataType).alias(f.name))
         out.append(F.coalesce(F.col(f"target.{BUCKET}"), F.col(f"source.{BUCKET}")).alias(BUCKET))
-        out.append(matched.alias("__m"))
-        out.append(inserted.alias("__i"))
-        merged = j.select(*out)
+        merged = j.select(*out, matched.alias("__m"), inserted.alias("__i"))
         if insert is None:
             merged = merged.where(~F.col("__i"))
-        stats = self._write_merged(merged, version)
-        new_manifest = dict(manifest)
-        for b in touched:
-            new_manifest[b] = version
-        self._commit(version, "MERGE", writer, batch_id, new_manifest, schema, stats, len(touched))
-        return version
-
-    def _write_merged(self, merged: DataFrame, version: int) -> dict:
         obs = Observation(f"tl_merge_{version}_{id(merged)}")
         observed = merged.observe(
             obs,
@@ -264,4 +272,8 @@ class VersionedTable:
         observed.drop("__m", "__i").write.mode("overwrite").partitionBy(BUCKET).parquet(
             self._v("data", version)
         )
-        return obs.get
+        new_manifest = dict(manifest)
+        for b in touched:
+            new_manifest[b] = version
+        self._commit(version, "MERGE", writer, batch_id, new_manifest, schema, obs.get, len(touched))
+        return version
