@@ -143,3 +143,49 @@ def test_state_store_choice_gives_same_result(spark):
 def test_report_casts_timestamps(spark):
     df = spark.createDataFrame([(1,)], "a INT").select(F.current_timestamp().alias("t"))
     assert report(df).schema["t"].dataType.simpleString() == "timestamp_ntz"
+
+
+def test_console_sink_smoke(spark):
+    parsed, _ = _stream(spark)
+    q = run(parsed.select("item"), "console", "append", options={"numRows": "2"})
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 1000
+
+
+def test_table_sink_rejects_update(spark):
+    parsed, _ = _stream(spark)
+    with pytest.raises(ValueError, match="append mode only"):
+        start(count_by(parsed, "item"), "table", "update", target="t", checkpoint="/y")
+    # Spark refuses it as well when asked directly
+    name = "upd_" + scratch_path(spark, "x").rsplit("/", 1)[1][:8]
+    spark.sql(f"CREATE TABLE {name} (item STRING, count BIGINT) USING parquet "
+              f"LOCATION '{scratch_path(spark, 'table')}'")
+    with pytest.raises(Exception, match="(?i)update|unsupported"):
+        q = (count_by(parsed, "item").writeStream.outputMode("update")
+             .option("checkpointLocation", scratch_path(spark, "ck")).toTable(name))
+        q.awaitTermination(60)
+        err = q.exception()
+        if err:
+            raise RuntimeError(str(err))
+
+
+def test_memory_append_cannot_resume(spark):
+    parsed, _ = _stream(spark)
+    ck = scratch_path(spark, "ck")
+    run(parsed.select("item"), "memory", "append", name="mem_once", checkpoint=ck)
+    with pytest.raises(Exception, match="(?i)recover"):
+        run(parsed.select("item"), "memory", "append", name="mem_again", checkpoint=ck)
+
+
+@pytest.mark.parametrize("batches", [1, 2])
+def test_chunking_invariance_of_append_without_late_rows(spark, batches):
+    aggs = [F.count("item").alias("item_count")]
+
+    def windows(rule):
+        parsed, st = _stream(spark, rule, files=2)
+        timed = with_watermark(event_time(parsed), "timestamp", "10 minutes")
+        df = window_agg(timed, "timestamp", "1 hour", keys=["item"], aggs=aggs, ntz=True)
+        out = scratch_path(spark, "out")
+        run(df, "parquet", "append", path=out, checkpoint=scratch_path(spark, "ck"))
+        return _sorted(spark.read.parquet(out))
+
+    assert windows(BatchRule(batches=batches)) == windows(EVEN)

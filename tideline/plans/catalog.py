@@ -470,9 +470,7 @@ def _validated(spark: SparkSession, sf: str, side: str) -> DataFrame:
 
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
         good, bad = split_valid(batch_df, _rules())
-        frame = good.drop("_corrupt_record") if side == "good" else bad.select(
-            "offset", F.array_join("reasons", ",").alias("reasons")
-        )
+        frame = good.drop("_corrupt_record") if side == "good" else bad.select("offset", "reasons")
         frame.write.mode("overwrite").parquet(f"{out}/batch-{batch_id:08d}")
 
     run(event_time(parsed), "foreach_batch", "append", target=per_batch,

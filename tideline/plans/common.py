@@ -16,7 +16,7 @@ from tideline.sources.replay import (
     EVEN,
     BatchRule,
     StagedTopic,
-    envelope_from_events,
+    records_from_events,
     read_replay,
     stage_topic,
 )
@@ -80,10 +80,9 @@ def stream_transactions(
     return parsed, st
 
 
-def batch_transactions(spark: SparkSession, sf_dir: str, value_mode: str = "clean") -> DataFrame:
-    """The same records as a batch frame, straight from the table (no staging)."""
-    env = envelope_from_events(events(spark, sf_dir), value_mode=value_mode)
-    return parse_json(decode(env, key=False, keep=["offset"]), keep=["offset"])
+def batch_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records as a batch frame, projected straight from the table."""
+    return records_from_events(events(spark, sf_dir))
 
 
 def event_time(df: DataFrame) -> DataFrame:
