@@ -252,6 +252,24 @@ def verify_staging(spark: SparkSession, staged: StagedTopic) -> None:
         previous_last = row["last"]
 
 
+# Target size of one staged file; a batch is written as this many equal files.
+_BYTES_PER_STAGED_FILE = 128 << 20
+
+
+def source_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """On-disk size of a table's files (a metadata-only listing)."""
+    if not paths:
+        return 0
+    return int(spark.read.format("binaryFile").load(paths).agg(F.sum("length")).first()[0] or 0)
+
+
+def files_per_batch_for(spark: SparkSession, events: DataFrame, batches: int) -> int:
+    """Files per staged batch: ~128 MB each, at least the default parallelism."""
+    size = source_bytes(spark, events.inputFiles())
+    wanted = -(-size // (batches * _BYTES_PER_STAGED_FILE))
+    return max(spark.sparkContext.defaultParallelism, wanted)
+
+
 def stage_topic(
     spark: SparkSession,
     events: DataFrame,
@@ -271,7 +289,7 @@ def stage_topic(
     """
     if n is None:
         n = events.count()
-    k = files_per_batch or max(1, min(spark.sparkContext.defaultParallelism, 8))
+    k = files_per_batch or files_per_batch_for(spark, events, rule.batches)
     todo = batches if batches is not None else range(rule.batches)
     staged = StagedTopic(path=path, files_per_batch=k, topic=topic)
     for i in todo:

@@ -63,11 +63,18 @@ class VersionedTable:
         path: str,
         keys: Sequence[str] = (),
         buckets: int = 16,
+        bucket_by: Column | None = None,
     ):
+        """``keys`` identify a row for ``merge``. Rows are grouped into buckets by
+        ``pmod(xxhash64(keys), buckets)``, or by ``bucket_by``: an INT expression
+        over the key columns, e.g. the day of a window start, so that a batch of
+        recent windows touches recent buckets only.
+        """
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
-        self.buckets = buckets if self.keys else 1
+        self.bucket_by = bucket_by
+        self.buckets = -1 if bucket_by is not None else (buckets if self.keys else 1)
         self._state: dict | None = None  # committed state, loaded once per writer
 
     # -- metadata -------------------------------------------------------------
@@ -130,6 +137,8 @@ class VersionedTable:
     # -- writing --------------------------------------------------------------
 
     def _bucket_expr(self) -> Column:
+        if self.bucket_by is not None:
+            return self.bucket_by.cast("int")
         if not self.keys:
             return F.lit(0)
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
