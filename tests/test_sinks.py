@@ -110,3 +110,22 @@ def test_kafka_source_needs_connector(spark):
 
     with pytest.raises(Exception):
         read_kafka(spark, kafka_options("localhost:1", "t"))
+
+
+def test_history_compaction_keeps_every_version(spark, monkeypatch):
+    from tideline.streaming import snapshot
+    from tideline.streaming.files import list_names
+
+    monkeypatch.setattr(snapshot, "COMPACT_EVERY", 3)
+    path = scratch_path(spark, "table")
+    t = VersionedTable(spark, path, keys=["item"], buckets=2)
+    for b in range(7):
+        t.merge(_counts(spark, [(f"k{b % 3}", 1)]), ADD, INSERT, batch_id=b, writer="w")
+    assert sorted(list_names(f"{path}/_history_compact")) == ["v-00000002", "v-00000005"]
+    fresh = VersionedTable(spark, path, keys=["item"], buckets=2)
+    assert [r.version for r in fresh.history().orderBy("version").collect()] == list(range(7))
+    assert sorted(tuple(r) for r in fresh.read().collect()) == [("k0", 3), ("k1", 2), ("k2", 2)]
+    assert fresh.read(4).agg(F.sum("count")).first()[0] == 5
+    # a replayed batch of the same writer is skipped by a fresh writer too
+    assert fresh.merge(_counts(spark, [("k0", 1)]), ADD, INSERT, batch_id=6, writer="w") is None
+    assert fresh.merge(_counts(spark, [("k0", 1)]), ADD, INSERT, batch_id=7, writer="w") == 7

@@ -52,13 +52,7 @@ def state_partitions(spark: SparkSession, st: StagedTopic) -> int:
     cluster's choice), never fewer than the default parallelism; stateful
     shuffles are pinned to this number for the checkpoint's lifetime.
     """
-    size = (
-        spark.read.format("binaryFile")
-        .load(st.glob)
-        .agg(F.sum("length"))
-        .first()[0]
-        or 0
-    )
+    size = st.bytes
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = max(spark.sparkContext.defaultParallelism, math.ceil(size / _BYTES_PER_STATE_PARTITION))
     return max(1, min(configured, wanted))

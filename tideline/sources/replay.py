@@ -187,6 +187,7 @@ class StagedTopic:
     files_per_batch: int
     topic: str = DEFAULT_TOPIC
     batches: list[int] = field(default_factory=list)
+    bytes: int = 0  # total size of the staged files, from the verification listing
 
     @property
     def glob(self) -> str:
@@ -230,17 +231,20 @@ def verify_staging(spark: SparkSession, staged: StagedTopic) -> None:
         .select(
             F.regexp_extract("path", r"/batch-(\d+)/", 1).cast("int").alias("batch"),
             "modificationTime",
+            "length",
         )
         .groupBy("batch")
         .agg(
             F.count("*").alias("files"),
             F.min("modificationTime").alias("first"),
             F.max("modificationTime").alias("last"),
+            F.sum("length").alias("bytes"),
         )
         .orderBy("batch")
         .collect()
     )
     previous_last = None
+    staged.bytes = sum(row["bytes"] for row in listing)
     for row in listing:
         if row["files"] != staged.files_per_batch:
             raise RuntimeError(

@@ -32,6 +32,17 @@ def exists(path: str) -> bool:
     return filesystem.get_file_info(inner).type != fs.FileType.NotFound
 
 
+def list_names(path: str) -> list[str]:
+    """Names of the direct children of ``path`` (empty if it does not exist)."""
+    from pyarrow import fs
+
+    filesystem, inner = arrow_target(path)
+    if filesystem.get_file_info(inner).type == fs.FileType.NotFound:
+        return []
+    infos = filesystem.get_file_info(fs.FileSelector(inner, recursive=False))
+    return [i.base_name for i in infos]
+
+
 def write_record(folder: str, rows: list[dict], spark_schema) -> None:
     """Write ``rows`` as one Parquet file in ``folder``; visible only once complete.
 

@@ -9,6 +9,8 @@ Layout under the table path::
     data/v-<version>/tl_bucket=<b>/part-*.parquet   rows of bucket b written by that version
     _history/v-<version>/                            one row, written last: it commits the
                                                      version and carries its manifest
+    _history_compact/v-<version>/                    all history rows up to that version,
+                                                     written every COMPACT_EVERY versions
 
 Rows are spread over ``buckets`` buckets by ``pmod(xxhash64(keys), buckets)``.
 A merge reads and rewrites only the buckets its source batch touches; the
@@ -18,9 +20,17 @@ table costs the touched buckets, not the table. Data is never overwritten in
 place: a version only adds folders, and an interrupted version (data without
 history row) is invisible and rewritten by the next attempt.
 
+Readers never list the whole history: they take the newest compacted history
+and probe the few commit rows after it, so opening a table that has lived
+through a million micro-batches costs the same as opening a new one.
+
 One writer per table: the writer keeps the committed state (latest version,
-manifest, applied batch ids) after reading it once, so a merge costs one
-aggregate over the source batch, one data write and one commit row.
+manifest, last applied batch id per writer) after reading it once, so a merge
+costs one aggregate over the source batch, one data write and one commit row.
+Idempotence follows the transaction-id convention of streaming writers: a
+``(writer, batch_id)`` with ``batch_id`` at or below the writer's last
+committed one is a replay and is skipped, so ``writer`` must identify one
+streaming query (for example its checkpoint location).
 """
 
 from __future__ import annotations
@@ -34,9 +44,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from tideline.streaming.files import exists, write_record
+from tideline.streaming.files import exists, list_names, write_record
 
 BUCKET = "tl_bucket"
+COMPACT_EVERY = 50
 
 HISTORY_DDL = (
     "version BIGINT, ts TIMESTAMP, operation STRING, writer STRING, batch_id BIGINT, "
@@ -82,20 +93,39 @@ class VersionedTable:
     def _v(self, kind: str, version: int) -> str:
         return f"{self.path}/{kind}/v-{version:08d}"
 
+    def _compacted(self) -> int | None:
+        """Newest compacted history version (a listing of one entry per COMPACT_EVERY versions)."""
+        versions = [int(n[2:]) for n in list_names(f"{self.path}/_history_compact") if n.startswith("v-")]
+        return max(versions) if versions else None
+
+    def _history_paths(self) -> list[str]:
+        compact = self._compacted()
+        paths = [] if compact is None else [self._v("_history_compact", compact)]
+        v = 0 if compact is None else compact + 1
+        while exists(f"{self._v('_history', v)}/part-00000.parquet"):
+            paths.append(self._v("_history", v))
+            v += 1
+        return paths
+
     def history(self) -> DataFrame:
         """One row per committed version (the version's history row commits it)."""
-        if not exists(f"{self.path}/_history"):
+        paths = self._history_paths()
+        if not paths:
             return self.spark.createDataFrame([], HISTORY_DDL)
-        return self.spark.read.schema(HISTORY_DDL).parquet(f"{self.path}/_history/v-*")
+        return self.spark.read.schema(HISTORY_DDL).parquet(*paths)
 
     def _load(self) -> dict:
-        """Latest committed version, its manifest and schema, and applied (writer, batch) ids."""
+        """Latest committed version, its manifest and schema, last batch id per writer."""
         if self._state is None:
             h = self.history()
             latest = h.orderBy(F.col("version").desc()).limit(1).collect()
+            # Bounded by the number of writers of this table.
             applied = {
-                (r["writer"], r["batch_id"])
-                for r in h.where(F.col("batch_id").isNotNull()).select("writer", "batch_id").collect()
+                r["writer"]: r["last"]
+                for r in h.where(F.col("batch_id").isNotNull())
+                .groupBy("writer")
+                .agg(F.max("batch_id").alias("last"))
+                .collect()
             }
             if latest:
                 row = latest[0]
@@ -123,9 +153,12 @@ class VersionedTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of ``version`` (default: latest committed)."""
-        h = self.history()
-        if version is not None:
-            h = h.where(F.col("version") == F.lit(version))
+        if version is not None and exists(f"{self._v('_history', version)}/part-00000.parquet"):
+            h = self.spark.read.schema(HISTORY_DDL).parquet(self._v("_history", version))
+        else:
+            h = self.history()
+            if version is not None:
+                h = h.where(F.col("version") == F.lit(version))
         rows = h.orderBy(F.col("version").desc()).limit(1).collect()
         if not rows:
             raise FileNotFoundError(f"no committed version at {self.path}")
@@ -174,14 +207,22 @@ class VersionedTable:
         state = self._load()
         state.update(version=version, manifest=dict(manifest), schema=schema)
         if batch_id is not None:
-            state["applied"].add((writer, batch_id))
+            state["applied"][writer] = max(batch_id, state["applied"].get(writer, -1))
+        if (version + 1) % COMPACT_EVERY == 0:
+            # Folds the previous compaction and the commit rows since into one.
+            self.history().coalesce(1).write.mode("overwrite").parquet(
+                self._v("_history_compact", version)
+            )
 
     def _next_version(self) -> int:
         v = self._load()["version"]
         return 0 if v is None else v + 1
 
     def _applied(self, writer: str | None, batch_id: int | None) -> bool:
-        return batch_id is not None and (writer, batch_id) in self._load()["applied"]
+        if batch_id is None:
+            return False
+        last = self._load()["applied"].get(writer)
+        return last is not None and batch_id <= last
 
     def overwrite(self, df: DataFrame, batch_id: int | None = None, writer: str | None = None) -> int | None:
         """New version holding exactly ``df`` (complete-mode results)."""
