@@ -26,8 +26,8 @@ from tideline.plans.common import (
     batch_transactions,
     event_time,
     events,
-    latest_batch,
     report,
+    run_complete,
     run_to_changelog,
     run_to_parquet,
     state_partitions,
@@ -52,7 +52,7 @@ from tideline.streaming import (
     read_topic,
     run,
 )
-from tideline.streaming.sinks import read_rows
+from tideline.streaming.sinks import read_latest_batch, read_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -154,27 +154,25 @@ def _counts_stream(spark: SparkSession, sf: str):
 def mode_complete(spark: SparkSession, sf: str) -> DataFrame:
     """OP-37: complete mode; the last batch holds the whole result."""
     counts, st = _counts_stream(spark, sf)
-    return latest_batch(run_to_changelog(counts, st, "complete"))
+    return run_complete(counts, st)
 
 
 def trigger_once(spark: SparkSession, sf: str) -> DataFrame:
     """OP-33: one batch with everything available."""
     counts, st = _counts_stream(spark, sf)
-    return latest_batch(run_to_changelog(counts, st, "complete", trigger=Trigger(once=True)))
+    return run_complete(counts, st, trigger=Trigger(once=True))
 
 
 def trigger_default(spark: SparkSession, sf: str) -> DataFrame:
     """OP-32: default trigger, drained with processAllAvailable then stopped."""
     counts, st = _counts_stream(spark, sf)
-    return latest_batch(run_to_changelog(counts, st, "complete", trigger=Trigger()))
+    return run_complete(counts, st, trigger=Trigger())
 
 
 def trigger_interval(spark: SparkSession, sf: str) -> DataFrame:
     """OP-35: fixed-interval trigger."""
     counts, st = _counts_stream(spark, sf)
-    return latest_batch(
-        run_to_changelog(counts, st, "complete", trigger=Trigger(processing_time="1 second"))
-    )
+    return run_complete(counts, st, trigger=Trigger(processing_time="1 second"))
 
 
 def memory_table_sql(spark: SparkSession, sf: str) -> DataFrame:
@@ -209,7 +207,7 @@ def checkpoint_resume(spark: SparkSession, sf: str) -> DataFrame:
     ev = events(spark, sf)
     n = ev.count()
     path, ck, out = (scratch_path(spark, k) for k in ("stage", "checkpoint", "out"))
-    from tideline.streaming import ChangelogWriter, read_changelog
+    from tideline.streaming import ChangelogWriter
 
     parts = None
     for batches in (range(0, 2), range(2, 4)):
@@ -221,7 +219,7 @@ def checkpoint_resume(spark: SparkSession, sf: str) -> DataFrame:
         counts = count_by(parse_json(parsed).select("item"), "item")
         run(counts, "foreach_batch", "complete", target=ChangelogWriter(out), checkpoint=ck,
             shuffle_partitions=parts)
-    return latest_batch(read_changelog(spark, out))
+    return read_latest_batch(spark, out)
 
 
 # -- update mode, Kafka records, merge -----------------------------------------
@@ -447,7 +445,7 @@ def approx_users_stream(spark: SparkSession, sf: str) -> DataFrame:
     """OP-23 on a stream: HyperLogLog++ estimate (exact distinct is refused on streams)."""
     parsed, st = stream_transactions(spark, sf, keep=())
     est = distinct_count(parsed, ["item"], "user_id", "distinct_users")
-    return latest_batch(run_to_changelog(est, st, "complete"))
+    return run_complete(est, st)
 
 
 def dedup_batch(spark: SparkSession, sf: str) -> DataFrame:

@@ -21,6 +21,7 @@ from tideline.sources.replay import (
     stage_topic,
 )
 from tideline.streaming import ChangelogWriter, read_changelog, run
+from tideline.streaming.sinks import read_latest_batch
 
 _STAGED: dict[tuple, StagedTopic] = {}
 
@@ -108,6 +109,21 @@ def run_to_parquet(df: DataFrame, st: StagedTopic, **kw: Any) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def run_complete(df: DataFrame, st: StagedTopic, **kw: Any) -> DataFrame:
+    """Complete mode into per-batch folders; returns the final result (newest folder only)."""
+    spark = df.sparkSession
+    out, ck = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
+    run(
+        df,
+        "foreach_batch",
+        "complete",
+        target=ChangelogWriter(out),
+        checkpoint=ck,
+        **_partitions(spark, st, kw),
+    )
+    return read_latest_batch(spark, out)
+
+
 def run_to_changelog(df: DataFrame, st: StagedTopic, mode: str, **kw: Any) -> DataFrame:
     spark = df.sparkSession
     out, ck = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")

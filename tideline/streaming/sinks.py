@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from tideline.streaming.files import arrow_target
+from tideline.streaming.files import arrow_target, exists, list_names
 
 
 def _batch_dir(path: str, batch_id: int) -> str:
@@ -46,6 +46,19 @@ def read_changelog(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/batch-*")
 
 
+def read_latest_batch(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the newest completed batch folder (complete mode: the current result).
+
+    Reads one folder, whatever the number of batches written before it; a
+    folder counts once its write committed (``_SUCCESS`` present).
+    """
+    names = sorted(n for n in list_names(path) if n.startswith("batch-"))
+    for name in reversed(names):
+        if exists(f"{path}/{name}/_SUCCESS"):
+            return spark.read.parquet(f"{path}/{name}").drop("batch_id")
+    raise FileNotFoundError(f"no completed batch under {path}")
+
+
 class TopicWriter:
     """``foreachBatch`` callback writing Kafka sink records (``key``, ``value``) to a topic folder.
 
