@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-# Fixed value: the transaction record declared by the source notebooks.
+# Fixed value: the transaction record declared by the original workload.
 TRANSACTION_DDL = "timestamp DOUBLE, user_id INT, item STRING, quantity INT"
 
 

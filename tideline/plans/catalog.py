@@ -57,7 +57,7 @@ from tideline.streaming.sinks import read_latest_batch, read_rows
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Window sizes, slides and watermark delays of the catalogue
-# (the notebooks use seconds; events here are minutes apart).
+# (the original workload uses seconds; events here are minutes apart).
 TUMBLE = "1 hour"
 SLIDE_SIZE, SLIDE_STEP = "20 minutes", "10 minutes"
 SUM_SIZE, SUM_STEP = "15 minutes", "5 minutes"
@@ -277,7 +277,7 @@ def upsert_add_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def upsert_add_running(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-46 as written in the source notebook: running totals *added* (over-counts)."""
+    """OP-46 as originally written: running totals *added* (over-counts)."""
     return _merge_run(spark, sf, "add_running").read()
 
 

@@ -69,7 +69,7 @@ def stream_transactions(
 ) -> tuple[DataFrame, StagedTopic]:
     """Replay stream -> decode -> from_json -> ``data.*`` (plus ``keep`` envelope columns)."""
     st = staged(spark, sf_dir, rule, value_mode)
-    # The source notebooks' topic name carries a trailing space; it is trimmed.
+    # The original workload's topic name carries a trailing space; it is trimmed.
     raw = read_replay(spark, st, subscribe=DEFAULT_TOPIC + " ")
     parsed = parse_json(decode(raw, key=False, keep=keep), keep=keep, corrupt_column=corrupt_column)
     return parsed, st

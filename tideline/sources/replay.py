@@ -28,7 +28,7 @@ ENVELOPE_DDL = (
 )
 ENVELOPE_COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp", "timestampType"]
 
-# Topic name and partition count of the source notebooks' producer.
+# Topic name and partition count of the original workload's producer.
 DEFAULT_TOPIC = "shopping_transaction"
 DEFAULT_PARTITIONS = 3
 
