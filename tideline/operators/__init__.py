@@ -7,13 +7,14 @@ from tideline.operators.aggregate import (
     window_agg,
 )
 from tideline.operators.watermark import with_watermark
-from tideline.operators.dedup import dedup
+from tideline.operators.dedup import dedup, dedup_within_watermark
 from tideline.operators.validate import split_valid
 
 __all__ = [
     "count_by",
     "count_named",
     "dedup",
+    "dedup_within_watermark",
     "distinct_count",
     "split_valid",
     "window_agg",

@@ -17,6 +17,7 @@ from tideline.functions import decode, to_kv_json
 from tideline.operators import (
     count_by,
     dedup,
+    dedup_within_watermark,
     distinct_count,
     split_valid,
     window_agg,
@@ -467,10 +468,11 @@ def dedup_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedup_watermark(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-57 across batches: dropDuplicatesWithinWatermark on (user_id, item)."""
+    """OP-57 across batches: dropDuplicatesWithinWatermark on (user_id, item),
+    with the per-batch pre-reduction that protects against hot keys."""
     parsed, st = stream_transactions(spark, sf)
-    timed = with_watermark(event_time(parsed), "timestamp", DELAY)
-    deduped = dedup(timed, ["user_id", "item"], within_watermark=True)
+    deduped = dedup_within_watermark(event_time(parsed), ["user_id", "item"], "timestamp", DELAY,
+                                     prereduce=True)
     return report(run_to_parquet(deduped, st))
 
 
