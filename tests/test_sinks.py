@@ -129,3 +129,26 @@ def test_history_compaction_keeps_every_version(spark, monkeypatch):
     # a replayed batch of the same writer is skipped by a fresh writer too
     assert fresh.merge(_counts(spark, [("k0", 1)]), ADD, INSERT, batch_id=6, writer="w") is None
     assert fresh.merge(_counts(spark, [("k0", 1)]), ADD, INSERT, batch_id=7, writer="w") == 7
+
+
+def test_kafka_offsets_from_a_checkpoint_log(spark, tmp_path):
+    from tideline.streaming import kafka_offsets
+
+    # An offsets log in the Kafka source's format: version, metadata, one line per source.
+    offsets = tmp_path / "ck" / "offsets"
+    offsets.mkdir(parents=True)
+    (tmp_path / "ck" / "commits").mkdir()
+    meta = '{"batchWatermarkMs":0,"batchTimestampMs":1,"conf":{}}'
+    (offsets / "0").write_text(f'v1\n{meta}\n{{"shopping_transaction":{{"2":707,"1":742,"0":739}}}}')
+    (tmp_path / "ck" / "commits" / "0").write_text('v1\n{"nextBatchWatermarkMs":0}')
+    rows = kafka_offsets(checkpoint_offsets(spark, str(tmp_path / "ck"))).collect()
+    got = sorted((r.topic, r.partition, r.end_offset) for r in rows)
+    assert got == [("shopping_transaction", 0, 739), ("shopping_transaction", 1, 742),
+                   ("shopping_transaction", 2, 707)]
+    assert sum(r.end_offset for r in rows) == 2188
+
+
+def test_state_store_provider_default(spark):
+    from tideline.streaming import state_store_provider
+
+    assert state_store_provider(spark).endswith("HDFSBackedStateStoreProvider")

@@ -77,6 +77,14 @@ def test_continuous_trigger_runs_map_only_and_refuses_aggregates(spark):
         assert spark.table("continuous_map").count() > 0
     finally:
         q.stop()
+    parsed, _ = _stream(spark)
+    with pytest.raises(Exception):  # the file source has no continuous mode
+        qf = start(parsed, "memory", "append", trigger=Trigger(continuous="1 second"), name="continuous_file")
+        qf.awaitTermination(30)
+        err = qf.exception()
+        qf.stop()
+        if err:
+            raise RuntimeError(str(err))
     with pytest.raises(Exception):
         q2 = start(count_by(rate, "value"), "memory", "complete",
                    trigger=Trigger(continuous="1 second"), name="continuous_agg")

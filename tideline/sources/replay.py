@@ -342,18 +342,20 @@ def read_replay(
     starting_offsets: str = "earliest",
     checkpoint: str | None = None,
     subscribe: str | None = None,
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
     """Stream a staged topic back as the Kafka envelope.
 
     ``subscribe`` keeps one topic (names are trimmed). ``starting_offsets="latest"``
     skips what was staged before the first start; it needs ``checkpoint`` to keep
-    the start position beside it.
+    the start position beside it. ``fail_on_data_loss=False`` skips staged files
+    that disappeared before they were read (the file-source counterpart of the
+    Kafka option) instead of failing the query.
     """
-    df = (
-        spark.readStream.schema(ENVELOPE_DDL)
-        .option("maxFilesPerTrigger", staged.files_per_batch)
-        .parquet(staged.glob)
-    )
+    reader = spark.readStream.schema(ENVELOPE_DDL).option("maxFilesPerTrigger", staged.files_per_batch)
+    if not fail_on_data_loss:
+        reader = reader.option("ignoreMissingFiles", "true")
+    df = reader.parquet(staged.glob)
     if subscribe is not None:
         df = df.where(F.col("topic") == F.lit(subscribe.strip()))
     if starting_offsets == "earliest":

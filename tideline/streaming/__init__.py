@@ -1,6 +1,6 @@
 """Starting, driving and inspecting streaming queries; sinks and versioned tables."""
 
-from tideline.streaming.runner import Trigger, run, start
+from tideline.streaming.runner import Trigger, run, start, state_store_provider
 from tideline.streaming.sinks import (
     ChangelogWriter,
     JdbcWriter,
@@ -10,7 +10,7 @@ from tideline.streaming.sinks import (
     read_topic,
 )
 from tideline.streaming.snapshot import VersionedTable
-from tideline.streaming.inspect import checkpoint_offsets, progress_frame
+from tideline.streaming.inspect import checkpoint_offsets, kafka_offsets, progress_frame
 
 __all__ = [
     "ChangelogWriter",
@@ -20,9 +20,11 @@ __all__ = [
     "Trigger",
     "VersionedTable",
     "checkpoint_offsets",
+    "kafka_offsets",
     "progress_frame",
     "read_changelog",
     "read_topic",
     "run",
     "start",
+    "state_store_provider",
 ]

@@ -60,6 +60,21 @@ def checkpoint_offsets(spark: SparkSession, checkpoint: str) -> DataFrame:
     )
 
 
+def kafka_offsets(offsets: DataFrame) -> DataFrame:
+    """Explode Kafka source offsets (``{"topic":{"partition":offset}}``) of
+    ``checkpoint_offsets`` rows into ``batch_id, topic, partition, end_offset``.
+
+    The logged offsets are the exclusive end offsets planned for the batch.
+    """
+    parsed = offsets.select(
+        "batch_id", F.from_json("source_offset", "MAP<STRING, MAP<STRING, BIGINT>>").alias("m")
+    ).where(F.col("m").isNotNull())
+    by_topic = parsed.select("batch_id", F.explode("m").alias("topic", "parts"))
+    return by_topic.select(
+        "batch_id", "topic", F.explode("parts").alias("partition", "end_offset")
+    ).withColumn("partition", F.col("partition").cast("int"))
+
+
 _PROGRESS = (
     "batch_id BIGINT, timestamp STRING, num_input_rows BIGINT, input_rows_per_second DOUBLE, "
     "processed_rows_per_second DOUBLE, trigger_ms BIGINT, watermark STRING, "

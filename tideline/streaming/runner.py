@@ -26,6 +26,11 @@ _STATE_STORES = {
 }
 
 
+def state_store_provider(spark) -> str:
+    """The state store provider new checkpoints will use (HDFS-backed unless set)."""
+    return spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) or _STATE_STORES["hdfs"]
+
+
 @dataclass(frozen=True)
 class Trigger:
     """Exactly one trigger kind; ``Trigger()`` is the default micro-batch trigger."""
