@@ -221,3 +221,19 @@ def test_prereduced_watermark_dedup_matches_plain_on_a_hot_key(spark):
     for rows in (plain, pre):
         assert all(b - a >= timedelta(minutes=10) for a, b in zip(rows, rows[1:]))
     assert len(plain) == len(pre)
+
+
+@pytest.mark.parametrize(
+    "name,size,slide,agg",
+    [
+        ("tumbling_count", "1 hour", None, lambda: F.count("item").alias("item_count")),
+        ("tumbling_avg", "1 hour", None, lambda: F.avg("quantity").alias("avg_quantity")),
+        ("sliding_count", "20 minutes", "10 minutes", lambda: F.count("item").alias("item_count")),
+        ("sliding_sum", "15 minutes", "5 minutes", lambda: F.sum("quantity").alias("sum_quantity")),
+    ],
+)
+def test_stream_equals_batch_for_every_window_query(spark, name, size, slide, agg):
+    streamed = catalog.QUERIES[name](spark, SF_SMALL)
+    batch = window_agg(event_time(batch_transactions(spark, SF_SMALL)), "timestamp", size, slide,
+                       keys=["item"], aggs=[agg()], ntz=True)
+    assert _sorted(streamed.select(*batch.columns)) == _sorted(batch)
