@@ -294,6 +294,8 @@ def stage_topic(
     if n is None:
         n = events.count()
     k = files_per_batch or files_per_batch_for(spark, events, rule.batches)
+    # Round-robin fills every file only if a batch has at least k rows.
+    k = max(1, min(k, n // (2 * rule.batches)))
     todo = batches if batches is not None else range(rule.batches)
     staged = StagedTopic(path=path, files_per_batch=k, topic=topic)
     for i in todo:
