@@ -152,3 +152,14 @@ def test_state_store_provider_default(spark):
     from tideline.streaming import state_store_provider
 
     assert state_store_provider(spark).endswith("HDFSBackedStateStoreProvider")
+
+
+def test_credentials_from_env(monkeypatch):
+    from tideline.sources import credentials_from_env
+
+    monkeypatch.setenv("TL_TEST_USER", "u")
+    monkeypatch.setenv("TL_TEST_PASS", "p")
+    assert credentials_from_env("TL_TEST_USER", "TL_TEST_PASS") == ("u", "p")
+    monkeypatch.delenv("TL_TEST_PASS")
+    with pytest.raises(KeyError):
+        credentials_from_env("TL_TEST_USER", "TL_TEST_PASS")

@@ -1,6 +1,6 @@
 """Sources: Kafka option builder and reader, file replay of Kafka-shaped records, table scan."""
 
-from tideline.sources.kafka import kafka_options, read_kafka, kafka_sink_options
+from tideline.sources.kafka import credentials_from_env, kafka_options, kafka_sink_options, read_kafka
 from tideline.sources.replay import (
     ENVELOPE_DDL,
     BatchRule,
@@ -15,6 +15,7 @@ __all__ = [
     "ENVELOPE_DDL",
     "BatchRule",
     "StagedTopic",
+    "credentials_from_env",
     "envelope_from_events",
     "kafka_options",
     "kafka_sink_options",

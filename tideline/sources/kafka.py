@@ -40,6 +40,20 @@ def _security(username: str | None, password: str | None, login_module: str) ->
     }
 
 
+def credentials_from_env(username_var: str, password_var: str) -> tuple[str, str]:
+    """(username, password) from environment variables named by the caller.
+
+    Raises if either is unset, so a missing secret fails at start-up rather than
+    as an authentication error inside the stream.
+    """
+    import os
+
+    missing = [v for v in (username_var, password_var) if not os.environ.get(v)]
+    if missing:
+        raise KeyError(f"environment variables not set: {', '.join(missing)}")
+    return os.environ[username_var], os.environ[password_var]
+
+
 def kafka_options(
     bootstrap_servers: str,
     topics: str | list[str],
