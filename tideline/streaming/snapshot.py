@@ -9,12 +9,14 @@ Layout under the table path::
     data/v-<version>/tl_bucket=<b>/part-*.parquet   rows of bucket b written by that version
     _history/v-<version>/                            one row, written last: it commits the
                                                      version and carries its manifest
-    _history_compact/v-<version>/                    all history rows up to that version,
+    _history_compact/v-<version>/                    all history rows up to that version
+                                                     (manifest kept on the newest only),
                                                      written every COMPACT_EVERY versions
 
 Rows are spread over ``buckets`` buckets by ``pmod(xxhash64(keys), buckets)``.
 A merge reads and rewrites only the buckets its source batch touches; the
-manifest (bucket -> version that last wrote it, bounded by the bucket count)
+manifest (bucket -> version that last wrote it; bounded by the bucket count, or
+by the number of distinct ``bucket_by`` values, such as days)
 points every other bucket at older data. So a small batch against a large
 table costs the touched buckets, not the table. Data is never overwritten in
 place: a version only adds folders, and an interrupted version (data without
@@ -57,7 +59,6 @@ HISTORY_DDL = (
 )
 
 
-
 @functools.cache
 def _history_schema() -> StructType:
     return _parse_datatype_string(HISTORY_DDL)
@@ -210,9 +211,14 @@ class VersionedTable:
             state["applied"][writer] = max(batch_id, state["applied"].get(writer, -1))
         if (version + 1) % COMPACT_EVERY == 0:
             # Folds the previous compaction and the commit rows since into one.
-            self.history().coalesce(1).write.mode("overwrite").parquet(
-                self._v("_history_compact", version)
-            )
+            # Only the newest row keeps its manifest, so the compacted history
+            # grows by one small row per version; older manifests stay in their
+            # own commit records (read(version) reads those directly).
+            h = self.history()
+            h.withColumn(
+                "manifest",
+                F.when(F.col("version") == F.lit(version), F.col("manifest")),
+            ).coalesce(1).write.mode("overwrite").parquet(self._v("_history_compact", version))
 
     def _next_version(self) -> int:
         v = self._load()["version"]
