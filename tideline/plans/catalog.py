@@ -90,6 +90,18 @@ def decode_kv(spark: SparkSession, sf: str) -> DataFrame:
     return run_to_parquet(decode(stream, key=True, keep=["offset"]), st)
 
 
+def decode_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-07 with keys: keyed sample messages decoded and parsed (key, id, message)."""
+    from tideline.functions import parse_json
+    from tideline.plans.common import staged
+    from tideline.sources.replay import MESSAGE_DDL
+
+    st = staged(spark, sf, EVEN, "messages")
+    raw = read_replay(spark, st, subscribe=DEFAULT_TOPIC)
+    parsed = parse_json(decode(raw, key=True), MESSAGE_DDL, keep=["key"])
+    return run_to_parquet(parsed, st)
+
+
 def start_earliest(spark: SparkSession, sf: str) -> DataFrame:
     """OP-03 earliest: every record of the topic, by partition."""
     stream, st = _raw(spark, sf, "earliest")
@@ -152,6 +164,16 @@ def _counts_stream(spark: SparkSession, sf: str):
     return count_by(parsed.select("item"), "item"), st
 
 
+def null_item_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-18 vs OP-19 on the bad-record fixture: ``count(*)`` counts rows of the
+    NULL-item group, ``count(item)`` does not."""
+    parsed, st = stream_transactions(spark, sf, value_mode="faulty", keep=())
+    counts = parsed.groupBy("item").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("item").alias("item_count")
+    )
+    return run_complete(counts, st)
+
+
 def mode_complete(spark: SparkSession, sf: str) -> DataFrame:
     """OP-37: complete mode; the last batch holds the whole result."""
     counts, st = _counts_stream(spark, sf)
@@ -526,6 +548,7 @@ def checkpoint_offsets_query(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "kafka_envelope_scan": kafka_envelope_scan,
     "decode_kv": decode_kv,
+    "decode_messages": decode_messages,
     "start_earliest": start_earliest,
     "start_latest": start_latest,
     "table_scan": table_scan_query,
@@ -533,6 +556,7 @@ QUERIES: dict[str, Query] = {
     "event_time": event_time_query,
     "parse_bad_types": parse_bad_types,
     "item_counts": item_counts,
+    "null_item_counts": null_item_counts,
     "mode_complete": mode_complete,
     "trigger_once": trigger_once,
     "trigger_default": trigger_default,

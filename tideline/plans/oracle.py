@@ -145,6 +145,12 @@ ORACLES: dict[str, str] = {
         CAST(event_id % {DEFAULT_PARTITIONS} AS INTEGER) AS partition, event_id AS offset,
         ts AS timestamp FROM events""",
     "decode_kv": f"SELECT CAST(NULL AS VARCHAR) AS key, {_json_value()} AS value, event_id AS offset FROM events",
+    "decode_messages": """SELECT 'key-' || CAST(event_id AS VARCHAR) AS key, event_id AS id,
+        'sample message ' || CAST(event_id AS VARCHAR) AS message FROM events""",
+    "null_item_counts": f"""SELECT CASE WHEN {_R} IN (1, 2, 3) THEN NULL ELSE event_type END AS item,
+        count(*) AS rows,
+        count(CASE WHEN {_R} IN (1, 2, 3) THEN NULL ELSE event_type END) AS item_count
+        FROM events GROUP BY 1""",
     "start_earliest": f"SELECT CAST(event_id % {DEFAULT_PARTITIONS} AS INTEGER) AS partition, event_id AS offset FROM events",
     "start_latest": f"""SELECT CAST(event_id % {DEFAULT_PARTITIONS} AS INTEGER) AS partition, event_id AS offset
         FROM events WHERE {B_EVEN} = 3""",

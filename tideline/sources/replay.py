@@ -161,16 +161,44 @@ def records_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+# The keyed sample message of the original workload's sample
+# producer: key "key-<i>", value {"id": i, "message": "sample message <i>"}.
+MESSAGE_KEY_PREFIX = "key-"
+MESSAGE_TEXT_PREFIX = "sample message "
+MESSAGE_DDL = "id BIGINT, message STRING"
+
+
+def message_record() -> tuple[Column, Column]:
+    """(key, value) of the keyed sample message for an ``events`` row (i = event_id)."""
+    i = F.col("event_id").cast("string")
+    key = F.concat(F.lit(MESSAGE_KEY_PREFIX), i)
+    value = F.to_json(
+        F.struct(
+            F.col("event_id").cast("long").alias("id"),
+            F.concat(F.lit(MESSAGE_TEXT_PREFIX), i).alias("message"),
+        )
+    )
+    return key, value
+
+
 def envelope_from_events(
     events: DataFrame,
     topic: str = DEFAULT_TOPIC,
     partitions: int = DEFAULT_PARTITIONS,
     value_mode: str = "clean",
 ) -> DataFrame:
-    """Kafka envelope for ``events`` rows (NULL key, JSON value, offset = event_id)."""
+    """Kafka envelope for ``events`` rows (offset = event_id).
+
+    ``clean`` / ``faulty``: NULL key, transaction JSON value. ``messages``: the
+    keyed sample message.
+    """
+    if value_mode == "messages":
+        key, value = message_record()
+    else:
+        key, value = F.lit(None).cast("string"), transaction_json(value_mode)
     return events.select(
-        F.lit(None).cast("binary").alias("key"),
-        transaction_json(value_mode).cast("binary").alias("value"),
+        key.cast("binary").alias("key"),
+        value.cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         (F.col("event_id") % F.lit(partitions)).cast("int").alias("partition"),
         F.col("event_id").cast("long").alias("offset"),
