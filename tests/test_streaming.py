@@ -237,3 +237,18 @@ def test_stream_equals_batch_for_every_window_query(spark, name, size, slide, ag
     batch = window_agg(event_time(batch_transactions(spark, SF_SMALL)), "timestamp", size, slide,
                        keys=["item"], aggs=[agg()], ntz=True)
     assert _sorted(streamed.select(*batch.columns)) == _sorted(batch)
+
+
+def test_json_starting_offsets_follow_kafka_semantics(spark):
+    st = stage_topic(spark, _events(spark), scratch_path(spark, "stage"), EVEN)
+    ck = scratch_path(spark, "ck")
+    spec = '{"shopping_transaction ": {"0": 600, "1": -2, "2": -1}}'
+    stream = read_replay(spark, st, spec, ck, subscribe="shopping_transaction")
+    out = scratch_path(spark, "out")
+    run(stream.select("partition", "offset"), "parquet", "append", path=out, checkpoint=ck)
+    got = spark.read.parquet(out)
+    ev = _events(spark)
+    expected = ev.where(((F.col("event_id") % 3 == 0) & (F.col("event_id") >= 600)) | (F.col("event_id") % 3 == 1))
+    assert got.count() == expected.count()
+    assert got.where("partition = 2").count() == 0
+    assert got.where("partition = 0").agg(F.min("offset")).first()[0] == 600

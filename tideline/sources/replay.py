@@ -390,11 +390,11 @@ def read_replay(
         df = df.where(F.col("topic") == F.lit(subscribe.strip()))
     if starting_offsets == "earliest":
         return df
-    if starting_offsets != "latest":
-        raise ValueError("starting_offsets must be earliest or latest")
+    if starting_offsets != "latest" and not starting_offsets.lstrip().startswith("{"):
+        raise ValueError("starting_offsets must be earliest, latest or a JSON offset map")
     if checkpoint is None:
-        raise ValueError("starting_offsets='latest' needs the checkpoint location")
-    start = latest_offsets(spark, staged, f"{checkpoint}.start")
+        raise ValueError("starting_offsets other than earliest need the checkpoint location")
+    start = _start_positions(spark, staged, starting_offsets, f"{checkpoint}.start")
     if start.count() <= _BROADCAST_PARTITIONS:
         start = F.broadcast(start)
     return (
@@ -402,3 +402,34 @@ def read_replay(
         .where(F.col("start_after").isNull() | (F.col("offset") > F.col("start_after")))
         .select(*ENVELOPE_COLUMNS)
     )
+
+
+def _start_positions(spark: SparkSession, staged: StagedTopic, spec: str, anchor: str) -> DataFrame:
+    """(topic, partition, start_after): rows at or below ``start_after`` are skipped.
+
+    ``latest`` uses the end offsets recorded at the first start. A JSON map
+    ``{"topic": {"partition": offset}}`` follows the Kafka source: an offset is
+    the first one read, -2 means earliest, -1 latest; partitions not named
+    start at the earliest offset. Output is bounded by the partition count.
+    """
+    latest = latest_offsets(spark, staged, anchor)
+    if spec == "latest":
+        return latest
+    import json as _json
+
+    rows = []
+    for topic, parts in _json.loads(spec).items():
+        for part, off in parts.items():
+            rows.append((topic.strip(), int(part), int(off)))
+    wanted = spark.createDataFrame(rows, "topic STRING, partition INT, offset BIGINT")
+    return (
+        wanted.join(latest, ["topic", "partition"], "left")
+        .select(
+            "topic",
+            "partition",
+            F.when(F.col("offset") == -2, F.lit(None).cast("long"))
+            .when(F.col("offset") == -1, F.col("start_after"))
+            .otherwise(F.col("offset") - 1)
+            .alias("start_after"),
+        )
+    )
