@@ -64,6 +64,7 @@ def main() -> None:
 
     chosen = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or HEADLINE
     timings: dict[str, float] = {}
+    spread: dict[str, float] = {}
     rows: dict[str, int] = {}
     for name in chosen:
         samples = []
@@ -75,6 +76,7 @@ def main() -> None:
             samples.append(time.perf_counter() - t)
         rows[name] = df.count()
         timings[name] = round(statistics.median(samples), 3)
+        spread[name] = round(max(samples) - min(samples), 3)
     total = round(sum(timings.values()), 3)
     print(
         json.dumps(
@@ -83,6 +85,7 @@ def main() -> None:
                 "value": total,
                 "unit": "sec",
                 "queries": timings,
+                "spread": spread,
                 "rows": rows,
                 "stage_sec": round(stage_sec, 3),
                 "runs": runs,
