@@ -252,3 +252,20 @@ def test_json_starting_offsets_follow_kafka_semantics(spark):
     assert got.count() == expected.count()
     assert got.where("partition = 2").count() == 0
     assert got.where("partition = 0").agg(F.min("offset")).first()[0] == 600
+
+
+def test_update_without_aggregation_behaves_like_append(spark):
+    parsed, _ = _stream(spark)
+    run(parsed.select("item", "quantity"), "memory", "update", name="update_no_agg")
+    assert spark.table("update_no_agg").count() == 1000
+
+
+def test_complete_mode_keeps_windows_behind_the_watermark(spark):
+    parsed, _ = _stream(spark)
+    aggs = [F.count("item").alias("item_count")]
+    timed = with_watermark(event_time(parsed), "timestamp", "10 minutes")
+    df = window_agg(timed, "timestamp", "1 hour", keys=["item"], aggs=aggs, ntz=True)
+    run(df, "memory", "complete", name="complete_wm")
+    batch = window_agg(event_time(batch_transactions(spark, SF_SMALL)), "timestamp", "1 hour",
+                       keys=["item"], aggs=aggs, ntz=True)
+    assert _sorted(spark.table("complete_wm")) == _sorted(batch)
