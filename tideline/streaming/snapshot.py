@@ -172,7 +172,8 @@ class VersionedTable:
 
     def _bucket_expr(self) -> Column:
         if self.bucket_by is not None:
-            return self.bucket_by.cast("int")
+            # A NULL bucket would land in Spark's default-partition folder.
+            return F.coalesce(self.bucket_by.cast("int"), F.lit(-1))
         if not self.keys:
             return F.lit(0)
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
