@@ -163,3 +163,23 @@ def test_credentials_from_env(monkeypatch):
     monkeypatch.delenv("TL_TEST_PASS")
     with pytest.raises(KeyError):
         credentials_from_env("TL_TEST_USER", "TL_TEST_PASS")
+
+
+def test_checkpoint_pins_state_partitions_and_store(spark):
+    from tideline.sources.replay import EVEN, read_replay, stage_topic
+    from tideline.functions import decode, parse_json
+    from tideline.operators import count_by
+    from tideline.streaming import ChangelogWriter
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    path, ck, out = (scratch_path(spark, k) for k in ("stage", "ck", "out"))
+    for batches, parts, store in ((range(0, 2), 3, "hdfs"), (range(2, 4), 5, "rocksdb")):
+        st = stage_topic(spark, ev, path, EVEN, batches=batches, n=1000, files_per_batch=2)
+        counts = count_by(parse_json(decode(read_replay(spark, st), key=False)), "item")
+        run(counts, "foreach_batch", "complete", target=ChangelogWriter(out), checkpoint=ck,
+            shuffle_partitions=parts, state_store=store)
+    confs = {r.batch_id: r.conf for r in checkpoint_offsets(spark, ck).collect()}
+    assert sorted(confs) == [0, 1, 2, 3]
+    for conf in confs.values():
+        assert conf["spark.sql.shuffle.partitions"] == "3"
+        assert conf["spark.sql.streaming.stateStore.providerClass"].endswith("HDFSBackedStateStoreProvider")

@@ -32,7 +32,12 @@ def _log(spark: SparkSession, folder: str) -> DataFrame:
 
 def checkpoint_offsets(spark: SparkSession, checkpoint: str) -> DataFrame:
     """One row per (batch, source): ``batch_id, watermark_ms, batch_ts_ms,
-    source_index, source_offset, log_offset, committed``."""
+    source_index, source_offset, log_offset, committed, conf``.
+
+    ``conf`` holds the session settings frozen into the checkpoint (state
+    partitions, state store provider, format versions): a restart keeps them
+    whatever the session says.
+    """
     offsets = _log(spark, f"{checkpoint}/offsets")
     lines = offsets.select("batch_id", F.posexplode(F.split(F.col("value"), "\n")).alias("pos", "line"))
     meta = lines.where(F.col("pos") == 1).select(
@@ -56,6 +61,7 @@ def checkpoint_offsets(spark: SparkSession, checkpoint: str) -> DataFrame:
             "source_offset",
             "log_offset",
             F.coalesce(F.col("committed"), F.lit(False)).alias("committed"),
+            F.col("m.conf").alias("conf"),
         )
     )
 
