@@ -329,10 +329,38 @@ def stage_topic(
     for i in todo:
         stage_batch(events, path, i, rule, n, k, topic, partitions, value_mode)
         staged.batches.append(i)
+        _wait_for_newer_mtime(spark, _batch_dir(path, i))
     verify_staging(spark, staged)
     return staged
 
 
+def _wait_for_newer_mtime(spark: SparkSession, folder: str) -> None:
+    """Make the next batch's files strictly newer than this batch's.
+
+    File systems with whole-second modification times (object stores) would
+    give two quickly written batches the same time, and the file source orders
+    by it; there, wait until the next second. Millisecond file systems need no
+    wait.
+    """
+    import time
+
+    stats = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .load(folder)
+        .agg(
+            F.max(F.unix_millis("modificationTime")).alias("last"),
+            F.max(F.unix_millis("modificationTime") % 1000).alias("frac"),
+        )
+        .first()
+    )
+    if stats["last"] is None or stats["frac"] != 0:
+        return
+    wait = (stats["last"] + 1000) / 1000.0 - time.time()
+    if wait > 0:
+        time.sleep(wait + 0.05)
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves the path only
