@@ -19,8 +19,10 @@ ADD = {"count": "target.count + source.count"}
 INSERT = {"item": "source.item", "count": "source.count"}
 
 
-def test_merge_update_insert_keep_and_history(spark):
-    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=4)
+@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
+def test_merge_update_insert_keep_and_history(spark, broadcast_rows):
+    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=4,
+                       broadcast_rows=broadcast_rows)
     assert t.merge(_counts(spark, [("a", 1), ("b", 2)]), ADD, INSERT, batch_id=0) == 0
     assert t.merge(_counts(spark, [("b", 5), ("c", 1), ("d", None)]), ADD, INSERT, batch_id=1) == 1
     assert sorted(tuple(r) for r in t.read().collect()) == [("a", 1), ("b", 7), ("c", 1), ("d", None)]
@@ -29,8 +31,10 @@ def test_merge_update_insert_keep_and_history(spark):
     assert (h[1].rows_inserted, h[1].rows_updated) == (2, 1)
 
 
-def test_merge_null_target_value_is_a_present_row(spark):
-    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=2)
+@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
+def test_merge_null_target_value_is_a_present_row(spark, broadcast_rows):
+    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=2,
+                       broadcast_rows=broadcast_rows)
     t.merge(_counts(spark, [("a", None)]), ADD, INSERT, batch_id=0)
     t.merge(_counts(spark, [("a", 3)]), {"count": "coalesce(target.count, 0) + source.count"}, INSERT, batch_id=1)
     assert [tuple(r) for r in t.read().collect()] == [("a", 3)]
@@ -50,8 +54,10 @@ def test_merge_duplicate_source_key_raises(spark):
         t.merge(_counts(spark, [("a", 1), ("a", 2)]), ADD, INSERT)
 
 
-def test_merge_rewrites_only_touched_buckets(spark):
-    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=16)
+@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
+def test_merge_rewrites_only_touched_buckets(spark, broadcast_rows):
+    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=16,
+                       broadcast_rows=broadcast_rows)
     t.merge(spark.range(200).select(F.col("id").cast("string").alias("item"), F.lit(1).cast("long").alias("count")),
             ADD, INSERT, batch_id=0)
     t.merge(_counts(spark, [("7", 1)]), ADD, INSERT, batch_id=1)
@@ -183,3 +189,27 @@ def test_checkpoint_pins_state_partitions_and_store(spark):
     for conf in confs.values():
         assert conf["spark.sql.shuffle.partitions"] == "3"
         assert conf["spark.sql.streaming.stateStore.providerClass"].endswith("HDFSBackedStateStoreProvider")
+
+
+def test_small_source_merge_does_not_shuffle_the_target(spark):
+    import contextlib
+    import io
+
+    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=4)
+    t.merge(_counts(spark, [("a", 1), ("b", 2)]), ADD, INSERT, batch_id=0)
+    buf = io.StringIO()
+    captured = {}
+    original = t._merge_small_source
+
+    def spy(*a, **k):
+        merged, cached = original(*a, **k)
+        captured["plan"] = merged
+        return merged, cached
+
+    t._merge_small_source = spy
+    t.merge(_counts(spark, [("b", 1), ("c", 1)]), ADD, INSERT, batch_id=1)
+    with contextlib.redirect_stdout(buf):
+        captured["plan"].explain()
+    plan = buf.getvalue()
+    assert "BroadcastHashJoin" in plan
+    assert "SortMergeJoin" not in plan

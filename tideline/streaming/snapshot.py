@@ -76,6 +76,7 @@ class VersionedTable:
         keys: Sequence[str] = (),
         buckets: int = 16,
         bucket_by: Column | None = None,
+        broadcast_rows: int = 1_000_000,
     ):
         """``keys`` identify a row for ``merge``. Rows are grouped into buckets by
         ``pmod(xxhash64(keys), buckets)``, or by ``bucket_by``: an INT expression
@@ -86,6 +87,7 @@ class VersionedTable:
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.bucket_by = bucket_by
+        self.broadcast_rows = broadcast_rows
         self.buckets = -1 if bucket_by is not None else (buckets if self.keys else 1)
         self._state: dict | None = None  # committed state, loaded once per writer
 
@@ -278,7 +280,7 @@ class VersionedTable:
                 src.groupBy(BUCKET, *self.keys)
                 .count()
                 .groupBy(BUCKET)
-                .agg(F.max("count").alias("most"))
+                .agg(F.max("count").alias("most"), F.sum("count").alias("rows"))
                 .collect()
             )
             if any(r["most"] > 1 for r in per_bucket):
@@ -286,11 +288,12 @@ class VersionedTable:
                     f"source has more than one row for a key of {self.keys}; merge is ambiguous"
                 )
             touched = sorted(r[BUCKET] for r in per_bucket)
-            return self._merge(src, touched, dict(update or {}), insert, batch_id, writer)
+            rows = sum(r["rows"] for r in per_bucket)
+            return self._merge(src, touched, rows, dict(update or {}), insert, batch_id, writer)
         finally:
             src.unpersist()
 
-    def _merge(self, src, touched, update, insert, batch_id, writer) -> int:
+    def _merge(self, src, touched, rows, update, insert, batch_id, writer) -> int:
         state = self._load()
         version = self._next_version()
         if state["schema"] is None:
@@ -301,24 +304,14 @@ class VersionedTable:
             schema = state["schema"]
         manifest = state["manifest"]
         target = self._read_buckets(schema, manifest, touched).withColumn(BUCKET, self._bucket_expr())
-        t = target.withColumn("__t", F.lit(True)).alias("target")
-        s = src.withColumn("__s", F.lit(True)).alias("source")
         cond = functools.reduce(
             lambda a, b: a & b, [F.col(f"target.`{k}`") == F.col(f"source.`{k}`") for k in self.keys]
         )
-        j = t.join(s, cond, "full_outer")
-        matched = F.col("target.__t").isNotNull() & F.col("source.__s").isNotNull()
-        inserted = F.col("target.__t").isNull()
-        out = []
-        for f in schema.fields:
-            keep = F.col(f"target.`{f.name}`")
-            upd = F.expr(update[f.name]) if f.name in update else keep
-            ins = F.expr(insert[f.name]) if insert and f.name in insert else F.lit(None)
-            out.append(F.when(matched, upd).when(inserted, ins).otherwise(keep).cast(f.dataType).alias(f.name))
-        out.append(F.coalesce(F.col(f"target.{BUCKET}"), F.col(f"source.{BUCKET}")).alias(BUCKET))
-        merged = j.select(*out, matched.alias("__m"), inserted.alias("__i"))
-        if insert is None:
-            merged = merged.where(~F.col("__i"))
+        cached = None
+        if rows <= self.broadcast_rows:
+            merged, cached = self._merge_small_source(target, src, cond, schema, update, insert)
+        else:
+            merged = self._merge_full_outer(target, src, cond, schema, update, insert)
         obs = Observation(f"tl_merge_{version}_{id(merged)}")
         observed = merged.observe(
             obs,
@@ -329,8 +322,74 @@ class VersionedTable:
         observed.drop("__m", "__i").write.mode("overwrite").partitionBy(BUCKET).parquet(
             self._v("data", version)
         )
+        if cached is not None:
+            cached.unpersist()
         new_manifest = dict(manifest)
         for b in touched:
             new_manifest[b] = version
         self._commit(version, "MERGE", writer, batch_id, new_manifest, schema, obs.get, len(touched))
         return version
+
+    @staticmethod
+    def _value(f, expr: str | None, fallback: Column) -> Column:
+        return (F.expr(expr) if expr is not None else fallback).cast(f.dataType).alias(f.name)
+
+    def _merge_full_outer(self, target, src, cond, schema, update, insert) -> DataFrame:
+        """Any source size: one full outer join (both sides shuffled on the keys)."""
+        t = target.withColumn("__t", F.lit(True)).alias("target")
+        s = src.withColumn("__s", F.lit(True)).alias("source")
+        j = t.join(s, cond, "full_outer")
+        matched = F.col("target.__t").isNotNull() & F.col("source.__s").isNotNull()
+        inserted = F.col("target.__t").isNull()
+        out = []
+        for f in schema.fields:
+            keep = F.col(f"target.`{f.name}`")
+            upd = F.expr(update[f.name]) if f.name in update else keep
+            ins = F.expr(insert[f.name]) if insert and f.name in insert else F.lit(None)
+            out.append(F.when(matched, upd).when(inserted, ins).otherwise(keep).cast(f.dataType).alias(f.name))
+        out.append(F.coalesce(F.col(f"target.{BUCKET}"), F.col(f"source.{BUCKET}")).alias(BUCKET))
+        merged = j.select(*out, matched.alias("__m"), inserted.alias("__i"))
+        if insert is None:
+            merged = merged.where(~F.col("__i"))
+        return merged
+
+    def _merge_small_source(self, target, src, cond, schema, update, insert):
+        """Source of at most ``broadcast_rows`` rows: the target is never shuffled.
+
+        Updated rows come from an inner join with the broadcast source, kept
+        target rows from an anti join against the broadcast source keys, and
+        inserted rows from the source minus the matched keys (both small).
+        """
+        t = target.alias("target")
+        s = src.alias("source")
+        keys = [F.col(f"source.`{k}`").alias(k) for k in self.keys]
+        updated = (
+            t.join(F.broadcast(s), cond, "inner")
+            .select(
+                *[
+                    self._value(f, update.get(f.name), F.col(f"target.`{f.name}`"))
+                    for f in schema.fields
+                ],
+                F.col(f"target.{BUCKET}").alias(BUCKET),
+                F.lit(True).alias("__m"),
+                F.lit(False).alias("__i"),
+            )
+            .persist()
+        )
+        kept = t.join(F.broadcast(s.select(*keys).alias("source")), cond, "left_anti").select(
+            *[F.col(f"target.`{f.name}`").alias(f.name) for f in schema.fields],
+            F.col(f"target.{BUCKET}").alias(BUCKET),
+            F.lit(False).alias("__m"),
+            F.lit(False).alias("__i"),
+        )
+        merged = kept.unionByName(updated)
+        if insert is not None:
+            matched_keys = updated.select(*[F.col(f"`{k}`") for k in self.keys]).alias("target")
+            new = s.join(F.broadcast(matched_keys), cond, "left_anti").select(
+                *[self._value(f, insert.get(f.name), F.lit(None)) for f in schema.fields],
+                F.col(f"source.{BUCKET}").alias(BUCKET),
+                F.lit(False).alias("__m"),
+                F.lit(True).alias("__i"),
+            )
+            merged = merged.unionByName(new)
+        return merged, updated
