@@ -22,7 +22,7 @@ INSERT = {"item": "source.item", "count": "source.count"}
 @pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
 def test_merge_update_insert_keep_and_history(spark, broadcast_rows):
     t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=4,
-                       broadcast_rows=broadcast_rows)
+                       broadcast_rows=broadcast_rows, shuffle_target_bytes=0)
     assert t.merge(_counts(spark, [("a", 1), ("b", 2)]), ADD, INSERT, batch_id=0) == 0
     assert t.merge(_counts(spark, [("b", 5), ("c", 1), ("d", None)]), ADD, INSERT, batch_id=1) == 1
     assert sorted(tuple(r) for r in t.read().collect()) == [("a", 1), ("b", 7), ("c", 1), ("d", None)]
@@ -34,7 +34,7 @@ def test_merge_update_insert_keep_and_history(spark, broadcast_rows):
 @pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
 def test_merge_null_target_value_is_a_present_row(spark, broadcast_rows):
     t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=2,
-                       broadcast_rows=broadcast_rows)
+                       broadcast_rows=broadcast_rows, shuffle_target_bytes=0)
     t.merge(_counts(spark, [("a", None)]), ADD, INSERT, batch_id=0)
     t.merge(_counts(spark, [("a", 3)]), {"count": "coalesce(target.count, 0) + source.count"}, INSERT, batch_id=1)
     assert [tuple(r) for r in t.read().collect()] == [("a", 3)]
@@ -57,7 +57,7 @@ def test_merge_duplicate_source_key_raises(spark):
 @pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
 def test_merge_rewrites_only_touched_buckets(spark, broadcast_rows):
     t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=16,
-                       broadcast_rows=broadcast_rows)
+                       broadcast_rows=broadcast_rows, shuffle_target_bytes=0)
     t.merge(spark.range(200).select(F.col("id").cast("string").alias("item"), F.lit(1).cast("long").alias("count")),
             ADD, INSERT, batch_id=0)
     t.merge(_counts(spark, [("7", 1)]), ADD, INSERT, batch_id=1)
@@ -195,7 +195,8 @@ def test_small_source_merge_does_not_shuffle_the_target(spark):
     import contextlib
     import io
 
-    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=4)
+    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=4,
+                       shuffle_target_bytes=0)
     t.merge(_counts(spark, [("a", 1), ("b", 2)]), ADD, INSERT, batch_id=0)
     buf = io.StringIO()
     captured = {}

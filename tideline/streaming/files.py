@@ -43,6 +43,17 @@ def list_names(path: str) -> list[str]:
     return [i.base_name for i in infos]
 
 
+def tree_bytes(path: str) -> int:
+    """Total size of the files under ``path`` (0 if it does not exist)."""
+    from pyarrow import fs
+
+    filesystem, inner = arrow_target(path)
+    if filesystem.get_file_info(inner).type == fs.FileType.NotFound:
+        return 0
+    infos = filesystem.get_file_info(fs.FileSelector(inner, recursive=True))
+    return sum(i.size or 0 for i in infos if i.type == fs.FileType.File)
+
+
 def write_record(folder: str, rows: list[dict], spark_schema) -> None:
     """Write ``rows`` as one Parquet file in ``folder``; visible only once complete.
 

@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from tideline.streaming.files import exists, list_names, write_record
+from tideline.streaming.files import exists, list_names, tree_bytes, write_record
 
 BUCKET = "tl_bucket"
 COMPACT_EVERY = 50
@@ -77,6 +77,7 @@ class VersionedTable:
         buckets: int = 16,
         bucket_by: Column | None = None,
         broadcast_rows: int = 1_000_000,
+        shuffle_target_bytes: int = 256 << 20,
     ):
         """``keys`` identify a row for ``merge``. Rows are grouped into buckets by
         ``pmod(xxhash64(keys), buckets)``, or by ``bucket_by``: an INT expression
@@ -88,6 +89,7 @@ class VersionedTable:
         self.keys = list(keys)
         self.bucket_by = bucket_by
         self.broadcast_rows = broadcast_rows
+        self.shuffle_target_bytes = shuffle_target_bytes
         self.buckets = -1 if bucket_by is not None else (buckets if self.keys else 1)
         self._state: dict | None = None  # committed state, loaded once per writer
 
@@ -308,7 +310,7 @@ class VersionedTable:
             lambda a, b: a & b, [F.col(f"target.`{k}`") == F.col(f"source.`{k}`") for k in self.keys]
         )
         cached = None
-        if rows <= self.broadcast_rows:
+        if rows <= self.broadcast_rows and self._touched_bytes(manifest, touched) > self.shuffle_target_bytes:
             merged, cached = self._merge_small_source(target, src, cond, schema, update, insert)
         else:
             merged = self._merge_full_outer(target, src, cond, schema, update, insert)
@@ -330,12 +332,20 @@ class VersionedTable:
         self._commit(version, "MERGE", writer, batch_id, new_manifest, schema, obs.get, len(touched))
         return version
 
+    def _touched_bytes(self, manifest: Mapping[int, int], touched) -> int:
+        """On-disk size of the touched buckets (a metadata listing)."""
+        return sum(
+            tree_bytes(f"{self._v('data', manifest[b])}/{BUCKET}={b}") for b in touched if b in manifest
+        )
+
     @staticmethod
     def _value(f, expr: str | None, fallback: Column) -> Column:
         return (F.expr(expr) if expr is not None else fallback).cast(f.dataType).alias(f.name)
 
     def _merge_full_outer(self, target, src, cond, schema, update, insert) -> DataFrame:
-        """Any source size: one full outer join (both sides shuffled on the keys)."""
+        """One full outer join, both sides shuffled on the keys: for large
+        batches, and for small touched targets (shuffling them is cheaper than
+        the extra passes of the broadcast plan)."""
         t = target.withColumn("__t", F.lit(True)).alias("target")
         s = src.withColumn("__s", F.lit(True)).alias("source")
         j = t.join(s, cond, "full_outer")
@@ -354,7 +364,8 @@ class VersionedTable:
         return merged
 
     def _merge_small_source(self, target, src, cond, schema, update, insert):
-        """Source of at most ``broadcast_rows`` rows: the target is never shuffled.
+        """Source of at most ``broadcast_rows`` rows against touched buckets over
+        ``shuffle_target_bytes``: the target is never shuffled.
 
         Updated rows come from an inner join with the broadcast source, kept
         target rows from an anti join against the broadcast source keys, and
