@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.functions import decode, to_kv_json
+from tideline.functions import decode, parse_json, to_kv_json
 from tideline.operators import (
     count_by,
     dedup,
@@ -31,6 +31,7 @@ from tideline.plans.common import (
     run_complete,
     run_to_changelog,
     run_to_parquet,
+    staged,
     state_partitions,
     stream_transactions,
 )
@@ -40,11 +41,13 @@ from tideline.sources.replay import (
     DEFAULT_TOPIC,
     EVEN,
     LATE,
+    MESSAGE_DDL,
     latest_offsets,
     read_replay,
     stage_topic,
 )
 from tideline.streaming import (
+    ChangelogWriter,
     RowFileWriter,
     TopicWriter,
     Trigger,
@@ -78,8 +81,6 @@ def kafka_envelope_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _raw(spark: SparkSession, sf: str, starting: str = "earliest", checkpoint: str | None = None):
-    from tideline.plans.common import staged
-
     st = staged(spark, sf)
     return read_replay(spark, st, starting, checkpoint, subscribe=DEFAULT_TOPIC + " "), st
 
@@ -92,10 +93,6 @@ def decode_kv(spark: SparkSession, sf: str) -> DataFrame:
 
 def decode_messages(spark: SparkSession, sf: str) -> DataFrame:
     """OP-07 with keys: keyed sample messages decoded and parsed (key, id, message)."""
-    from tideline.functions import parse_json
-    from tideline.plans.common import staged
-    from tideline.sources.replay import MESSAGE_DDL
-
     st = staged(spark, sf, EVEN, "messages")
     raw = read_replay(spark, st, subscribe=DEFAULT_TOPIC)
     parsed = parse_json(decode(raw, key=True), MESSAGE_DDL, keep=["key"])
@@ -230,15 +227,11 @@ def checkpoint_resume(spark: SparkSession, sf: str) -> DataFrame:
     ev = events(spark, sf)
     n = ev.count()
     path, ck, out = (scratch_path(spark, k) for k in ("stage", "checkpoint", "out"))
-    from tideline.streaming import ChangelogWriter
-
     parts = None
     for batches in (range(0, 2), range(2, 4)):
         st = stage_topic(spark, ev, path, EVEN, batches=batches, n=n)
         parts = parts or state_partitions(spark, st)
         parsed = decode(read_replay(spark, st, subscribe=DEFAULT_TOPIC), key=False)
-        from tideline.functions import parse_json
-
         counts = count_by(parse_json(parsed).select("item"), "item")
         run(counts, "foreach_batch", "complete", target=ChangelogWriter(out), checkpoint=ck,
             shuffle_partitions=parts)
