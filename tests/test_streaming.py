@@ -269,3 +269,20 @@ def test_complete_mode_keeps_windows_behind_the_watermark(spark):
     batch = window_agg(event_time(batch_transactions(spark, SF_SMALL)), "timestamp", "1 hour",
                        keys=["item"], aggs=aggs, ntz=True)
     assert _sorted(spark.table("complete_wm")) == _sorted(batch)
+
+
+def test_watermark_evicts_closed_windows_from_state(spark):
+    from tideline.streaming import progress_frame
+
+    parsed, _ = _stream(spark)
+    timed = with_watermark(event_time(parsed), "timestamp", "10 minutes")
+    df = window_agg(timed, "timestamp", "1 hour", keys=["item"],
+                    aggs=[F.count("item").alias("item_count")], ntz=True)
+    out = scratch_path(spark, "out")
+    q = run(df, "parquet", "append", path=out, checkpoint=scratch_path(spark, "ck"))
+    emitted = spark.read.parquet(out).count()
+    prog = progress_frame(spark, q).orderBy("batch_id").collect()
+    # After the closing batch only windows ending after the final watermark remain.
+    assert prog[-1].num_input_rows == 0
+    assert prog[-1].state_rows < 20 < emitted
+    assert max(p.state_rows for p in prog) < emitted
