@@ -214,3 +214,23 @@ def test_small_source_merge_does_not_shuffle_the_target(spark):
     plan = buf.getvalue()
     assert "BroadcastHashJoin" in plan
     assert "SortMergeJoin" not in plan
+
+
+def test_full_outer_merge_writes_one_file_per_bucket_and_casts_keys(spark):
+    from tideline.streaming.files import list_names
+
+    path = scratch_path(spark, "table")
+    t = VersionedTable(spark, path, keys=["k"], buckets=8, broadcast_rows=0)
+    base = spark.range(2000).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("count"))
+    t.merge(base, {"count": "target.count + source.count"}, {"k": "source.k", "count": "source.count"}, batch_id=0)
+    # the second batch carries INT keys: they must land in the same buckets as the BIGINT ones
+    more = spark.range(1990, 2010).select(F.col("id").cast("int").alias("k"), F.lit(1).cast("long").alias("count"))
+    t.merge(more, {"count": "target.count + source.count"}, {"k": "source.k", "count": "source.count"}, batch_id=1)
+    got = t.read()
+    assert got.count() == 2010
+    assert got.where("k between 1990 and 1999").agg(F.min("count")).first()[0] == 2
+    for version in ("v-00000000", "v-00000001"):
+        for bucket in list_names(f"{path}/data/{version}"):
+            if bucket.startswith("tl_bucket="):
+                files = [n for n in list_names(f"{path}/data/{version}/{bucket}") if n.endswith(".parquet")]
+                assert len(files) == 1, (version, bucket, files)

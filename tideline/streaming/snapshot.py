@@ -13,7 +13,10 @@ Layout under the table path::
                                                      (manifest kept on the newest only),
                                                      written every COMPACT_EVERY versions
 
-Rows are spread over ``buckets`` buckets by ``pmod(xxhash64(keys), buckets)``.
+Rows are spread over ``buckets`` buckets by ``pmod(hash(keys), buckets)``, which
+is Spark's own hash partitioning: when a merge shuffles both sides on the keys
+into ``buckets`` partitions, each task holds exactly one bucket and writes one
+file for it.
 A merge reads and rewrites only the buckets its source batch touches; the
 manifest (bucket -> version that last wrote it; bounded by the bucket count, or
 by the number of distinct ``bucket_by`` values, such as days)
@@ -80,7 +83,7 @@ class VersionedTable:
         shuffle_target_bytes: int = 256 << 20,
     ):
         """``keys`` identify a row for ``merge``. Rows are grouped into buckets by
-        ``pmod(xxhash64(keys), buckets)``, or by ``bucket_by``: an INT expression
+        ``pmod(hash(keys), buckets)``, or by ``bucket_by``: an INT expression
         over the key columns, e.g. the day of a window start, so that a batch of
         recent windows touches recent buckets only.
         """
@@ -180,7 +183,8 @@ class VersionedTable:
             return F.coalesce(self.bucket_by.cast("int"), F.lit(-1))
         if not self.keys:
             return F.lit(0)
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+        # Same expression as HashPartitioning(keys, buckets).partitionIdExpression.
+        return F.pmod(F.hash(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
     def _commit(
         self,
@@ -274,6 +278,12 @@ class VersionedTable:
             raise ValueError("merge needs a keyed table")
         if self._applied(writer, batch_id):
             return None
+        schema = self._load()["schema"]
+        if schema is not None:
+            # A key must hash the same on both sides: use the table's key types.
+            source = source.withColumns(
+                {k: F.col(k).cast(schema[k].dataType) for k in self.keys if k in schema.fieldNames()}
+            )
         src = source.withColumn(BUCKET, self._bucket_expr()).persist()
         try:
             # One aggregate answers both questions: which buckets the batch
@@ -345,7 +355,16 @@ class VersionedTable:
     def _merge_full_outer(self, target, src, cond, schema, update, insert) -> DataFrame:
         """One full outer join, both sides shuffled on the keys: for large
         batches, and for small touched targets (shuffling them is cheaper than
-        the extra passes of the broadcast plan)."""
+        the extra passes of the broadcast plan).
+
+        With hash buckets both sides are shuffled into exactly ``buckets``
+        partitions by the keys, so join task i holds bucket i: one output file
+        per bucket, and the join needs no other exchange.
+        """
+        if self.bucket_by is None:
+            cols = [F.col(f"`{k}`") for k in self.keys]
+            target = target.repartition(self.buckets, *cols)
+            src = src.repartition(self.buckets, *cols)
         t = target.withColumn("__t", F.lit(True)).alias("target")
         s = src.withColumn("__s", F.lit(True)).alias("source")
         j = t.join(s, cond, "full_outer")
