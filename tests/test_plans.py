@@ -45,3 +45,23 @@ def test_batch_dedup_aggregates_before_the_shuffle(spark):
     plan = _plan(df)
     assert "partial_min_by" in plan
     assert plan.index("partial_min_by") > plan.index("Exchange")  # partial side is below the exchange
+
+
+def test_streaming_window_count_aggregates_partially_before_the_state_store(spark):
+    from tideline.operators import window_agg, with_watermark
+    from tideline.plans.common import stream_transactions
+    from tideline.session import scratch_path
+    from tideline.streaming import run
+
+    parsed, _ = stream_transactions(spark, SF_SMALL, keep=())
+    timed = with_watermark(event_time(parsed), "timestamp", "10 minutes")
+    df = window_agg(timed, "timestamp", "1 hour", keys=["item"],
+                    aggs=[F.count("item").alias("item_count")], ntz=True)
+    q = run(df, "parquet", "append", path=scratch_path(spark, "out"), checkpoint=scratch_path(spark, "ck"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    plan = buf.getvalue()
+    assert "StateStoreSave" in plan and "StateStoreRestore" in plan
+    assert "REQUIRED_BY_STATEFUL_OPERATOR" in plan
+    assert plan.index("partial_count") > plan.index("Exchange")
