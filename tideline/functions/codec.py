@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import StructType
 
 # Fixed value: the transaction record declared by the original workload.
 TRANSACTION_DDL = "timestamp DOUBLE, user_id INT, item STRING, quantity INT"
@@ -33,9 +33,7 @@ def decode(df: DataFrame, key: bool = True, keep: Sequence[str] = ()) -> DataFra
 def _schema(ddl: str | StructType) -> StructType:
     if isinstance(ddl, StructType):
         return ddl
-    parsed = _parse_datatype_string(ddl)
-    assert isinstance(parsed, StructType)
-    return parsed
+    return StructType.fromDDL(ddl)
 
 
 def parse_json(

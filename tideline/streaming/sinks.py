@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import StructType
 
 from tideline.streaming.files import arrow_target, exists, list_names
 
@@ -127,7 +127,7 @@ class RowFileWriter:
 
     def __init__(self, path: str, schema: str | StructType, chunk_rows: int = 50_000):
         self.path = path.rstrip("/")
-        st = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
+        st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
         self.schema_json = st.json()
         self.columns = st.fieldNames()
         self.chunk_rows = chunk_rows

@@ -47,7 +47,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import StructType
 
 from tideline.streaming.files import exists, list_names, tree_bytes, write_record
 
@@ -64,7 +64,7 @@ HISTORY_DDL = (
 
 @functools.cache
 def _history_schema() -> StructType:
-    return _parse_datatype_string(HISTORY_DDL)
+    return StructType.fromDDL(HISTORY_DDL)
 
 
 class DuplicateSourceKeyError(ValueError):
