@@ -399,7 +399,8 @@ def window_table(df: DataFrame, st, name: str) -> DataFrame:
     insert = {c: f"source.`{c}`" for c in df.columns}
 
     def apply(batch_df: DataFrame, batch_id: int) -> None:
-        table.merge(batch_df, update, insert, batch_id=batch_id, writer=name)
+        # Rows of a grouped aggregate: one per window and item.
+        table.merge(batch_df, update, insert, batch_id=batch_id, writer=name, unique_source=True)
 
     run(df, "foreach_batch", "update", target=apply, checkpoint=scratch_path(spark, "checkpoint"),
         shuffle_partitions=state_partitions(spark, st))

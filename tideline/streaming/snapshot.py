@@ -263,6 +263,7 @@ class VersionedTable:
         insert: Mapping[str, str] | None = None,
         batch_id: int | None = None,
         writer: str | None = None,
+        unique_source: bool = False,
     ) -> int | None:
         """Upsert ``source`` on the table keys.
 
@@ -273,6 +274,8 @@ class VersionedTable:
         are kept. Keys match by equality (a NULL key never matches). Two source
         rows with one key raise ``DuplicateSourceKeyError``. With ``batch_id``
         (and ``writer``) the call is idempotent: a committed batch is skipped.
+        ``unique_source=True`` states that the source keys are unique (e.g. the
+        output of a ``groupBy`` on them) and skips the duplicate check.
         """
         if not self.keys:
             raise ValueError("merge needs a keyed table")
@@ -288,13 +291,20 @@ class VersionedTable:
         try:
             # One aggregate answers both questions: which buckets the batch
             # touches (bounded by the bucket count) and whether a key repeats.
-            per_bucket = (
-                src.groupBy(BUCKET, *self.keys)
-                .count()
-                .groupBy(BUCKET)
-                .agg(F.max("count").alias("most"), F.sum("count").alias("rows"))
-                .collect()
-            )
+            if unique_source:
+                per_bucket = (
+                    src.groupBy(BUCKET)
+                    .agg(F.lit(1).alias("most"), F.count(F.lit(1)).alias("rows"))
+                    .collect()
+                )
+            else:
+                per_bucket = (
+                    src.groupBy(BUCKET, *self.keys)
+                    .count()
+                    .groupBy(BUCKET)
+                    .agg(F.max("count").alias("most"), F.sum("count").alias("rows"))
+                    .collect()
+                )
             if any(r["most"] > 1 for r in per_bucket):
                 raise DuplicateSourceKeyError(
                     f"source has more than one row for a key of {self.keys}; merge is ambiguous"
