@@ -63,6 +63,12 @@ def test_two_triggers_are_rejected():
         Trigger(available_now=True, processing_time="1 second")
 
 
+def test_run_refuses_to_drain_a_continuous_query(spark):
+    rate = spark.readStream.format("rate").load()
+    with pytest.raises(ValueError, match="continuous"):
+        run(rate, "noop", "append", trigger=Trigger(continuous="1 second"))
+
+
 def test_continuous_trigger_runs_map_only_and_refuses_aggregates(spark):
     # Continuous tasks hold one core each for their lifetime: leave cores free.
     rate = spark.readStream.format("rate").option("rowsPerSecond", 50).option("numPartitions", 2).load()

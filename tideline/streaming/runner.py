@@ -165,6 +165,8 @@ def run(
     partitions) are set for the run; both are frozen into a checkpoint by its
     first batch, so on a restart the stored values win.
     """
+    if trigger.continuous is not None:
+        raise ValueError("a continuous query never drains; use start() and stop() it")
     spark = df.sparkSession
     previous: dict[str, str | None] = {}
     conf: dict[str, str] = {}
