@@ -3,7 +3,7 @@
 The replayed topic's records are derived from ``events`` by fixed rules, so
 each streaming result has a batch SQL equivalent: event time is ``ts``
 truncated to the second, ``item`` is ``event_type``, ``quantity`` is
-``floor(value)``; micro-batch ``b`` is ``least(3, event_id*4 // N)`` (late
+``floor(value)``; micro-batch ``b`` is ``clamp(event_id*4 // N, 0, 3)`` (late
 fixture: plus 1 or 2 batches for ids with residue 7 or 8 modulo 50).
 """
 

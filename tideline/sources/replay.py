@@ -35,7 +35,7 @@ DEFAULT_PARTITIONS = 3
 
 @dataclass(frozen=True)
 class BatchRule:
-    """Assigns each event to a micro-batch: ``least(B-1, (id*B) div N + shift)``.
+    """Assigns each event to a micro-batch: ``clamp((id*B) div N + shift, 0, B-1)``.
 
     ``shifts`` maps ``id % modulus`` residues to a delay in batches (late rows).
     """
@@ -55,7 +55,7 @@ class BatchRule:
         if self.shifts:
             cases = " ".join(f"WHEN {r} THEN {s}" for r, s in self.shifts)
             base = f"{base} + CASE {self.id_column} % {self.modulus} {cases} ELSE 0 END"
-        return f"least({self.batches - 1}, {base})"
+        return f"greatest(0, least({self.batches - 1}, {base}))"
 
     def column(self, n: int) -> Column:
         base = F.expr(f"({self.id_column} * {self.batches}) div {n}")
@@ -65,12 +65,12 @@ class BatchRule:
             for r, s in reversed(self.shifts):
                 shift = F.when(residue == r, F.lit(s)).otherwise(shift)
             base = base + shift
-        return F.least(F.lit(self.batches - 1).cast("long"), base.cast("long"))
+        return F.greatest(F.lit(0).cast("long"), F.least(F.lit(self.batches - 1).cast("long"), base.cast("long")))
 
-    def id_range(self, batch: int, n: int) -> tuple[int, int | None]:
-        """[lo, hi) of ids that can land in ``batch`` (hi None = unbounded)."""
+    def id_range(self, batch: int, n: int) -> tuple[int | None, int | None]:
+        """[lo, hi) of ids that can land in ``batch`` (None = unbounded)."""
         first = max(0, batch - self.max_shift)
-        lo = -(-first * n // self.batches)
+        lo = None if first == 0 else -(-first * n // self.batches)
         hi = None if batch >= self.batches - 1 else -(-(batch + 1) * n // self.batches)
         return lo, hi
 
@@ -240,7 +240,11 @@ def stage_batch(
     """Write one micro-batch folder of exactly ``files_per_batch`` files."""
     lo, hi = rule.id_range(batch, n)
     idc = F.col(rule.id_column)
-    src = events.where(idc >= lo) if hi is None else events.where((idc >= lo) & (idc < hi))
+    src = events
+    if lo is not None:
+        src = src.where(idc >= lo)
+    if hi is not None:
+        src = src.where(idc < hi)
     src = src.where(rule.column(n) == batch)
     env = envelope_from_events(src, topic, partitions, value_mode)
     # Round-robin gives every file the same share of the batch.
