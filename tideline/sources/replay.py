@@ -288,22 +288,15 @@ def verify_staging(spark: SparkSession, staged: StagedTopic) -> None:
         previous_last = row["last"]
 
 
-# Target size of one staged file; a batch is written as this many equal files.
-_BYTES_PER_STAGED_FILE = 128 << 20
-
-
-def source_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """On-disk size of a table's files (a metadata-only listing)."""
-    if not paths:
-        return 0
-    return int(spark.read.format("binaryFile").load(paths).agg(F.sum("length")).first()[0] or 0)
-
-
 def files_per_batch_for(spark: SparkSession, events: DataFrame, batches: int) -> int:
-    """Files per staged batch: ~128 MB each, at least the default parallelism."""
-    size = source_bytes(spark, events.inputFiles())
-    wanted = -(-size // (batches * _BYTES_PER_STAGED_FILE))
-    return max(spark.sparkContext.defaultParallelism, wanted)
+    """Files per staged batch: about one per scan split of the source
+    (``spark.sql.files.maxPartitionBytes`` each), at least the default parallelism.
+
+    The split count comes from Spark's own planning of the scan (file sizes are
+    already known to it); no file list is shipped to Python.
+    """
+    splits = events.rdd.getNumPartitions()
+    return max(spark.sparkContext.defaultParallelism, -(-splits // batches))
 
 
 def stage_topic(
