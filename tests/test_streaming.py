@@ -292,3 +292,19 @@ def test_watermark_evicts_closed_windows_from_state(spark):
     assert prog[-1].num_input_rows == 0
     assert prog[-1].state_rows < 20 < emitted
     assert max(p.state_rows for p in prog) < emitted
+
+
+def test_late_rows_are_reported_as_dropped_by_the_watermark(spark):
+    from tideline.sources.replay import LATE
+    from tideline.streaming import progress_frame
+
+    def dropped(rule):
+        parsed, _ = _stream(spark, rule)
+        timed = with_watermark(event_time(parsed), "timestamp", "10 minutes")
+        df = window_agg(timed, "timestamp", "1 hour", keys=["item"],
+                        aggs=[F.count("item").alias("item_count")], ntz=True)
+        q = run(df, "parquet", "append", path=scratch_path(spark, "out"), checkpoint=scratch_path(spark, "ck"))
+        return progress_frame(spark, q).agg(F.sum("state_rows_dropped_by_watermark")).first()[0]
+
+    assert dropped(EVEN) == 0
+    assert dropped(LATE) > 0
