@@ -234,3 +234,20 @@ def test_full_outer_merge_writes_one_file_per_bucket_and_casts_keys(spark):
             if bucket.startswith("tl_bucket="):
                 files = [n for n in list_names(f"{path}/data/{version}/{bucket}") if n.endswith(".parquet")]
                 assert len(files) == 1, (version, bucket, files)
+
+
+def test_foreach_row_writer_flushes_in_bounded_chunks(spark):
+    from tideline.plans.common import stream_transactions
+    from tideline.streaming import RowFileWriter
+    from tideline.streaming.files import list_names
+    from tideline.streaming.sinks import read_rows
+
+    parsed, _ = stream_transactions(spark, SF_SMALL)
+    out = scratch_path(spark, "rows")
+    ddl = "offset BIGINT, item STRING"
+    run(parsed.select("offset", "item"), "foreach", "append", target=RowFileWriter(out, ddl, chunk_rows=20),
+        checkpoint=scratch_path(spark, "ck"))
+    back = read_rows(spark, out, ddl)
+    assert back.count() == 1000 and back.select("offset").distinct().count() == 1000
+    files = [n for e in list_names(out) for n in list_names(f"{out}/{e}") if n.endswith(".parquet")]
+    assert len(files) >= 1000 // 20
