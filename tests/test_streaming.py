@@ -308,3 +308,18 @@ def test_late_rows_are_reported_as_dropped_by_the_watermark(spark):
 
     assert dropped(EVEN) == 0
     assert dropped(LATE) > 0
+
+
+def test_resume_reads_only_new_input(spark):
+    from tideline.sources.replay import EVEN
+
+    ev = _events(spark)
+    path, ck = scratch_path(spark, "stage"), scratch_path(spark, "ck")
+    out = scratch_path(spark, "out")
+    inputs = []
+    for batches in (range(0, 2), range(2, 4)):
+        st = stage_topic(spark, ev, path, EVEN, batches=batches, n=1000, files_per_batch=2)
+        counts = count_by(parse_json(decode(read_replay(spark, st), key=False)), "item")
+        q = run(counts, "foreach_batch", "complete", target=ChangelogWriter(out), checkpoint=ck)
+        inputs.append(sum(p["numInputRows"] for p in q.recentProgress))
+    assert inputs == [500, 500]
