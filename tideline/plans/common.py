@@ -38,6 +38,7 @@ def staged(
     spark: SparkSession, sf_dir: str, rule: BatchRule = EVEN, value_mode: str = "clean"
 ) -> StagedTopic:
     """Stage ``events`` as a replay topic once per session and rule."""
+    pin_utc(spark)
     key = (id(spark.sparkContext), sf_dir, rule, value_mode)
     if key not in _STAGED:
         _STAGED[key] = stage_topic(
