@@ -29,3 +29,13 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_reason():
     missing = set(QUERIES) - set(ORACLES)
     assert missing == {"approx_users_stream", "dedup_watermark"}
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark, duck_small):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = QUERIES["event_time"](spark, SF_SMALL)
+        ok, msg = compare(df, duck_small, ORACLES["event_time"])
+        assert ok, msg
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
