@@ -251,3 +251,16 @@ def test_foreach_row_writer_flushes_in_bounded_chunks(spark):
     assert back.count() == 1000 and back.select("offset").distinct().count() == 1000
     files = [n for e in list_names(out) for n in list_names(f"{out}/{e}") if n.endswith(".parquet")]
     assert len(files) >= 1000 // 20
+
+
+def test_kafka_sink_needs_connector(spark):
+    from tideline.functions import to_kv_json
+    from tideline.plans.common import stream_transactions
+    from tideline.streaming import start
+
+    parsed, _ = stream_transactions(spark, SF_SMALL, keep=())
+    records = to_kv_json(parsed, "item", ["item", "quantity"])
+    with pytest.raises(Exception, match="(?i)kafka"):
+        q = start(records, "kafka", "append", checkpoint=scratch_path(spark, "ck"),
+                  options=kafka_sink_options("localhost:1", "out"))
+        q.stop()
