@@ -323,3 +323,13 @@ def test_resume_reads_only_new_input(spark):
         q = run(counts, "foreach_batch", "complete", target=ChangelogWriter(out), checkpoint=ck)
         inputs.append(sum(p["numInputRows"] for p in q.recentProgress))
     assert inputs == [500, 500]
+
+
+def test_memory_complete_resume_without_new_data_is_empty(spark):
+    parsed, _ = _stream(spark)
+    ck = scratch_path(spark, "ck")
+    run(count_by(parsed, "item"), "memory", "complete", name="mem_complete_a", checkpoint=ck)
+    assert spark.table("mem_complete_a").count() == 5
+    # Same checkpoint, no new files: no batch runs, so the new memory table stays empty.
+    run(count_by(parsed, "item"), "memory", "complete", name="mem_complete_b", checkpoint=ck)
+    assert spark.table("mem_complete_b").count() == 0
