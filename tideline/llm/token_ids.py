@@ -393,7 +393,7 @@ def write_ids(
     else:
         dealt = dealt.withColumn("s", F.lit(0.0))
     entries = staged(
-        dealt.select(F.col("s").cast("int").alias("shard"), "doc_id", "text")
+        dealt.select(F.coalesce("s", F.lit(len(edges) + 1.0)).cast("int").alias("shard"), "doc_id", "text")
         .repartitionById(len(edges) + 2, F.col("shard"))
         .sortWithinPartitions("shard", F.asc_nulls_last("doc_id"))
         .mapInArrow(_write_shards(folder, tokenizer, special_as_text, end_id), ENTRY),
