@@ -14,6 +14,7 @@ shared mounts, HDFS, object stores).
 from __future__ import annotations
 
 import io
+import os
 import re
 import uuid
 import zlib
@@ -42,7 +43,7 @@ _PLAIN = re.compile(rf" [^{_WS}]+")
 _OTHER_SPACE = re.compile(rf"[^\S{_WS}]")
 _EDGE = re.compile(rf"[^{_WS}](?=[{_WS}])")
 _SLICE = 1 << 20
-_JOINED = 20_000
+_JOINED = 2_000
 _KEPT = 800_000
 _LOADED: dict = {}  # (path, special_as_text) -> Encoder
 
@@ -56,6 +57,7 @@ class Encoder:
     """
 
     def __init__(self, path: str, special_as_text: bool):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -66,7 +68,7 @@ class Encoder:
         self.opens = np.zeros(max(vocab.values()) + 1, bool)  # ids that begin with a space
         for piece, i in vocab.items():
             self.opens[i] = piece.startswith("Ġ")
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes | None] = {}  # None: white space outside ASCII
 
     def _direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -75,18 +77,28 @@ class Encoder:
         if len(self.known) > _KEPT:
             self.known.clear()
         new = [s for s in segments if s not in self.known]
-        plain = [s for s in new if _PLAIN.fullmatch(s)]
+        plain = [s for s in new if s[0] == " " and _PLAIN.fullmatch(s)]
         for at in range(0, len(plain), _JOINED):
             some = plain[at : at + _JOINED]
-            ids = np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, self.kind)
+            made = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0]
+            ids = np.array(made.ids, self.kind)
             first = np.flatnonzero(self.opens[ids])
             if len(first) == len(some):
                 raw, ends = ids.tobytes(), np.append(first, len(ids)) * self.width
                 self.known.update(zip(some, map(raw.__getitem__, map(slice, ends[:-1].tolist(), ends[1:].tolist())), strict=True))
         for s in new:
-            if s not in self.known:
+            if _OTHER_SPACE.search(s):
+                self.known[s] = None
+            elif s not in self.known:
                 self.known[s] = self._direct(s)
 
+    def _joined(self, segments: list[str]) -> bytes | None:
+        """The ids of known segments in a row; None if one has white space outside ASCII."""
+        try:
+            return b"".join(map(self.known.__getitem__, segments))
+        except TypeError:
+            return None
+
     def _slices(self, text: str) -> Iterator[str]:
         at = 0
         while len(text) - at > _SLICE:
@@ -103,19 +115,21 @@ class Encoder:
             if sum(map(len, some)) > 4 * _SLICE:
                 yield from map(self._long, some)
                 continue
-            cut = [None if _OTHER_SPACE.search(t) else _SEGMENT.findall(t) for t in some]
-            self._learn(set().union(*(c for c in cut if c is not None)))
+            cut = list(map(_SEGMENT.findall, some))
+            self._learn(set().union(*cut))
             for t, c in zip(some, cut, strict=True):
-                yield self._direct(t) if c is None else b"".join(map(self.known.__getitem__, c))
+                ids = self._joined(c)
+                yield self._direct(t) if ids is None else ids
 
     def _long(self, text: str) -> bytes:
-        if _OTHER_SPACE.search(text):
-            return self._direct(text)
         out = []
         for piece in self._slices(text):
             cut = _SEGMENT.findall(piece)
             self._learn(set(cut))
-            out.append(b"".join(map(self.known.__getitem__, cut)))
+            ids = self._joined(cut)
+            if ids is None:
+                return self._direct(text)
+            out.append(ids)
         return b"".join(out)
 
 
