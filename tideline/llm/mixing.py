@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, fresh, staged, text_of
+from .common import col, fresh, once, staged, text_of
 
 #: Domains of the labelled table and the share of all tokens that each is to have.
 TARGETS = {"good": 0.90, "poor": 0.08, "toxic": 0.02}
@@ -48,28 +48,26 @@ def _features(text: Column, buckets: int) -> Column:
     return F.transform(F.array(F.split(F.lower(text), BREAKS)), of)[0]
 
 
-def _numbers(values: tuple[float, ...]) -> Column:
-    """A constant array, made at once."""
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
-
-
 @dataclass(frozen=True)
 class DomainModel:
-    """Log odds of each domain against the first, by feature: domains x (buckets + 2 SHARES) numbers."""
+    """Log odds of each domain against the first for the few features that tell them apart."""
 
     domains: tuple[str, ...]
     prior: tuple[float, ...]
-    weights: tuple[tuple[float, ...], ...]  # [domain - 1][slot - 1]
+    weights: dict[int, tuple[float, ...]]  # by slot, for the domains after the first
     buckets: int
 
     def scored(self, text: Column) -> Column:
         """Struct of n (words of the text) and p (posteriors in the order of ``domains``, of sum 1)."""
-        tables = [_numbers(w) for w in self.weights]
         after = range(1, len(self.domains))
         zero = F.struct(*[F.lit(self.prior[i]).alias(f"d{i}") for i in after], F.lit(0.0).alias("d0"))
+        known = F.array(*[F.lit(s).cast("long") for s in self.weights]) if self.weights else F.array().cast("array<long>")
+        tables = [
+            F.create_map(*[x for s, w in self.weights.items() for x in (F.lit(s).cast("long"), F.lit(w[i - 1]))]) for i in after
+        ]
 
         def step(acc: Column, s: Column) -> Column:
-            moved = [(acc[f"d{i}"] + F.element_at(tables[i - 1], s.cast("int"))).alias(f"d{i}") for i in after]
+            moved = [(acc[f"d{i}"] + tables[i - 1][s]).alias(f"d{i}") for i in after]
             return F.struct(*moved, acc["d0"].alias("d0"))
 
         def odds(acc: Column) -> Column:
@@ -80,7 +78,8 @@ class DomainModel:
                 total = F.aggregate(o, F.lit(0.0), lambda x, y: x + y)
                 return F.transform(o, lambda x: x / total)
 
-            p = F.transform(F.array(F.aggregate(f["slots"], zero, step, odds)), scaled)[0]
+            told = F.aggregate(F.array_intersect(f["slots"], known), zero, step, odds) if self.weights else odds(zero)
+            p = F.transform(F.array(told), scaled)[0]
             return F.struct(f["n"].alias("n"), p.alias("p"))
 
         return F.transform(F.array(_features(text, self.buckets)), share)[0]
@@ -116,8 +115,9 @@ def fit_domains(
     of = {r["domain"]: r["n"] for r in ids.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     size = [of.get(d, 0) for d in domains]
     prior = [math.log((n + 1) / (sum(size) + len(domains))) for n in size]
-    weights, absent = [], [0.0]
-    for d, n in zip(domains[1:], size[1:], strict=True):
+    weights: dict[int, list[float]] = {}
+    absent = [0.0]
+    for i, (d, n) in enumerate(zip(domains[1:], size[1:], strict=True)):
         found = []
         for s in range(1, buckets + 2 * SHARES + 1):
             a, b = number.get((d, s), 0) + 0.5, number.get((domains[0], s), 0) + 0.5
@@ -125,15 +125,14 @@ def fit_domains(
             z = abs(math.log(p / q)) / math.sqrt(1 / a + 1 / b)
             if z >= least_z:
                 found.append((-z, s, p, q))
-        row, none = [0.0] * (buckets + 2 * SHARES), 0.0
+        none = 0.0
         for _, s, p, q in sorted(found)[:most]:
             without = math.log((1 - p) / (1 - q))  # what a text tells that has not the feature
-            row[s - 1] = round(math.log(p / q) - without, 6)
+            weights.setdefault(s, [0.0] * (len(domains) - 1))[i] = math.log(p / q) - without
             none += without
-        weights.append(tuple(row))
         absent.append(none)
     prior = [p + x for p, x in zip(prior, absent, strict=True)]
-    return DomainModel(tuple(domains), tuple(p - prior[0] for p in prior), tuple(weights), buckets)
+    return DomainModel(tuple(domains), tuple(p - prior[0] for p in prior), {s: tuple(w) for s, w in weights.items()}, buckets)
 
 
 def _solve(gram: list[list[float]], right: list[float]) -> list[float]:
@@ -263,6 +262,6 @@ def mixed(
     model = fit_domains(docs, labelled, domains, id_col, text_col, domain_col, sample)
     steps = fit_rates(_members(docs, model, id_col, text_col), [float(targets[d]) for d in domains])
     member, copies, copy = fresh(docs, "member", "copies", "copy")
-    rows = docs.withColumn(member, model.scored(text_of(text_col)))
-    rows = rows.withColumn(copies, copies_of(rate_of(rows[member]["p"], steps), col(id_col))).where(col(copies) > 0)
-    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), col(copies)))).drop(member, copies, copy)
+    rows = docs.select("*", once(model.scored(text_of(text_col)), member))
+    rows = rows.select("*", once(copies_of(rate_of(rows[member]["p"], steps), col(id_col)), copies))
+    return rows.withColumn(copy, F.explode(F.array_repeat(F.lit(1), col(copies)))).drop(member, copies, copy)
