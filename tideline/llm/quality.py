@@ -169,7 +169,6 @@ def fit_quality(
         few.join(F.broadcast(ids), "doc_id")
         .select(_stats_col(F.col("text")).alias("stats"), F.col("y").cast("double").alias("y"),
                 (F.crc32(F.col("doc_id").cast("string")) % 4 == 3).alias("cal"), "doc_id")
-        .where("stats is not null")
     )
     rows = staged(rows, "quality-sample")
     d = len(STATS)
