@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import compare, duck
+from fixture_docs import make  # noqa: F401
 from tideline.llm import mixing as M
 from tideline.llm import packing as P
 from tideline.llm import quality as Q
@@ -280,3 +281,11 @@ def test_pipeline_stages(spark):
     assert sorted(r.doc_id for r in kept[0].collect()) == sorted(r.doc_id for r in scored.where("predicted = 1").collect())
     words = sum(len((r.text or "").split()) + 1 for r in kept[3].select("text").collect())
     assert kept[4].agg(F.sum("n_tokens")).first()[0] == words
+
+
+def test_entry_has_every_query():
+    import __spark_entry__ as entry
+
+    names = entry.queries()
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert set(REG.ORACLES) <= set(entry.oracle_sql())

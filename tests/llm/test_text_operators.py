@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from fixture_docs import make  # noqa: F401
 from tideline.llm import exact_dedup as X
 from tideline.llm import licenses as L
 from tideline.llm import secrets as S
