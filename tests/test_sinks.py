@@ -8,7 +8,7 @@ from tideline.plans import catalog
 from tideline.session import scratch_path
 from tideline.sources import kafka_options, kafka_sink_options
 from tideline.streaming import JdbcWriter, VersionedTable, checkpoint_offsets, progress_frame, run
-from tideline.streaming.snapshot import DuplicateSourceKeyError
+from tideline.streaming.snapshot import ConcurrentWriteError, DuplicateSourceKeyError
 
 
 def _counts(spark, rows):
@@ -19,24 +19,20 @@ ADD = {"count": "target.count + source.count"}
 INSERT = {"item": "source.item", "count": "source.count"}
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
-def test_merge_update_insert_keep_and_history(spark, broadcast_rows):
-    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=4,
-                       broadcast_rows=broadcast_rows, shuffle_target_bytes=0)
-    assert t.merge(_counts(spark, [("a", 1), ("b", 2)]), ADD, INSERT, batch_id=0) == 0
-    assert t.merge(_counts(spark, [("b", 5), ("c", 1), ("d", None)]), ADD, INSERT, batch_id=1) == 1
+def test_merge_update_insert_keep_and_history(spark):
+    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=4)
+    assert t.merge(_counts(spark, [("a", 1), ("b", 2)]), ADD, INSERT, batch_id=0, writer="w") == 0
+    assert t.merge(_counts(spark, [("b", 5), ("c", 1), ("d", None)]), ADD, INSERT, batch_id=1, writer="w") == 1
     assert sorted(tuple(r) for r in t.read().collect()) == [("a", 1), ("b", 7), ("c", 1), ("d", None)]
     assert sorted(tuple(r) for r in t.read(0).collect()) == [("a", 1), ("b", 2)]
     h = {r.version: r for r in t.history().collect()}
     assert (h[1].rows_inserted, h[1].rows_updated) == (2, 1)
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
-def test_merge_null_target_value_is_a_present_row(spark, broadcast_rows):
-    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=2,
-                       broadcast_rows=broadcast_rows, shuffle_target_bytes=0)
-    t.merge(_counts(spark, [("a", None)]), ADD, INSERT, batch_id=0)
-    t.merge(_counts(spark, [("a", 3)]), {"count": "coalesce(target.count, 0) + source.count"}, INSERT, batch_id=1)
+def test_merge_null_target_value_is_a_present_row(spark):
+    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=2)
+    t.merge(_counts(spark, [("a", None)]), ADD, INSERT, batch_id=0, writer="w")
+    t.merge(_counts(spark, [("a", 3)]), {"count": "coalesce(target.count, 0) + source.count"}, INSERT, batch_id=1, writer="w")
     assert [tuple(r) for r in t.read().collect()] == [("a", 3)]
 
 
@@ -54,13 +50,11 @@ def test_merge_duplicate_source_key_raises(spark):
         t.merge(_counts(spark, [("a", 1), ("a", 2)]), ADD, INSERT)
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
-def test_merge_rewrites_only_touched_buckets(spark, broadcast_rows):
-    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=16,
-                       broadcast_rows=broadcast_rows, shuffle_target_bytes=0)
+def test_merge_rewrites_only_touched_buckets(spark):
+    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=16)
     t.merge(spark.range(200).select(F.col("id").cast("string").alias("item"), F.lit(1).cast("long").alias("count")),
-            ADD, INSERT, batch_id=0)
-    t.merge(_counts(spark, [("7", 1)]), ADD, INSERT, batch_id=1)
+            ADD, INSERT, batch_id=0, writer="w")
+    t.merge(_counts(spark, [("7", 1)]), ADD, INSERT, batch_id=1, writer="w")
     h = {r.version: r for r in t.history().collect()}
     assert h[0].buckets_written == 16 and h[1].buckets_written == 1
     assert t.read().agg(F.sum("count")).first()[0] == 201
@@ -68,8 +62,8 @@ def test_merge_rewrites_only_touched_buckets(spark, broadcast_rows):
 
 def test_overwrite_versions(spark):
     t = VersionedTable(spark, scratch_path(spark, "table"))
-    t.overwrite(_counts(spark, [("a", 1)]), batch_id=0)
-    t.overwrite(_counts(spark, [("a", 2), ("b", 1)]), batch_id=1)
+    t.overwrite(_counts(spark, [("a", 1)]), batch_id=0, writer="w")
+    t.overwrite(_counts(spark, [("a", 2), ("b", 1)]), batch_id=1, writer="w")
     assert sorted(tuple(r) for r in t.read().collect()) == [("a", 2), ("b", 1)]
     assert t.read(0).count() == 1
 
@@ -191,41 +185,57 @@ def test_checkpoint_pins_state_partitions_and_store(spark):
         assert conf["spark.sql.streaming.stateStore.providerClass"].endswith("HDFSBackedStateStoreProvider")
 
 
-def test_small_source_merge_does_not_shuffle_the_target(spark):
-    import contextlib
-    import io
+def test_merge_layout_is_that_of_the_table(spark):
+    path = scratch_path(spark, "table")
+    rows = [(f"k{i}", 1) for i in range(50)]
+    VersionedTable(spark, path, keys=["item"], buckets=8).merge(_counts(spark, rows), ADD, INSERT)
+    for other in (dict(keys=["item"], buckets=16), dict(keys=["count"], buckets=8), dict(keys=["item"], bucket_by=F.lit(1))):
+        with pytest.raises(ValueError):
+            VersionedTable(spark, path, **other).merge(_counts(spark, rows[:3]), ADD, INSERT)
+    assert VersionedTable(spark, path, keys=["item"], buckets=8).read().count() == 50
+
+
+def test_update_only_merge_leaves_a_readable_table(spark):
+    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=64)
+    t.merge(_counts(spark, [("a", 1)]), ADD, INSERT)
+    t.merge(_counts(spark, [("a", 1), *((f"new{i}", 1) for i in range(20))]), ADD, None)
+    assert [tuple(r) for r in t.read().collect()] == [("a", 2)]
 
-    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=4,
-                       shuffle_target_bytes=0)
-    t.merge(_counts(spark, [("a", 1), ("b", 2)]), ADD, INSERT, batch_id=0)
-    buf = io.StringIO()
-    captured = {}
-    original = t._merge_small_source
 
-    def spy(*a, **k):
-        merged, cached = original(*a, **k)
-        captured["plan"] = merged
-        return merged, cached
+def test_merge_null_keys(spark):
+    for null_safe, rows in ((False, [(None, 1), (None, 2)]), (True, [(None, 3)])):
+        t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=4)
+        for n in (1, 2):
+            t.merge(_counts(spark, [(None, n)]), ADD, INSERT, null_safe=null_safe)
+        assert sorted(tuple(r) for r in t.read().collect()) == rows
 
-    t._merge_small_source = spy
-    t.merge(_counts(spark, [("b", 1), ("c", 1)]), ADD, INSERT, batch_id=1)
-    with contextlib.redirect_stdout(buf):
-        captured["plan"].explain()
-    plan = buf.getvalue()
-    assert "BroadcastHashJoin" in plan
-    assert "SortMergeJoin" not in plan
+
+def test_merge_refuses_what_it_cannot_keep(spark):
+    path = scratch_path(spark, "table")
+    t = VersionedTable(spark, path, keys=["item"])
+    with pytest.raises(ValueError):
+        t.merge(_counts(spark, [("a", 1)]), ADD, INSERT, batch_id=0)
+    with pytest.raises(ValueError):
+        t.merge(_counts(spark, [("a", 1)]), {"item": "upper(source.item)"}, INSERT)
+    second = VersionedTable(spark, path, keys=["item"])
+    assert second.version() is None
+    t.merge(_counts(spark, [("a", 1)]), ADD, INSERT)
+    with pytest.raises(ConcurrentWriteError):
+        second.merge(_counts(spark, [("b", 1)]), ADD, INSERT)
+    second.merge(_counts(spark, [("b", 1)]), ADD, INSERT)
+    assert sorted(tuple(r) for r in second.read().collect()) == [("a", 1), ("b", 1)]
 
 
 def test_full_outer_merge_writes_one_file_per_bucket_and_casts_keys(spark):
     from tideline.streaming.files import list_names
 
     path = scratch_path(spark, "table")
-    t = VersionedTable(spark, path, keys=["k"], buckets=8, broadcast_rows=0)
+    t = VersionedTable(spark, path, keys=["k"], buckets=8)
     base = spark.range(2000).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("count"))
-    t.merge(base, {"count": "target.count + source.count"}, {"k": "source.k", "count": "source.count"}, batch_id=0)
+    t.merge(base, {"count": "target.count + source.count"}, {"k": "source.k", "count": "source.count"}, batch_id=0, writer="w")
     # the second batch carries INT keys: they must land in the same buckets as the BIGINT ones
     more = spark.range(1990, 2010).select(F.col("id").cast("int").alias("k"), F.lit(1).cast("long").alias("count"))
-    t.merge(more, {"count": "target.count + source.count"}, {"k": "source.k", "count": "source.count"}, batch_id=1)
+    t.merge(more, {"count": "target.count + source.count"}, {"k": "source.k", "count": "source.count"}, batch_id=1, writer="w")
     got = t.read()
     assert got.count() == 2010
     assert got.where("k between 1990 and 1999").agg(F.min("count")).first()[0] == 2

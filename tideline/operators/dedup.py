@@ -36,42 +36,11 @@ def dedup(
     return df.groupBy(*keys).agg(best.alias("__row")).select("__row.*")
 
 
-def _extremes_per_key(keys: Sequence[str], time_column: str):
-    """Arrow-batch function: per key, keep the rows with the earliest and latest event time."""
-
-    def reduce(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            if len(pdf) < 2:
-                yield pdf
-                continue
-            timed = pdf[pdf[time_column].notna()]
-            groups = timed.groupby(list(keys), dropna=False, sort=False)[time_column]
-            keep = pd.Index(groups.idxmin()).union(pd.Index(groups.idxmax()))
-            keep = keep.union(pdf.index[pdf[time_column].isna()])
-            yield pdf.loc[keep]
-
-    return reduce
-
-
-def dedup_within_watermark(
-    df: DataFrame,
-    keys: Sequence[str],
-    time_column: str,
-    delay: str,
-    prereduce: bool = False,
-) -> DataFrame:
+def dedup_within_watermark(df: DataFrame, keys: Sequence[str], time_column: str, delay: str) -> DataFrame:
     """``withWatermark`` + ``dropDuplicatesWithinWatermark`` on an unwatermarked stream.
 
-    The stateful de-duplication shuffles every row to the task owning its key,
-    so a key holding a large share of the rows makes one straggler task.
-    ``prereduce`` first drops, per Arrow batch and without a shuffle, all but
-    the earliest and latest event-time row of each key. The earliest row is a
-    valid first arrival. The latest row keeps the batch's maximum event time, so
-    the watermark is unchanged, and a non-late row survives whenever one existed.
-    The stateful operator then sees at most two rows per key per Arrow batch.
+    Every row is shuffled to the task that owns its key, so a key with a large
+    share of the rows makes one long task; which of its rows is the first to
+    arrive is for that task to say, so nothing is dropped ahead of it.
     """
-    if prereduce:
-        df = df.mapInPandas(_extremes_per_key(keys, time_column), df.schema)
     return df.withWatermark(time_column, delay).dropDuplicatesWithinWatermark(list(keys))

@@ -39,7 +39,7 @@ def staged(
 ) -> StagedTopic:
     """Stage ``events`` as a replay topic once per session and rule."""
     pin_utc(spark)
-    key = (id(spark.sparkContext), sf_dir, rule, value_mode)
+    key = (spark.sparkContext.applicationId, sf_dir, rule, value_mode)
     if key not in _STAGED:
         _STAGED[key] = stage_topic(
             spark, events(spark, sf_dir), scratch_path(spark, "stage"), rule, value_mode=value_mode

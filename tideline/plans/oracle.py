@@ -74,8 +74,6 @@ FROM c"""
 
 RECORDS = f"SELECT event_id AS offset, {USER} AS user_id, event_type AS item, {QTY} AS quantity FROM events"
 
-_WM_HAVING = f"HAVING start + {_interval(TUMBLE)} <= (SELECT max({ET}) FROM events) - {_interval(DELAY)}"
-
 WATERMARK = f"""
 SELECT start, "end", item, count(item) AS item_count
 FROM ({_window_rows(TUMBLE, None, 'event_type AS item')}) w
@@ -194,6 +192,7 @@ ORACLES: dict[str, str] = {
     "watermark_append": WATERMARK,
     "watermark_append_rocksdb": WATERMARK,
     "late_data_append": LATE_DATA,
+    "approx_users_stream": "SELECT event_type AS item, true AS within_3_rsd FROM events GROUP BY event_type",
     "distinct_users_batch": f"""SELECT event_type AS item, count(DISTINCT {USER}) AS distinct_users
         FROM events GROUP BY event_type""",
     "dedup_batch": f"""SELECT * EXCLUDE (rn) FROM (

@@ -13,7 +13,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_DIRS: dict[int, str] = {}
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def pin_utc(spark: SparkSession) -> None:
@@ -42,7 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
-        key = id(sc)
+        key = sc.applicationId
         if key not in _LOCAL_DIRS:
             if not sc.master.startswith("local"):
                 raise RuntimeError(

@@ -43,25 +43,18 @@ def list_names(path: str) -> list[str]:
     return [i.base_name for i in infos]
 
 
-def tree_bytes(path: str) -> int:
-    """Total size of the files under ``path`` (0 if it does not exist)."""
-    from pyarrow import fs
-
-    filesystem, inner = arrow_target(path)
-    if filesystem.get_file_info(inner).type == fs.FileType.NotFound:
-        return 0
-    infos = filesystem.get_file_info(fs.FileSelector(inner, recursive=True))
-    return sum(i.size or 0 for i in infos if i.type == fs.FileType.File)
-
-
 def write_record(folder: str, rows: list[dict], spark_schema) -> None:
     """Write ``rows`` as one Parquet file in ``folder``; visible only once complete.
 
     The file is written under a hidden name (ignored by Spark readers) and then
-    renamed, so a reader never sees a partial file.
+    renamed, so a reader never sees a partial file. A record that is there already
+    raises ``FileExistsError``. Between that look and the rename another writer can
+    slip in where the store's rename replaces files (object stores copy and delete):
+    one writer at a time is the rule, this finds the ones who break it.
     """
     import pyarrow as pa
     import pyarrow.parquet as pq
+    from pyarrow import fs
     from pyspark.sql.pandas.types import to_arrow_schema
 
     filesystem, inner = arrow_target(folder)
@@ -69,4 +62,7 @@ def write_record(folder: str, rows: list[dict], spark_schema) -> None:
     table = pa.Table.from_pylist(rows, schema=to_arrow_schema(spark_schema))
     tmp = f"{inner}/.{uuid.uuid4().hex}.tmp"
     pq.write_table(table, tmp, filesystem=filesystem)
+    if filesystem.get_file_info(f"{inner}/part-00000.parquet").type != fs.FileType.NotFound:
+        filesystem.delete_file(tmp)
+        raise FileExistsError(f"{folder}/part-00000.parquet")
     filesystem.move(tmp, f"{inner}/part-00000.parquet")

@@ -9,7 +9,9 @@ its failure.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import threading
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
 
@@ -31,6 +33,46 @@ def state_store_provider(spark) -> str:
     return spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) or _STATE_STORES["hdfs"]
 
 
+_STARTING = threading.Lock()
+
+
+@contextmanager
+def _session_conf(spark, conf: Mapping[str, str]) -> Iterator[None]:
+    """Settings for a query that is about to start.
+
+    A query copies its session's settings when it starts, so they are put back
+    at once; starts with settings of their own wait for one another.
+    """
+    if not conf:
+        yield
+        return
+    with _STARTING:
+        previous = {k: spark.conf.get(k, None) for k in conf}
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        try:
+            yield
+        finally:
+            for k, v in previous.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
+
+
+def _query_conf(state_store: str | None, shuffle_partitions: int | None) -> dict[str, str]:
+    conf: dict[str, str] = {}
+    if state_store is not None:
+        conf["spark.sql.streaming.stateStore.providerClass"] = _STATE_STORES[state_store]
+        if state_store == "rocksdb":
+            # Changelog checkpointing uploads only the per-batch delta of the
+            # state instead of snapshots of the whole store.
+            conf["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(int(shuffle_partitions))
+    return conf
+
+
 @dataclass(frozen=True)
 class Trigger:
     """Exactly one trigger kind; ``Trigger()`` is the default micro-batch trigger."""
@@ -64,12 +106,14 @@ class Trigger:
 AVAILABLE_NOW = Trigger(available_now=True)
 
 
-def _check(sink: str, mode: str, target: Any, path: str | None, name: str | None, trigger: Trigger) -> None:
+def _check(
+    sink: str, mode: str, target: Any, path: str | None, name: str | None, trigger: Trigger, fmt: str
+) -> None:
     if sink not in SINKS:
         raise ValueError(f"unknown sink {sink!r}; one of {SINKS}")
     if mode not in MODES:
         raise ValueError(f"unknown output mode {mode!r}; one of {MODES}")
-    if sink in FILE_SINKS + ("table",) and mode != "append":
+    if (sink in FILE_SINKS or (sink == "table" and fmt in FILE_SINKS)) and mode != "append":
         raise ValueError(
             f"the {sink} sink takes append mode only; for update/complete results use "
             "foreach_batch with VersionedTable.merge / overwrite"
@@ -98,15 +142,21 @@ def start(
     options: Mapping[str, str] | None = None,
     fmt: str = "parquet",
     partition_by: list[str] | None = None,
+    state_store: str | None = None,
+    shuffle_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start ``df`` into ``sink``.
 
+    ``state_store`` ("hdfs" or "rocksdb") and ``shuffle_partitions`` (state
+    partitions) hold for this query alone; both are frozen into a checkpoint by
+    its first batch, so on a restart the stored values win.
+
     ``target`` is the table name (``table``), the ``fn(batch_df, batch_id)``
     callable (``foreach_batch``) or the row writer (``foreach``). ``fmt`` is the
     table format. A checkpoint is required for every sink that outlives the
     session (all but memory, console and noop).
     """
-    _check(sink, mode, target, path, name, trigger)
+    _check(sink, mode, target, path, name, trigger, fmt)
     if checkpoint is None and sink not in ("memory", "console", "noop"):
         raise ValueError(f"the {sink} sink needs a checkpoint location")
     w = df.writeStream.outputMode(mode)
@@ -121,22 +171,29 @@ def start(
     kw = trigger.kwargs()
     if kw:
         w = w.trigger(**kw)
-    if sink == "foreach_batch":
-        return w.foreachBatch(target).start()
-    if sink == "foreach":
-        return w.foreach(target).start()
-    if sink == "table":
-        return w.format(fmt).toTable(target)
-    w = w.format(sink)
-    return w.start(path) if sink in FILE_SINKS else w.start()
-
-
-def await_done(q: StreamingQuery, trigger: Trigger, timeout: float) -> StreamingQuery:
-    """Wait for a finite trigger, or drain available input and stop an endless one."""
+    with _session_conf(df.sparkSession, _query_conf(state_store, shuffle_partitions)):
+        if sink == "foreach_batch":
+            return w.foreachBatch(target).start()
+        if sink == "foreach":
+            return w.foreach(target).start()
+        if sink == "table":
+            return w.format(fmt).toTable(target)
+        w = w.format(sink)
+        return w.start(path) if sink in FILE_SINKS else w.start()
+
+
+def await_done(q: StreamingQuery, trigger: Trigger, timeout: float | None = None) -> StreamingQuery:
+    """Wait for a finite trigger, or drain available input and stop an endless one.
+
+    ``timeout`` (seconds; none by default) bounds the wait for a finite trigger only.
+    """
+    if timeout is not None and not trigger.finite:
+        raise ValueError("a timeout needs a finite trigger")
     try:
         if trigger.finite:
-            finished = q.awaitTermination(timeout)
-            if not finished:
+            if timeout is None:
+                q.awaitTermination()
+            elif not q.awaitTermination(timeout):
                 q.stop()
                 raise TimeoutError(f"query {q.name or q.id} did not finish in {timeout}s")
         else:
@@ -154,41 +211,10 @@ def run(
     sink: str,
     mode: str = "append",
     trigger: Trigger = AVAILABLE_NOW,
-    timeout: float = 600.0,
-    state_store: str | None = None,
-    shuffle_partitions: int | None = None,
+    timeout: float | None = None,
     **kw: Any,
 ) -> StreamingQuery:
-    """``start`` then ``await_done``; returns the finished query.
-
-    ``state_store`` ("hdfs" or "rocksdb") and ``shuffle_partitions`` (state
-    partitions) are set for the run; both are frozen into a checkpoint by its
-    first batch, so on a restart the stored values win.
-    """
+    """``start`` then ``await_done``; returns the finished query."""
     if trigger.continuous is not None:
         raise ValueError("a continuous query never drains; use start() and stop() it")
-    spark = df.sparkSession
-    previous: dict[str, str | None] = {}
-    conf: dict[str, str] = {}
-    if state_store is not None:
-        conf["spark.sql.streaming.stateStore.providerClass"] = _STATE_STORES[state_store]
-        if state_store == "rocksdb":
-            # Changelog checkpointing uploads only the per-batch delta of the
-            # state instead of snapshots of the whole store.
-            conf["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
-    if shuffle_partitions is not None:
-        conf["spark.sql.shuffle.partitions"] = str(int(shuffle_partitions))
-    for k, v in conf.items():
-        previous[k] = spark.conf.get(k, None)
-        spark.conf.set(k, v)
-    try:
-        q = start(df, sink, mode, trigger, **kw)
-        return await_done(q, trigger, timeout)
-    finally:
-        for k, v in previous.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
+    return await_done(start(df, sink, mode, trigger, **kw), trigger, timeout)

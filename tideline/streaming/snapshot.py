@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tideline.streaming.files import exists, list_names, tree_bytes, write_record
+from tideline.streaming.files import exists, list_names, write_record
 
 BUCKET = "tl_bucket"
 COMPACT_EVERY = 50
@@ -71,6 +71,10 @@ class DuplicateSourceKeyError(ValueError):
     """More than one source row matches the same target key."""
 
 
+class ConcurrentWriteError(RuntimeError):
+    """Another writer has committed the version that this one was about to commit."""
+
+
 class VersionedTable:
     def __init__(
         self,
@@ -79,20 +83,17 @@ class VersionedTable:
         keys: Sequence[str] = (),
         buckets: int = 16,
         bucket_by: Column | None = None,
-        broadcast_rows: int = 1_000_000,
-        shuffle_target_bytes: int = 256 << 20,
     ):
         """``keys`` identify a row for ``merge``. Rows are grouped into buckets by
         ``pmod(hash(keys), buckets)``, or by ``bucket_by``: an INT expression
         over the key columns, e.g. the day of a window start, so that a batch of
-        recent windows touches recent buckets only.
+        recent windows touches recent buckets only. A table that exists keeps the
+        layout it was made with: other keys or buckets are refused on writing.
         """
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.bucket_by = bucket_by
-        self.broadcast_rows = broadcast_rows
-        self.shuffle_target_bytes = shuffle_target_bytes
         self.buckets = -1 if bucket_by is not None else (buckets if self.keys else 1)
         self._state: dict | None = None  # committed state, loaded once per writer
 
@@ -137,6 +138,12 @@ class VersionedTable:
             }
             if latest:
                 row = latest[0]
+                stored, asked = (row["keys"], row["bucket_count"]), (",".join(self.keys), self.buckets)
+                if stored != asked:
+                    raise ValueError(
+                        f"the table at {self.path} has keys {stored[0]!r} and {stored[1]} buckets, "
+                        f"not {asked[0]!r} and {asked[1]}"
+                    )
                 self._state = {
                     "version": row["version"],
                     "manifest": {m["bucket"]: m["data_version"] for m in row["manifest"]},
@@ -212,8 +219,12 @@ class VersionedTable:
             "schema_json": schema.json(),
             "manifest": [{"bucket": b, "data_version": v} for b, v in sorted(manifest.items())],
         }
-        # The commit record is one small row; written last, atomically.
-        write_record(self._v("_history", version), [row], _history_schema())
+        # The commit record is one small row, written last; a record that is there is never replaced.
+        try:
+            write_record(self._v("_history", version), [row], _history_schema())
+        except FileExistsError as e:
+            self._state = None
+            raise ConcurrentWriteError(f"version {version} of {self.path} was committed by another writer") from e
         state = self._load()
         state.update(version=version, manifest=dict(manifest), schema=schema)
         if batch_id is not None:
@@ -231,11 +242,18 @@ class VersionedTable:
 
     def _next_version(self) -> int:
         v = self._load()["version"]
-        return 0 if v is None else v + 1
+        v = 0 if v is None else v + 1
+        # Looked up before any data is written: the folder of a committed version is never touched.
+        if exists(f"{self._v('_history', v)}/part-00000.parquet"):
+            self._state = None
+            raise ConcurrentWriteError(f"version {v} of {self.path} was committed by another writer")
+        return v
 
     def _applied(self, writer: str | None, batch_id: int | None) -> bool:
         if batch_id is None:
             return False
+        if writer is None:
+            raise ValueError("a batch_id needs the writer whose batch it is")
         last = self._load()["applied"].get(writer)
         return last is not None and batch_id <= last
 
@@ -264,6 +282,7 @@ class VersionedTable:
         batch_id: int | None = None,
         writer: str | None = None,
         unique_source: bool = False,
+        null_safe: bool = False,
     ) -> int | None:
         """Upsert ``source`` on the table keys.
 
@@ -271,7 +290,9 @@ class VersionedTable:
         ``source.`` (applied to matched rows; other columns keep their value);
         ``insert`` maps columns to expressions over ``source.`` (unmatched
         source rows; ``None`` skips inserts). Target rows without a source row
-        are kept. Keys match by equality (a NULL key never matches). Two source
+        are kept. Keys match by equality (a NULL key never matches), or with
+        ``null_safe`` NULL matches NULL, as in a grouped result. A key column may
+        not be updated: its row would leave its bucket. Two source
         rows with one key raise ``DuplicateSourceKeyError``. With ``batch_id``
         (and ``writer``) the call is idempotent: a committed batch is skipped.
         ``unique_source=True`` states that the source keys are unique (e.g. the
@@ -279,6 +300,9 @@ class VersionedTable:
         """
         if not self.keys:
             raise ValueError("merge needs a keyed table")
+        changed = [k for k in self.keys if k in (update or {})]
+        if changed:
+            raise ValueError(f"merge may not update the key columns {changed}")
         if self._applied(writer, batch_id):
             return None
         schema = self._load()["schema"]
@@ -294,7 +318,7 @@ class VersionedTable:
             if unique_source:
                 per_bucket = (
                     src.groupBy(BUCKET)
-                    .agg(F.lit(1).alias("most"), F.count(F.lit(1)).alias("rows"))
+                    .agg(F.lit(1).alias("most"))
                     .collect()
                 )
             else:
@@ -302,7 +326,7 @@ class VersionedTable:
                     src.groupBy(BUCKET, *self.keys)
                     .count()
                     .groupBy(BUCKET)
-                    .agg(F.max("count").alias("most"), F.sum("count").alias("rows"))
+                    .agg(F.max("count").alias("most"))
                     .collect()
                 )
             if any(r["most"] > 1 for r in per_bucket):
@@ -310,12 +334,11 @@ class VersionedTable:
                     f"source has more than one row for a key of {self.keys}; merge is ambiguous"
                 )
             touched = sorted(r[BUCKET] for r in per_bucket)
-            rows = sum(r["rows"] for r in per_bucket)
-            return self._merge(src, touched, rows, dict(update or {}), insert, batch_id, writer)
+            return self._merge(src, touched, dict(update or {}), insert, batch_id, writer, null_safe)
         finally:
             src.unpersist()
 
-    def _merge(self, src, touched, rows, update, insert, batch_id, writer) -> int:
+    def _merge(self, src, touched, update, insert, batch_id, writer, null_safe) -> int:
         state = self._load()
         version = self._next_version()
         if state["schema"] is None:
@@ -326,46 +349,28 @@ class VersionedTable:
             schema = state["schema"]
         manifest = state["manifest"]
         target = self._read_buckets(schema, manifest, touched).withColumn(BUCKET, self._bucket_expr())
-        cond = functools.reduce(
-            lambda a, b: a & b, [F.col(f"target.`{k}`") == F.col(f"source.`{k}`") for k in self.keys]
-        )
-        cached = None
-        if rows <= self.broadcast_rows and self._touched_bytes(manifest, touched) > self.shuffle_target_bytes:
-            merged, cached = self._merge_small_source(target, src, cond, schema, update, insert)
-        else:
-            merged = self._merge_full_outer(target, src, cond, schema, update, insert)
+        pairs = [(F.col(f"target.`{k}`"), F.col(f"source.`{k}`")) for k in self.keys]
+        match = [t.eqNullSafe(s) if null_safe else t == s for t, s in pairs]
+        merged = self._full_outer(target, src, functools.reduce(Column.__and__, match), schema, update, insert)
         obs = Observation(f"tl_merge_{version}_{id(merged)}")
         observed = merged.observe(
             obs,
             F.sum(F.col("__i").cast("long")).alias("inserted"),
             F.sum(F.col("__m").cast("long")).alias("updated"),
             F.count(F.lit(1)).alias("written"),
+            F.collect_set(BUCKET).alias("buckets"),
         )
         observed.drop("__m", "__i").write.mode("overwrite").partitionBy(BUCKET).parquet(
             self._v("data", version)
         )
-        if cached is not None:
-            cached.unpersist()
-        new_manifest = dict(manifest)
-        for b in touched:
-            new_manifest[b] = version
-        self._commit(version, "MERGE", writer, batch_id, new_manifest, schema, obs.get, len(touched))
+        got = obs.get
+        written = sorted(got.get("buckets") or [])  # a touched bucket without rows has no folder
+        new_manifest = {**manifest, **dict.fromkeys(written, version)}
+        self._commit(version, "MERGE", writer, batch_id, new_manifest, schema, got, len(written))
         return version
 
-    def _touched_bytes(self, manifest: Mapping[int, int], touched) -> int:
-        """On-disk size of the touched buckets (a metadata listing)."""
-        return sum(
-            tree_bytes(f"{self._v('data', manifest[b])}/{BUCKET}={b}") for b in touched if b in manifest
-        )
-
-    @staticmethod
-    def _value(f, expr: str | None, fallback: Column) -> Column:
-        return (F.expr(expr) if expr is not None else fallback).cast(f.dataType).alias(f.name)
-
-    def _merge_full_outer(self, target, src, cond, schema, update, insert) -> DataFrame:
-        """One full outer join, both sides shuffled on the keys: for large
-        batches, and for small touched targets (shuffling them is cheaper than
-        the extra passes of the broadcast plan).
+    def _full_outer(self, target, src, cond, schema, update, insert) -> DataFrame:
+        """One full outer join of the touched buckets with the batch, both shuffled on the keys.
 
         With hash buckets both sides are shuffled into exactly ``buckets``
         partitions by the keys, so join task i holds bucket i: one output file
@@ -391,45 +396,3 @@ class VersionedTable:
         if insert is None:
             merged = merged.where(~F.col("__i"))
         return merged
-
-    def _merge_small_source(self, target, src, cond, schema, update, insert):
-        """Source of at most ``broadcast_rows`` rows against touched buckets over
-        ``shuffle_target_bytes``: the target is never shuffled.
-
-        Updated rows come from an inner join with the broadcast source, kept
-        target rows from an anti join against the broadcast source keys, and
-        inserted rows from the source minus the matched keys (both small).
-        """
-        t = target.alias("target")
-        s = src.alias("source")
-        keys = [F.col(f"source.`{k}`").alias(k) for k in self.keys]
-        updated = (
-            t.join(F.broadcast(s), cond, "inner")
-            .select(
-                *[
-                    self._value(f, update.get(f.name), F.col(f"target.`{f.name}`"))
-                    for f in schema.fields
-                ],
-                F.col(f"target.{BUCKET}").alias(BUCKET),
-                F.lit(True).alias("__m"),
-                F.lit(False).alias("__i"),
-            )
-            .persist()
-        )
-        kept = t.join(F.broadcast(s.select(*keys).alias("source")), cond, "left_anti").select(
-            *[F.col(f"target.`{f.name}`").alias(f.name) for f in schema.fields],
-            F.col(f"target.{BUCKET}").alias(BUCKET),
-            F.lit(False).alias("__m"),
-            F.lit(False).alias("__i"),
-        )
-        merged = kept.unionByName(updated)
-        if insert is not None:
-            matched_keys = updated.select(*[F.col(f"`{k}`") for k in self.keys]).alias("target")
-            new = s.join(F.broadcast(matched_keys), cond, "left_anti").select(
-                *[self._value(f, insert.get(f.name), F.lit(None)) for f in schema.fields],
-                F.col(f"source.{BUCKET}").alias(BUCKET),
-                F.lit(False).alias("__m"),
-                F.lit(True).alias("__i"),
-            )
-            merged = merged.unionByName(new)
-        return merged, updated
