@@ -414,6 +414,12 @@ def tumbling_count(spark: SparkSession, sf: str) -> DataFrame:
     return window_table(df, st, "tumbling_count")
 
 
+def tumbling_complete(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-25/37: the same counts in complete mode (every window is held and written each time)."""
+    df, st = _windowed(spark, sf, TUMBLE, None, [F.count("item").alias("item_count")])
+    return run_complete(df, st)
+
+
 def tumbling_avg(spark: SparkSession, sf: str) -> DataFrame:
     """OP-21: average per tumbling window."""
     df, st = _windowed(spark, sf, TUMBLE, None, [F.avg("quantity").alias("avg_quantity")])
@@ -570,6 +576,7 @@ QUERIES: dict[str, Query] = {
     "file_sink_parquet": file_sink_parquet,
     "foreach_rows": foreach_rows,
     "tumbling_count": tumbling_count,
+    "tumbling_complete": tumbling_complete,
     "tumbling_avg": tumbling_avg,
     "sliding_count": sliding_count,
     "sliding_sum": sliding_sum,

@@ -205,3 +205,4 @@ ORACLES: dict[str, str] = {
     "validate_quarantine": VALID_BAD,
     "checkpoint_offsets": OFFSETS,
 }
+ORACLES["tumbling_complete"] = ORACLES["tumbling_count"]

@@ -1,14 +1,16 @@
 """Per-batch and per-row sink writers.
 
-Every writer here is idempotent per ``batch_id`` / epoch: a replayed batch
-overwrites the folder or files its first attempt wrote, so the end result is
-exactly-once even though ``foreachBatch`` and ``foreach`` are at-least-once.
+The file writers are idempotent per ``batch_id`` / epoch: a replayed batch
+overwrites the folder or files its first attempt wrote, though ``foreachBatch``
+and ``foreach`` may call twice. ``JdbcWriter`` is not: a replayed batch is
+appended again, and its ``batch_id`` column tells the copies apart.
 All output goes to folders the caller chooses under the shared folder.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -117,12 +119,13 @@ class JdbcWriter:
 
 
 class RowFileWriter:
-    """``foreach`` writer: rows of each (partition, epoch) to Parquet files.
+    """``foreach`` writer: the rows of each (partition, epoch) in one Parquet file.
 
-    Runs on the executors. Rows are buffered in chunks of ``chunk_rows`` (memory
-    is bounded per task whatever the partition size) and each chunk becomes one
-    file named by partition, epoch and chunk number, so a replayed epoch
-    overwrites its own files.
+    Runs on the executors. Rows are written in chunks of ``chunk_rows``, so a
+    task's memory is bounded, under a hidden name of the attempt; ``close``
+    renames the file to that of its partition and epoch. A failed attempt leaves
+    nothing that readers see, and a replayed epoch replaces its files. As with
+    every ``foreach`` writer, that needs a replay with the same partitions.
     """
 
     def __init__(self, path: str, schema: str | StructType, chunk_rows: int = 50_000):
@@ -132,13 +135,15 @@ class RowFileWriter:
         self.columns = st.fieldNames()
         self.chunk_rows = chunk_rows
         self._rows: list[tuple] = []
-        self._chunk = 0
-        self._partition = 0
-        self._epoch = 0
+        self._out = None
 
     def open(self, partition_id: int, epoch_id: int) -> bool:
-        self._rows, self._chunk = [], 0
-        self._partition, self._epoch = partition_id, epoch_id
+        filesystem, root = arrow_target(self.path)
+        folder = f"{root}/epoch-{epoch_id:08d}"
+        filesystem.create_dir(folder, recursive=True)
+        self._rows, self._out = [], None
+        self._hidden = f"{folder}/.part-{partition_id:05d}-{uuid.uuid4().hex}.tmp"
+        self._name = f"{folder}/part-{partition_id:05d}.parquet"
         return True
 
     def process(self, row) -> None:
@@ -151,24 +156,23 @@ class RowFileWriter:
             return
         import pyarrow as pa
         import pyarrow.parquet as pq
-
-        filesystem, root = arrow_target(self.path)
-        folder = f"{root}/epoch-{self._epoch:08d}"
-        filesystem.create_dir(folder, recursive=True)
         from pyspark.sql.pandas.types import to_arrow_schema
 
         schema = to_arrow_schema(StructType.fromJson(json.loads(self.schema_json)))
+        if self._out is None:
+            self._out = pq.ParquetWriter(self._hidden, schema, filesystem=arrow_target(self.path)[0])
         cols = list(zip(*self._rows))
-        table = pa.table({c: list(v) for c, v in zip(self.columns, cols)}, schema=schema)
-        name = f"{folder}/part-{self._partition:05d}-{self._chunk:05d}.parquet"
-        pq.write_table(table, name, filesystem=filesystem)
+        self._out.write_table(pa.table({c: list(v) for c, v in zip(self.columns, cols)}, schema=schema))
         self._rows = []
-        self._chunk += 1
 
     def close(self, error) -> None:
         if error is None:
             self._flush()
-        self._rows = []
+        if self._out is not None:
+            self._out.close()
+            if error is None:
+                arrow_target(self.path)[0].move(self._hidden, self._name)
+        self._rows, self._out = [], None
 
 
 def read_rows(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
