@@ -325,3 +325,9 @@ def test_memory_complete_resume_without_new_data_is_empty(spark):
     # Same checkpoint, no new files: no batch runs, so the new memory table stays empty.
     run(count_by(parsed, "item"), "memory", "complete", name="mem_complete_b", checkpoint=ck)
     assert spark.table("mem_complete_b").count() == 0
+
+
+def test_good_and_bad_rows_are_the_input(spark):
+    both = catalog._validated(spark, SF_SMALL)
+    assert both.count() == both.select("offset").distinct().count() == 1000
+    assert both.where(F.col("valid") != (F.col("reasons") == "")).count() == 0

@@ -8,7 +8,7 @@ from tideline.operators.aggregate import (
 )
 from tideline.operators.watermark import with_watermark
 from tideline.operators.dedup import dedup, dedup_within_watermark
-from tideline.operators.validate import split_valid
+from tideline.operators.validate import split_valid, with_reasons
 
 __all__ = [
     "count_by",
@@ -17,6 +17,7 @@ __all__ = [
     "dedup_within_watermark",
     "distinct_count",
     "split_valid",
+    "with_reasons",
     "window_agg",
     "with_watermark",
 ]

@@ -8,17 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """``(good, quarantine)``: a row is good iff every rule is TRUE (NULL fails).
+def with_reasons(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """Add ``valid`` and ``reasons``: the names of the failed rules, comma-separated, in rule order.
 
-    The quarantine keeps all columns plus ``reasons``: the names of the failed
-    rules, comma-separated, in rule order. Both sides come from one projection
-    of plain expressions (inside whole-stage codegen), so good ∪ quarantine is
-    exactly the input and no row is dropped.
+    A row is valid iff every rule is TRUE (NULL fails). One projection of plain
+    expressions (inside whole-stage codegen), so one pass serves a sink that is
+    partitioned by ``valid``.
     """
-    passed = {n: F.coalesce(c, F.lit(False)) for n, c in rules.items()}
-    reasons = F.concat_ws(",", *[F.when(~p, F.lit(n)) for n, p in passed.items()])
-    tagged = df.withColumn("reasons", reasons)
-    good = tagged.where(F.col("reasons") == "").drop("reasons")
-    bad = tagged.where(F.col("reasons") != "")
-    return good, bad
+    failed = {n: ~F.coalesce(c, F.lit(False)) for n, c in rules.items()}
+    reasons = F.concat_ws(",", *[F.when(f, F.lit(n)) for n, f in failed.items()])
+    return df.withColumn("reasons", reasons).withColumn("valid", F.col("reasons") == "")
+
+
+def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """``(good, quarantine)``, the quarantine with ``reasons``; together exactly the input."""
+    tagged = with_reasons(df, rules)
+    return tagged.where("valid").drop("reasons", "valid"), tagged.where(~F.col("valid")).drop("valid")

@@ -19,7 +19,7 @@ from tideline.operators import (
     dedup,
     dedup_within_watermark,
     distinct_count,
-    split_valid,
+    with_reasons,
     window_agg,
     with_watermark,
 )
@@ -509,28 +509,24 @@ def _rules():
     }
 
 
-def _validated(spark: SparkSession, sf: str, side: str) -> DataFrame:
-    parsed, st = stream_transactions(spark, sf, value_mode="faulty", corrupt_column="_corrupt_record")
+def _validated(spark: SparkSession, sf: str) -> DataFrame:
+    """The faulty topic, good and bad rows from one stream whose file sink is partitioned by ``valid``."""
+    parsed, _ = stream_transactions(spark, sf, value_mode="faulty", corrupt_column="_corrupt_record")
+    tagged = with_reasons(event_time(parsed), _rules())
     out = scratch_path(spark, "out")
-
-    def per_batch(batch_df: DataFrame, batch_id: int) -> None:
-        good, bad = split_valid(batch_df, _rules())
-        frame = good.drop("_corrupt_record") if side == "good" else bad.select("offset", "reasons")
-        frame.write.mode("overwrite").parquet(f"{out}/batch-{batch_id:08d}")
-
-    run(event_time(parsed), "foreach_batch", "append", target=per_batch,
-        checkpoint=scratch_path(spark, "checkpoint"))
-    return report(spark.read.parquet(f"{out}/batch-*"))
+    run(tagged, "parquet", "append", path=out, checkpoint=scratch_path(spark, "checkpoint"),
+        partition_by=["valid"])
+    return report(spark.read.schema(tagged.schema).parquet(out))
 
 
 def validate_good(spark: SparkSession, sf: str) -> DataFrame:
     """OP-58: rows passing every rule."""
-    return _validated(spark, sf, "good")
+    return _validated(spark, sf).where("valid").drop("valid", "reasons", "_corrupt_record")
 
 
 def validate_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """OP-58: rows failing a rule, with the failed rules."""
-    return _validated(spark, sf, "bad")
+    return _validated(spark, sf).where("not valid").select("offset", "reasons")
 
 
 def checkpoint_offsets_query(spark: SparkSession, sf: str) -> DataFrame:
