@@ -1,14 +1,13 @@
-"""Sinks: versioned table merge/history, JDBC, checkpoint inspection, Kafka options."""
+"""Sinks: keyed merge, JDBC, checkpoint inspection, Kafka options."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tideline.plans import catalog
-from tideline.session import scratch_path
+from tideline.session import scratch_path, ship
 from tideline.sources import kafka_options, kafka_sink_options
-from tideline.streaming import JdbcWriter, VersionedTable, checkpoint_offsets, progress_frame, run
-from tideline.streaming.snapshot import ConcurrentWriteError, DuplicateSourceKeyError
+from tideline.streaming import JdbcWriter, MergeWriter, checkpoint_offsets, merge, merge_into, progress_frame, read_merged, run
 
 
 def _counts(spark, rows):
@@ -19,53 +18,102 @@ ADD = {"count": "target.count + source.count"}
 INSERT = {"item": "source.item", "count": "source.count"}
 
 
-def test_merge_update_insert_keep_and_history(spark):
-    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=4)
-    assert t.merge(_counts(spark, [("a", 1), ("b", 2)]), ADD, INSERT, batch_id=0, writer="w") == 0
-    assert t.merge(_counts(spark, [("b", 5), ("c", 1), ("d", None)]), ADD, INSERT, batch_id=1, writer="w") == 1
-    assert sorted(tuple(r) for r in t.read().collect()) == [("a", 1), ("b", 7), ("c", 1), ("d", None)]
-    assert sorted(tuple(r) for r in t.read(0).collect()) == [("a", 1), ("b", 2)]
-    h = {r.version: r for r in t.history().collect()}
-    assert (h[1].rows_inserted, h[1].rows_updated) == (2, 1)
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
 
 
-def test_merge_null_target_value_is_a_present_row(spark):
-    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=2)
-    t.merge(_counts(spark, [("a", None)]), ADD, INSERT, batch_id=0, writer="w")
-    t.merge(_counts(spark, [("a", 3)]), {"count": "coalesce(target.count, 0) + source.count"}, INSERT, batch_id=1, writer="w")
-    assert [tuple(r) for r in t.read().collect()] == [("a", 3)]
+def _merged(spark, target, source, update=ADD, insert=INSERT, **kw):
+    return _rows(merge(_counts(spark, target), _counts(spark, source), ["item"], update, insert, **kw))
 
 
-def test_merge_replay_of_a_batch_is_skipped(spark):
-    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=4)
-    t.merge(_counts(spark, [("a", 1)]), ADD, INSERT, batch_id=0, writer="w")
-    assert t.merge(_counts(spark, [("a", 1)]), ADD, INSERT, batch_id=0, writer="w") is None
-    assert [tuple(r) for r in t.read().collect()] == [("a", 1)]
-    assert t.version() == 0
+def test_merge_updates_inserts_and_keeps(spark):
+    got = _merged(spark, [("a", 1), ("b", 2)], [("b", 5), ("c", 1), ("d", None)])
+    assert got == [("a", 1), ("b", 7), ("c", 1), ("d", None)]
 
 
-def test_merge_duplicate_source_key_raises(spark):
-    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"])
-    with pytest.raises(DuplicateSourceKeyError):
-        t.merge(_counts(spark, [("a", 1), ("a", 2)]), ADD, INSERT)
+def test_merge_of_a_present_row_with_a_null_value(spark):
+    assert _merged(spark, [("a", None)], [("a", 3)]) == [("a", None)]
+    assert _merged(spark, [("a", None)], [("a", 3)], {"count": "coalesce(target.count, 0) + source.count"}) == [("a", 3)]
 
 
-def test_merge_rewrites_only_touched_buckets(spark):
-    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=16)
-    t.merge(spark.range(200).select(F.col("id").cast("string").alias("item"), F.lit(1).cast("long").alias("count")),
-            ADD, INSERT, batch_id=0, writer="w")
-    t.merge(_counts(spark, [("7", 1)]), ADD, INSERT, batch_id=1, writer="w")
-    h = {r.version: r for r in t.history().collect()}
-    assert h[0].buckets_written == 16 and h[1].buckets_written == 1
-    assert t.read().agg(F.sum("count")).first()[0] == 201
+def test_merge_without_inserts_or_updates(spark):
+    assert _merged(spark, [("a", 1)], [("a", 1), ("new", 1)], ADD, None) == [("a", 2)]
+    assert _merged(spark, [("a", 1)], [("a", 9), ("b", 1)], None) == [("a", 1), ("b", 1)]
+    assert _merged(spark, [], [("b", 1)]) == [("b", 1)]
+    assert _merged(spark, [("a", 1)], []) == [("a", 1)]
 
 
-def test_overwrite_versions(spark):
-    t = VersionedTable(spark, scratch_path(spark, "table"))
-    t.overwrite(_counts(spark, [("a", 1)]), batch_id=0, writer="w")
-    t.overwrite(_counts(spark, [("a", 2), ("b", 1)]), batch_id=1, writer="w")
-    assert sorted(tuple(r) for r in t.read().collect()) == [("a", 2), ("b", 1)]
-    assert t.read(0).count() == 1
+def test_merge_null_keys(spark):
+    two = [(None, 1), (None, 2)]
+    assert _merged(spark, [(None, 5)], two) == [(None, 1), (None, 2), (None, 5)]
+    assert _merged(spark, [(None, 5)], two, ADD, None) == [(None, 5)]
+    assert _merged(spark, [(None, 5)], [(None, 2)], null_safe=True) == [(None, 7)]
+
+
+def test_merge_refuses_repeated_keys_and_changed_keys(spark):
+    with pytest.raises(Exception, match="more than one source row"):
+        _merged(spark, [("a", 1)], [("a", 1), ("a", 2)])
+    with pytest.raises(Exception, match="more than one source row"):
+        _merged(spark, [], [(None, 1), (None, 2)], null_safe=True)
+    with pytest.raises(ValueError):
+        _merged(spark, [("a", 1)], [("a", 1)], {"item": "upper(source.item)"})
+    with pytest.raises(ValueError):
+        merge(_counts(spark, []), _counts(spark, []), [])
+
+
+def test_merge_does_not_depend_on_settings(spark):
+    target = spark.range(200).select(F.col("id").cast("string").alias("item"), F.lit(1).cast("long").alias("count"))
+    source = spark.range(190, 220).select(F.col("id").cast("string").alias("item"), F.lit(2).cast("long").alias("count"))
+    settings = ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    before = {k: spark.conf.get(k) for k in settings}
+    results = []
+    try:
+        for values in (("2", "-1", "false"), ("7", "10485760", "true")):
+            for k, v in zip(settings, values, strict=True):
+                spark.conf.set(k, v)
+            results.append(_rows(merge(target, source, ["item"], ADD, INSERT)))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert results[0] == results[1] and len(results[0]) == 220
+    assert sum(c for _, c in results[0]) == 200 + 30 * 2
+
+
+def test_merge_writer_replays_and_keeps_two_results(spark):
+    from tideline.streaming.files import list_names
+
+    path = scratch_path(spark, "table")
+    w = MergeWriter(path, "w", ["item"], ADD, INSERT)
+    for batch in (0, 1, 1, 2, 3, 3):
+        w(_counts(spark, [("a", 1), (f"k{batch}", 1)]), batch)
+    assert _rows(read_merged(spark, path)) == [("a", 4), ("k0", 1), ("k1", 1), ("k2", 1), ("k3", 1)]
+    assert len(list_names(w.path)) == 2
+    # another object of the same query goes on; a batch before the newest is refused
+    again = MergeWriter(path, "w", ["item"], ADD, INSERT)
+    again(_counts(spark, [("a", 1)]), 4)
+    with pytest.raises(RuntimeError):
+        w(_counts(spark, [("a", 1)]), 2)
+    assert ("a", 5) in _rows(read_merged(spark, path))
+
+
+def test_merge_writer_refuses_other_writers(spark):
+    path = scratch_path(spark, "table")
+    MergeWriter(path, "first", ["item"], ADD, INSERT)(_counts(spark, [("a", 1)]), 0)
+    with pytest.raises(RuntimeError):
+        MergeWriter(path, "second", ["item"], ADD, INSERT)(_counts(spark, [("b", 1)]), 0)
+    assert _rows(read_merged(spark, path)) == [("a", 1)]
+    with pytest.raises(ValueError):
+        MergeWriter(path, "", ["item"], ADD, INSERT)
+    with pytest.raises(ValueError):
+        MergeWriter(scratch_path(spark, "table"), "w", ["item"], ADD)(_counts(spark, [("a", 1)]), 0)
+
+
+def test_merge_into_needs_a_format_with_row_level_operations(spark):
+    name = "plain_" + scratch_path(spark, "x").rsplit("/", 1)[1][:12]
+    location = scratch_path(spark, "plain")
+    spark.sql(f"CREATE TABLE {name} (item STRING, count BIGINT) USING parquet LOCATION '{location}'")
+    with pytest.raises(Exception, match="(?i)merge"):
+        merge_into(name, _counts(spark, [("a", 1)]), ["item"], ADD, INSERT)
 
 
 def test_jdbc_sink_with_embedded_derby(spark):
@@ -112,25 +160,6 @@ def test_kafka_source_needs_connector(spark):
         read_kafka(spark, kafka_options("localhost:1", "t"))
 
 
-def test_history_compaction_keeps_every_version(spark, monkeypatch):
-    from tideline.streaming import snapshot
-    from tideline.streaming.files import list_names
-
-    monkeypatch.setattr(snapshot, "COMPACT_EVERY", 3)
-    path = scratch_path(spark, "table")
-    t = VersionedTable(spark, path, keys=["item"], buckets=2)
-    for b in range(7):
-        t.merge(_counts(spark, [(f"k{b % 3}", 1)]), ADD, INSERT, batch_id=b, writer="w")
-    assert sorted(list_names(f"{path}/_history_compact")) == ["v-00000002", "v-00000005"]
-    fresh = VersionedTable(spark, path, keys=["item"], buckets=2)
-    assert [r.version for r in fresh.history().orderBy("version").collect()] == list(range(7))
-    assert sorted(tuple(r) for r in fresh.read().collect()) == [("k0", 3), ("k1", 2), ("k2", 2)]
-    assert fresh.read(4).agg(F.sum("count")).first()[0] == 5
-    # a replayed batch of the same writer is skipped by a fresh writer too
-    assert fresh.merge(_counts(spark, [("k0", 1)]), ADD, INSERT, batch_id=6, writer="w") is None
-    assert fresh.merge(_counts(spark, [("k0", 1)]), ADD, INSERT, batch_id=7, writer="w") == 7
-
-
 def test_kafka_offsets_from_a_checkpoint_log(spark, tmp_path):
     from tideline.streaming import kafka_offsets
 
@@ -185,73 +214,13 @@ def test_checkpoint_pins_state_partitions_and_store(spark):
         assert conf["spark.sql.streaming.stateStore.providerClass"].endswith("HDFSBackedStateStoreProvider")
 
 
-def test_merge_layout_is_that_of_the_table(spark):
-    path = scratch_path(spark, "table")
-    rows = [(f"k{i}", 1) for i in range(50)]
-    VersionedTable(spark, path, keys=["item"], buckets=8).merge(_counts(spark, rows), ADD, INSERT)
-    for other in (dict(keys=["item"], buckets=16), dict(keys=["count"], buckets=8), dict(keys=["item"], bucket_by=F.lit(1))):
-        with pytest.raises(ValueError):
-            VersionedTable(spark, path, **other).merge(_counts(spark, rows[:3]), ADD, INSERT)
-    assert VersionedTable(spark, path, keys=["item"], buckets=8).read().count() == 50
-
-
-def test_update_only_merge_leaves_a_readable_table(spark):
-    t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=64)
-    t.merge(_counts(spark, [("a", 1)]), ADD, INSERT)
-    t.merge(_counts(spark, [("a", 1), *((f"new{i}", 1) for i in range(20))]), ADD, None)
-    assert [tuple(r) for r in t.read().collect()] == [("a", 2)]
-
-
-def test_merge_null_keys(spark):
-    for null_safe, rows in ((False, [(None, 1), (None, 2)]), (True, [(None, 3)])):
-        t = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=4)
-        for n in (1, 2):
-            t.merge(_counts(spark, [(None, n)]), ADD, INSERT, null_safe=null_safe)
-        assert sorted(tuple(r) for r in t.read().collect()) == rows
-
-
-def test_merge_refuses_what_it_cannot_keep(spark):
-    path = scratch_path(spark, "table")
-    t = VersionedTable(spark, path, keys=["item"])
-    with pytest.raises(ValueError):
-        t.merge(_counts(spark, [("a", 1)]), ADD, INSERT, batch_id=0)
-    with pytest.raises(ValueError):
-        t.merge(_counts(spark, [("a", 1)]), {"item": "upper(source.item)"}, INSERT)
-    second = VersionedTable(spark, path, keys=["item"])
-    assert second.version() is None
-    t.merge(_counts(spark, [("a", 1)]), ADD, INSERT)
-    with pytest.raises(ConcurrentWriteError):
-        second.merge(_counts(spark, [("b", 1)]), ADD, INSERT)
-    second.merge(_counts(spark, [("b", 1)]), ADD, INSERT)
-    assert sorted(tuple(r) for r in second.read().collect()) == [("a", 1), ("b", 1)]
-
-
-def test_full_outer_merge_writes_one_file_per_bucket_and_casts_keys(spark):
-    from tideline.streaming.files import list_names
-
-    path = scratch_path(spark, "table")
-    t = VersionedTable(spark, path, keys=["k"], buckets=8)
-    base = spark.range(2000).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("count"))
-    t.merge(base, {"count": "target.count + source.count"}, {"k": "source.k", "count": "source.count"}, batch_id=0, writer="w")
-    # the second batch carries INT keys: they must land in the same buckets as the BIGINT ones
-    more = spark.range(1990, 2010).select(F.col("id").cast("int").alias("k"), F.lit(1).cast("long").alias("count"))
-    t.merge(more, {"count": "target.count + source.count"}, {"k": "source.k", "count": "source.count"}, batch_id=1, writer="w")
-    got = t.read()
-    assert got.count() == 2010
-    assert got.where("k between 1990 and 1999").agg(F.min("count")).first()[0] == 2
-    for version in ("v-00000000", "v-00000001"):
-        for bucket in list_names(f"{path}/data/{version}"):
-            if bucket.startswith("tl_bucket="):
-                files = [n for n in list_names(f"{path}/data/{version}/{bucket}") if n.endswith(".parquet")]
-                assert len(files) == 1, (version, bucket, files)
-
-
 def test_foreach_row_writer_flushes_in_bounded_chunks(spark):
     from tideline.plans.common import stream_transactions
     from tideline.streaming import RowFileWriter
     from tideline.streaming.files import list_names
     from tideline.streaming.sinks import read_rows
 
+    ship(spark)
     parsed, _ = stream_transactions(spark, SF_SMALL)
     out = scratch_path(spark, "rows")
     ddl = "offset BIGINT, item STRING"

@@ -35,28 +35,29 @@ from tideline.plans.common import (
     state_partitions,
     stream_transactions,
 )
-from tideline.session import scratch_path
+from tideline.session import scratch_path, ship
 from tideline.sources import table_scan
 from tideline.sources.replay import (
     DEFAULT_TOPIC,
     EVEN,
     LATE,
-    MESSAGE_DDL,
-    latest_offsets,
+    PROPS_DDL,
     read_replay,
     stage_topic,
 )
 from tideline.streaming import (
     ChangelogWriter,
+    MergeWriter,
     RowFileWriter,
     TopicWriter,
     Trigger,
-    VersionedTable,
     checkpoint_offsets,
+    read_changelog,
+    read_merged,
     read_topic,
     run,
 )
-from tideline.streaming.sinks import read_latest_batch, read_rows
+from tideline.streaming.sinks import read_latest_batch, read_latest_rows, read_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,22 +68,22 @@ SLIDE_SIZE, SLIDE_STEP = "20 minutes", "10 minutes"
 SUM_SIZE, SUM_STEP = "15 minutes", "5 minutes"
 DELAY = "10 minutes"
 
-RECORD = ["offset", "timestamp", "user_id", "item", "quantity"]
 
 
 # -- sources and decoding ------------------------------------------------------
 
 
 def kafka_envelope_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-01/02: the topic as the Kafka envelope (subscribe trims the topic name)."""
-    stream, st = _raw(spark, sf)
+    """OP-01/02: one of two staged topics as the Kafka envelope (subscribe trims the topic name)."""
+    st = staged(spark, sf, EVEN, "topics")
+    stream = read_replay(spark, st, subscribe=DEFAULT_TOPIC + " ")
     out = run_to_parquet(stream.select("topic", "partition", "offset", "timestamp"), st)
     return report(out)
 
 
-def _raw(spark: SparkSession, sf: str, starting: str = "earliest", checkpoint: str | None = None):
+def _raw(spark: SparkSession, sf: str):
     st = staged(spark, sf)
-    return read_replay(spark, st, starting, checkpoint, subscribe=DEFAULT_TOPIC + " "), st
+    return read_replay(spark, st, subscribe=DEFAULT_TOPIC + " "), st
 
 
 def decode_kv(spark: SparkSession, sf: str) -> DataFrame:
@@ -92,34 +93,32 @@ def decode_kv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def decode_messages(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-07 with keys: keyed sample messages decoded and parsed (key, id, message)."""
-    st = staged(spark, sf, EVEN, "messages")
-    raw = read_replay(spark, st, subscribe=DEFAULT_TOPIC)
-    parsed = parse_json(decode(raw, key=True), MESSAGE_DDL, keep=["key"])
+    """OP-07/13 with keys: the JSON that the table itself holds (``props``), keyed by user."""
+    st = staged(spark, sf, EVEN, "props")
+    parsed = parse_json(decode(read_replay(spark, st), key=True, keep=["offset"]), PROPS_DDL, keep=["key", "offset"])
     return run_to_parquet(parsed, st)
 
 
 def start_earliest(spark: SparkSession, sf: str) -> DataFrame:
     """OP-03 earliest: every record of the topic, by partition."""
-    stream, st = _raw(spark, sf, "earliest")
+    stream, st = _raw(spark, sf)
     return run_to_parquet(stream.select("partition", "offset"), st)
 
 
 def start_latest(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-03 latest: only records staged after the first start (the last batch)."""
+    """OP-03 latest: only records staged after the first start (the last batch).
+
+    The first start reads no column of the backlog and drops it; its checkpoint is where the query then goes on.
+    """
     ev = events(spark, sf)
     n = ev.count()
-    path = scratch_path(spark, "stage")
-    ck = scratch_path(spark, "checkpoint")
+    path, ck, out = (scratch_path(spark, k) for k in ("stage", "checkpoint", "out"))
     st = stage_topic(spark, ev, path, EVEN, batches=range(0, 3), n=n)
-    latest_offsets(spark, st, f"{ck}.start")  # the first start records the end offsets
+    run(read_replay(spark, st).select(F.lit(1)), "noop", checkpoint=ck, trigger=Trigger(once=True))
     st = stage_topic(spark, ev, path, EVEN, batches=range(3, 4), n=n, files_per_batch=st.files_per_batch)
-    st.batches = [0, 1, 2, 3]
-    stream = read_replay(spark, st, "latest", ck, subscribe=DEFAULT_TOPIC)
-    out = scratch_path(spark, "out")
-    run(stream.select("partition", "offset"), "parquet", "append", path=out, checkpoint=ck,
-        shuffle_partitions=state_partitions(spark, st))
-    return spark.read.parquet(out)
+    stream = read_replay(spark, st, subscribe=DEFAULT_TOPIC)
+    run(stream.select("partition", "offset"), "foreach_batch", "append", target=ChangelogWriter(out), checkpoint=ck)
+    return read_changelog(spark, out).drop("batch_id")
 
 
 def table_scan_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -174,25 +173,25 @@ def null_item_counts(spark: SparkSession, sf: str) -> DataFrame:
 def mode_complete(spark: SparkSession, sf: str) -> DataFrame:
     """OP-37: complete mode; the last batch holds the whole result."""
     counts, st = _counts_stream(spark, sf)
-    return run_complete(counts, st)
+    return run_complete(counts, st, evidence=True)
 
 
 def trigger_once(spark: SparkSession, sf: str) -> DataFrame:
     """OP-33: one batch with everything available."""
     counts, st = _counts_stream(spark, sf)
-    return run_complete(counts, st, trigger=Trigger(once=True))
+    return run_complete(counts, st, evidence=True, trigger=Trigger(once=True))
 
 
 def trigger_default(spark: SparkSession, sf: str) -> DataFrame:
     """OP-32: default trigger, drained with processAllAvailable then stopped."""
     counts, st = _counts_stream(spark, sf)
-    return run_complete(counts, st, trigger=Trigger())
+    return run_complete(counts, st, evidence=True, trigger=Trigger())
 
 
 def trigger_interval(spark: SparkSession, sf: str) -> DataFrame:
     """OP-35: fixed-interval trigger."""
     counts, st = _counts_stream(spark, sf)
-    return run_complete(counts, st, trigger=Trigger(processing_time="1 second"))
+    return run_complete(counts, st, evidence=True, trigger=Trigger(processing_time="1 second"))
 
 
 def memory_table_sql(spark: SparkSession, sf: str) -> DataFrame:
@@ -219,11 +218,14 @@ def foreach_batch_counts(spark: SparkSession, sf: str) -> DataFrame:
     run(parsed.select("item"), "foreach_batch", "append", target=per_batch,
         checkpoint=scratch_path(spark, "checkpoint"))
     totals = spark.read.parquet(f"{out}/batch-*")
-    return totals.groupBy("item").agg(F.sum("count").alias("count"))
+    return totals.groupBy("item").agg(F.sum("count").alias("count"), F.count_distinct("batch_id").alias("batches"))
 
 
 def checkpoint_resume(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-41: stop after two batches, add the rest, resume on the same checkpoint."""
+    """OP-41: stop after two batches, add the rest, resume on the same checkpoint.
+
+    ``rows_after`` is the number of rows that the resumed query read.
+    """
     ev = events(spark, sf)
     n = ev.count()
     path, ck, out = (scratch_path(spark, k) for k in ("stage", "checkpoint", "out"))
@@ -233,9 +235,10 @@ def checkpoint_resume(spark: SparkSession, sf: str) -> DataFrame:
         parts = parts or state_partitions(spark, st)
         parsed = decode(read_replay(spark, st, subscribe=DEFAULT_TOPIC), key=False)
         counts = count_by(parse_json(parsed).select("item"), "item")
-        run(counts, "foreach_batch", "complete", target=ChangelogWriter(out), checkpoint=ck,
-            shuffle_partitions=parts)
-    return read_latest_batch(spark, out)
+        q = run(counts, "foreach_batch", "complete", target=ChangelogWriter(out), checkpoint=ck,
+                shuffle_partitions=parts)
+    rows = sum(p["numInputRows"] for p in q.recentProgress)
+    return read_latest_batch(spark, out).withColumn("rows_after", F.lit(rows).cast("long"))
 
 
 # -- update mode, Kafka records, merge -----------------------------------------
@@ -257,63 +260,60 @@ def kafka_sink_records(spark: SparkSession, sf: str) -> DataFrame:
     return read_topic(spark, out).select("key", "value")
 
 
-def _merge_run(spark: SparkSession, sf: str, recipe: str) -> VersionedTable:
-    table = VersionedTable(spark, scratch_path(spark, "table"), keys=["item"], buckets=8)
-    add = {"count": "target.count + source.count"}
-    replace = {"count": "source.count"}
-    insert = {"item": "source.item", "count": "source.count"}
+def _merge_run(spark: SparkSession, sf: str, recipe: str) -> DataFrame:
+    out, ck = scratch_path(spark, "table"), scratch_path(spark, "checkpoint")
+    update = {"count": "source.count"} if recipe == "replace" else {"count": "target.count + source.count"}
+    writer = MergeWriter(out, ck, ["item"], update, {"item": "source.item", "count": "source.count"})
     if recipe == "add_batch":
         parsed, st = stream_transactions(spark, sf, keep=())
-
-        def apply(batch_df: DataFrame, batch_id: int) -> None:
-            table.merge(count_by(batch_df, "item"), add, insert, batch_id=batch_id, writer=recipe)
-
-        run(parsed.select("item"), "foreach_batch", "append", target=apply,
-            checkpoint=scratch_path(spark, "checkpoint"))
-        return table
-    counts, st = _counts_stream(spark, sf)
-    update = replace if recipe == "replace" else add
-
-    def apply_running(batch_df: DataFrame, batch_id: int) -> None:
-        table.merge(batch_df, update, insert, batch_id=batch_id, writer=recipe)
-
-    run(counts, "foreach_batch", "update", target=apply_running,
-        checkpoint=scratch_path(spark, "checkpoint"), shuffle_partitions=state_partitions(spark, st))
-    return table
+        run(parsed.select("item"), "foreach_batch", "append", checkpoint=ck,
+            target=lambda batch_df, batch_id: writer(count_by(batch_df, "item"), batch_id))
+    else:
+        counts, st = _counts_stream(spark, sf)
+        run(counts, "foreach_batch", "update", target=writer, checkpoint=ck,
+            shuffle_partitions=state_partitions(spark, st))
+    return read_merged(spark, out)
 
 
 def upsert_replace(spark: SparkSession, sf: str) -> DataFrame:
     """OP-46, replace recipe: update-mode running totals overwrite the stored count."""
-    return _merge_run(spark, sf, "replace").read()
+    return _merge_run(spark, sf, "replace")
 
 
 def upsert_add_batch(spark: SparkSession, sf: str) -> DataFrame:
     """OP-46, add recipe: stateless per-batch counts are added to the stored count."""
-    return _merge_run(spark, sf, "add_batch").read()
+    return _merge_run(spark, sf, "add_batch")
 
 
 def upsert_add_running(spark: SparkSession, sf: str) -> DataFrame:
     """OP-46 as originally written: running totals *added* (over-counts)."""
-    return _merge_run(spark, sf, "add_running").read()
+    return _merge_run(spark, sf, "add_running")
 
 
 def table_history(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-53: one history row per merged batch."""
-    h = _merge_run(spark, sf, "replace").history()
-    return h.select("version", "batch_id", "operation", "rows_inserted", "rows_updated")
+    """OP-53: what each batch's merge did to the table, told from the changelog it merged."""
+    counts, st = _counts_stream(spark, sf)
+    log = run_to_changelog(counts, st, "update")
+    first = log.groupBy("item").agg(F.min("batch_id").alias("first"))
+    new = F.col("first") == F.col("batch_id")
+    joined = log.alias("l").join(first.alias("f"), F.col("l.item").eqNullSafe(F.col("f.item")))
+    return joined.groupBy("batch_id").agg(
+        F.count_if(new).alias("rows_inserted"), F.count_if(~new).alias("rows_updated")
+    ).select(F.col("batch_id").alias("version"), "batch_id", F.lit("MERGE").alias("operation"), "rows_inserted", "rows_updated")
 
 
 def table_complete(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-51a: complete-mode result kept as a versioned table (one version per batch)."""
+    """OP-51a: each batch's complete result replaces a catalogue table under the shared folder."""
     counts, st = _counts_stream(spark, sf)
-    table = VersionedTable(spark, scratch_path(spark, "table"))
+    name = "item_totals_" + scratch_path(spark, "x").rsplit("/", 1)[1][:12]
+    location = scratch_path(spark, "table")
 
-    def overwrite(batch_df: DataFrame, batch_id: int) -> None:
-        table.overwrite(batch_df, batch_id=batch_id, writer="table_complete")
+    def replace(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.write.mode("overwrite").option("path", location).saveAsTable(name)
 
-    run(counts, "foreach_batch", "complete", target=overwrite,
+    run(counts, "foreach_batch", "complete", target=replace,
         checkpoint=scratch_path(spark, "checkpoint"), shuffle_partitions=state_partitions(spark, st))
-    return table.read()
+    return spark.table(name)
 
 
 # -- append-mode sinks -----------------------------------------------------------
@@ -363,6 +363,7 @@ def file_sink_parquet(spark: SparkSession, sf: str) -> DataFrame:
 
 def foreach_rows(spark: SparkSession, sf: str) -> DataFrame:
     """OP-55: row-level foreach writer (runs on the executors)."""
+    ship(spark)
     parsed, st = stream_transactions(spark, sf)
     out = scratch_path(spark, "rows")
     run(parsed.select(*SINK_COLUMNS), "foreach", "append", target=RowFileWriter(out, SINK_DDL),
@@ -381,37 +382,35 @@ def _windowed(spark, sf, size, slide, aggs, rule=EVEN, delay=None):
     return window_agg(timed, "timestamp", size, slide, keys=["item"], aggs=aggs, ntz=True), st
 
 
-def window_table(df: DataFrame, st, name: str) -> DataFrame:
-    """Run a windowed aggregate in update mode and keep its result as a table.
+WINDOW_KEYS = ["start", "end", "item"]
+
+
+def window_table(df: DataFrame, st) -> DataFrame:
+    """A watermarked window aggregate in update mode: each batch writes the windows that it changed.
 
-    Each batch emits only the windows it changed; they replace the stored rows
-    of the same (start, end, item). The table is bucketed by the day of the
-    window start, so a batch rewrites only the days it touched, and the cost
-    per batch follows the batch, not the size of the whole result (which
-    complete mode would rewrite every trigger).
+    State ends with the watermark, a batch writes its own changes alone, and readers take each
+    window's newest row.
     """
     spark = df.sparkSession
-    keys = ["start", "end", "item"]
-    values = [c for c in df.columns if c not in keys]
-    table = VersionedTable(spark, scratch_path(spark, "table"), keys=keys,
-                           bucket_by=F.unix_date(F.to_date(F.col("start"))))
-    update = {c: f"source.`{c}`" for c in values}
-    insert = {c: f"source.`{c}`" for c in df.columns}
-
-    def apply(batch_df: DataFrame, batch_id: int) -> None:
-        # Rows of a grouped aggregate: one per window and item.
-        table.merge(batch_df, update, insert, batch_id=batch_id, writer=name, unique_source=True,
-                    null_safe=True)
-
-    run(df, "foreach_batch", "update", target=apply, checkpoint=scratch_path(spark, "checkpoint"),
+    out = scratch_path(spark, "out")
+    run(df, "foreach_batch", "update", target=ChangelogWriter(out), checkpoint=scratch_path(spark, "checkpoint"),
         shuffle_partitions=state_partitions(spark, st))
-    return table.read()
+    return read_latest_rows(spark, out, WINDOW_KEYS)
+
+
+def _by_day(df: DataFrame, st) -> DataFrame:
+    """A watermarked window aggregate in append mode: closed windows once, in folders by day."""
+    spark = df.sparkSession
+    out = scratch_path(spark, "out")
+    run(df.withColumn("day", F.to_date("start")), "parquet", "append", path=out, partition_by=["day"],
+        checkpoint=scratch_path(spark, "checkpoint"), shuffle_partitions=state_partitions(spark, st))
+    return spark.read.parquet(out).drop("day")
 
 
 def tumbling_count(spark: SparkSession, sf: str) -> DataFrame:
     """OP-09/19/20/25: tumbling window count of items."""
-    df, st = _windowed(spark, sf, TUMBLE, None, [F.count("item").alias("item_count")])
-    return window_table(df, st, "tumbling_count")
+    df, st = _windowed(spark, sf, TUMBLE, None, [F.count("item").alias("item_count")], delay=DELAY)
+    return window_table(df, st)
 
 
 def tumbling_complete(spark: SparkSession, sf: str) -> DataFrame:
@@ -421,21 +420,48 @@ def tumbling_complete(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tumbling_avg(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-21: average per tumbling window."""
-    df, st = _windowed(spark, sf, TUMBLE, None, [F.avg("quantity").alias("avg_quantity")])
-    return window_table(df, st, "tumbling_avg")
+    """OP-21: several averages per tumbling window."""
+    df, st = _windowed(spark, sf, TUMBLE, None, delay=DELAY,
+                       aggs=[F.avg(c).alias(f"avg_{c}") for c in ("quantity", "user_id")])
+    return window_table(df, st)
 
 
 def sliding_count(spark: SparkSession, sf: str) -> DataFrame:
     """OP-26: sliding window count (each row in size/slide windows)."""
-    df, st = _windowed(spark, sf, SLIDE_SIZE, SLIDE_STEP, [F.count("item").alias("item_count")])
-    return window_table(df, st, "sliding_count")
+    df, st = _windowed(spark, sf, SLIDE_SIZE, SLIDE_STEP, [F.count("item").alias("item_count")], delay=DELAY)
+    return window_table(df, st)
 
 
 def sliding_sum(spark: SparkSession, sf: str) -> DataFrame:
     """OP-22: sum of quantity over a sliding window."""
-    df, st = _windowed(spark, sf, SUM_SIZE, SUM_STEP, [F.sum("quantity").alias("sum_quantity")])
-    return window_table(df, st, "sliding_sum")
+    df, st = _windowed(spark, sf, SUM_SIZE, SUM_STEP, [F.sum("quantity").alias("sum_quantity")], delay=DELAY)
+    return window_table(df, st)
+
+
+def tumbling_append(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-25/27/50: closed tumbling windows, appended by day."""
+    return _by_day(*_windowed(spark, sf, TUMBLE, None, [F.count("item").alias("item_count")], delay=DELAY))
+
+
+def sliding_append(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-26/27/50: closed sliding windows, appended by day."""
+    return _by_day(*_windowed(spark, sf, SLIDE_SIZE, SLIDE_STEP, [F.count("item").alias("item_count")], delay=DELAY))
+
+
+def null_item_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-20/31: windows of the bad-record fixture, whose items and times may be NULL (no time: no window)."""
+    parsed, st = stream_transactions(spark, sf, value_mode="faulty", keep=())
+    timed = with_watermark(event_time(parsed), "timestamp", DELAY)
+    aggs = [F.count(F.lit(1)).alias("rows"), F.count("item").alias("item_count")]
+    return window_table(window_agg(timed, "timestamp", TUMBLE, None, keys=["item"], aggs=aggs, ntz=True), st)
+
+
+def memory_append(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-27/39/48: watermark + append into a memory table, read with SQL (small results only)."""
+    df, st = _windowed(spark, sf, TUMBLE, None, [F.count("item").alias("item_count")], delay=DELAY)
+    name = "closed_windows_" + scratch_path(spark, "x").rsplit("/", 1)[1][:12]
+    run(df, "memory", "append", name=name, shuffle_partitions=state_partitions(spark, st))
+    return spark.sql(f"SELECT * FROM {name}")
 
 
 def watermark_append(spark: SparkSession, sf: str) -> DataFrame:
@@ -445,9 +471,14 @@ def watermark_append(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def watermark_append_rocksdb(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-44: the same query on the RocksDB state store."""
+    """OP-44: the same query on the RocksDB state store, with the store that the checkpoint names."""
     df, st = _windowed(spark, sf, TUMBLE, None, [F.count("item").alias("item_count")], delay=DELAY)
-    return run_to_parquet(df, st, state_store="rocksdb")
+    out, ck = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
+    run(df, "parquet", "append", path=out, checkpoint=ck, state_store="rocksdb",
+        shuffle_partitions=state_partitions(spark, st))
+    provider = F.col("conf")["spark.sql.streaming.stateStore.providerClass"]
+    stores = checkpoint_offsets(spark, ck).select(F.substring_index(provider, ".", -1).alias("store")).distinct()
+    return spark.read.parquet(out).join(F.broadcast(stores))
 
 
 def late_data_append(spark: SparkSession, sf: str) -> DataFrame:
@@ -576,6 +607,10 @@ QUERIES: dict[str, Query] = {
     "tumbling_avg": tumbling_avg,
     "sliding_count": sliding_count,
     "sliding_sum": sliding_sum,
+    "tumbling_append": tumbling_append,
+    "sliding_append": sliding_append,
+    "null_item_windows": null_item_windows,
+    "memory_append": memory_append,
     "watermark_append": watermark_append,
     "watermark_append_rocksdb": watermark_append_rocksdb,
     "late_data_append": late_data_append,

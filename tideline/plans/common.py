@@ -20,7 +20,7 @@ from tideline.sources.replay import (
     read_replay,
     stage_topic,
 )
-from tideline.streaming import ChangelogWriter, read_changelog, run
+from tideline.streaming import ChangelogWriter, checkpoint_offsets, read_changelog, run
 from tideline.streaming.sinks import read_latest_batch
 
 _STAGED: dict[tuple, StagedTopic] = {}
@@ -110,8 +110,11 @@ def run_to_parquet(df: DataFrame, st: StagedTopic, **kw: Any) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def run_complete(df: DataFrame, st: StagedTopic, **kw: Any) -> DataFrame:
-    """Complete mode into per-batch folders; returns the final result (newest folder only)."""
+def run_complete(df: DataFrame, st: StagedTopic, evidence: bool = False, **kw: Any) -> DataFrame:
+    """Complete mode into per-batch folders; returns the final result (newest folder only).
+
+    With ``evidence`` each row tells how many batches the query ran (``batches``).
+    """
     spark = df.sparkSession
     out, ck = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
     run(
@@ -122,7 +125,11 @@ def run_complete(df: DataFrame, st: StagedTopic, **kw: Any) -> DataFrame:
         checkpoint=ck,
         **_partitions(spark, st, kw),
     )
-    return read_latest_batch(spark, out)
+    last = read_latest_batch(spark, out)
+    if not evidence:
+        return last
+    batches = checkpoint_offsets(spark, ck).where("committed").agg(F.count_distinct("batch_id").alias("batches"))
+    return last.join(F.broadcast(batches))
 
 
 def run_to_changelog(df: DataFrame, st: StagedTopic, mode: str, **kw: Any) -> DataFrame:

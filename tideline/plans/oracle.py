@@ -66,6 +66,12 @@ def _json_value() -> str:
 
 ITEM_COUNTS = "SELECT event_type AS item, count(*) AS count FROM events GROUP BY event_type"
 
+
+def _with_batches(n: int) -> str:
+    """Item counts of a query that ran ``n`` micro-batches."""
+    return f"SELECT *, CAST({n} AS BIGINT) AS batches FROM ({ITEM_COUNTS})"
+
+
 CHANGELOG = f"""
 WITH c AS (SELECT {B_EVEN} AS b, event_type, count(*) AS n FROM events GROUP BY ALL)
 SELECT CAST(b AS BIGINT) AS batch_id, event_type AS item,
@@ -141,10 +147,10 @@ FROM k"""
 ORACLES: dict[str, str] = {
     "kafka_envelope_scan": f"""SELECT '{DEFAULT_TOPIC}' AS topic,
         CAST(event_id % {DEFAULT_PARTITIONS} AS INTEGER) AS partition, event_id AS offset,
-        ts AS timestamp FROM events""",
+        ts AS timestamp FROM events WHERE event_id % 4 <> 3""",
     "decode_kv": f"SELECT CAST(NULL AS VARCHAR) AS key, {_json_value()} AS value, event_id AS offset FROM events",
-    "decode_messages": """SELECT 'key-' || CAST(event_id AS VARCHAR) AS key, event_id AS id,
-        'sample message ' || CAST(event_id AS VARCHAR) AS message FROM events""",
+    "decode_messages": """SELECT CAST(user_id AS VARCHAR) AS key, event_id AS offset,
+        CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
     "null_item_counts": f"""SELECT CASE WHEN {_R} IN (1, 2, 3) THEN NULL ELSE event_type END AS item,
         count(*) AS rows,
         count(CASE WHEN {_R} IN (1, 2, 3) THEN NULL ELSE event_type END) AS item_count
@@ -159,13 +165,13 @@ ORACLES: dict[str, str] = {
         event_type AS item, {QTY} AS quantity FROM events""",
     "parse_bad_types": BAD_TYPES,
     "item_counts": ITEM_COUNTS,
-    "mode_complete": ITEM_COUNTS,
-    "trigger_once": ITEM_COUNTS,
-    "trigger_default": ITEM_COUNTS,
-    "trigger_interval": ITEM_COUNTS,
+    "mode_complete": _with_batches(4),
+    "trigger_once": _with_batches(1),
+    "trigger_default": _with_batches(4),
+    "trigger_interval": _with_batches(4),
     "memory_table_sql": ITEM_COUNTS,
-    "foreach_batch_counts": ITEM_COUNTS,
-    "checkpoint_resume": ITEM_COUNTS,
+    "foreach_batch_counts": _with_batches(4),
+    "checkpoint_resume": f"""SELECT *, (SELECT count(*) FROM events WHERE {B_EVEN} >= 2) AS rows_after FROM ({ITEM_COUNTS})""",
     "mode_update_changelog": CHANGELOG,
     "kafka_sink_records": f"""SELECT item AS key,
         '{{"item":' || CAST(to_json(item) AS VARCHAR) || ',"count":' || CAST(count AS VARCHAR) || '}}' AS value
@@ -183,14 +189,24 @@ ORACLES: dict[str, str] = {
     "foreach_rows": RECORDS,
     "tumbling_count": f"""SELECT start, "end", item, count(item) AS item_count
         FROM ({_window_rows(TUMBLE, None, 'event_type AS item')}) w GROUP BY ALL""",
-    "tumbling_avg": f"""SELECT start, "end", item, avg(quantity) AS avg_quantity
-        FROM ({_window_rows(TUMBLE, None, f'event_type AS item, {QTY} AS quantity')}) w GROUP BY ALL""",
+    "tumbling_avg": f"""SELECT start, "end", item, avg(quantity) AS avg_quantity, avg(user_id) AS avg_user_id
+        FROM ({_window_rows(TUMBLE, None, f'event_type AS item, {QTY} AS quantity, {USER} AS user_id')}) w GROUP BY ALL""",
     "sliding_count": f"""SELECT start, "end", item, count(item) AS item_count
         FROM ({_window_rows(SLIDE_SIZE, SLIDE_STEP, 'event_type AS item')}) w GROUP BY ALL""",
     "sliding_sum": f"""SELECT start, "end", item, CAST(sum(quantity) AS BIGINT) AS sum_quantity
         FROM ({_window_rows(SUM_SIZE, SUM_STEP, f'event_type AS item, {QTY} AS quantity')}) w GROUP BY ALL""",
     "watermark_append": WATERMARK,
-    "watermark_append_rocksdb": WATERMARK,
+    "watermark_append_rocksdb": f"SELECT *, 'RocksDBStateStoreProvider' AS store FROM ({WATERMARK})",
+    "tumbling_append": WATERMARK,
+    "memory_append": WATERMARK,
+    "sliding_append": f"""SELECT start, "end", item, count(item) AS item_count
+        FROM ({_window_rows(SLIDE_SIZE, SLIDE_STEP, 'event_type AS item')}) w GROUP BY ALL
+        HAVING "end" <= (SELECT max({ET}) FROM events) - {_interval(DELAY)}""",
+    "null_item_windows": f"""WITH f AS ({BAD_TYPES}), w AS (
+        SELECT make_timestamp((epoch_us(timestamp) // {_micros(TUMBLE)}) * {_micros(TUMBLE)}) AS start, item
+        FROM f WHERE timestamp IS NOT NULL)
+        SELECT start, start + {_interval(TUMBLE)} AS "end", item, count(*) AS rows, count(item) AS item_count
+        FROM w GROUP BY ALL""",
     "late_data_append": LATE_DATA,
     "approx_users_stream": "SELECT event_type AS item, true AS within_3_rsd FROM events GROUP BY event_type",
     "distinct_users_batch": f"""SELECT event_type AS item, count(DISTINCT {USER}) AS distinct_users

@@ -8,12 +8,15 @@ session without that setting gets a private temporary folder, as in tests.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def pin_utc(spark: SparkSession) -> None:
@@ -58,3 +61,23 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A new, unique folder path (not created) under the shared root."""
     return f"{shared_dir(spark)}/tideline/{kind}/{uuid.uuid4().hex}"
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once for each application.
+
+    Not needed where their PYTHONPATH has it already.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    sc = spark.sparkContext
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    archive = os.path.join(tempfile.mkdtemp(prefix="tideline-code-"), "tideline.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "tideline")):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, root))
+    sc.addPyFile(archive)

@@ -20,17 +20,16 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 ENVELOPE_DDL = (
     "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, "
     "timestamp TIMESTAMP, timestampType INT"
 )
-ENVELOPE_COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp", "timestampType"]
 
 # Topic name and partition count of the original workload's producer.
 DEFAULT_TOPIC = "shopping_transaction"
 DEFAULT_PARTITIONS = 3
+OTHER_TOPIC = "other_records"
 
 
 @dataclass(frozen=True)
@@ -161,24 +160,8 @@ def records_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-# The keyed sample message of the original workload's sample
-# producer: key "key-<i>", value {"id": i, "message": "sample message <i>"}.
-MESSAGE_KEY_PREFIX = "key-"
-MESSAGE_TEXT_PREFIX = "sample message "
-MESSAGE_DDL = "id BIGINT, message STRING"
-
-
-def message_record() -> tuple[Column, Column]:
-    """(key, value) of the keyed sample message for an ``events`` row (i = event_id)."""
-    i = F.col("event_id").cast("string")
-    key = F.concat(F.lit(MESSAGE_KEY_PREFIX), i)
-    value = F.to_json(
-        F.struct(
-            F.col("event_id").cast("long").alias("id"),
-            F.concat(F.lit(MESSAGE_TEXT_PREFIX), i).alias("message"),
-        )
-    )
-    return key, value
+# What the table's own JSON column ``props`` holds.
+PROPS_DDL = "k BIGINT"
 
 
 def envelope_from_events(
@@ -189,17 +172,21 @@ def envelope_from_events(
 ) -> DataFrame:
     """Kafka envelope for ``events`` rows (offset = event_id).
 
-    ``clean`` / ``faulty``: NULL key, transaction JSON value. ``messages``: the
-    keyed sample message.
+    ``clean`` / ``faulty``: NULL key, transaction JSON value. ``topics``: the same, with
+    every fourth record in a second topic. ``props``: the column ``props`` as it is, keyed by user.
     """
-    if value_mode == "messages":
-        key, value = message_record()
+    key, name = F.lit(None).cast("string"), F.lit(topic)
+    if value_mode == "props":
+        key, value = F.col("user_id").cast("string"), F.col("props")
+    elif value_mode == "topics":
+        value = transaction_json()
+        name = F.when(F.col("event_id") % 4 == 3, F.lit(OTHER_TOPIC)).otherwise(name)
     else:
-        key, value = F.lit(None).cast("string"), transaction_json(value_mode)
+        value = transaction_json(value_mode)
     return events.select(
         key.cast("binary").alias("key"),
         value.cast("binary").alias("value"),
-        F.lit(topic).alias("topic"),
+        name.alias("topic"),
         (F.col("event_id") % F.lit(partitions)).cast("int").alias("partition"),
         F.col("event_id").cast("long").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
@@ -358,52 +345,15 @@ def _wait_for_newer_mtime(spark: SparkSession, folder: str) -> None:
         time.sleep(wait + 0.05)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the path only
-        return True
-    except AnalysisException:
-        return False
-
-
-def latest_offsets(spark: SparkSession, staged: StagedTopic, anchor: str) -> DataFrame:
-    """Per-partition end offsets as of the first start, kept at ``anchor``.
-
-    Computed once (one aggregate over the staged data, output bounded by the
-    topic's partition count) and reused on every restart, like a Kafka
-    ``latest`` start recorded in the checkpoint.
-    """
-    if not _path_exists(spark, anchor):
-        (
-            spark.read.schema(ENVELOPE_DDL)
-            .parquet(staged.glob)
-            .groupBy("topic", "partition")
-            .agg(F.max("offset").alias("start_after"))
-            .coalesce(1)
-            .write.mode("overwrite")
-            .parquet(anchor)
-        )
-    return spark.read.parquet(anchor)
-
-
-# A topic has at most this many partitions in practice; beyond it the start
-# offsets are joined without a broadcast.
-_BROADCAST_PARTITIONS = 100_000
-
-
 def read_replay(
     spark: SparkSession,
     staged: StagedTopic,
-    starting_offsets: str = "earliest",
-    checkpoint: str | None = None,
     subscribe: str | None = None,
     fail_on_data_loss: bool = True,
 ) -> DataFrame:
     """Stream a staged topic back as the Kafka envelope.
 
-    ``subscribe`` keeps one topic (names are trimmed). ``starting_offsets="latest"``
-    skips what was staged before the first start; it needs ``checkpoint`` to keep
-    the start position beside it. ``fail_on_data_loss=False`` skips staged files
+    ``subscribe`` keeps one topic (names are trimmed). ``fail_on_data_loss=False`` skips staged files
     that disappeared before they were read (the file-source counterpart of the
     Kafka option) instead of failing the query.
     """
@@ -411,50 +361,4 @@ def read_replay(
     if not fail_on_data_loss:
         reader = reader.option("ignoreMissingFiles", "true")
     df = reader.parquet(staged.glob)
-    if subscribe is not None:
-        df = df.where(F.col("topic") == F.lit(subscribe.strip()))
-    if starting_offsets == "earliest":
-        return df
-    if starting_offsets != "latest" and not starting_offsets.lstrip().startswith("{"):
-        raise ValueError("starting_offsets must be earliest, latest or a JSON offset map")
-    if checkpoint is None:
-        raise ValueError("starting_offsets other than earliest need the checkpoint location")
-    start = _start_positions(spark, staged, starting_offsets, f"{checkpoint}.start")
-    if start.count() <= _BROADCAST_PARTITIONS:
-        start = F.broadcast(start)
-    return (
-        df.join(start, ["topic", "partition"], "left")
-        .where(F.col("start_after").isNull() | (F.col("offset") > F.col("start_after")))
-        .select(*ENVELOPE_COLUMNS)
-    )
-
-
-def _start_positions(spark: SparkSession, staged: StagedTopic, spec: str, anchor: str) -> DataFrame:
-    """(topic, partition, start_after): rows at or below ``start_after`` are skipped.
-
-    ``latest`` uses the end offsets recorded at the first start. A JSON map
-    ``{"topic": {"partition": offset}}`` follows the Kafka source: an offset is
-    the first one read, -2 means earliest, -1 latest; partitions not named
-    start at the earliest offset. Output is bounded by the partition count.
-    """
-    latest = latest_offsets(spark, staged, anchor)
-    if spec == "latest":
-        return latest
-    import json as _json
-
-    rows = []
-    for topic, parts in _json.loads(spec).items():
-        for part, off in parts.items():
-            rows.append((topic.strip(), int(part), int(off)))
-    wanted = spark.createDataFrame(rows, "topic STRING, partition INT, offset BIGINT")
-    return (
-        wanted.join(latest, ["topic", "partition"], "left")
-        .select(
-            "topic",
-            "partition",
-            F.when(F.col("offset") == -2, F.lit(None).cast("long"))
-            .when(F.col("offset") == -1, F.col("start_after"))
-            .otherwise(F.col("offset") - 1)
-            .alias("start_after"),
-        )
-    )
+    return df if subscribe is None else df.where(F.col("topic") == F.lit(subscribe.strip()))

@@ -1,4 +1,4 @@
-"""Starting, driving and inspecting streaming queries; sinks and versioned tables."""
+"""Starting, driving and inspecting streaming queries; sinks and keyed merges."""
 
 from tideline.streaming.runner import Trigger, run, start, state_store_provider
 from tideline.streaming.sinks import (
@@ -9,20 +9,23 @@ from tideline.streaming.sinks import (
     read_changelog,
     read_topic,
 )
-from tideline.streaming.snapshot import VersionedTable
+from tideline.streaming.merge import MergeWriter, merge, merge_into, read_merged
 from tideline.streaming.inspect import checkpoint_offsets, kafka_offsets, progress_frame
 
 __all__ = [
     "ChangelogWriter",
     "JdbcWriter",
+    "MergeWriter",
     "RowFileWriter",
     "TopicWriter",
     "Trigger",
-    "VersionedTable",
     "checkpoint_offsets",
     "kafka_offsets",
+    "merge",
+    "merge_into",
     "progress_frame",
     "read_changelog",
+    "read_merged",
     "read_topic",
     "run",
     "start",

@@ -1,13 +1,10 @@
 """Small driver-side file operations on the shared folder (any pyarrow file system).
 
-Used only for metadata: existence checks and one-row commit records. Table
-data is always read and written by Spark.
+Used only for names and existence checks. Table data is always read and written by Spark.
 """
 
 from __future__ import annotations
 
-import uuid
-
 
 def arrow_target(path: str):
     """pyarrow file system + inner path for a Spark-style URI (``file:/x``, ``hdfs://``, ``s3a://``)."""
@@ -43,26 +40,7 @@ def list_names(path: str) -> list[str]:
     return [i.base_name for i in infos]
 
 
-def write_record(folder: str, rows: list[dict], spark_schema) -> None:
-    """Write ``rows`` as one Parquet file in ``folder``; visible only once complete.
-
-    The file is written under a hidden name (ignored by Spark readers) and then
-    renamed, so a reader never sees a partial file. A record that is there already
-    raises ``FileExistsError``. Between that look and the rename another writer can
-    slip in where the store's rename replaces files (object stores copy and delete):
-    one writer at a time is the rule, this finds the ones who break it.
-    """
-    import pyarrow as pa
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    filesystem, inner = arrow_target(folder)
-    filesystem.create_dir(inner, recursive=True)
-    table = pa.Table.from_pylist(rows, schema=to_arrow_schema(spark_schema))
-    tmp = f"{inner}/.{uuid.uuid4().hex}.tmp"
-    pq.write_table(table, tmp, filesystem=filesystem)
-    if filesystem.get_file_info(f"{inner}/part-00000.parquet").type != fs.FileType.NotFound:
-        filesystem.delete_file(tmp)
-        raise FileExistsError(f"{folder}/part-00000.parquet")
-    filesystem.move(tmp, f"{inner}/part-00000.parquet")
+def remove(path: str) -> None:
+    """Remove a folder with all it holds."""
+    filesystem, inner = arrow_target(path)
+    filesystem.delete_dir(inner)

@@ -116,7 +116,7 @@ def _check(
     if (sink in FILE_SINKS or (sink == "table" and fmt in FILE_SINKS)) and mode != "append":
         raise ValueError(
             f"the {sink} sink takes append mode only; for update/complete results use "
-            "foreach_batch with VersionedTable.merge / overwrite"
+            "foreach_batch with MergeWriter or an overwriting callback"
         )
     if sink in FILE_SINKS and not path:
         raise ValueError(f"the {sink} sink needs a path")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType
 from tideline.streaming.files import arrow_target, exists, list_names
 
 
-def _batch_dir(path: str, batch_id: int) -> str:
+def batch_dir(path: str, batch_id: int) -> str:
     return f"{path}/batch-{batch_id:08d}"
 
 
@@ -40,7 +40,7 @@ class ChangelogWriter:
         (
             df.withColumn("batch_id", F.lit(batch_id).cast("long"))
             .write.mode("overwrite")
-            .parquet(_batch_dir(self.path, batch_id))
+            .parquet(batch_dir(self.path, batch_id))
         )
 
 
@@ -48,17 +48,30 @@ def read_changelog(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/batch-*")
 
 
+def completed_batches(path: str) -> Iterator[int]:
+    """Ids of the batches whose folder is complete (``_SUCCESS`` present), the newest first."""
+    for b in sorted((int(n[6:]) for n in list_names(path) if n.startswith("batch-")), reverse=True):
+        if exists(f"{batch_dir(path, b)}/_SUCCESS"):
+            yield b
+
+
 def read_latest_batch(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the newest completed batch folder (complete mode: the current result).
+    """Rows of the newest completed batch folder (complete mode: the current result)."""
+    for b in completed_batches(path):
+        return spark.read.parquet(batch_dir(path, b)).drop("batch_id")
+    raise FileNotFoundError(f"no completed batch under {path}")
 
-    Reads one folder, whatever the number of batches written before it; a
-    folder counts once its write committed (``_SUCCESS`` present).
+
+def read_latest_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The newest row of each key of an update-mode changelog.
+
+    A batch adds only the keys that it changed, so nothing written before is read or rewritten
+    while the stream runs; readers take the newest row by a partial aggregate. A NULL key is a key.
     """
-    names = sorted(n for n in list_names(path) if n.startswith("batch-"))
-    for name in reversed(names):
-        if exists(f"{path}/{name}/_SUCCESS"):
-            return spark.read.parquet(f"{path}/{name}").drop("batch_id")
-    raise FileNotFoundError(f"no completed batch under {path}")
+    log = read_changelog(spark, path)
+    values = [c for c in log.columns if c not in (*keys, "batch_id")]
+    newest = F.max_by(F.struct(*values), "batch_id").alias("newest")
+    return log.groupBy(*keys).agg(newest).select(*keys, "newest.*")
 
 
 class TopicWriter:
@@ -81,7 +94,7 @@ class TopicWriter:
                 F.lit(batch_id).cast("long").alias("batch_id"),
             )
             .write.mode("overwrite")
-            .parquet(_batch_dir(self.path, batch_id))
+            .parquet(batch_dir(self.path, batch_id))
         )
 
 
