@@ -84,6 +84,22 @@ def test_cut_needs_evidence():
     assert 0 < S.cuts({1: mixed}, 0.05)[1] <= 0.5
 
 
+def test_many_spans_in_one_text(make):
+    rng = random.Random(9)
+    sign = string.ascii_letters + string.digits
+    key = lambda: "".join(rng.choice(sign) for _ in range(40))
+    parts = [rng.choice([f"token={key()}", key(), rng.randbytes(16).hex(), "\U0001f600 word", f"{key()} api_key: {key()}"]) for _ in range(1500)]
+    text = "\n".join(parts)
+    row = S.secret_scan(make([(1, text), (2, parts[0])])).where("doc_id = 1").first()
+    known = [s for s in row.spans if s.kind != "random"]
+    assert ",".join(f"{s.kind}:{s.start}:{s.stop}" for s in known) == brute_spans(text) and len(known) > 3 * S.BLOCK
+    found = [s for s in row.spans if s.kind == "random"]
+    runs = {m.span() for m in re.finditer(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}", text)}
+    free = {(a, b) for a, b in runs if not any(s.start < b and a < s.stop for s in known)}
+    assert {(s.start, s.stop) for s in found} <= free and len(found) > 0.8 * len(free)
+    assert row.spans == sorted(row.spans, key=lambda s: (s.start, ["assign", "access", "hex", "random"].index(s.kind)))
+
+
 def test_secrets_of_an_empty_table(make):
     assert S.secret_scan(make([])).collect() == []
 

@@ -57,13 +57,24 @@ ENCODINGS = (
     ("mixed", r"", _UPPER + _LOWER + _DIGITS + "+/-_"),
 )
 BINS = 100
+BLOCK = 256  # spans walked together
+
+
+def _blocks(items: Column) -> Column:
+    """The array as arrays of ``BLOCK`` items, so that a walk copies a block at a time and never all before it."""
+
+    def cut(a: Column) -> Column:
+        last = F.greatest(F.lit(0), F.floor((F.size(a) - 1) / BLOCK).cast("int"))
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(a, b * BLOCK + 1, BLOCK))
+
+    return F.transform(F.array(items), cut)[0]
 
 
 def spans_of(text: Column, kind: str, pattern: str, group: int = 0, least: int = 0) -> Column:
     """Leftmost non-overlapping matches as structs (kind, start, stop, token), in code points.
 
     The pieces between the matches give the places: a match starts where all pieces up to it and all
-    matches before it end.
+    matches before it end. The walk goes by blocks, whose starts are summed first.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     held = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
@@ -81,8 +92,36 @@ def spans_of(text: Column, kind: str, pattern: str, group: int = 0, least: int =
         spans = F.when(p["n"] >= least, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
         return F.struct(F.coalesce(stop, start).alias("at"), spans.alias("spans"))
 
-    walked = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda acc: acc["spans"])
-    return F.when(text.rlike(pattern), walked).otherwise(empty)
+    def following(acc: Column, block: Column) -> Column:
+        width = F.aggregate(block, F.lit(0), lambda n, p: n + p["gap"] + F.coalesce(F.length(p["token"]), F.lit(0)))
+        return F.struct((acc["at"] + width).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts"))
+
+    def walked(blocks: Column) -> Column:
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        starts = F.aggregate(blocks, none, following, lambda acc: acc["starts"])
+        return F.flatten(F.zip_with(
+            blocks, starts,
+            lambda b, at: F.aggregate(b, F.struct(at.alias("at"), empty.alias("spans")), step, lambda acc: acc["spans"]),
+        ))
+
+    spans = F.transform(F.array(_blocks(pieces)), walked)[0]
+    return F.when(text.rlike(pattern), spans).otherwise(empty)
+
+
+def _free_of(tokens: Column, known: Column) -> Column:
+    """The tokens that overlap no known span; blocks of known spans are passed over by their ends."""
+
+    def ends(block: Column) -> Column:
+        lo, hi = F.array_min(F.transform(block, lambda s: s["start"])), F.array_max(F.transform(block, lambda s: s["stop"]))
+        return F.struct(lo.alias("lo"), hi.alias("hi"), block.alias("spans"))
+
+    def free(blocks: Column) -> Column:
+        meets = lambda t, start, stop: (start < t["stop"]) & (t["start"] < stop)
+        return F.filter(tokens, lambda t: ~F.exists(
+            blocks, lambda b: F.coalesce(meets(t, b["lo"], b["hi"]) & F.exists(b["spans"], lambda s: meets(t, s["start"], s["stop"])), F.lit(False))
+        ))
+
+    return F.transform(F.array(F.transform(_blocks(known), ends)), free)[0]
 
 
 def _normal_sf2(z: Column) -> Column:
@@ -221,8 +260,7 @@ def secret_scan(
         random = none
     else:
         kept = F.filter("tokens", lambda t: F.coalesce(t["p"] >= least[t["stratum"]], F.lit(False)))
-        kept = F.filter(kept, lambda t: ~F.exists("known", lambda s: (s["start"] < t["stop"]) & (t["start"] < s["stop"])))
-        random = F.transform(kept, lambda t: F.struct(F.lit(RANDOM).alias("kind"), t["start"].alias("start"), t["stop"].alias("stop")))
+        random = F.transform(_free_of(kept, F.col("known")), lambda t: F.struct(F.lit(RANDOM).alias("kind"), t["start"].alias("start"), t["stop"].alias("stop")))
     names = [*(k.name for k in base), RANDOM]
     place = lambda s: F.array_position(F.array(*map(F.lit, names)), s["kind"])
     ordered = F.transform(
