@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.session import scratch_path
+from tideline.session import scratch_path, ship
+
+__all__ = ["ROW", "col", "fresh", "numbered", "once", "salted_lookup", "ship", "staged", "table", "text_of"]
 
 ROW = "row_no"
 
@@ -72,26 +70,3 @@ def salted_lookup(rows: DataFrame, mapping: DataFrame, keys: list[str], salts: i
     rows = rows.withColumn("salt", salt)
     spread = rows.select(*keys, "salt").distinct().join(mapping, keys)
     return rows.join(spread, [*keys, "salt"]).drop("salt")
-
-
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once for each application.
-
-    Not needed where their PYTHONPATH has it already.
-    """
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    sc = spark.sparkContext
-    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or sc.applicationId in _SHIPPED:
-        return
-    _SHIPPED.add(sc.applicationId)
-    archive = os.path.join(tempfile.mkdtemp(prefix="tideline-code-"), "tideline.zip")
-    with zipfile.ZipFile(archive, "w") as z:
-        for folder, _, names in os.walk(os.path.join(root, "tideline")):
-            for name in names:
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    z.write(path, os.path.relpath(path, root))
-    sc.addPyFile(archive)
