@@ -1,9 +1,11 @@
 """Secrets, exact dedup, SimHash and licences against brute force, with null, empty, repeated and long texts."""
 
 import hashlib
+import math
 import random
 import re
 import string
+import textwrap
 
 import pytest
 import xxhash
@@ -264,3 +266,53 @@ def test_licenses_match_brute_force(make):
     want = [(i, *x) for i, t in pairs for x in brute_licenses(t, L.TEMPLATES, 0.8)]
     assert sorted((r.doc_id, r.line_no, r.license, round(r.dice, 12)) for r in got) == sorted((a, b, c, round(d, 12)) for a, b, c, d in want)
     assert len(want) > 20 and L.license_scan(make([])).collect() == []
+
+
+def brute_windows(text, templates, least):
+    """Every start and every end of a window, then the best ones that do not overlap."""
+    words = [(w, no) for no, line in enumerate(text.split("\n"), 1) for w in re.sub(r"[\W_]+", " ", line.lower()).split()]
+    pairs = [(a[0], b[0]) for a, b in zip(words, words[1:], strict=False)]
+    dice = lambda a, b: 2 * len(a & b) / (len(a) + len(b)) if a else 0.0
+    listed = []
+    for _, t in templates:
+        own = re.sub(r"[\W_]+", " ", t.lower()).split()
+        listed.append(list(zip(own, own[1:], strict=False)))
+    whole, found = [dice(set(pairs), set(t)) for t in listed], []
+    for place, t in enumerate(listed):
+        own = set(t)
+        for s in [i for i, x in enumerate(pairs) if x in own and whole[place] < least]:
+            ends = range(s, min(len(pairs), s + math.floor(len(t) * (2 - least) / least + 1e-9)))
+            best, end = min((-dice(set(pairs[s : e + 1]), own), e) for e in ends)
+            if -best >= least and -best > max(x if x >= least else 0 for x in whole):
+                found.append((best, place, s, end))
+    kept = []
+    for c in sorted(found):
+        if all(c[3] < o[2] or o[3] < c[2] for o in kept):
+            kept.append(c)
+    lines = {no for no, *_ in brute_licenses(text, templates, least) if no}
+    for best, place, s, e in kept:
+        if words[s][1] != words[e + 1][1] or words[s][1] not in lines:
+            yield words[s][1], words[e + 1][1], templates[place][0], -best
+
+
+def wrapped(text, width):
+    return "\n".join(" * " + x for x in textwrap.wrap(text, width))
+
+
+def test_license_windows_match_brute_force(make):
+    rng = random.Random(9)
+    texts = [None, "", "\n", "the the the the", "Released under the MIT License. " * 3, "Released under the MIT License.\n" * 3]
+    for k, (_, t) in enumerate(L.TEMPLATES):
+        other = L.TEMPLATES[k - 1][1]
+        texts += [f"{prose(rng, 30)}\n{wrapped(t, 40)}\n{prose(rng, 30)}", f"{prose(rng, 9)} {t} {prose(rng, 9)}", wrapped(f"{t} {other}", 70)]
+        texts.append(f"{prose(rng, 9)} {t} {t} {other}\n{other} {prose(rng, 9)}\n{t}")
+        changed = [w if rng.random() > 0.06 else "other" for w in t.split()]
+        texts.append(prose(rng, 5) + " " + " ".join(changed) + " " + prose(rng, 50))
+    pairs = [(i, t) for i, t in enumerate(texts)] + [(None, texts[6])] * 2
+    told = lambda rows: sorted((str(a), b, c, d, round(e, 12)) for a, b, c, d, e in rows)
+    got = [(r.doc_id, r.line_no, r.last_line, r.license, r.dice) for r in L.license_scan(make(pairs), windows=True).collect()]
+    want = [(i, no, no, n, d) for i, t in pairs for no, n, d in brute_licenses(t, L.TEMPLATES, 0.8)]
+    want += [(i, *x) for i, t in pairs for x in brute_windows(t or "", L.TEMPLATES, 0.8)]
+    assert told(got) == told(want) and sum(a != b for _, a, b, *_ in got) > 10
+    mit = f"{prose(rng, 30)}\n{wrapped(L.TEMPLATES[6][1], 75)}\n{prose(rng, 30)}"
+    assert [(r.line_no, r.license) for r in L.license_scan(make([(1, mit)]), windows=True).collect()] == [(2, "MIT")]

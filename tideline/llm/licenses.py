@@ -2,11 +2,15 @@
 
 A text's lines, and the text as a whole, are normalised (lower case, letters and digits only) and compared with each
 template by the Dice coefficient of their sets of word bigrams. Size bounds prune first: with a bigrams on one side and b
-on the other the coefficient is at most 2 min(a, b) / (a + b). Only DataFrame functions are used.
+on the other the coefficient is at most 2 min(a, b) / (a + b). With ``windows`` every run of words is compared too, over
+the borders of lines and inside longer ones. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
+import json
+import math
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +45,9 @@ TEMPLATES = (
     ),
 )
 
+#: Words that most texts have: taken for pruning only if nothing else is left.
+COMMON = frozenset("with that this from your have will such other under which these they their shall must more than been were".split())
+
 
 def words_of(text: Column) -> Column:
     """Normalised words: runs of letters and digits in lower case."""
@@ -61,43 +68,180 @@ class Template:
     place: int
     licence: str
     bigrams: tuple[str, ...]
+    pairs: int  # word pairs with their repeats
+
+    def low(self, least: float) -> int:
+        """The bigrams that whatever reaches the coefficient shares at least."""
+        return math.ceil(len(self.bigrams) * least / (2 - least) - 1e-9)
+
+    def longest(self, least: float) -> int:
+        """The word pairs that a window has at most."""
+        return math.floor(self.pairs * (2 - least) / least + 1e-9)
 
 
 def prepared(templates: tuple[tuple[str, str], ...]) -> list[Template]:
     out = []
     for i, (licence, text) in enumerate(templates):
         words = "".join(c if c.isalnum() else " " for c in text.lower()).split()
-        out.append(Template(i, licence, tuple(dict.fromkeys(map(" ".join, zip(words, words[1:]))))))
+        pairs = list(map(" ".join, zip(words, words[1:])))
+        out.append(Template(i, licence, tuple(dict.fromkeys(pairs)), len(pairs)))
     return out
 
 
 def _needed_words(templates: list[Template], least: float) -> list[str]:
     """Words one of which occurs in whatever reaches the coefficient with some template.
 
-    A match shares at least least * (a + b) / 2 of a template's a bigrams, with b at least
-    a * least / (2 - least); so it has one of any a - shared + 1 bigrams, and its longest word.
+    A match lacks at most a - low of a template's a bigrams, so it has one of any words that are in more bigrams than that.
+    Words that are long and in many bigrams are taken first.
     """
     needed = set()
     for t in templates:
-        a = len(t.bigrams)
-        shared = -(-least * (a + a * least / (2 - least)) / 2 // 1)
-        longest = sorted((max(b.split(), key=len) for b in t.bigrams), key=lambda w: (-len(w), w))
-        needed.update(longest[: max(1, a - int(shared) + 1)])
+        left, spare = [set(b.split()) for b in t.bigrams], len(t.bigrams) - t.low(least)
+        while len(t.bigrams) - len(left) <= spare and left:
+            counts = Counter(w for b in left for w in b)
+            word = max(counts, key=lambda w: (w in needed, len(w) > 3 and w not in COMMON, counts[w] * len(w), w))
+            needed.add(word)
+            left = [b for b in left if word not in b]
     return sorted(needed)
 
 
+def _set_of(t: Template) -> Column:
+    """The bigrams as one constant."""
+    return F.split(F.lit("\n".join(t.bigrams)), "\n")
+
+
+def _dice(grams: Column, t: Column, least: float) -> Column:
+    """The coefficient of a set of bigrams with a row of :func:`_tables`; zero beyond the size bounds."""
+    n = F.size(grams)
+    shared = F.size(F.array_intersect(grams, t["g"]))
+    return F.when(2 * F.least(n, t["a"]) / (n + t["a"]) >= least, 2 * shared / (n + t["a"])).otherwise(F.lit(0.0))
+
+
+def _tables(ready: list[Template], least: float) -> Column:
+    """All templates as one constant array."""
+    rows = [{"a": len(t.bigrams), "low": t.low(least), "most": t.longest(least), "name": t.licence, "g": t.bigrams} for t in ready]
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<a int, low int, most int, name string, g array<string>>>")
+
+
+def _windows(some: DataFrame, ready: list[Template], least: float) -> DataFrame:
+    """The windows of :func:`license_scan` that no line and no text as a whole tells of.
+
+    All is done inside the row of a text: nothing is dealt out by a key.
+    """
+    ready = [t for t in ready if t.bigrams]
+    tables = _tables(ready, least)
+    known = ",".join(f"'{b}'" for b in sorted({b for t in ready for b in t.bigrams}))
+    fewest = min((t.low(least) for t in ready), default=1)
+
+    def numbered(line: Column, no: Column) -> Column:
+        def of(words: Column) -> Column:
+            return F.transform(words, lambda w, k: F.struct(w.alias("w"), (no + 1).alias("line"), k.alias("k"), F.size(words).alias("n")))
+
+        return F.flatten(F.transform(F.array(words_of(line)), of))
+
+    # w: the words, each with its line, its place in the line and the line's number of words; g: the pairs
+    words = some.select("doc_id", once(F.flatten(F.transform(F.split("text", "\n"), numbered)), "w")).where(F.size("w") > fewest)
+    at = F.sequence(F.lit(0), F.size("w") - 2)
+    pairs = words.select("*", once(F.transform(at, lambda i: F.concat_ws(" ", F.get("w", i)["w"], F.get("w", i + 1)["w"])), "g"))
+    hits = pairs.select("*", once(F.expr(f"array_distinct(filter(g, x -> x IN ({known})))"), "hits")).where(F.size("hits") >= fewest)
+
+    def can(p: Column) -> Column:
+        t = F.get(tables, p)
+        return (F.size("hits") >= t["low"]) & F.when(
+            F.size("hits") >= t["low"], F.size(F.array_intersect(F.col("hits"), t["g"])) >= t["low"]
+        ).otherwise(F.lit(False))
+
+    places = F.filter(F.sequence(F.lit(0), F.lit(len(ready) - 1)), can)
+    hits = hits.select("doc_id", "w", "g", once(places, "places")).where(F.size("places") > 0)
+    # before: where each pair stands for the last time before, -1 for the first
+    hits = hits.select("*", once(F.sort_array(F.transform("g", lambda x, i: F.struct(x.alias("x"), i.alias("i")))), "order"))
+    last = F.transform(
+        "order",
+        lambda o, k: F.struct(
+            o["i"].alias("i"),
+            F.when((k > 0) & (F.get("order", k - 1)["x"] == o["x"]), F.get("order", k - 1)["i"]).otherwise(F.lit(-1)).alias("before"),
+        ),
+    )
+    whole = F.array_max(F.transform(tables, lambda t: _dice(F.array_distinct("g"), t, least)))
+    ready_rows = hits.select(
+        "doc_id", "w", "g", "places", once(F.transform(F.sort_array(last), lambda x: x["before"]), "before"), once(whole, "whole")
+    )
+
+    def of_template(p: Column) -> Column:
+        t = F.get(tables, p)
+
+        def of_marks(marks: Column) -> Column:
+            """``marks``: for each pair where it stood before and whether the template has it."""
+
+            def best_from(s: Column) -> Column:
+                def step(acc: Column, x: Column) -> Column:
+                    new = F.when(x["before"] < s, F.lit(1)).otherwise(F.lit(0))
+                    d, m = acc["d"] + new, acc["m"] + F.when(x["hit"], new).otherwise(F.lit(0))
+                    dice = 2 * m / (d + t["a"])
+                    more = x["hit"] & (dice > acc["dice"])
+                    return F.struct(
+                        (acc["i"] + 1).alias("i"), d.alias("d"), m.alias("m"),
+                        F.when(more, dice).otherwise(acc["dice"]).alias("dice"), F.when(more, acc["i"]).otherwise(acc["e"]).alias("e"),
+                    )
+
+                zero = F.struct(s.alias("i"), F.lit(0).alias("d"), F.lit(0).alias("m"), F.lit(0.0).alias("dice"), s.alias("e"))
+                return F.aggregate(
+                    F.slice(marks, s + 1, t["most"]), zero, step,
+                    lambda a: F.struct((-a["dice"]).alias("minus"), p.alias("place"), s.alias("s"), a["e"].alias("e")),
+                )
+
+            def from_starts(starts: Column) -> Column:
+                # a window has at least low hits, the last of them within its size
+                near = F.filter(starts, lambda s, k: F.coalesce(F.get(starts, k + t["low"] - 1) < s + t["most"], F.lit(False)))
+                return F.filter(F.transform(near, best_from), lambda c: (-c["minus"] >= least) & (-c["minus"] > F.col("whole")))
+
+            hit = F.transform(marks, lambda x, i: F.when(x["hit"], i))
+            return F.flatten(F.transform(F.array(F.filter(hit, lambda i: i.isNotNull())), from_starts))
+
+        marks = F.transform("g", lambda x, i: F.struct(F.get("before", i).alias("before"), F.array_contains(t["g"], x).alias("hit")))
+        told = F.when(_dice(F.array_distinct("g"), t, least) >= least, F.array().cast("array<array<struct<before int, hit boolean>>>"))
+        return F.flatten(F.transform(told.otherwise(F.array(marks)), of_marks))
+
+    found = ready_rows.select("doc_id", "w", "g", once(F.sort_array(F.flatten(F.transform("places", of_template))), "found"))
+    found = found.where(F.size("found") > 0)
+
+    def apart(kept: Column, c: Column) -> Column:
+        clash = F.exists(kept, lambda o: (o["s"] <= c["e"]) & (c["s"] <= o["e"]))
+        return F.when(clash, kept).otherwise(F.concat(kept, F.array(c)))
+
+    none = F.array().cast("array<struct<minus double, place int, s int, e int>>")
+    kept = found.select("doc_id", "w", "g", F.explode(F.aggregate("found", none, apart)).alias("c"))
+    first, end = F.get("w", F.col("c.s")), F.get("w", F.col("c.e") + 1)
+    line = F.array_distinct(F.slice("g", F.col("c.s") - first["k"] + 1, first["n"] - 1))
+    told = F.when(first["line"] == end["line"], F.exists(tables, lambda t: _dice(line, t, least) >= least)).otherwise(F.lit(False))
+    return kept.where(~told).select(
+        "doc_id",
+        first["line"].cast("long").alias("line_no"),
+        end["line"].cast("long").alias("last_line"),
+        F.get(tables, F.col("c.place"))["name"].alias("license"),
+        (-F.col("c.minus")).alias("dice"),
+    )
+
+
 def license_scan(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     templates: tuple[tuple[str, str], ...] = TEMPLATES,
     least: float = 0.8,
+    windows: bool = False,
 ) -> DataFrame:
-    """A row for each line that is a licence notice: doc_id, line_no (0: the text as a whole), license, dice.
+    """A row for each licence notice: doc_id, line_no (0: the text as a whole), last_line, license, dice.
 
     Lines are numbered from 1 and end at line feeds; the text as a whole is compared if it has several lines. The template with
     the highest coefficient of at least ``least`` names the licence, the earlier one on ties. Null
     and empty texts and texts without notices give no row. Repeated rows each give their rows.
+
+    With ``windows`` notices that go over several lines, or are part of one, give a row each, from the line of their first
+    word to that of their last. A window starts at any pair of words that the template has, holds at most
+    (2 - least) / least times the template's word pairs and ends where its coefficient is highest. Of windows
+    that overlap the best stays (then the earlier template, the earlier start). Left out are windows inside a line that has
+    a row, and those no better than the text as a whole if that has one.
     """
     ready = prepared(templates)
     if not ready or not 0 < least <= 1:
@@ -119,10 +263,13 @@ def license_scan(
     def against(t: Template) -> Column:
         """The coefficient with one template; zero beyond the size bounds."""
         a = F.lit(len(t.bigrams))
-        shared = F.size(F.array_intersect(F.col("grams"), F.array(*map(F.lit, t.bigrams))))
+        shared = F.size(F.array_intersect(F.col("grams"), _set_of(t)))
         dice = F.when(2 * F.least(n, a) / (n + a) >= least, 2 * shared / (n + a)).otherwise(F.lit(0.0))
         return F.struct(dice.alias("dice"), F.lit(-t.place).alias("place"), F.lit(t.licence).alias("license"))
 
     best = F.array_max(F.array(*map(against, ready)))
-    found = grams.select("doc_id", "line_no", once(best, "best")).where(F.col("best.dice") >= least)
-    return found.select("doc_id", F.col("line_no").cast("long"), F.col("best.license").alias("license"), F.col("best.dice").alias("dice"))
+    found = grams.select("doc_id", F.col("line_no").cast("long"), once(best, "best")).where(F.col("best.dice") >= least)
+    told = found.select(
+        "doc_id", "line_no", F.col("line_no").alias("last_line"), F.col("best.license").alias("license"), F.col("best.dice").alias("dice")
+    )
+    return told.unionByName(_windows(some, ready, least)) if windows else told

@@ -67,7 +67,7 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan(table(spark, sf_dir, "documents"))
+    return license_scan(table(spark, sf_dir, "documents"), windows=True)
 
 
 def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
