@@ -278,19 +278,21 @@ def brute_windows(text, templates, least):
         own = re.sub(r"[\W_]+", " ", t.lower()).split()
         listed.append(list(zip(own, own[1:], strict=False)))
     whole, found = [dice(set(pairs), set(t)) for t in listed], []
+    shared = max(len(set(pairs) & set(t)) if x >= least else 0 for x, t in zip(whole, listed, strict=True))
     for place, t in enumerate(listed):
         own = set(t)
         for s in [i for i, x in enumerate(pairs) if x in own and whole[place] < least]:
             ends = range(s, min(len(pairs), s + math.floor(len(t) * (2 - least) / least + 1e-9)))
             best, end = min((-dice(set(pairs[s : e + 1]), own), e) for e in ends)
-            if -best >= least and -best > max(x if x >= least else 0 for x in whole):
-                found.append((best, place, s, end))
+            common = len(set(pairs[s : end + 1]) & own)
+            if -best >= least and common > shared:
+                found.append((-common, best, place, s, end))
     kept = []
     for c in sorted(found):
-        if all(c[3] < o[2] or o[3] < c[2] for o in kept):
+        if all(c[4] < o[3] or o[4] < c[3] for o in kept):
             kept.append(c)
     lines = {no for no, *_ in brute_licenses(text, templates, least) if no}
-    for best, place, s, e in kept:
+    for _, best, place, s, e in kept:
         if words[s][1] != words[e + 1][1] or words[s][1] not in lines:
             yield words[s][1], words[e + 1][1], templates[place][0], -best
 
@@ -316,3 +318,21 @@ def test_license_windows_match_brute_force(make):
     assert told(got) == told(want) and sum(a != b for _, a, b, *_ in got) > 10
     mit = f"{prose(rng, 30)}\n{wrapped(L.TEMPLATES[6][1], 75)}\n{prose(rng, 30)}"
     assert [(r.line_no, r.license) for r in L.license_scan(make([(1, mit)]), windows=True).collect()] == [(2, "MIT")]
+
+
+def test_whole_licences(make):
+    rng = random.Random(10)
+    texts = L.whole_texts()
+    assert {"MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0"} <= {n for n, _ in texts}
+    pairs = [(i, t) for i, (_, t) in enumerate(texts)]
+    pairs += [(100 + i, f"{prose(rng, 400)}\n{wrapped(t, 75)}\n{prose(rng, 400)}") for i, (n, t) in enumerate(texts) if len(t) < 8000]
+    pairs += [(200 + i, f"{prose(rng, 40)}\n{wrapped(t, 75)}\n{prose(rng, 40)}") for i, (_, t) in enumerate(L.HEADERS)]
+    got = {}
+    for r in L.license_scan(make(pairs), templates=L.all_templates(), windows=True).collect():
+        got.setdefault(r.doc_id, []).append((r.line_no, r.license, r.dice))
+    for i, (name, _) in enumerate(texts):
+        assert (0, name, 1.0) in got[i]
+        if 100 + i in dict(pairs):
+            assert any(n == name and d > 0.95 for _, n, d in got[100 + i]), name
+    for i, (name, _) in enumerate(L.HEADERS):
+        assert {x[1] for x in got[200 + i]} == {name}  # a line that reaches the coefficient has a row besides

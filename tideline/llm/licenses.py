@@ -12,13 +12,14 @@ import json
 import math
 from collections import Counter
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import col, once, text_of
 
-# Licence notices as their stewards publish them.
+# Short notices as texts carry them. The first four are also the only ones that the test data has.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -44,6 +45,36 @@ TEMPLATES = (
         "following conditions are met:",
     ),
 )
+_GNU = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by "
+    "the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+)
+# Headers of source files, as the licences' own texts propose them.
+HEADERS = (
+    ("GPL-2.0", _GNU.format("General Public License", "2")),
+    ("GPL-3.0", _GNU.format("General Public License", "3")),
+    ("LGPL-2.1", _GNU.format("Lesser General Public License", "2.1")),
+    ("LGPL-3.0", _GNU.format("Lesser General Public License", "3")),
+    ("AGPL-3.0", _GNU.format("Affero General Public License", "3")),
+    (
+        "Apache-2.0",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
+        "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    ),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+)
+
+
+def whole_texts() -> tuple[tuple[str, str], ...]:
+    """The licence texts of the folder license_texts, named by their files."""
+    folder = Path(__file__).parent / "license_texts"
+    return tuple((p.stem, p.read_text(encoding="utf-8")) for p in sorted(folder.glob("*.txt")))
+
+
+def all_templates() -> tuple[tuple[str, str], ...]:
+    """Short notices, headers and whole texts."""
+    return TEMPLATES + HEADERS + whole_texts()
+
 
 #: Words that most texts have: taken for pruning only if nothing else is left.
 COMMON = frozenset("with that this from your have will such other under which these they their shall must more than been were".split())
@@ -162,7 +193,10 @@ def _windows(some: DataFrame, ready: list[Template], least: float) -> DataFrame:
             F.when((k > 0) & (F.get("order", k - 1)["x"] == o["x"]), F.get("order", k - 1)["i"]).otherwise(F.lit(-1)).alias("before"),
         ),
     )
-    whole = F.array_max(F.transform(tables, lambda t: _dice(F.array_distinct("g"), t, least)))
+    # the most bigrams that the text as a whole shares with a template it reaches the coefficient with
+    size = F.size(F.array_distinct("g"))
+    as_whole = lambda t: F.round(_dice(F.array_distinct("g"), t, least) * (size + t["a"]) / 2).cast("int")
+    whole = F.array_max(F.transform(tables, lambda t: F.when(_dice(F.array_distinct("g"), t, least) >= least, as_whole(t)).otherwise(0)))
     ready_rows = hits.select(
         "doc_id", "w", "g", "places", once(F.transform(F.sort_array(last), lambda x: x["before"]), "before"), once(whole, "whole")
     )
@@ -182,18 +216,19 @@ def _windows(some: DataFrame, ready: list[Template], least: float) -> DataFrame:
                     return F.struct(
                         (acc["i"] + 1).alias("i"), d.alias("d"), m.alias("m"),
                         F.when(more, dice).otherwise(acc["dice"]).alias("dice"), F.when(more, acc["i"]).otherwise(acc["e"]).alias("e"),
+                        F.when(more, m).otherwise(acc["shared"]).alias("shared"),
                     )
 
-                zero = F.struct(s.alias("i"), F.lit(0).alias("d"), F.lit(0).alias("m"), F.lit(0.0).alias("dice"), s.alias("e"))
+                zero = F.struct(s.alias("i"), F.lit(0).alias("d"), F.lit(0).alias("m"), F.lit(0.0).alias("dice"), s.alias("e"), F.lit(0).alias("shared"))
                 return F.aggregate(
                     F.slice(marks, s + 1, t["most"]), zero, step,
-                    lambda a: F.struct((-a["dice"]).alias("minus"), p.alias("place"), s.alias("s"), a["e"].alias("e")),
+                    lambda a: F.struct((-a["shared"]).alias("less"), (-a["dice"]).alias("minus"), p.alias("place"), s.alias("s"), a["e"].alias("e")),
                 )
 
             def from_starts(starts: Column) -> Column:
                 # a window has at least low hits, the last of them within its size
                 near = F.filter(starts, lambda s, k: F.coalesce(F.get(starts, k + t["low"] - 1) < s + t["most"], F.lit(False)))
-                return F.filter(F.transform(near, best_from), lambda c: (-c["minus"] >= least) & (-c["minus"] > F.col("whole")))
+                return F.filter(F.transform(near, best_from), lambda c: (-c["minus"] >= least) & (-c["less"] > F.col("whole")))
 
             hit = F.transform(marks, lambda x, i: F.when(x["hit"], i))
             return F.flatten(F.transform(F.array(F.filter(hit, lambda i: i.isNotNull())), from_starts))
@@ -209,7 +244,7 @@ def _windows(some: DataFrame, ready: list[Template], least: float) -> DataFrame:
         clash = F.exists(kept, lambda o: (o["s"] <= c["e"]) & (c["s"] <= o["e"]))
         return F.when(clash, kept).otherwise(F.concat(kept, F.array(c)))
 
-    none = F.array().cast("array<struct<minus double, place int, s int, e int>>")
+    none = F.array().cast("array<struct<less int, minus double, place int, s int, e int>>")
     kept = found.select("doc_id", "w", "g", F.explode(F.aggregate("found", none, apart)).alias("c"))
     first, end = F.get("w", F.col("c.s")), F.get("w", F.col("c.e") + 1)
     line = F.array_distinct(F.slice("g", F.col("c.s") - first["k"] + 1, first["n"] - 1))
@@ -240,8 +275,9 @@ def license_scan(
     With ``windows`` notices that go over several lines, or are part of one, give a row each, from the line of their first
     word to that of their last. A window starts at any pair of words that the template has, holds at most
     (2 - least) / least times the template's word pairs and ends where its coefficient is highest. Of windows
-    that overlap the best stays (then the earlier template, the earlier start). Left out are windows inside a line that has
-    a row, and those no better than the text as a whole if that has one.
+    that overlap the one with most of its template's bigrams stays (then the higher coefficient, the earlier template, the
+    earlier start), so that a sentence which several licences have does not hide the licence it is part of. Left out are
+    windows inside a line that has a row, and those that share no more than the text as a whole if that has one.
     """
     ready = prepared(templates)
     if not ready or not 0 < least <= 1:

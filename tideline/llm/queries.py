@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .common import ship, table
 from .exact_dedup import exact_dedup
-from .licenses import license_scan
+from .licenses import all_templates, license_scan
 from .mixing import TARGETS, domain_label, mix
 from .packing import best_fit_packing
 from .quality import fit_quality, score_quality
@@ -67,7 +67,7 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan(table(spark, sf_dir, "documents"), windows=True)
+    return license_scan(table(spark, sf_dir, "documents"), templates=all_templates(), windows=True)
 
 
 def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
