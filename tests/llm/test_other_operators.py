@@ -157,6 +157,23 @@ def test_mixing_edges(spark, make):
         M.mix(docs, none, {})
 
 
+def test_domains_are_counted_over_the_rows_that_are_there(spark, make):
+    label = lambda i: "poor" if i % 3 == 0 else "good"
+    labelled = spark.createDataFrame([(i, label(i)) for i in range(600)], "doc_id long, domain string")
+    kept = [(i, f"plain text of {i % 7}") for i in range(600) if label(i) == "good" or i % 30 == 0]
+    sizes = {d: sum(label(i) == d for i, _ in kept) for d in ("good", "poor")}
+    model = M.fit_domains(make(kept), labelled, ("good", "poor"))
+    assert model.weights == {}  # all texts are alike
+    assert math.isclose(model.prior[1], math.log((sizes["poor"] + 1) / (sizes["good"] + 1)))
+    small = M.fit_domains(make(kept), labelled, ("good", "poor"), sample=100)  # ids that are missing take no place in it
+    assert math.exp(small.prior[1]) < 0.2
+    often = [(0, "bad words")] * 500 + [(i, "bad words" if i < 30 else "fine words") for i in range(1, 600) if label(i) == "good"]
+    model = M.fit_domains(make(often), labelled, ("good", "poor"))
+    assert model.weights  # the rows of a repeated id never outnumber their domain
+    rows = M.mix(make(often), labelled, {"good": 1.0, "poor": 1.0}).collect()
+    assert all((r.p_poor > 0.9) == (r.doc_id == 0 or r.doc_id < 30) for r in rows)
+
+
 # --- top-k -----------------------------------------------------------------------------------
 
 

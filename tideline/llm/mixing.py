@@ -97,7 +97,9 @@ def fit_domains(
     least_z: float = 7.0,
     most: int = 16,
 ) -> DomainModel:
-    """Naive Bayes (features present or absent) on at most ``sample`` labelled rows, those with the least hash of their id.
+    """Naive Bayes (features present or absent) on the rows of at most ``sample`` labelled ids that ``docs`` has, those of least hash.
+
+    Labels of ids that ``docs`` lacks count nowhere; an id's rows each count, for features as for the size of its domain.
 
     Only features whose log odds lie ``least_z`` standard errors from zero count (copies of a text bring their words together,
     so that errors are wider than those of single draws), and the
@@ -107,12 +109,15 @@ def fit_domains(
     """
     ids = labelled.select(col(id_col).alias("doc_id"), col(domain_col).alias("domain")).dropna()
     ids = ids.where(F.col("domain").isin(*domains)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    ids = staged(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "mix-sample")  # bounded: ids and names only
-    rows = docs.select(col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(F.broadcast(ids), "doc_id")
+    # rows of an id are counted before they meet its label, so that one with many rows does not make a large join group
+    seen = docs.select(col(id_col).alias("doc_id")).dropna().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    ids = seen.join(ids, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    ids = staged(ids, "mix-sample")  # bounded: ids, names and numbers only
+    rows = docs.select(col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(F.broadcast(ids.drop("n")), "doc_id")
     slots = rows.select("domain", F.explode(F.array_distinct(_features(F.col("text"), buckets)["slots"])).alias("s"))
     counted = slots.groupBy("domain", "s").agg(F.count(F.lit(1)).alias("n"))
     number = {(r["domain"], r["s"]): r["n"] for r in counted.collect()}  # domains x features numbers
-    of = {r["domain"]: r["n"] for r in ids.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
+    of = {r["domain"]: r["n"] for r in ids.groupBy("domain").agg(F.sum("n").alias("n")).collect()}
     size = [of.get(d, 0) for d in domains]
     prior = [math.log((n + 1) / (sum(size) + len(domains))) for n in size]
     weights: dict[int, list[float]] = {}
