@@ -174,6 +174,15 @@ def test_domains_are_counted_over_the_rows_that_are_there(spark, make):
     assert all((r.p_poor > 0.9) == (r.doc_id == 0 or r.doc_id < 30) for r in rows)
 
 
+def test_a_word_of_one_domain_alone_is_taken(spark, make):
+    pairs = [(i, "trash plain words" if i % 10 == 0 else "plain words") for i in range(1000)]
+    labelled = spark.createDataFrame([(i, "toxic" if i % 10 == 0 else "good") for i in range(1000)], "doc_id long, domain string")
+    rows = M.mix(make(pairs), labelled, {"good": 0.9, "toxic": 0.1}).collect()
+    assert all((r.p_toxic > 0.5) == (r.doc_id % 10 == 0) for r in rows)
+    assert M._surety(131, 449, 0, 3027) > 7 and M._surety(0, 449, 131, 3027) > 1 and M._surety(5, 50, 10, 100) < 1e-6
+    assert M._surety(0, 0, 5, 10) == 0.0
+
+
 # --- top-k -----------------------------------------------------------------------------------
 
 

@@ -85,6 +85,12 @@ class DomainModel:
         return F.transform(F.array(_features(text, self.buckets)), share)[0]
 
 
+def _surety(x: int, n: int, y: int, m: int) -> float:
+    """Root of the likelihood ratio G2 for a feature that x of n rows have in one domain and y of m in the other."""
+    cells = [(x, n, x + y), (n - x, n, n + m - x - y), (y, m, x + y), (m - y, m, n + m - x - y)]
+    return math.sqrt(max(0.0, 2 * sum(o * math.log(o * (n + m) / (a * b)) for o, a, b in cells if o)))
+
+
 def fit_domains(
     docs: DataFrame,
     labelled: DataFrame,
@@ -101,8 +107,8 @@ def fit_domains(
 
     Labels of ids that ``docs`` lacks count nowhere; an id's rows each count, for features as for the size of its domain.
 
-    Only features whose log odds lie ``least_z`` standard errors from zero count (copies of a text bring their words together,
-    so that errors are wider than those of single draws), and the
+    Only features count whose likelihood ratio G2 is at least the square of ``least_z`` (copies of a text bring their words
+    together, so that errors are wider than those of single draws), whether both domains have them or one only, and the
     ``most`` surest of a domain, for words are not independent. Null ids and unknown domains are left
     out; of several labels of an id the least name counts. A domain without rows keeps smoothed odds, and without
     any label all documents have the same posteriors.
@@ -127,7 +133,7 @@ def fit_domains(
         for s in range(1, buckets + 2 * SHARES + 1):
             a, b = number.get((d, s), 0) + 0.5, number.get((domains[0], s), 0) + 0.5
             p, q = a / (n + 1), b / (size[0] + 1)
-            z = abs(math.log(p / q)) / math.sqrt(1 / a + 1 / b)
+            z = _surety(number.get((d, s), 0), n, number.get((domains[0], s), 0), size[0])
             if z >= least_z:
                 found.append((-z, s, p, q))
         none = 0.0
