@@ -338,3 +338,17 @@ def test_queries_started_together_keep_their_own_settings(spark):
     for n, ck in cks.items():
         confs = checkpoint_offsets(spark, ck).select("conf").collect()
         assert {r.conf["spark.sql.shuffle.partitions"] for r in confs} == {str(n)}
+
+
+def test_wide_user_ids_and_rows_without_id(spark, tmp_path):
+    ev = _events(spark).limit(40)
+    wide = ev.withColumn("user_id", F.col("event_id") + F.lit(5_000_000_000)).withColumn("event_type", F.lit("a"))
+    extra = wide.limit(1).withColumn("event_id", F.lit(None).cast("long")).withColumn("event_type", F.lit("b"))
+    rows = wide.unionByName(extra).withColumn("event_id", F.col("event_id").cast("long"))
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    got = {r["item"]: r["distinct_users"] for r in catalog.distinct_users_batch(spark, str(tmp_path)).collect()}
+    assert got == {"a": 40, "b": 1}
+    streamed = catalog.parse_transactions(spark, str(tmp_path)).collect()
+    assert len(streamed) == 41 and sum(r["offset"] is None for r in streamed) == 1
+    assert all(r["user_id"] >= 5_000_000_000 for r in streamed)
+    assert all(r["within_3_rsd"] for r in catalog.approx_users_stream(spark, str(tmp_path)).collect())

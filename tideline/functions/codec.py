@@ -15,6 +15,8 @@ from pyspark.sql.types import StructType
 
 # Fixed value: the transaction record declared by the original workload.
 TRANSACTION_DDL = "timestamp DOUBLE, user_id INT, item STRING, quantity INT"
+# The same with the user id as wide as the table's.
+WIDE_DDL = TRANSACTION_DDL.replace("user_id INT", "user_id BIGINT")
 
 
 def decode(df: DataFrame, key: bool = True, keep: Sequence[str] = ()) -> DataFrame:

@@ -319,7 +319,7 @@ def table_complete(spark: SparkSession, sf: str) -> DataFrame:
 # -- append-mode sinks -----------------------------------------------------------
 
 SINK_COLUMNS = ["offset", "user_id", "item", "quantity"]
-SINK_DDL = "offset BIGINT, user_id INT, item STRING, quantity INT"
+SINK_DDL = "offset BIGINT, user_id BIGINT, item STRING, quantity INT"
 
 
 def mode_append(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from tideline.functions import decode, parse_json, to_event_time
+from tideline.functions.codec import TRANSACTION_DDL, WIDE_DDL
 from tideline.session import pin_utc, scratch_path
 from tideline.sources.replay import (
     DEFAULT_TOPIC,
@@ -68,11 +69,15 @@ def stream_transactions(
     corrupt_column: str | None = None,
     keep: tuple[str, ...] = ("offset",),
 ) -> tuple[DataFrame, StagedTopic]:
-    """Replay stream -> decode -> from_json -> ``data.*`` (plus ``keep`` envelope columns)."""
+    """Replay stream -> decode -> from_json -> ``data.*`` (plus ``keep`` envelope columns).
+
+    User ids are BIGINT as in the table; in the fixture of bad records they stay INT, for one of its faults is their overflow.
+    """
+    schema = WIDE_DDL if value_mode == "clean" else TRANSACTION_DDL
     st = staged(spark, sf_dir, rule, value_mode)
     # The original workload's topic name carries a trailing space; it is trimmed.
     raw = read_replay(spark, st, subscribe=DEFAULT_TOPIC + " ")
-    parsed = parse_json(decode(raw, key=False, keep=keep), keep=keep, corrupt_column=corrupt_column)
+    parsed = parse_json(decode(raw, key=False, keep=keep), schema, keep=keep, corrupt_column=corrupt_column)
     return parsed, st
 
 

@@ -95,7 +95,7 @@ def transaction_json(value_mode: str = "clean") -> Column:
     overflow and fractional quantity; 5 an extra field; 6-9 clean.
     """
     ts = _epoch_decimal(F.col("ts"))
-    user = F.col("user_id").try_cast("int")
+    user = F.col("user_id").try_cast("bigint")
     item = F.col("event_type")
     qty = F.floor(F.col("value")).try_cast("int")
     clean = F.to_json(
@@ -154,7 +154,7 @@ def records_from_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_id").cast("long").alias("offset"),
         (us / F.lit(1_000_000.0)).alias("timestamp"),
-        F.col("user_id").try_cast("int").alias("user_id"),
+        F.col("user_id").try_cast("bigint").alias("user_id"),
         F.col("event_type").alias("item"),
         F.floor(F.col("value")).try_cast("int").alias("quantity"),
     )
@@ -229,7 +229,8 @@ def stage_batch(
     idc = F.col(rule.id_column)
     src = events
     if lo is not None:
-        src = src.where(idc >= lo)
+        # rows without an id are in the last batch
+        src = src.where((idc >= lo) | idc.isNull() if batch == rule.batches - 1 else idc >= lo)
     if hi is not None:
         src = src.where(idc < hi)
     src = src.where(rule.column(n) == batch)
