@@ -9,9 +9,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chosen_path import chosen_path_components
 from .common import ship, table
 from .exact_dedup import exact_dedup
+from .fill_middle import fill_in_middle, restored
 from .licenses import all_templates, license_scan
+from .merkle import merkle_manifest
 from .mixing import TARGETS, domain_label, mix
 from .packing import best_fit_packing
 from .quality import fit_quality, score_quality
@@ -96,6 +99,31 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), RULES)
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        F.col("cut_a").alias("prefix_chars"),
+        (F.col("cut_b") - F.col("cut_a")).alias("middle_chars"),
+        sha(F.col("output")).alias("output_sha256"),
+        sha(restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row (by the crc32 of its id) claims one more character than it has."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    claim = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return merkle_manifest(table(spark, sf_dir, "documents"), claims={"n_chars": claim})
+
+
+def op13_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path_components(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_secret_scans, op2_exact_dedup, op3_quality, op4_token_ids, op5_license_scans,
         op6_mixing, op7_exact_topk, op8_best_fit_packing, op9_simhash, op10_url_filters,
+        op11_fill_middle, op12_merkle_manifest, op13_chosen_path,
     )
 }
 
@@ -162,4 +191,28 @@ SELECT page_id, host, path, rule,
 FROM b
 """
 
-ORACLES: dict[str, str] = {"op2_exact_dedup": _OP2, "op7_exact_topk": _OP7, "op10_url_filters": _OP10}
+_OP11 = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS t,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+g AS (
+  SELECT *, len(t) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(t) + 1) AS x, ('0x' || substr(h, 9, 8))::BIGINT % (len(t) + 1) AS y,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+c AS (
+  SELECT doc_id, text, n, form, array_to_string(t[1:least(x, y)], '') AS p,
+         array_to_string(t[least(x, y) + 1:greatest(x, y)], '') AS m, array_to_string(t[greatest(x, y) + 1:], '') AS s
+  FROM g)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM c
+"""
+
+ORACLES: dict[str, str] = {"op2_exact_dedup": _OP2, "op7_exact_topk": _OP7, "op10_url_filters": _OP10, "op11_fill_middle": _OP11}
