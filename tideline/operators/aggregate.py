@@ -66,3 +66,43 @@ def distinct_count(
     else:
         agg = F.count_distinct(F.col(column))
     return df.groupBy(*keys).agg(agg.alias(name))
+
+
+def chained_window_agg(
+    df: DataFrame,
+    time_column: str,
+    inner: str,
+    outer: str,
+    keys: Sequence[str],
+    inner_aggs: Sequence[Column],
+    outer_aggs: Sequence[Column],
+    ntz: bool = False,
+) -> DataFrame:
+    """An aggregate over windows of an aggregate over windows, for example a day's highest hourly count.
+
+    ``outer_aggs`` see the columns of ``inner_aggs`` and ``start``, ``end`` of the inner window. On a stream these are two stateful operators in
+    one query: the first hands a window on when the watermark has passed its end, the second emits an outer window when what the
+    first let through has passed the outer end. An inner window belongs to the outer one that holds its last instant.
+    """
+    first = df.groupBy(F.window(time_column, inner).alias("__inner"), *keys).agg(*inner_aggs)
+    first = first.select("*", F.col("__inner.start").alias("start"), F.col("__inner.end").alias("end"))
+    second = first.groupBy(F.window(F.window_time("__inner"), outer).alias("window"), *keys).agg(*outer_aggs)
+    start, end = F.col("window.start"), F.col("window.end")
+    if ntz:
+        start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
+    return second.select(start.alias("start"), end.alias("end"), *keys, *[c for c in second.columns if c not in ("window", *keys)])
+
+
+def distinct_sketch(df: DataFrame, keys: Sequence[Column | str], column: str, lg_k: int = 15) -> DataFrame:
+    """A mergeable sketch of the distinct values of ``column`` per key (HyperLogLog with ``2 ** lg_k`` registers).
+
+    Up to about ``2 ** lg_k * 3 / 32`` distinct values a sketch holds them one by one (3,072 at 15) and its rounded estimate is in practice
+    exact; beyond, its relative standard error is 1.04 / sqrt(2 ** lg_k) (0.6 % at 15). NULLs do not count.
+    """
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(column, lg_k).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, keys: Sequence[Column | str], name: str) -> DataFrame:
+    """Distinct values per key from stored sketches alone: their union, and its estimate as ``name``."""
+    merged = sketches.groupBy(*keys).agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.withColumn(name, F.hll_sketch_estimate("sketch")).drop("sketch")

@@ -44,3 +44,22 @@ def dedup_within_watermark(df: DataFrame, keys: Sequence[str], time_column: str,
     arrive is for that task to say, so nothing is dropped ahead of it.
     """
     return df.withWatermark(time_column, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def dedup_first(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    time_column: str,
+    every: str,
+) -> DataFrame:
+    """The first row of each key in every event-time window of length ``every``, on batch frames and streams alike.
+
+    "First" is by ``order_by``, not by arrival: the window's rows are aggregated with ``min_by``, and on a watermarked
+    stream in append mode the row that stays is emitted when the watermark has passed the window's end, however
+    the rows were dealt to batches. State holds one row for each key and open window, and partial aggregation runs before the shuffle, so a
+    key with many copies costs one row a task. Rows with a NULL time are in no window; a NULL key is a key.
+    """
+    row = F.min_by(F.struct(*map(F.col, df.columns)), F.struct(*map(F.col, order_by)))
+    first = df.groupBy(F.window(time_column, every).alias("__window"), *keys).agg(row.alias("__row"))
+    return first.select("__row.*")

@@ -1,6 +1,9 @@
-"""Query catalogue over the test tables and the matching DuckDB oracle SQL."""
+"""Query catalogue and DuckDB oracles."""
 
-from tideline.plans.catalog import QUERIES, flagship
-from tideline.plans.oracle import ORACLES
+from tideline.plans import catalog, live, oracle
+from tideline.plans.catalog import flagship
 
-__all__ = ["QUERIES", "ORACLES", "flagship"]
+QUERIES = {**catalog.QUERIES, **live.QUERIES}
+ORACLES = {**oracle.ORACLES, **live.ORACLES}
+
+__all__ = ["ORACLES", "QUERIES", "flagship"]

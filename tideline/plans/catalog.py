@@ -35,8 +35,8 @@ from tideline.plans.common import (
     state_partitions,
     stream_transactions,
 )
-from tideline.session import scratch_path, ship
-from tideline.sources import table_scan
+from tideline.session import pin_utc, scratch_path, ship
+from tideline.sources import table_scan, table_stream
 from tideline.sources.replay import (
     DEFAULT_TOPIC,
     EVEN,
@@ -53,6 +53,7 @@ from tideline.streaming import (
     Trigger,
     checkpoint_offsets,
     read_changelog,
+    read_history,
     read_merged,
     read_topic,
     run,
@@ -74,11 +75,18 @@ DELAY = "10 minutes"
 
 
 def kafka_envelope_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-01/02: one of two staged topics as the Kafka envelope (subscribe trims the topic name)."""
-    st = staged(spark, sf, EVEN, "topics")
-    stream = read_replay(spark, st, subscribe=DEFAULT_TOPIC + " ")
-    out = run_to_parquet(stream.select("topic", "partition", "offset", "timestamp"), st)
-    return report(out)
+    """OP-01/02: the table itself as a stream in the envelope's shape: key, value, topic (its event type), offset, timestamp."""
+    pin_utc(spark)
+    rows = table_stream(spark, f"{sf}/events.parquet").select(
+        F.col("user_id").cast("string").alias("key"),
+        F.col("props").alias("value"),
+        F.col("event_type").alias("topic"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+    out = scratch_path(spark, "out")
+    run(rows, "parquet", "append", path=out, checkpoint=scratch_path(spark, "checkpoint"))
+    return report(spark.read.parquet(out))
 
 
 def _raw(spark: SparkSession, sf: str):
@@ -100,9 +108,12 @@ def decode_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def start_earliest(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-03 earliest: every record of the topic, by partition."""
-    stream, st = _raw(spark, sf)
-    return run_to_parquet(stream.select("partition", "offset"), st)
+    """OP-03 earliest: a stream started on the table as it is reads every row that is there."""
+    pin_utc(spark)
+    out = scratch_path(spark, "out")
+    rows = table_stream(spark, f"{sf}/events.parquet").select("event_id", "event_type")
+    run(rows, "parquet", "append", path=out, checkpoint=scratch_path(spark, "checkpoint"))
+    return spark.read.parquet(out)
 
 
 def start_latest(spark: SparkSession, sf: str) -> DataFrame:
@@ -291,15 +302,12 @@ def upsert_add_running(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def table_history(spark: SparkSession, sf: str) -> DataFrame:
-    """OP-53: what each batch's merge did to the table, told from the changelog it merged."""
+    """OP-53: what each batch's merge inserted and updated, as observed in the merge's own write and kept beside the table."""
     counts, st = _counts_stream(spark, sf)
-    log = run_to_changelog(counts, st, "update")
-    first = log.groupBy("item").agg(F.min("batch_id").alias("first"))
-    new = F.col("first") == F.col("batch_id")
-    joined = log.alias("l").join(first.alias("f"), F.col("l.item").eqNullSafe(F.col("f.item")))
-    return joined.groupBy("batch_id").agg(
-        F.count_if(new).alias("rows_inserted"), F.count_if(~new).alias("rows_updated")
-    ).select(F.col("batch_id").alias("version"), "batch_id", F.lit("MERGE").alias("operation"), "rows_inserted", "rows_updated")
+    out, ck = scratch_path(spark, "table"), scratch_path(spark, "checkpoint")
+    writer = MergeWriter(out, ck, ["item"], {"count": "source.count"}, {"item": "source.item", "count": "source.count"})
+    run(counts, "foreach_batch", "update", target=writer, checkpoint=ck, shuffle_partitions=state_partitions(spark, st))
+    return read_history(spark, out).withColumn("version", F.col("batch_id"))
 
 
 def table_complete(spark: SparkSession, sf: str) -> DataFrame:
@@ -502,7 +510,7 @@ def approx_users_stream(spark: SparkSession, sf: str) -> DataFrame:
     est = run_complete(distinct_count(parsed, ["item"], "user_id", "estimate"), st)
     exact = distinct_count(batch_transactions(spark, sf), ["item"], "user_id", "exact")
     off = F.abs(F.col("estimate") - F.col("exact"))
-    return est.join(exact, "item").select("item", (off <= 3 * 0.05 * F.col("exact")).alias("within_3_rsd"))
+    return est.join(exact, "item").select("item", "exact", (off <= 3 * 0.05 * F.col("exact")).alias("within_3_rsd"))
 
 
 def dedup_batch(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,7 +10,7 @@ fixture: plus 1 or 2 batches for ids with residue 7 or 8 modulo 50).
 from __future__ import annotations
 
 from tideline.plans.catalog import DELAY, SLIDE_SIZE, SLIDE_STEP, SUM_SIZE, SUM_STEP, TUMBLE
-from tideline.sources.replay import DEFAULT_PARTITIONS, DEFAULT_TOPIC, EVEN, LATE
+from tideline.sources.replay import DEFAULT_PARTITIONS, EVEN, LATE
 
 _N = "(SELECT count(*) FROM events)"
 
@@ -22,8 +22,9 @@ def _batch(rule) -> str:
 B_EVEN = _batch(EVEN)
 B_LATE = _batch(LATE)
 ET = "date_trunc('second', ts)"
-QTY = "CAST(floor(value) AS INTEGER)"
-USER = "CAST(user_id AS INTEGER)"
+QTY = "TRY_CAST(floor(value) AS INTEGER)"
+USER = "CAST(user_id AS BIGINT)"
+NARROW_USER = "TRY_CAST(user_id AS INTEGER)"  # of the fixture of bad records
 TS_TEXT = (
     "CAST(epoch_us(ts) // 1000000 AS VARCHAR) || '.' || "
     "lpad(CAST(epoch_us(ts) % 1000000 AS VARCHAR), 6, '0')"
@@ -33,7 +34,7 @@ EPOCH = "(epoch_us(ts) / 1e6)"
 
 def _micros(duration: str) -> int:
     n, unit = duration.split()
-    scale = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600}[unit]
+    scale = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600, "day": 86400}[unit]
     return int(n) * scale * 1_000_000
 
 
@@ -104,7 +105,7 @@ _R = "event_id % 10"
 BAD_TYPES = f"""
 SELECT event_id AS offset,
   CASE WHEN {_R} IN (0, 1, 2) THEN NULL ELSE {ET} END AS timestamp,
-  CASE WHEN {_R} IN (0, 1, 2, 4) THEN NULL ELSE {USER} END AS user_id,
+  CASE WHEN {_R} IN (0, 1, 2, 4) THEN NULL ELSE {NARROW_USER} END AS user_id,
   CASE WHEN {_R} IN (1, 2, 3) THEN NULL ELSE event_type END AS item,
   CASE WHEN {_R} IN (1, 2, 4) THEN NULL ELSE {QTY} END AS quantity
 FROM events"""
@@ -121,7 +122,7 @@ _REASONS = "concat_ws(',', " + ", ".join(
 ) + ")"
 
 VALID_GOOD = f"""
-SELECT event_id AS offset, {ET} AS timestamp, {USER} AS user_id, event_type AS item, {QTY} AS quantity
+SELECT event_id AS offset, {ET} AS timestamp, {NARROW_USER} AS user_id, event_type AS item, {QTY} AS quantity
 FROM events WHERE {_REASONS} = ''"""
 
 VALID_BAD = f"SELECT event_id AS offset, {_REASONS} AS reasons FROM events WHERE {_REASONS} <> ''"
@@ -145,9 +146,8 @@ SELECT CAST(k AS BIGINT) AS batch_id, 0 AS source_index,
 FROM k"""
 
 ORACLES: dict[str, str] = {
-    "kafka_envelope_scan": f"""SELECT '{DEFAULT_TOPIC}' AS topic,
-        CAST(event_id % {DEFAULT_PARTITIONS} AS INTEGER) AS partition, event_id AS offset,
-        ts AS timestamp FROM events WHERE event_id % 4 <> 3""",
+    "kafka_envelope_scan": """SELECT CAST(user_id AS VARCHAR) AS key, props AS value, event_type AS topic,
+        event_id AS "offset", ts AS timestamp FROM events""",
     "decode_kv": f"SELECT CAST(NULL AS VARCHAR) AS key, {_json_value()} AS value, event_id AS offset FROM events",
     "decode_messages": """SELECT CAST(user_id AS VARCHAR) AS key, event_id AS offset,
         CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
@@ -155,7 +155,7 @@ ORACLES: dict[str, str] = {
         count(*) AS rows,
         count(CASE WHEN {_R} IN (1, 2, 3) THEN NULL ELSE event_type END) AS item_count
         FROM events GROUP BY 1""",
-    "start_earliest": f"SELECT CAST(event_id % {DEFAULT_PARTITIONS} AS INTEGER) AS partition, event_id AS offset FROM events",
+    "start_earliest": "SELECT event_id, event_type FROM events",
     "start_latest": f"""SELECT CAST(event_id % {DEFAULT_PARTITIONS} AS INTEGER) AS partition, event_id AS offset
         FROM events WHERE {B_EVEN} = 3""",
     "table_scan": "SELECT * FROM events",
@@ -208,7 +208,7 @@ ORACLES: dict[str, str] = {
         SELECT start, start + {_interval(TUMBLE)} AS "end", item, count(*) AS rows, count(item) AS item_count
         FROM w GROUP BY ALL""",
     "late_data_append": LATE_DATA,
-    "approx_users_stream": "SELECT event_type AS item, true AS within_3_rsd FROM events GROUP BY event_type",
+    "approx_users_stream": "SELECT event_type AS item, count(DISTINCT user_id) AS exact, true AS within_3_rsd FROM events GROUP BY event_type",
     "distinct_users_batch": f"""SELECT event_type AS item, count(DISTINCT {USER}) AS distinct_users
         FROM events GROUP BY event_type""",
     "dedup_batch": f"""SELECT * EXCLUDE (rn) FROM (

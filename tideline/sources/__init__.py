@@ -9,7 +9,7 @@ from tideline.sources.replay import (
     read_replay,
     stage_topic,
 )
-from tideline.sources.tables import table_scan
+from tideline.sources.tables import table_scan, table_stream
 
 __all__ = [
     "ENVELOPE_DDL",
@@ -23,4 +23,5 @@ __all__ = [
     "read_replay",
     "stage_topic",
     "table_scan",
+    "table_stream",
 ]

@@ -29,7 +29,6 @@ ENVELOPE_DDL = (
 # Topic name and partition count of the original workload's producer.
 DEFAULT_TOPIC = "shopping_transaction"
 DEFAULT_PARTITIONS = 3
-OTHER_TOPIC = "other_records"
 
 
 @dataclass(frozen=True)
@@ -172,21 +171,17 @@ def envelope_from_events(
 ) -> DataFrame:
     """Kafka envelope for ``events`` rows (offset = event_id).
 
-    ``clean`` / ``faulty``: NULL key, transaction JSON value. ``topics``: the same, with
-    every fourth record in a second topic. ``props``: the column ``props`` as it is, keyed by user.
+    ``clean`` / ``faulty``: NULL key, transaction JSON value. ``props``: the column ``props`` as it is, keyed by user.
     """
-    key, name = F.lit(None).cast("string"), F.lit(topic)
+    key = F.lit(None).cast("string")
     if value_mode == "props":
         key, value = F.col("user_id").cast("string"), F.col("props")
-    elif value_mode == "topics":
-        value = transaction_json()
-        name = F.when(F.col("event_id") % 4 == 3, F.lit(OTHER_TOPIC)).otherwise(name)
     else:
         value = transaction_json(value_mode)
     return events.select(
         key.cast("binary").alias("key"),
         value.cast("binary").alias("value"),
-        name.alias("topic"),
+        F.lit(topic).alias("topic"),
         (F.col("event_id") % F.lit(partitions)).cast("int").alias("partition"),
         F.col("event_id").cast("long").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),

@@ -84,12 +84,22 @@ def kafka_offsets(offsets: DataFrame) -> DataFrame:
 _PROGRESS = (
     "batch_id BIGINT, timestamp STRING, num_input_rows BIGINT, input_rows_per_second DOUBLE, "
     "processed_rows_per_second DOUBLE, trigger_ms BIGINT, watermark STRING, "
-    "state_rows BIGINT, state_rows_dropped_by_watermark BIGINT, sink STRING"
+    "state_rows BIGINT, state_rows_dropped_by_watermark BIGINT, sink STRING, "
+    "observed MAP<STRING, MAP<STRING, STRING>>"
 )
 
 
+def _observed(progress) -> dict[str, dict[str, str]]:
+    given = progress.get("observedMetrics") if isinstance(progress, dict) else progress.observedMetrics
+    rows = {name: row.asDict() if hasattr(row, "asDict") else dict(row) for name, row in (given or {}).items()}
+    return {name: {k: None if v is None else str(v) for k, v in row.items()} for name, row in rows.items()}
+
+
 def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """``recentProgress`` (bounded by spark.sql.streaming.numRecentProgressUpdates) as rows."""
+    """``recentProgress`` (bounded by spark.sql.streaming.numRecentProgressUpdates) as rows.
+
+    ``observed`` holds the metrics that ``Dataset.observe`` gathered inside the plan, by name and as text.
+    """
     rows = []
     for p in query.recentProgress:
         d = p if isinstance(p, dict) else json.loads(p.json)
@@ -106,6 +116,7 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
                 sum(o.get("numRowsTotal", 0) for o in ops) if ops else None,
                 sum(o.get("numRowsDroppedByWatermark", 0) for o in ops) if ops else None,
                 (d.get("sink") or {}).get("description"),
+                _observed(p),
             )
         )
     return spark.createDataFrame(rows, _PROGRESS)
