@@ -127,10 +127,10 @@ MARKS = ("<P>", "<S>", "<M>")
 
 def _checked(marks: tuple[str, str, str]) -> None:
     """No mark may begin inside another one or itself: a rewritten text can then be read in one way only."""
-    for a in marks:
-        for b in marks:
-            inside = range(0 if a != b else 1, len(a))
-            if not a or any(a.startswith(b[: len(a) - i], i) for i in inside):
+    for i, a in enumerate(marks):
+        for j, b in enumerate(marks):
+            inside = range(int(i == j), len(a))
+            if not a or any(a.startswith(b[: len(a) - k], k) for k in inside):
                 raise ValueError(f"marks {marks} overlap")
 
 
