@@ -255,7 +255,7 @@ def _blocks(rows: DataFrame, size: str, block: int, keys: list[str]) -> DataFram
     return other.withColumn("node", unit).drop("blk", "other")
 
 
-def candidate_links(reps: DataFrame, least: float, limit: int = 256, max_depth: int = 8, block: int = 2048) -> DataFrame:
+def candidate_links(reps: DataFrame, least: float, limit: int = 4096, max_depth: int = 8, block: int = 2048) -> DataFrame:
     """Links (a, b) that join all sets of ``reps`` (rep, tokens, keys) which the trees find near one another."""
     enough = likely(least)
     tokens = reps.select("rep", "tokens")
@@ -408,14 +408,16 @@ def confirmed_links(
     met = staged(met.mapInArrow(_star(num, den), "rep long, pivot long, linked boolean"), "path-stars")
     links = links.unionAll(met.where("linked and rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")))
     tagged = large.join(met, "rep").withColumn("label", F.when(F.col("linked"), F.col("pivot")).otherwise(F.col("rep")))
-    counts = tagged.groupBy("root").agg(F.count_if("linked").alias("near"), F.count_if("not linked").alias("rest"))
+    counts = tagged.groupBy("root").agg(F.count_if("linked").alias("near"), F.count_if(~F.col("linked")).alias("rest"))
     tagged = salted_lookup(tagged.withColumn(ROW, F.col("rep")), counts.where("rest > 0"), ["root"]).drop(ROW)
     blocks = lambda n: F.ceil(F.col(n) / F.lit(block)).cast("int")
-    rest_block = F.pmod(F.xxhash64("rep"), F.greatest(blocks("rest"), F.lit(1)))
-    near_block = F.pmod(F.xxhash64("rep"), F.greatest(blocks("near"), F.lit(1)))
+    # all of one type: a hash of 1 as int is not that of 1 as long
+    rest_block = F.pmod(F.xxhash64("rep"), F.greatest(blocks("rest"), F.lit(1))).cast("int")
+    near_block = F.pmod(F.xxhash64("rep"), F.greatest(blocks("near"), F.lit(1))).cast("int")
     upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), blocks(n) - 1)).otherwise(F.array().cast("array<int>"))
     rest, near = tagged.where("not linked"), tagged.where("linked")
-    among = rest.withColumn("o", F.explode(upto("rest"))).withColumn("node", F.xxhash64(F.lit(0), "root", F.least(rest_block, "o"), F.greatest(rest_block, "o")))
+    pair = F.xxhash64(F.lit(0), "root", F.least(rest_block, "o"), F.greatest(rest_block, "o"))
+    among = rest.withColumn("o", F.explode(upto("rest"))).withColumn("node", pair)
     beside = rest.withColumn("o", F.explode(upto("near"))).withColumn("node", F.xxhash64(F.lit(1), "root", rest_block, "o"))
     facing = near.withColumn("o", F.explode(upto("rest"))).withColumn("node", F.xxhash64(F.lit(1), "root", "o", near_block))
     return links.unionAll(compare(among)).unionAll(compare(beside.unionByName(facing)))
@@ -428,7 +430,7 @@ def chosen_path_components(
     words: int = 5,
     similarity: tuple[int, int] = (85, 100),
     recall: float = 0.9999,
-    limit: int = 256,
+    limit: int = 4096,
     max_depth: int = 8,
     block: int = 2048,
 ) -> DataFrame:
