@@ -381,8 +381,9 @@ def confirmed_links(
 
     ``docs``: doc_id, text, text_hash; ``members``: rep, root, size (of the group), doc_id and text_hash of one row with the set.
     """
+    # Always by a sorted join: the members grow with the documents, and a switch of plan at some size would hide what it costs.
     texts = docs.alias("d").join(
-        members.alias("m"),
+        members.hint("shuffle_merge").alias("m"),
         F.col("d.text_hash").eqNullSafe(F.col("m.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")),
     )
     texts = texts.select("m.rep", "m.root", "m.size", "d.text").dropDuplicates(["rep"])
