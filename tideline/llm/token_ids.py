@@ -14,6 +14,7 @@ shared mounts, HDFS, object stores).
 from __future__ import annotations
 
 import io
+import itertools
 import os
 import re
 import uuid
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tideline.session import scratch_path
 
@@ -33,27 +35,49 @@ from .common import col, staged, text_of
 
 MAGIC = b"IDSHARD1"
 HEAD = 16
+MOST_FILES = 20_000
 ENTRY = "doc_id long, occ long, key long, mark long, shard int, file string, at long, n_tokens long"
 
 # --- encoding -------------------------------------------------------------------------------
 
-_WS = r" \t\n\r\x0b\x0c"
-_SEGMENT = re.compile(rf"[{_WS}]*[^{_WS}]+|[{_WS}]+")
-_PLAIN = re.compile(rf" [^{_WS}]+")
-_OTHER_SPACE = re.compile(rf"[^\S{_WS}]")
-_EDGE = re.compile(rf"[^{_WS}](?=[{_WS}])")
-_SLICE = 1 << 20
-_JOINED = 2_000
-_KEPT = 800_000
+SPACES = b" \t\n\r\x0b\x0c"
+_SPACE = np.isin(np.arange(256), list(SPACES))
+_PLAIN = re.compile(rb" [^" + re.escape(SPACES) + rb"]+")
+_OTHER_SPACE = re.compile(rf"[^\S{re.escape(SPACES.decode())}]")
+_GROUP = 8 << 20  # bytes of texts that are cut at a time
+_CHUNK = 1 << 20  # segments whose ids are put together at a time
+_JOINED = 64
+_KEPT = 300_000
 _LOADED: dict = {}  # (path, special_as_text) -> Encoder
 
 
+class _Memory(dict):
+    """Ids of segments seen of late: two generations, so that what is used again stays and rare segments go."""
+
+    def __init__(self):
+        self.old: dict[bytes, bytes | None] = {}
+        self.new: list[bytes] = []
+
+    def __missing__(self, segment: bytes) -> bytes | None:
+        if segment in self.old:
+            found = self[segment] = self.old[segment]
+            return found
+        self.new.append(segment)
+        return None
+
+    def rest(self) -> None:
+        if len(self) > _KEPT:
+            self.old = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Whole-text ids by the tokenizers library, with a memory of segments.
 
     Byte-level BPE splits before every run of white space that follows another sign, so a text's
-    ids are those of its segments (white space and the signs up to the next) in a row. Segments seen before are
-    not encoded again; new ones are encoded together. A text with white space outside ASCII is encoded in one piece.
+    ids are those of its segments (white space and the signs up to the next) in a row. The texts of an Arrow batch are cut into
+    segments by their bytes, the distinct segments are looked up or encoded together, and the ids are gathered
+    from them, without a step for each document. A text with white space outside ASCII is encoded in one piece.
     """
 
     def __init__(self, path: str, special_as_text: bool):
@@ -64,73 +88,99 @@ class Encoder:
         self.tokenizer.encode_special_tokens = special_as_text
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.width = 2 if max(vocab.values()) < 1 << 16 else 4
-        self.kind = f"<u{self.width}"
+        self.kind = np.dtype(f"<u{self.width}")
         self.opens = np.zeros(max(vocab.values()) + 1, bool)  # ids that begin with a space
         for piece, i in vocab.items():
             self.opens[i] = piece.startswith("Ġ")
-        self.known: dict[str, bytes | None] = {}  # None: white space outside ASCII
-
-    def _direct(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def _learn(self, segments: set[str]) -> None:
-        if len(self.known) > _KEPT:
-            self.known.clear()
-        new = [s for s in segments if s not in self.known]
-        plain = [s for s in new if s[0] == " " and _PLAIN.fullmatch(s)]
-        for at in range(0, len(plain), _JOINED):
-            some = plain[at : at + _JOINED]
-            made = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0]
-            ids = np.array(made.ids, self.kind)
-            first = np.flatnonzero(self.opens[ids])
-            if len(first) == len(some):
-                raw, ends = ids.tobytes(), np.append(first, len(ids)) * self.width
-                self.known.update(zip(some, map(raw.__getitem__, map(slice, ends[:-1].tolist(), ends[1:].tolist())), strict=True))
+        self.known = _Memory()  # a segment's ids; None where it has white space outside ASCII
+
+    def _direct(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, self.kind)
+
+    def _cut(self, segments: list[bytes], coded: list) -> bool:
+        """Keep the ids of segments encoded in joined texts, if as many ids begin with a space as there are segments."""
+        ids = np.fromiter(itertools.chain.from_iterable(c.ids for c in coded), self.kind)
+        first = np.flatnonzero(self.opens[ids])
+        if len(first) != len(segments):
+            return False
+        raw, ends = ids.tobytes(), (np.append(first, len(ids)) * self.width).tolist()
+        self.known.update(zip(segments, map(raw.__getitem__, map(slice, ends[:-1], ends[1:])), strict=True))
+        return True
+
+    def _learn(self) -> None:
+        """Ids of all new segments; those of one space and other signs are encoded in joined texts."""
+        new, self.known.new = self.known.new, []
+        plain = [s for s in new if _PLAIN.fullmatch(s)]
+        joined = [plain[at : at + _JOINED] for at in range(0, len(plain), _JOINED)]
+        coded = self.tokenizer.encode_batch_fast([b"".join(some).decode() for some in joined], add_special_tokens=False)
+        if not self._cut(plain, coded):
+            for some, one in zip(joined, coded, strict=True):
+                self._cut(some, [one])
         for s in new:
-            if _OTHER_SPACE.search(s):
+            if not s.isascii() and _OTHER_SPACE.search(s.decode()):
                 self.known[s] = None
             elif s not in self.known:
-                self.known[s] = self._direct(s)
-
-    def _joined(self, segments: list[str]) -> bytes | None:
-        """The ids of known segments in a row; None if one has white space outside ASCII."""
-        try:
-            return b"".join(map(self.known.__getitem__, segments))
-        except TypeError:
-            return None
-
-    def _slices(self, text: str) -> Iterator[str]:
-        at = 0
-        while len(text) - at > _SLICE:
-            edge = _EDGE.search(text, at + _SLICE)
-            end = edge.end() if edge else len(text)
-            yield text[at:end]
-            at = end
-        yield text[at:]
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text, as bytes of ``width`` an id."""
-        for at in range(0, len(texts), 256):
-            some = texts[at : at + 256]
-            if sum(map(len, some)) > 4 * _SLICE:
-                yield from map(self._long, some)
-                continue
-            cut = list(map(_SEGMENT.findall, some))
-            self._learn(set().union(*cut))
-            for t, c in zip(some, cut, strict=True):
-                ids = self._joined(c)
-                yield self._direct(t) if ids is None else ids
-
-    def _long(self, text: str) -> bytes:
-        out = []
-        for piece in self._slices(text):
-            cut = _SEGMENT.findall(piece)
-            self._learn(set(cut))
-            ids = self._joined(cut)
-            if ids is None:
-                return self._direct(text)
-            out.append(ids)
-        return b"".join(out)
+                self.known[s] = self._direct(s).tobytes()
+
+    def _pool(self, segments: list[bytes]) -> list[bytes | None]:
+        got = list(map(self.known.__getitem__, segments))
+        if self.known.new:
+            self._learn()
+            for i in [i for i, ids in enumerate(got) if ids is None]:
+                got[i] = self.known[segments[i]]
+        self.known.rest()
+        return got
+
+    def _ids(self, segments: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of segments in a row, how many each has, and which have white space outside ASCII."""
+        distinct = segments.dictionary_encode()
+        at = distinct.indices.to_numpy()
+        pool = self._pool(distinct.dictionary.to_pylist())
+        other = np.fromiter((p is None for p in pool), bool, len(pool))
+        pool = [p or b"" for p in pool]
+        sizes = np.fromiter(map(len, pool), np.int64, len(pool)) // self.width
+        begin, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(pool), self.kind)
+        counts = sizes[at]
+        before = np.cumsum(counts) - counts
+        return ids[np.repeat(begin[at] - before, counts) + np.arange(counts.sum())], counts, other[at]
+
+    def _group(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts that lie in ``data`` at ``offsets``, each with the end id, and their numbers of ids."""
+        n = len(offsets) - 1
+        space = _SPACE[data]
+        begins = np.zeros(len(data) + 1, bool)
+        begins[1:-1] = space[1:] & ~space[:-1]
+        begins[offsets] = True
+        starts = np.flatnonzero(begins[: len(data)])
+        bounds = np.append(starts, len(data)).astype(np.int32)
+        first = np.searchsorted(starts, offsets)
+        buffers = [None, pa.py_buffer(bounds), pa.py_buffer(data)]
+        segments = pa.Array.from_buffers(pa.binary(), len(starts), buffers)
+        done = [self._ids(segments.slice(at, _CHUNK)) for at in range(0, len(starts), _CHUNK)]
+        ids, counts, other = (np.concatenate(x) for x in zip(*done, strict=True)) if done else (np.zeros(0, self.kind), np.zeros(0, np.int64), np.zeros(0, bool))
+        ends = np.r_[0, np.cumsum(counts)][first]
+        strange = np.diff(np.r_[0, np.cumsum(other)][first]) > 0
+        if not strange.any():
+            return np.insert(ids, ends[1:], end_id), np.diff(ends) + 1
+        texts = [
+            self._direct(data[offsets[i] : offsets[i + 1]].tobytes()) if strange[i] else ids[ends[i] : ends[i + 1]] for i in range(n)
+        ]
+        sizes = np.fromiter(map(len, texts), np.int64, n)
+        return np.insert(np.concatenate(texts), np.cumsum(sizes), end_id), sizes + 1
+
+    def encode(self, texts: pa.Array, end_id: int) -> Iterator[pa.Array]:
+        """The ids of each text with the end id, as binary values of ``width`` bytes an id, in arrays of groups of texts."""
+        texts = texts.cast(pa.string())
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        raw = texts.buffers()[2]
+        data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
+        a = 0
+        while a < len(texts):
+            b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + _GROUP, "right")) - 1)
+            ids, sizes = self._group(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], end_id)
+            ends = (np.r_[0, np.cumsum(sizes)] * self.width).astype(np.int32)
+            yield pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(ids, self.kind))])
+            a = b
 
 
 def encoder(path: str, special_as_text: bool = False) -> Encoder:
@@ -208,6 +258,9 @@ class PerfectHash:
 
 
 def _at(uri: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a Spark-style URI (``s3a`` and ``s3n`` are ``s3`` to Arrow)."""
+    if uri.startswith(("s3a://", "s3n://")):
+        uri = "s3://" + uri.split("://", 1)[1]
     return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
 
 
@@ -220,43 +273,79 @@ class _ShardWriter:
         self.out = system.open_output_stream(path)
         self.out.write(MAGIC + width.to_bytes(8, "little"))
 
-    def add(self, ids: bytes) -> tuple[int, int]:
-        self.out.write(ids)
-        start, n = self.at, len(ids) // self.width
-        self.at += n
-        return start, n
 
+def _encode(tokenizer: str, special_as_text: bool, end_id: int):
+    """Arrow mapper (doc_id, text) -> doc_id and all ids of the text with the end id."""
 
-def _write_shards(folder: str, tokenizer: str, special_as_text: bool, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, special_as_text)
-        end = np.array([end_id], enc.kind).tobytes()
-        out, last, occ = None, (None, None), 0
-        for big in batches:
-            for at in range(0, big.num_rows, 1024):
-                batch = big.slice(at, 1024)
-                shards, ids, texts = (batch.column(i).to_pylist() for i in range(3))
-                made: list[list] = [[] for _ in range(6)]
-                for shard, doc, raw in zip(shards, ids, enc.encode(texts), strict=True):
-                    if out is None or out.shard != shard:
-                        if out is not None:
-                            out.out.close()
-                        out, last = _ShardWriter(folder, shard, enc.width), (None, None)
-                    occ = occ + 1 if last == (shard, doc) else 0
-                    last = (shard, doc)
-                    start, n = out.add(raw + end)
-                    for c, v in zip(made, (doc, occ, shard, out.name, start, n), strict=True):
-                        c.append(v)
-                missing = np.array([d is None for d in made[0]], bool)
-                key, mark = key_of(np.array([d or 0 for d in made[0]], np.int64), missing, np.array(made[1], np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(made[0], pa.int64()), pa.array(made[1], pa.int64()), pa.array(key), pa.array(mark),
-                        pa.array(made[2], pa.int32()), pa.array(made[3], pa.string()),
-                        pa.array(made[4], pa.int64()), pa.array(made[5], pa.int64()),
-                    ],
-                    names=["doc_id", "occ", "key", "mark", "shard", "file", "at", "n_tokens"],
-                )
+        for batch in batches:
+            at = 0
+            for ids in enc.encode(batch.column(1), end_id):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(ids)), ids], names=["doc_id", "ids"])
+                at += len(ids)
+
+    return run
+
+
+def token_counts(docs: DataFrame, tokenizer: str, text_col: str, name: str, special_as_text: bool = False, end_id: int = 2) -> DataFrame:
+    """``docs`` without its text but with ``name``: the number of ids of the whole text with the end id, as :func:`write_ids` writes them."""
+    kept = [c for c in docs.columns if c != text_col]
+    rows = docs.select(*map(col, kept), text_of(text_col).alias(text_col))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(tokenizer, special_as_text)
+        for batch in batches:
+            sizes = [np.diff(np.frombuffer(ids.buffers()[1], np.int32)) // enc.width for ids in enc.encode(batch.column(len(kept)), end_id)]
+            counts = pa.array(np.concatenate(sizes) if sizes else np.zeros(0), pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], counts], names=[*kept, name])
+
+    schema = StructType([*(rows.schema[c] for c in kept), StructField(name, LongType())])
+    return rows.mapInArrow(run, schema)
+
+
+def _write_shards(folder: str, width: int):
+    """Arrow mapper (shard, doc_id, ids) in order -> an entry for each document; the ids of a shard go to its file as they lie."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, last, occ = None, None, 0
+        for batch in batches:
+            shards = batch.column(0).to_numpy()
+            given = batch.column(1)
+            missing = given.is_null().to_numpy(zero_copy_only=False)
+            ids = given.fill_null(0).to_numpy()
+            raw = batch.column(2)
+            offsets = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1].astype(np.int64)
+            data = raw.buffers()[2]
+            counts = np.diff(offsets) // width
+            at = np.zeros(len(raw), np.int64)
+            files: list[str] = []
+            cuts = np.flatnonzero(np.r_[True, shards[1:] != shards[:-1]]) if len(shards) else []
+            for a, b in zip(cuts, [*cuts[1:], len(shards)], strict=True):
+                if out is None or out.shard != shards[a]:
+                    if out is not None:
+                        out.out.close()
+                    out = _ShardWriter(folder, int(shards[a]), width)
+                out.out.write(data.slice(int(offsets[a]), int(offsets[b] - offsets[a])))
+                at[a:b] = out.at + np.r_[0, np.cumsum(counts[a:b])[:-1]]
+                out.at += int(counts[a:b].sum())
+                files += [out.name] * int(b - a)
+            if not len(shards):
+                continue
+            # the how-manieth row of its id in its shard each row is; the last row's count goes on in the next batch
+            same = np.r_[last == (shards[0], missing[0], ids[0]), (shards[1:] == shards[:-1]) & (missing[1:] == missing[:-1]) & (ids[1:] == ids[:-1])]
+            place = np.arange(len(ids))
+            begin = np.maximum.accumulate(np.where(same, 0, place))
+            times = place - begin + np.where(np.cumsum(~same) == 0, occ + 1, 0)
+            last, occ = (shards[-1], missing[-1], ids[-1]), int(times[-1])
+            key, mark = key_of(ids, missing, times)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    given, pa.array(times), pa.array(key), pa.array(mark), batch.column(0), pa.array(files, pa.string()),
+                    pa.array(at), pa.array(counts),
+                ],
+                names=["doc_id", "occ", "key", "mark", "shard", "file", "at", "n_tokens"],
+            )
         if out is not None:
             out.out.close()
 
@@ -388,7 +477,9 @@ def write_ids(
 
     Null and empty texts have only the end id. Ids ascend over the shards, null ids come last;
     rows that repeat an id are written each and get repetition numbers 0, 1, ... Names of special tokens
-    in a text are taken as such unless ``special_as_text``. Other columns are ignored.
+    in a text are taken as such unless ``special_as_text``. Other columns are ignored. Texts are encoded where they are read;
+    only ids are dealt to shards. There are at most ``MOST_FILES`` shards and index parts, so shards of
+    large tables hold more than ``docs_per_shard`` documents; the names of the files are what the driver keeps.
     """
     from pyspark.ml.feature import Bucketizer
 
@@ -396,21 +487,24 @@ def write_ids(
     folder = folder or scratch_path(spark, "llm-ids")
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     count = rows.select("doc_id").count()
+    docs_per_shard = max(docs_per_shard, -(-count // MOST_FILES))
+    keys_per_part = max(keys_per_part, -(-count // MOST_FILES))
     shards = max(1, -(-count // docs_per_shard))
     ids = rows.select(F.col("doc_id").cast("double").alias("d"))
     edges = ids.approxQuantile("d", [i / shards for i in range(1, shards)], 0.1 / shards) if shards > 1 else []
     edges = sorted(set(edges))
-    dealt = rows.withColumn("d", F.col("doc_id").cast("double"))
+    coded = rows.mapInArrow(_encode(tokenizer, special_as_text, end_id), "doc_id long, ids binary")
+    dealt = coded.withColumn("d", F.col("doc_id").cast("double"))
     if edges:
         cut = Bucketizer(splits=[float("-inf"), *edges, float("inf")], inputCol="d", outputCol="s", handleInvalid="keep")
         dealt = cut.transform(dealt)
     else:
         dealt = dealt.withColumn("s", F.lit(0.0))
     entries = staged(
-        dealt.select(F.coalesce("s", F.lit(len(edges) + 1.0)).cast("int").alias("shard"), "doc_id", "text")
+        dealt.select(F.coalesce("s", F.lit(len(edges) + 1.0)).cast("int").alias("shard"), "doc_id", "ids")
         .repartitionById(len(edges) + 2, F.col("shard"))
         .sortWithinPartitions("shard", F.asc_nulls_last("doc_id"))
-        .mapInArrow(_write_shards(folder, tokenizer, special_as_text, end_id), ENTRY),
+        .mapInArrow(_write_shards(folder, encoder(tokenizer, special_as_text).width), ENTRY),
         "id-entries",
     )
     files: dict[int, tuple[str, int]] = {}
