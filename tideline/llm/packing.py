@@ -11,13 +11,15 @@ that holds its contents. The lengths are thus chosen jointly while packing, not
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ROW, col, numbered, staged, text_of
+from .token_ids import token_counts
 
 LENGTHS = (512, 1024, 2048, 4096)
 #: A sequence of this many tokens costs twice its linear share (attention).
@@ -84,10 +86,19 @@ def word_count(text: Column) -> Column:
 
 
 def _packer(lengths: tuple[int, ...]):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["row_no", "piece"], kind="stable")
-        bins, offsets, final = pack(pdf["n_tokens"].to_numpy(), lengths)
-        return pdf.assign(bin=bins.astype("int32"), bin_length=final.astype("int32"), offset=offsets.astype("int32"))
+    """Arrow mapper over a partition that is one shard, sorted by row and piece."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        sizes = rows.column(rows.schema.get_field_index("n_tokens")).to_numpy()
+        bins, offsets, final = pack(sizes, lengths)
+        yield pa.RecordBatch.from_arrays(
+            [*rows.columns, *(pa.array(x.astype(np.int32)) for x in (bins, final, offsets))],
+            names=[*rows.schema.names, "bin", "bin_length", "offset"],
+        )
 
     return run
 
@@ -97,6 +108,7 @@ def best_fit_packing(
     id_col: str = "doc_id",
     text_col: str = "text",
     tokens_col: str | None = None,
+    tokenizer: str | None = None,
     lengths: tuple[int, ...] = LENGTHS,
     shard_pieces: int = 16384,
 ) -> DataFrame:
@@ -104,17 +116,24 @@ def best_fit_packing(
 
     Columns: doc_id, row_no (the document's row; repeated rows are packed each), piece, start and
     n_tokens (a range of the document's tokens), shard, bin (number within the shard), bin_length
-    (one of ``lengths``), offset (in the bin). Tokens are the text's words plus one end mark, or
-    the numbers in ``tokens_col`` (null or negative: 0). A document without tokens
+    (one of ``lengths``), offset (in the bin). With ``tokenizer`` (a vocabulary file) tokens are the ids that
+    ``token_ids.write_ids`` writes for the document, end id included, so a range is one of the stored ids; otherwise they are the numbers in
+    ``tokens_col`` (null or negative: 0), or the text's words plus one end mark. A document without tokens
     is one piece of none. A shard has about ``shard_pieces`` pieces, which bounds a task's memory at every
-    input size; each shard leaves at most a few bins unfilled. An empty table gives an empty result.
+    input size; each shard leaves at most a few bins unfilled. Nulls and empty texts have the end token alone. An empty table gives an
+    empty result; other columns, whatever their names, are ignored.
     """
     lengths = tuple(sorted(set(lengths)))
     if not lengths or lengths[0] < 1:
         raise ValueError("lengths must be positive")
     top = lengths[-1]
-    tokens = word_count(text_of(text_col)) + 1 if tokens_col is None else F.greatest(F.coalesce(col(tokens_col), F.lit(0)), F.lit(0))
-    rows = staged(numbered(docs.select(col(id_col).alias("doc_id"), tokens.cast("long").alias("n"))), "packing")
+    doc = col(id_col).cast("long").alias("doc_id")
+    if tokenizer is not None:
+        counted = token_counts(docs.select(doc, text_of(text_col).alias("text")), tokenizer, "text", "n")
+    else:
+        tokens = word_count(text_of(text_col)) + 1 if tokens_col is None else F.greatest(F.coalesce(col(tokens_col), F.lit(0)), F.lit(0))
+        counted = docs.select(doc, tokens.cast("long").alias("n"))
+    rows = staged(numbered(counted), "packing")
     last = F.greatest(F.ceil(F.col("n") / top) - 1, F.lit(0))
     pieces = rows.select(
         "doc_id", ROW, "n", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("piece")
@@ -128,4 +147,4 @@ def best_fit_packing(
     count = rows.agg(F.sum(last + 1)).first()[0] or 0
     shards = max(1, -(-int(count) // shard_pieces))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(ROW, "piece"), F.lit(shards)).cast("int"))
-    return dealt.groupBy("shard").applyInPandas(_packer(lengths), SCHEMA)
+    return dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions(ROW, "piece").mapInArrow(_packer(lengths), SCHEMA)
