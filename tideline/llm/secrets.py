@@ -5,13 +5,16 @@ and three tests ask whether its signs look drawn at random from that alphabet: c
 alphabet's middle, and lag-1 serial correlation. Fisher's method joins the three p-values.
 
 Ordinary tokens have small p-values, random ones uniform ones, and the share of ordinary tokens depends on
-length and encoding. So in each stratum of encoding and length (powers of two) the number of random tokens is estimated from
-the upper p-values, and the least cut is taken at which the estimated share of false discoveries among the tokens above
-it is at most ``fdr``; a stratum where no cut does that reports none. Only DataFrame functions are used.
+length and encoding. So in each stratum of encoding and length (powers of two) the p-values are taken as a mixture of uniform
+ones (random tokens) and of ones that lean to zero (ordinary tokens, a beta distribution), and the least cut is taken at which the share of
+ordinary tokens above it is at most ``fdr`` under every mixture that the stratum's histogram does not refute. Thin strata of one encoding
+are taken together with their neighbours in length; where the tokens are too few to refute that they are all ordinary, nothing is
+reported. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from dataclasses import dataclass
 
@@ -38,7 +41,7 @@ BASE = (
     Kind("hex", r"[0-9a-f]{24,}", 0, 24),
 )
 RANDOM = "random"
-_RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
+_RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+"
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Encodings from narrow to wide: name, pattern of the whole token, alphabet in its order.
@@ -208,20 +211,58 @@ def battery(spans: Column) -> Column:
     return spans
 
 
-def cuts(counts: dict[int, list[int]], fdr: float, upper: float = 0.75, highest: float = 0.5) -> dict[int, float]:
-    """The least p-value to report in each stratum, from its histogram of p-values over [0, 1].
+#: Mixtures that are looked at: the share of random tokens, and the exponent of the ordinary ones' distribution p ** a. Ordinary
+#: tokens are held to have p-values at least as low as with the last exponent; without such a bound they could not be told from random ones.
+SHARES = [i / 100 for i in range(101)]
+EXPONENTS = [i / 50 for i in range(1, 26)]
+UNREFUTED = 3.0  # log likelihood under the best mixture's: the 95 % region of two parameters
 
-    Random tokens are estimated as those over ``upper``, scaled; of the tokens above a cut, those beyond the
-    random ones expected there are false discoveries.
+
+@functools.cache
+def _logs() -> dict[tuple[float, float], list[float]]:
+    """The log probability of each bin under each mixture."""
+    out = {}
+    for a in EXPONENTS:
+        mass = [((i + 1) / BINS) ** a - (i / BINS) ** a for i in range(BINS)]
+        out |= {(w, a): [math.log(w / BINS + (1 - w) * m) for m in mass] for w in SHARES}
+    return out
+
+
+def _pools(counts: dict[int, list[int]], evidence: int) -> list[tuple[list[int], list[int]]]:
+    """(strata, histogram): strata of ``evidence`` tokens by themselves, thinner ones of one encoding with their neighbours in length."""
+    pools: list[tuple[list[int], list[int]]] = []
+    thin: tuple[list[int], list[int]] = ([], [])
+    for stratum in sorted(counts):
+        if thin[0] and (thin[0][-1] // 64 != stratum // 64 or sum(counts[stratum]) >= evidence):
+            pools.append(thin)
+            thin = ([], [])
+        if sum(counts[stratum]) >= evidence:
+            pools.append(([stratum], counts[stratum]))
+        else:
+            thin = ([*thin[0], stratum], [a + b for a, b in zip(thin[1] or [0] * BINS, counts[stratum], strict=True)])
+    return [*pools, thin] if thin[0] else pools
+
+
+def cuts(counts: dict[int, list[int]], fdr: float, highest: float = 0.5, evidence: int = 1000) -> dict[int, float]:
+    """The least p-value to report in each stratum, from its histogram of p-values over [0, 1]; strata without one are left out.
+
+    For each mixture of ``SHARES`` and ``EXPONENTS`` that the histogram does not refute (its likelihood is within
+    ``UNREFUTED`` of the best one's) the share of ordinary tokens above a cut follows; the largest of these shares has to be at most ``fdr``.
     """
     out = {}
-    for stratum, bins in counts.items():
-        per_bin = sum(bins[int(upper * BINS) :]) / (BINS - int(upper * BINS))
-        for b in range(1, int(highest * BINS) + 1):
-            above = sum(bins[b:])
-            if above and 1 - per_bin * (BINS - b) / above <= fdr:
-                out[stratum] = b / BINS
-                break
+    for strata, bins in _pools(counts, evidence):
+        held = [(i, n) for i, n in enumerate(bins) if n]
+        likely = {m: sum(n * logs[i] for i, n in held) for m, logs in _logs().items()}
+        best = max(likely.values(), default=0.0)
+        open_to = [m for m, value in likely.items() if value >= best - UNREFUTED]
+
+        def ordinary(cut: float, open_to: list[tuple[float, float]] = open_to) -> float:
+            shares = ((1 - w) * (1 - cut**a) for w, a in open_to)
+            return max(x / (x + w * (1 - cut)) for x, (w, _) in zip(shares, open_to, strict=True))
+
+        found = next((b / BINS for b in range(1, int(highest * BINS) + 1) if ordinary(b / BINS) <= fdr), None)
+        if found is not None:
+            out |= dict.fromkeys(strata, found)
     return out
 
 
@@ -231,9 +272,13 @@ def secret_scan(
     text_col: str = "text",
     base: tuple[Kind, ...] = BASE,
     fdr: float = 0.05,
+    least_signs: int = 16,
 ) -> DataFrame:
     """One row per document: doc_id, and spans, an array of (kind, start, stop) in code points, stop exclusive.
 
+    ``fdr`` bounds the share of ordinary tokens among the random ones of a stratum. Runs of fewer than ``least_signs`` signs are not
+    tested: they carry too little to be told from words. In a table with few tokens no cut has evidence, and only known formats are found.
+
     Spans are ordered by start, then kind as listed in ``base``, ``random`` last; a random token that overlaps
     a known span is not added. Null and empty texts have no spans; repeated rows all return; an empty table gives an
     empty result. The estimates behind the cuts read the tokens of all documents.
@@ -243,7 +288,7 @@ def secret_scan(
     rows = docs.select(col(id_col).alias("doc_id"), text.alias("text")).select(
         "doc_id",
         F.transform(known, lambda s: F.struct(s["kind"], s["start"], s["stop"])).alias("known"),
-        battery(spans_of(F.col("text"), RANDOM, _RUN)).alias("tokens"),
+        battery(spans_of(F.col("text"), RANDOM, _RUN % least_signs)).alias("tokens"),
     )
     rows = staged(rows, "secret-spans")
     token = rows.select(F.explode("tokens").alias("t"))
