@@ -7,6 +7,7 @@ import re
 import string
 import textwrap
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -70,11 +71,11 @@ def test_known_formats_match_brute_force(spark, make):
 def test_random_tokens_are_found_and_words_are_not(spark, make):
     rng = random.Random(5)
     sign = string.ascii_letters + string.digits
-    keys = ["".join(rng.choice(sign) for _ in range(40)) for _ in range(120)]
-    dull = ["".join(rng.choice(WORDS) for _ in range(12)).ljust(40, "s")[:40].capitalize() + "1" for _ in range(120)]
+    keys = ["".join(rng.choice(sign) for _ in range(40)) for _ in range(2500)]
+    dull = ["".join(rng.choice(WORDS) for _ in range(12)).ljust(40, "s")[:40].capitalize() + "1" for _ in range(2500)]
     rows = S.secret_scan(make([(i, f"see {k} here") for i, k in enumerate(keys + dull)])).collect()
     hit = {r.doc_id for r in rows if r.spans}
-    assert len([i for i in hit if i < 120]) > 90 and not [i for i in hit if i >= 120]
+    assert len([i for i in hit if i < 2500]) > 1900 and not [i for i in hit if i >= 2500]
     one = next(r for r in rows if r.doc_id in hit)
     assert [(s.kind, s.start, s.stop) for s in one.spans] == [("random", 4, 44)]
 
@@ -82,21 +83,75 @@ def test_random_tokens_are_found_and_words_are_not(spark, make):
 def test_cut_needs_evidence():
     assert S.cuts({1: [100] * S.BINS}, 0.05) == {1: 0.01}  # all random
     assert S.cuts({1: [1000] + [0] * 99}, 0.05) == {}  # none random
-    mixed = [900] + [10] * 99
-    assert 0 < S.cuts({1: mixed}, 0.05)[1] <= 0.5
+    assert 0 < S.cuts({1: [9000] + [100] * 99}, 0.05)[1] < 0.2  # ordinary ones all at the bottom
+
+
+def histogram(p):
+    return np.bincount(np.minimum((np.asarray(p) * S.BINS).astype(int), S.BINS - 1), minlength=S.BINS).tolist()
+
+
+def test_thin_strata_of_ordinary_tokens_report_nothing():
+    rng = np.random.default_rng(1)
+    assert S.cuts({1: histogram([0.8])}, 0.05) == S.cuts({1: histogram([0.001, 0.8])}, 0.05) == S.cuts({}, 0.05) == {}
+    for n in (1, 3, 10, 100, 300):
+        for _ in range(40):
+            # neighbours in length are pooled; ordinary tokens have p = u ** 3
+            assert S.cuts({1 + k: histogram(rng.random(n) ** 3) for k in range(3)}, 0.05) == {}
+
+
+def test_thin_strata_are_pooled_with_their_neighbours_only():
+    some = histogram(np.linspace(0, 0.9999, 400))  # too few alone
+    assert S.cuts({4: some}, 0.05) == {} and S.cuts({4: some, 64 + 4: some}, 0.05) == {}
+    pooled = S.cuts({4 + k: some for k in range(12)}, 0.05)
+    assert len(pooled) == 12 and len(set(pooled.values())) == 1
+    rich = histogram(np.linspace(0, 0.9999, 4000))
+    assert set(S.cuts({3: some, 4: rich, 5: some}, 0.05)) == {4}
+
+
+@pytest.mark.parametrize("ordinary", [0.1, 0.2, 0.5, 0.9])
+def test_share_of_ordinary_tokens_among_the_reported(ordinary):
+    """Random tokens with uniform p-values among ordinary ones with p = u ** 6: the reported share of these stays near fdr."""
+    rng, shares, hits = np.random.default_rng(2), [], 0
+    for _ in range(60):
+        n = 20_000
+        plain, drawn = rng.random(int(n * ordinary)) ** 6, rng.random(int(n * (1 - ordinary)))
+        cut = S.cuts({1: histogram(np.r_[plain, drawn])}, 0.05).get(1)
+        if cut is not None:
+            hits += 1
+            shares.append((plain >= cut).sum() / max(1, (plain >= cut).sum() + (drawn >= cut).sum()))
+    assert np.mean(shares or [0]) < 0.06 and (ordinary > 0.1 or hits > 50)
+
+
+def test_a_word_alone_is_no_secret(make):
+    for text in ("see uncharacteristically here", "counterrevolutionaries and internationalization", "antidisestablishmentarianism"):
+        assert S.secret_scan(make([(1, text)])).first().spans == []
+
+
+def test_planted_words_and_keys(make):
+    """4,000 long words of ordinary make and 4,000 random keys: few of the words are reported, most of the keys are."""
+    rng = random.Random(11)
+    syllables = "counter inter national ization revolution aries character istic ally un dis establish ment arian ism over throw ing pre post".split()
+    word = lambda: "".join(rng.choice(syllables) for _ in range(4))
+    lower = lambda: "".join(rng.choice(string.ascii_lowercase) for _ in range(24))
+    pairs = [(i, f"{word()} . {lower()}") for i in range(4000)]
+    rows = {r.doc_id: r.spans for r in S.secret_scan(make(pairs)).collect()}
+    words = sum(any(s.start == 0 for s in rows[i]) for i, t in pairs)
+    keys = sum(any(s.stop == len(t) for s in rows[i]) for i, t in pairs)
+    assert words <= 0.05 * (words + keys)
+    assert keys == 0 or keys > 2000
 
 
 def test_many_spans_in_one_text(make):
     rng = random.Random(9)
     sign = string.ascii_letters + string.digits
     key = lambda: "".join(rng.choice(sign) for _ in range(40))
-    parts = [rng.choice([f"token={key()}", key(), rng.randbytes(16).hex(), "\U0001f600 word", f"{key()} api_key: {key()}"]) for _ in range(1500)]
+    parts = [rng.choice([f"token={key()}", key(), rng.randbytes(16).hex(), "\U0001f600 word", f"{key()} api_key: {key()}"]) for _ in range(6000)]
     text = "\n".join(parts)
     row = S.secret_scan(make([(1, text), (2, parts[0])])).where("doc_id = 1").first()
     known = [s for s in row.spans if s.kind != "random"]
     assert ",".join(f"{s.kind}:{s.start}:{s.stop}" for s in known) == brute_spans(text) and len(known) > 3 * S.BLOCK
     found = [s for s in row.spans if s.kind == "random"]
-    runs = {m.span() for m in re.finditer(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}", text)}
+    runs = {m.span() for m in re.finditer(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}", text)}
     free = {(a, b) for a, b in runs if not any(s.start < b and a < s.stop for s in known)}
     assert {(s.start, s.stop) for s in found} <= free and len(found) > 0.8 * len(free)
     assert row.spans == sorted(row.spans, key=lambda s: (s.start, ["assign", "access", "hex", "random"].index(s.kind)))

@@ -88,7 +88,7 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_fit_packing(table(spark, sf_dir, "documents"))
+    return best_fit_packing(table(spark, sf_dir, "documents"), tokenizer=tokenizer_file())
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,14 +156,14 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM w
 
 _OP7 = """
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v
   FROM embeddings
-  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.r, q.vec_id AS query_id, c.vec_id,
          CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.r <> c.r),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
