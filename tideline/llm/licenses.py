@@ -17,7 +17,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, once, text_of
+from .common import col, once, staged, text_of
 
 # Short notices as texts carry them. The first four are also the only ones that the test data has.
 TEMPLATES = (
@@ -154,13 +154,77 @@ def _tables(ready: list[Template], least: float) -> Column:
     return F.from_json(F.lit(json.dumps(rows)), "array<struct<a int, low int, most int, name string, g array<string>>>")
 
 
+_CANDIDATE = "array<struct<less:int,minus:double,place:int,s:int,e:int>>"
+_START = 8  # pairs of words by which the start of a window is judged
+
+
+def _candidates(t: Template, tables: Column, least: float) -> Column:
+    """The windows of one template in a row (g, before, taken, whole): structs (-shared, -dice, place, first and last pair)."""
+    own = F.get(tables, F.lit(t.place))["g"]
+    size, low, most = len(t.bigrams), t.low(least), t.longest(least)
+    first = min(_START, low)
+    dense = math.ceil(first * least / 2 - 1e-9)
+    has = ",".join(f"'{b}'" for b in t.bigrams)
+    # for each pair where it stood before, and whether the template has it (a constant hash set)
+    marks = F.expr(f"transform(g, (x, i) -> named_struct('before', get(before, i), 'hit', x IN ({has})))")
+
+    def of_marks(m: Column) -> Column:
+        def taken(i: Column) -> Column:
+            return F.exists("taken", lambda o: (o["s"] <= i) & (i <= o["e"]))
+
+        def best_from(s: Column) -> Column:
+            def step(acc: Column, x: Column) -> Column:
+                new = F.when(x["before"] < s, F.lit(1)).otherwise(F.lit(0))
+                d, n = acc["d"] + new, acc["m"] + F.when(x["hit"], new).otherwise(F.lit(0))
+                dice = 2 * n / (d + F.lit(size))
+                more = x["hit"] & (dice > acc["dice"])
+                return F.struct(
+                    (acc["i"] + 1).alias("i"), d.alias("d"), n.alias("m"),
+                    F.when(more, dice).otherwise(acc["dice"]).alias("dice"), F.when(more, acc["i"]).otherwise(acc["e"]).alias("e"),
+                    F.when(more, n).otherwise(acc["shared"]).alias("shared"),
+                )
+
+            zero = F.struct(s.alias("i"), F.lit(0).alias("d"), F.lit(0).alias("m"), F.lit(0.0).alias("dice"), s.alias("e"), F.lit(0).alias("shared"))
+            end = F.coalesce(F.array_min(F.transform(F.filter("taken", lambda o: o["s"] > s), lambda o: o["s"])), F.size("g"))
+            return F.aggregate(
+                F.slice(m, s + 1, F.least(F.lit(most), end - s)), zero, step,
+                lambda a: F.struct(
+                    (-a["shared"]).alias("less"), (-a["dice"]).alias("minus"), F.lit(t.place).alias("place"), s.alias("s"), a["e"].alias("e")
+                ),
+            )
+
+        def known(c: Column) -> Column:
+            """Does the text as a whole tell of it already?"""
+            other = F.get(tables, F.col("whole"))
+            here = F.array_intersect(F.slice("g", c["s"] + 1, c["e"] - c["s"] + 1), own)
+            told = (other["name"] == t.licence) | (F.size(F.array_intersect(here, other["g"])) >= -c["less"] * least)
+            return F.when(F.col("whole").isNull(), F.lit(False)).otherwise(told)
+
+        def from_hits(hits: Column) -> Column:
+            def starts(s: Column, k: Column) -> Column:
+                within = lambda n, pairs: F.coalesce(F.get(hits, k + F.lit(n - 1)) < s + F.lit(pairs), F.lit(False))
+                before = F.get(m, s - 1)
+                begins = F.coalesce(~before["hit"], F.lit(True)) | taken(s - 1)
+                return within(dense, first) & within(low, most) & begins & ~taken(s)
+
+            found = F.transform(F.filter(hits, starts), best_from)
+            return F.filter(found, lambda c: (-c["minus"] >= least) & ~known(c))
+
+        hit = F.filter(F.transform(m, lambda x, i: F.when(x["hit"], i)), lambda i: i.isNotNull())
+        return F.flatten(F.transform(F.array(hit), from_hits))
+
+    none = F.array().cast(_CANDIDATE)
+    return F.when(F.array_contains("places", t.place), F.flatten(F.transform(F.array(marks), of_marks))).otherwise(none)
+
+
 def _windows(some: DataFrame, ready: list[Template], least: float) -> DataFrame:
     """The windows of :func:`license_scan` that no line and no text as a whole tells of.
 
-    All is done inside the row of a text: nothing is dealt out by a key.
+    All is done inside the row of a text: nothing is dealt out by a key. A round takes windows of a text that do not overlap; the next
+    one looks in what they left free, until a text has no more.
     """
-    ready = [t for t in ready if t.bigrams]
     tables = _tables(ready, least)
+    ready = [t for t in ready if t.bigrams]
     known = ",".join(f"'{b}'" for b in sorted({b for t in ready for b in t.bigrams}))
     fewest = min((t.low(least) for t in ready), default=1)
 
@@ -176,13 +240,11 @@ def _windows(some: DataFrame, ready: list[Template], least: float) -> DataFrame:
     pairs = words.select("*", once(F.transform(at, lambda i: F.concat_ws(" ", F.get("w", i)["w"], F.get("w", i + 1)["w"])), "g"))
     hits = pairs.select("*", once(F.expr(f"array_distinct(filter(g, x -> x IN ({known})))"), "hits")).where(F.size("hits") >= fewest)
 
-    def can(p: Column) -> Column:
-        t = F.get(tables, p)
-        return (F.size("hits") >= t["low"]) & F.when(
-            F.size("hits") >= t["low"], F.size(F.array_intersect(F.col("hits"), t["g"])) >= t["low"]
-        ).otherwise(F.lit(False))
+    def can(t: Template) -> Column:
+        enough = F.size(F.array_intersect(F.col("hits"), F.get(tables, F.lit(t.place))["g"])) >= t.low(least)
+        return F.when((F.size("hits") >= t.low(least)) & enough, F.lit(t.place))
 
-    places = F.filter(F.sequence(F.lit(0), F.lit(len(ready) - 1)), can)
+    places = F.filter(F.array(*map(can, ready)), lambda p: p.isNotNull())
     hits = hits.select("doc_id", "w", "g", once(places, "places")).where(F.size("places") > 0)
     # before: where each pair stands for the last time before, -1 for the first
     hits = hits.select("*", once(F.sort_array(F.transform("g", lambda x, i: F.struct(x.alias("x"), i.alias("i")))), "order"))
@@ -193,71 +255,51 @@ def _windows(some: DataFrame, ready: list[Template], least: float) -> DataFrame:
             F.when((k > 0) & (F.get("order", k - 1)["x"] == o["x"]), F.get("order", k - 1)["i"]).otherwise(F.lit(-1)).alias("before"),
         ),
     )
-    # the most bigrams that the text as a whole shares with a template it reaches the coefficient with
-    size = F.size(F.array_distinct("g"))
-    as_whole = lambda t: F.round(_dice(F.array_distinct("g"), t, least) * (size + t["a"]) / 2).cast("int")
-    whole = F.array_max(F.transform(tables, lambda t: F.when(_dice(F.array_distinct("g"), t, least) >= least, as_whole(t)).otherwise(0)))
-    ready_rows = hits.select(
-        "doc_id", "w", "g", "places", once(F.transform(F.sort_array(last), lambda x: x["before"]), "before"), once(whole, "whole")
-    )
-
-    def of_template(p: Column) -> Column:
-        t = F.get(tables, p)
-
-        def of_marks(marks: Column) -> Column:
-            """``marks``: for each pair where it stood before and whether the template has it."""
-
-            def best_from(s: Column) -> Column:
-                def step(acc: Column, x: Column) -> Column:
-                    new = F.when(x["before"] < s, F.lit(1)).otherwise(F.lit(0))
-                    d, m = acc["d"] + new, acc["m"] + F.when(x["hit"], new).otherwise(F.lit(0))
-                    dice = 2 * m / (d + t["a"])
-                    more = x["hit"] & (dice > acc["dice"])
-                    return F.struct(
-                        (acc["i"] + 1).alias("i"), d.alias("d"), m.alias("m"),
-                        F.when(more, dice).otherwise(acc["dice"]).alias("dice"), F.when(more, acc["i"]).otherwise(acc["e"]).alias("e"),
-                        F.when(more, m).otherwise(acc["shared"]).alias("shared"),
-                    )
-
-                zero = F.struct(s.alias("i"), F.lit(0).alias("d"), F.lit(0).alias("m"), F.lit(0.0).alias("dice"), s.alias("e"), F.lit(0).alias("shared"))
-                return F.aggregate(
-                    F.slice(marks, s + 1, t["most"]), zero, step,
-                    lambda a: F.struct((-a["shared"]).alias("less"), (-a["dice"]).alias("minus"), p.alias("place"), s.alias("s"), a["e"].alias("e")),
-                )
-
-            def from_starts(starts: Column) -> Column:
-                # a window has at least low hits, the last of them within its size
-                near = F.filter(starts, lambda s, k: F.coalesce(F.get(starts, k + t["low"] - 1) < s + t["most"], F.lit(False)))
-                return F.filter(F.transform(near, best_from), lambda c: (-c["minus"] >= least) & (-c["less"] > F.col("whole")))
-
-            hit = F.transform(marks, lambda x, i: F.when(x["hit"], i))
-            return F.flatten(F.transform(F.array(F.filter(hit, lambda i: i.isNotNull())), from_starts))
-
-        marks = F.transform("g", lambda x, i: F.struct(F.get("before", i).alias("before"), F.array_contains(t["g"], x).alias("hit")))
-        told = F.when(_dice(F.array_distinct("g"), t, least) >= least, F.array().cast("array<array<struct<before int, hit boolean>>>"))
-        return F.flatten(F.transform(told.otherwise(F.array(marks)), of_marks))
-
-    found = ready_rows.select("doc_id", "w", "g", once(F.sort_array(F.flatten(F.transform("places", of_template))), "found"))
-    found = found.where(F.size("found") > 0)
+    rows = hits.select(
+        "doc_id", "w", "g", "places", once(F.transform(F.sort_array(last), lambda x: x["before"]), "before"),
+        _best_of(F.array_distinct("g"), tables, least).alias("whole"), F.array().cast("array<struct<s:int,e:int>>").alias("taken"),
+    )
 
     def apart(kept: Column, c: Column) -> Column:
         clash = F.exists(kept, lambda o: (o["s"] <= c["e"]) & (c["s"] <= o["e"]))
         return F.when(clash, kept).otherwise(F.concat(kept, F.array(c)))
 
-    none = F.array().cast("array<struct<less int, minus double, place int, s int, e int>>")
-    kept = found.select("doc_id", "w", "g", F.explode(F.aggregate("found", none, apart)).alias("c"))
+    found_in = F.sort_array(F.flatten(F.array(*[_candidates(t, tables, least) for t in ready])))
+    rounds: list[DataFrame] = []
+    while True:
+        found = rows.select("*", once(F.aggregate(found_in, F.array().cast(_CANDIDATE), apart), "found"))
+        found = staged(found.where(F.size("found") > 0), "license-windows")
+        rounds.append(found.select("w", "g", "doc_id", F.explode("found").alias("c")))
+        if found.isEmpty():
+            break
+        pairs_of = F.transform("found", lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e")))
+        rows = found.select("doc_id", "w", "g", "places", "before", "whole", F.concat("taken", pairs_of).alias("taken"))
+    kept = rounds[0]
+    for more in rounds[1:]:
+        kept = kept.unionAll(more)
     first, end = F.get("w", F.col("c.s")), F.get("w", F.col("c.e") + 1)
+    own = F.get(tables, F.col("c.place"))
     line = F.array_distinct(F.slice("g", F.col("c.s") - first["k"] + 1, first["n"] - 1))
-    told = F.when(first["line"] == end["line"], F.exists(tables, lambda t: _dice(line, t, least) >= least)).otherwise(F.lit(False))
-    return kept.where(~told).select(
+    inside = kept.withColumn("teller", F.when(first["line"] == end["line"], _best_of(line, tables, least)))
+    teller = F.get(tables, F.col("teller"))
+    here = F.array_intersect(F.slice("g", F.col("c.s") + 1, F.col("c.e") - F.col("c.s") + 1), own["g"])
+    told = (teller["name"] == own["name"]) | (F.size(F.array_intersect(here, teller["g"])) >= -F.col("c.less") * least)
+    return inside.where(F.col("teller").isNull() | ~told).select(
         "doc_id",
         first["line"].cast("long").alias("line_no"),
         end["line"].cast("long").alias("last_line"),
-        F.get(tables, F.col("c.place"))["name"].alias("license"),
+        own["name"].alias("license"),
         (-F.col("c.minus")).alias("dice"),
     )
 
 
+def _best_of(grams: Column, tables: Column, least: float) -> Column:
+    """The place of the template that a set of bigrams reaches the coefficient with best; null if it does with none."""
+    each = F.transform(tables, lambda t, i: F.struct(_dice(grams, t, least).alias("dice"), (-i).alias("place")))
+    best = F.array_max(each)
+    return F.when(best["dice"] >= least, -best["place"])
+
+
 def license_scan(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -273,26 +315,30 @@ def license_scan(
     and empty texts and texts without notices give no row. Repeated rows each give their rows.
 
     With ``windows`` notices that go over several lines, or are part of one, give a row each, from the line of their first
-    word to that of their last. A window starts at any pair of words that the template has, holds at most
-    (2 - least) / least times the template's word pairs and ends where its coefficient is highest. Of windows
+    word to that of their last. A window starts at a pair of words that the template has and that no other such pair precedes, if of its
+    first pairs (8, or as many as a notice needs) the share ``least`` / 2 is the template's: a thinner start would only lower the
+    coefficient. It holds at most (2 - least) / least times the template's word pairs and ends where its coefficient is highest. Of windows
     that overlap the one with most of its template's bigrams stays (then the higher coefficient, the earlier template, the
-    earlier start), so that a sentence which several licences have does not hide the licence it is part of. Left out are
-    windows inside a line that has a row, and those that share no more than the text as a whole if that has one.
+    earlier start), so that a sentence which several licences have does not hide the licence it is part of. What the windows that
+    stay leave free is searched again, until nothing is found. A window is left out if the text as a whole, or the line that it is
+    part of, has a row for the same licence, or for one whose template has the share ``least`` of the bigrams that the window shares with its own.
     """
     ready = prepared(templates)
     if not ready or not 0 < least <= 1:
         raise ValueError("templates and a coefficient over 0 are needed")
-    needed = r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(_needed_words(ready, least)) + r")(?![\p{L}\p{N}])"
+    needed = F.array(*map(F.lit, _needed_words(ready, least)))
     sizes = [len(t.bigrams) for t in ready]
     low, high = min(sizes) * least / (2 - least), max(sizes) * (2 - least) / least
-    text = text_of(text_col)
-    some = docs.select(col(id_col).alias("doc_id"), text.alias("text")).where(F.col("text").rlike(needed))
+    some = docs.select(col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    some = some.where(F.arrays_overlap(words_of(F.col("text")), needed))
+    if windows:
+        some = staged(some, "license-texts")  # few texts have one of the words; both ways below read them
     lines = F.split("text", "\n")
     units = F.when(F.size(lines) > 1, F.concat(F.array("text"), lines)).otherwise(F.concat(F.array(F.lit("")), lines))
-    rows = some.select("doc_id", F.posexplode(units).alias("line_no", "unit")).where(F.col("unit").rlike(needed))
-    # the set of bigrams is at most as large as the words less one: short units go before they are cut up
+    rows = some.select("doc_id", F.posexplode(units).alias("line_no", "unit"))
+    # the set of bigrams is at most as large as the words less one: short units go before they are paired
     cut = rows.select("doc_id", "line_no", once(words_of(F.col("unit")), "words")).where(F.size("words") - 1 >= low)
-    grams = cut.select("doc_id", "line_no", once(bigrams_of(F.col("words")), "grams"))
+    grams = cut.where(F.arrays_overlap("words", needed)).select("doc_id", "line_no", once(bigrams_of(F.col("words")), "grams"))
     grams = grams.where(F.size("grams").between(low, high))
     n = F.size("grams")
 
