@@ -324,7 +324,7 @@ def test_licenses_match_brute_force(make):
 
 
 def brute_windows(text, templates, least):
-    """Every start and every end of a window, then the best ones that do not overlap."""
+    """Rounds of all starts and all ends of windows, by the definition in the operator's docstring."""
     words = [(w, no) for no, line in enumerate(text.split("\n"), 1) for w in re.sub(r"[\W_]+", " ", line.lower()).split()]
     pairs = [(a[0], b[0]) for a, b in zip(words, words[1:], strict=False)]
     dice = lambda a, b: 2 * len(a & b) / (len(a) + len(b)) if a else 0.0
@@ -332,24 +332,45 @@ def brute_windows(text, templates, least):
     for _, t in templates:
         own = re.sub(r"[\W_]+", " ", t.lower()).split()
         listed.append(list(zip(own, own[1:], strict=False)))
-    whole, found = [dice(set(pairs), set(t)) for t in listed], []
-    shared = max(len(set(pairs) & set(t)) if x >= least else 0 for x, t in zip(whole, listed, strict=True))
-    for place, t in enumerate(listed):
-        own = set(t)
-        for s in [i for i, x in enumerate(pairs) if x in own and whole[place] < least]:
-            ends = range(s, min(len(pairs), s + math.floor(len(t) * (2 - least) / least + 1e-9)))
-            best, end = min((-dice(set(pairs[s : e + 1]), own), e) for e in ends)
-            common = len(set(pairs[s : end + 1]) & own)
-            if -best >= least and common > shared:
-                found.append((-common, best, place, s, end))
-    kept = []
-    for c in sorted(found):
-        if all(c[4] < o[3] or o[4] < c[3] for o in kept):
-            kept.append(c)
-    lines = {no for no, *_ in brute_licenses(text, templates, least) if no}
-    for _, best, place, s, e in kept:
-        if words[s][1] != words[e + 1][1] or words[s][1] not in lines:
-            yield words[s][1], words[e + 1][1], templates[place][0], -best
+
+    def teller(grams):
+        value, place = max((dice(grams, set(t)), -k) for k, t in enumerate(listed))
+        return -place if value >= least else None
+
+    def told(by, place, common):
+        same = by is not None and templates[by][0] == templates[place][0]
+        return by is not None and (same or len(common & set(listed[by])) >= least * len(common))
+
+    whole, taken = teller(set(pairs)), []
+    while True:
+        free = lambda i: not any(s <= i <= e for s, e in taken)  # noqa: E731, B023
+        found = []
+        for place, t in enumerate(listed):
+            own = set(t)
+            low = math.ceil(len(own) * least / (2 - least) - 1e-9)
+            first = min(8, low)
+            for s in [i for i, x in enumerate(pairs) if x in own and free(i)]:
+                if s and pairs[s - 1] in own and free(s - 1):
+                    continue
+                if sum(x in own for x in pairs[s : s + first]) < math.ceil(first * least / 2 - 1e-9):
+                    continue
+                limit = min([len(pairs), s + math.floor(len(t) * (2 - least) / least + 1e-9), *(a for a, _ in taken if a > s)])
+                best, end = min((-dice(set(pairs[s : e + 1]), own), e) for e in range(s, limit))
+                common = set(pairs[s : end + 1]) & own
+                if -best >= least and not told(whole, place, common):
+                    found.append((-len(common), best, place, s, end))
+        kept = []
+        for c in sorted(found):
+            if all(c[4] < o[3] or o[4] < c[3] for o in kept):
+                kept.append(c)
+        if not kept:
+            return
+        taken += [c[3:] for c in kept]
+        for _, best, place, s, e in kept:
+            a, b = words[s][1], words[e + 1][1]
+            line = {p for p, x, y in zip(pairs, words, words[1:], strict=False) if x[1] == y[1] == a}
+            if a != b or not told(teller(line), place, set(pairs[s : e + 1]) & set(listed[place])):
+                yield a, b, templates[place][0], -best
 
 
 def wrapped(text, width):
@@ -371,6 +392,10 @@ def test_license_windows_match_brute_force(make):
     want = [(i, no, no, n, d) for i, t in pairs for no, n, d in brute_licenses(t, L.TEMPLATES, 0.8)]
     want += [(i, *x) for i, t in pairs for x in brute_windows(t or "", L.TEMPLATES, 0.8)]
     assert told(got) == told(want) and sum(a != b for _, a, b, *_ in got) > 10
+    notice = "Licensed under the Apache License,\nVersion 2.0."
+    for text in (f"{dict(L.whole_texts())['MIT']}\n{notice}", f"{notice} {prose(rng, 3)}\n{dict(L.whole_texts())['MIT']}"):
+        both = L.license_scan(make([(1, text)]), templates=L.all_templates(), windows=True).collect()
+        assert {r.license for r in both} == {"MIT", "Apache-2.0"}  # a whole text does not hide another licence's notice
     mit = f"{prose(rng, 30)}\n{wrapped(L.TEMPLATES[6][1], 75)}\n{prose(rng, 30)}"
     assert [(r.line_no, r.license) for r in L.license_scan(make([(1, mit)]), windows=True).collect()] == [(2, "MIT")]
 
