@@ -1,7 +1,7 @@
 """Soft-membership mixing of documents to target weights.
 
-A naive Bayes classifier, fitted on a bounded sample of the labelled table, gives every document posteriors over the
-domains. Each document gets a rate r >= 0: how often it is to be seen. The expected tokens of domain k are the sum over
+A naive Bayes classifier, fitted on a bounded sample of the labelled table, gives every document odds of the
+domains; a logistic fit on rows that it was not fitted on (cross-fitting over folds of the sample) turns them into calibrated posteriors. Each document gets a rate r >= 0: how often it is to be seen. The expected tokens of domain k are the sum over
 documents of r * tokens * posterior(k). Projected-gradient least squares brings these totals to the targets: each round
 one distributed sum gives the domain residuals, and every rate moves against its gradient and is cut off at zero. Only
 DataFrame functions are used; the driver sees numbers per domain alone.
@@ -10,6 +10,7 @@ DataFrame functions are used; the driver sees numbers per domain alone.
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +23,7 @@ TARGETS = {"good": 0.90, "poor": 0.08, "toxic": 0.02}
 #: What separates words, which count in lower case.
 BREAKS = "[ \t\n\x0b\x0c\r.,;:!?()\"]+"
 SHARES = 10  # steps of a feature that is a share
+FOLDS = 4  # of the sample, for calibration
 
 
 def domain_label(quality: Column, toxic: Column) -> Column:
@@ -57,8 +59,14 @@ class DomainModel:
     weights: dict[int, tuple[float, ...]]  # by slot, for the domains after the first
     buckets: int
 
-    def scored(self, text: Column) -> Column:
-        """Struct of n (words of the text) and p (posteriors in the order of ``domains``, of sum 1)."""
+    def calibrated(self, scale: list[float], shift: list[float]) -> DomainModel:
+        """The model with every domain's odds d turned into scale * d + shift (for the domains after the first)."""
+        prior = (self.prior[0], *(a * p + b for a, b, p in zip(scale, shift, self.prior[1:], strict=True)))
+        weights = {s: tuple(a * x for a, x in zip(scale, w, strict=True)) for s, w in self.weights.items()}
+        return DomainModel(self.domains, prior, weights, self.buckets)
+
+    def scored(self, text: Column, raw: bool = False) -> Column:
+        """Struct of n (words of the text) and p (posteriors in the order of ``domains``, of sum 1; ``raw``: their log odds)."""
         after = range(1, len(self.domains))
         zero = F.struct(*[F.lit(self.prior[i]).alias(f"d{i}") for i in after], F.lit(0.0).alias("d0"))
         known = F.array(*[F.lit(s).cast("long") for s in self.weights]) if self.weights else F.array().cast("array<long>")
@@ -71,6 +79,8 @@ class DomainModel:
             return F.struct(*moved, acc["d0"].alias("d0"))
 
         def odds(acc: Column) -> Column:
+            if raw:
+                return F.array(*[acc[f"d{i}"] for i in range(len(self.domains))])
             return F.array(*[F.exp(F.least(F.greatest(acc[f"d{i}"], F.lit(-50.0)), F.lit(50.0))) for i in range(len(self.domains))])
 
         def share(f: Column) -> Column:
@@ -79,7 +89,7 @@ class DomainModel:
                 return F.transform(o, lambda x: x / total)
 
             told = F.aggregate(F.array_intersect(f["slots"], known), zero, step, odds) if self.weights else odds(zero)
-            p = F.transform(F.array(told), scaled)[0]
+            p = told if raw else F.transform(F.array(told), scaled)[0]
             return F.struct(f["n"].alias("n"), p.alias("p"))
 
         return F.transform(F.array(_features(text, self.buckets)), share)[0]
@@ -91,6 +101,73 @@ def _surety(x: int, n: int, y: int, m: int) -> float:
     return math.sqrt(max(0.0, 2 * sum(o * math.log(o * (n + m) / (a * b)) for o, a, b in cells if o)))
 
 
+def _bayes(
+    domains: tuple[str, ...], size: list[int], number: dict[int, list[int]], buckets: int, least_z: float, most: int
+) -> DomainModel:
+    """Naive Bayes from the rows of each domain and, by feature, how many of them have it."""
+    prior = [math.log((n + 1) / (sum(size) + len(domains))) for n in size]
+    weights: dict[int, list[float]] = {}
+    for i in range(1, len(domains)):
+        n, none, found = size[i], 0.0, []
+        for s, has in number.items():
+            z = _surety(has[i], n, has[0], size[0])
+            if z >= least_z:
+                found.append((-z, s, (has[i] + 0.5) / (n + 1), (has[0] + 0.5) / (size[0] + 1)))
+        for _, s, p, q in sorted(found)[:most]:
+            without = math.log((1 - p) / (1 - q))  # what a text tells that has not the feature
+            weights.setdefault(s, [0.0] * (len(domains) - 1))[i - 1] = math.log(p / q) - without
+            none += without
+        prior[i] += none
+    return DomainModel(domains, tuple(p - prior[0] for p in prior), {s: tuple(w) for s, w in weights.items()}, buckets)
+
+
+def _calibration(rows: list[tuple[int, float, list[float]]], k: int, rounds: int = 50) -> tuple[list[float], list[float]]:
+    """Scale and shift of the domains' odds by Newton steps of a logistic fit to ``rows`` (domain, weight, odds after the first domain).
+
+    A weak pull to scale 1 and shift 0, of the weight of one row, decides where rows are missing.
+    """
+    m = k - 1
+    at = [1.0] * m + [0.0] * m
+    total = sum(w for _, w, _ in rows)
+    rows = [(d, w * len(rows) / total, x) for d, w, x in rows] if total else []
+
+    def loss(at: list[float]) -> float:
+        out = sum((a - 1) ** 2 for a in at[:m]) / 2 + sum(b * b for b in at[m:]) / 2
+        for d, w, x in rows:
+            z = [0.0, *(at[i] * x[i] + at[m + i] for i in range(m))]
+            top = max(z)
+            out += w * (top + math.log(sum(math.exp(v - top) for v in z)) - z[d])
+        return out
+
+    now = loss(at)
+    for _ in range(rounds):
+        slope = [a - 1 for a in at[:m]] + at[m:]
+        curve = [[float(i == j) for j in range(2 * m)] for i in range(2 * m)]
+        for d, w, x in rows:
+            z = [0.0, *(at[i] * x[i] + at[m + i] for i in range(m))]
+            top = max(z)
+            e = [math.exp(v - top) for v in z]
+            p = [v / sum(e) for v in e[1:]]
+            for i in range(m):
+                off = w * (p[i] - (d == i + 1))
+                slope[i] += off * x[i]
+                slope[m + i] += off
+                for j in range(m):
+                    c = w * p[i] * ((i == j) - p[j])
+                    curve[i][j] += c * x[i] * x[j]
+                    curve[i][m + j] += c * x[i]
+                    curve[m + i][j] += c * x[j]
+                    curve[m + i][m + j] += c
+        step, size = _solve(curve, slope), 1.0
+        while size > 1e-6 and loss([a - size * t for a, t in zip(at, step, strict=True)]) > now:
+            size /= 2
+        at = [a - size * t for a, t in zip(at, step, strict=True)]
+        before, now = now, loss(at)
+        if before - now < 1e-7 * max(1.0, now):
+            break
+    return at[:m], at[m:]
+
+
 def fit_domains(
     docs: DataFrame,
     labelled: DataFrame,
@@ -100,17 +177,18 @@ def fit_domains(
     domain_col: str = "domain",
     sample: int = 8_000,
     buckets: int = 1 << 16,
-    least_z: float = 7.0,
-    most: int = 16,
+    least_z: float = 4.0,
+    most: int = 128,
 ) -> DomainModel:
-    """Naive Bayes (features present or absent) on the rows of at most ``sample`` labelled ids that ``docs`` has, those of least hash.
+    """Naive Bayes (features present or absent) on the rows of at most ``sample`` labelled ids that ``docs`` has, those of least hash, calibrated.
 
     Labels of ids that ``docs`` lacks count nowhere; an id's rows each count, for features as for the size of its domain.
 
-    Only features count whose likelihood ratio G2 is at least the square of ``least_z`` (copies of a text bring their words
-    together, so that errors are wider than those of single draws), whether both domains have them or one only, and the
-    ``most`` surest of a domain, for words are not independent. Null ids and unknown domains are left
-    out; of several labels of an id the least name counts. A domain without rows keeps smoothed odds, and without
+    Features count whose likelihood ratio G2 is at least the square of ``least_z``, whether both domains have them or one only: the
+    ``most`` surest of a domain. As words are not independent the odds are too sure of themselves; so every row of the sample is scored by a
+    model fitted on the other folds (``FOLDS``, by a hash of the id), and scale and shift of each domain's odds are fitted to these scores by
+    logistic regression, weighed by words: the sum of the posteriors over the words of a domain's rows is then the domain's share. Null ids
+    and unknown domains are left out; of several labels of an id the least name counts. A domain without rows keeps smoothed odds, and without
     any label all documents have the same posteriors.
     """
     ids = labelled.select(col(id_col).alias("doc_id"), col(domain_col).alias("domain")).dropna()
@@ -118,32 +196,29 @@ def fit_domains(
     # rows of an id are counted before they meet its label, so that one with many rows does not make a large join group
     seen = docs.select(col(id_col).alias("doc_id")).dropna().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     ids = seen.join(ids, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    ids = ids.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int"))
     ids = staged(ids, "mix-sample")  # bounded: ids, names and numbers only
+    place = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")).cast("int") - 1
+    cell = F.col("fold") * len(domains) + place
     rows = docs.select(col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(F.broadcast(ids.drop("n")), "doc_id")
-    slots = rows.select("domain", F.explode(F.array_distinct(_features(F.col("text"), buckets)["slots"])).alias("s"))
-    counted = slots.groupBy("domain", "s").agg(F.count(F.lit(1)).alias("n"))
-    number = {(r["domain"], r["s"]): r["n"] for r in counted.collect()}  # domains x features numbers
-    of = {r["domain"]: r["n"] for r in ids.groupBy("domain").agg(F.sum("n").alias("n")).collect()}
-    size = [of.get(d, 0) for d in domains]
-    prior = [math.log((n + 1) / (sum(size) + len(domains))) for n in size]
-    weights: dict[int, list[float]] = {}
-    absent = [0.0]
-    for i, (d, n) in enumerate(zip(domains[1:], size[1:], strict=True)):
-        found = []
-        for s in range(1, buckets + 2 * SHARES + 1):
-            a, b = number.get((d, s), 0) + 0.5, number.get((domains[0], s), 0) + 0.5
-            p, q = a / (n + 1), b / (size[0] + 1)
-            z = _surety(number.get((d, s), 0), n, number.get((domains[0], s), 0), size[0])
-            if z >= least_z:
-                found.append((-z, s, p, q))
-        none = 0.0
-        for _, s, p, q in sorted(found)[:most]:
-            without = math.log((1 - p) / (1 - q))  # what a text tells that has not the feature
-            weights.setdefault(s, [0.0] * (len(domains) - 1))[i] = math.log(p / q) - without
-            none += without
-        absent.append(none)
-    prior = [p + x for p, x in zip(prior, absent, strict=True)]
-    return DomainModel(tuple(domains), tuple(p - prior[0] for p in prior), {s: tuple(w) for s, w in weights.items()}, buckets)
+    rows = staged(rows.select(cell.alias("cell"), "fold", place.alias("place"), "text"), "mix-labelled")
+    cells = range(FOLDS * len(domains))
+    slots = rows.select("cell", F.explode(F.array_distinct(_features(F.col("text"), buckets)["slots"])).alias("s"))
+    counted = slots.groupBy("s").agg(*[F.count_if(F.col("cell") == c).alias(f"n{c}") for c in cells], F.count(F.lit(1)).alias("n"))
+    number = {r["s"]: [r[f"n{c}"] for c in cells] for r in counted.where("n >= 4").collect()}  # a row per feature, of which there are few
+    of = {r["cell"]: r["n"] for r in rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def model(without: int | None) -> DomainModel:
+        folds = [f for f in range(FOLDS) if f != without]
+        pick = lambda of_cell: [sum(of_cell(f * len(domains) + d) for f in folds) for d in range(len(domains))]
+        return _bayes(tuple(domains), pick(lambda c: of.get(c, 0)), {s: pick(lambda c, h=has: h[c]) for s, has in number.items()}, buckets, least_z, most)
+
+    raw = F.when(F.lit(False), model(0).scored(F.col("text"), raw=True))
+    for f in range(FOLDS):
+        raw = raw.when(F.col("fold") == f, model(f).scored(F.col("text"), raw=True))
+    told = rows.select("place", once(raw, "m")).groupBy("place", "m").agg(F.count(F.lit(1)).alias("times"))
+    held_out = [(r["place"], float(r["m"]["n"] * r["times"]), list(r["m"]["p"][1:])) for r in told.collect()]  # of the bounded sample
+    return model(None).calibrated(*_calibration(held_out, len(domains)))
 
 
 def _solve(gram: list[list[float]], right: list[float]) -> list[float]:
@@ -164,7 +239,7 @@ def _solve(gram: list[list[float]], right: list[float]) -> list[float]:
 
 
 def fit_rates(
-    members: DataFrame, targets: list[float], rounds: int = 40, tolerance: float = 1e-6
+    members: DataFrame, targets: list[float], rounds: int = 40, tolerance: float = 1e-6, report: float = 1e-3
 ) -> list[list[float]]:
     """The steps of the projected gradient for ``members`` (n tokens, p posteriors).
 
@@ -172,7 +247,8 @@ def fit_rates(
     are taken in the metric of the documents' tokens and of the Gram matrix of those with a rate over zero, so that few rounds
     are needed whatever the domains' sizes. A document's rate is found by :func:`rate_of` from these steps and its own
     posteriors. Ends when the totals are within ``tolerance`` of their targets (relative to all tokens), when they no longer
-    move, or after ``rounds`` rounds.
+    move, or after ``rounds`` rounds; if the totals are then off by more than ``report`` of all tokens, which is so where no
+    rates meet the targets, a warning tells by how much.
     """
     k = len(targets)
     p = [F.col("p")[i] for i in range(k)]
@@ -180,8 +256,8 @@ def fit_rates(
     cells = [(i, j) for i in range(k) for j in range(i + 1)]
     goal: list[float] = []
     steps: list[list[float]] = []
-    before, metric = math.inf, None
-    for _ in range(rounds):
+    before, metric, off = math.inf, None, 0.0
+    for turn in range(rounds + 1):
         rate = rate_of(F.col("p"), steps)
         live = n * F.when(rate > 0, 1.0).otherwise(0.0)
         now = members.agg(
@@ -193,14 +269,16 @@ def fit_rates(
             return []
         goal = goal or [t / sum(targets) * now["all"] for t in targets]
         gap = [now[f"t{i}"] - goal[i] for i in range(k)]
-        size = math.sqrt(sum(g * g for g in gap)) / now["all"]
-        if size <= tolerance or abs(size - before) <= tolerance / 100:
+        off = size = math.sqrt(sum(g * g for g in gap)) / now["all"]
+        if size <= tolerance or abs(size - before) <= tolerance / 100 or turn == rounds:
             break
         # the metric of the documents that can still move; a step that led away goes back to a wider one
         gram = [[now[f"g{max(i, j)}_{min(i, j)}"] for j in range(k)] for i in range(k)]
         metric = gram if size < before or not metric else [[2 * x for x in row] for row in metric]
         steps.append(_solve(metric, gap))
         before = size
+    if off > report:
+        warnings.warn(f"the domains' totals differ from their targets by {off:.3%} of all tokens", stacklevel=2)
     return steps
 
 
