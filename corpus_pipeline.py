@@ -21,7 +21,7 @@ from tideline.llm.exact_dedup import keep_first
 from tideline.llm.mixing import mixed
 from tideline.llm.packing import best_fit_packing
 from tideline.llm.quality import fit_quality, quality_score
-from tideline.llm.queries import domain_labels
+from tideline.llm.queries import domain_labels, tokenizer_file
 from tideline.llm.simhash import keep_one
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -33,28 +33,33 @@ TARGETS = {"good": 0.97, "poor": 0.01, "toxic": 0.02}
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose whole text scores at least ``THRESHOLD``; a null text scores as the empty one, repeated rows each, none of none."""
     ship(spark)
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
     return docs.where(quality_score(model, text_of()) >= THRESHOLD)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts (null and blank ones are a group); rows without id stay if no other has the text."""
     ship(spark)
     return keep_first(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each SimHash component, that of the least id; null and empty texts have fingerprint zero and link like any other."""
     ship(spark)
     return keep_one(docs)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as their rates say; null and empty texts count as one token, labels of ids that are not there count nowhere."""
     return mixed(docs, domain_labels(spark, sf_dir), TARGETS)
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' token ids in sequences; a null or empty text is its end token, each repeated row is packed."""
     ship(spark)
-    return best_fit_packing(docs)
+    return best_fit_packing(docs, tokenizer=tokenizer_file())
 
 
 STAGES: list[tuple[str, Stage]] = [
