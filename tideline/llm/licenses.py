@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import json
 import math
+import zlib
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -148,73 +150,101 @@ def _dice(grams: Column, t: Column, least: float) -> Column:
     return F.when(2 * F.least(n, t["a"]) / (n + t["a"]) >= least, 2 * shared / (n + t["a"])).otherwise(F.lit(0.0))
 
 
+_START = 8  # pairs of words by which the start of a window is judged
+
+
 def _tables(ready: list[Template], least: float) -> Column:
     """All templates as one constant array."""
-    rows = [{"a": len(t.bigrams), "low": t.low(least), "most": t.longest(least), "name": t.licence, "g": t.bigrams} for t in ready]
-    return F.from_json(F.lit(json.dumps(rows)), "array<struct<a int, low int, most int, name string, g array<string>>>")
+    rows = []
+    for t in ready:
+        first = min(_START, t.low(least))
+        rows.append(
+            {
+                "place": t.place, "a": len(t.bigrams), "low": t.low(least), "most": t.longest(least), "first": first,
+                "dense": math.ceil(first * least / 2 - 1e-9), "name": t.licence, "g": t.bigrams,
+            }
+        )
+    fields = "place int, a int, low int, most int, first int, dense int, name string, g array<string>"
+    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{fields}>>")
+
+
+def _lookup(ready: list[Template]) -> Callable[[Column], Column]:
+    """The places of the templates that have a bigram, from one constant: lists of bigrams by their crc32."""
+    places: dict[str, list[int]] = {}
+    for t in ready:
+        for b in t.bigrams:
+            places.setdefault(b, []).append(t.place)
+    size = 1 << max(4, len(places).bit_length())
+    rows: list[list[dict]] = [[] for _ in range(size)]
+    for b, of in places.items():
+        rows[zlib.crc32(b.encode()) % size].append({"b": b, "of": of})
+    table = F.from_json(F.lit(json.dumps(rows)), "array<array<struct<b string, of array<int>>>>")
+
+    def of(bigram: Column) -> Column:
+        same = F.filter(F.get(table, F.pmod(F.crc32(bigram.cast("binary")), F.lit(size)).cast("int")), lambda e: e["b"] == bigram)
+        return F.coalesce(F.get(same, F.lit(0))["of"], F.array().cast("array<int>"))
+
+    return of
 
 
 _CANDIDATE = "array<struct<less:int,minus:double,place:int,s:int,e:int>>"
-_START = 8  # pairs of words by which the start of a window is judged
-
-
-def _candidates(t: Template, tables: Column, least: float) -> Column:
-    """The windows of one template in a row (g, before, taken, whole): structs (-shared, -dice, place, first and last pair)."""
-    own = F.get(tables, F.lit(t.place))["g"]
-    size, low, most = len(t.bigrams), t.low(least), t.longest(least)
-    first = min(_START, low)
-    dense = math.ceil(first * least / 2 - 1e-9)
-    has = ",".join(f"'{b}'" for b in t.bigrams)
-    # for each pair where it stood before, and whether the template has it (a constant hash set)
-    marks = F.expr(f"transform(g, (x, i) -> named_struct('before', get(before, i), 'hit', x IN ({has})))")
-
-    def of_marks(m: Column) -> Column:
-        def taken(i: Column) -> Column:
-            return F.exists("taken", lambda o: (o["s"] <= i) & (i <= o["e"]))
-
-        def best_from(s: Column) -> Column:
-            def step(acc: Column, x: Column) -> Column:
-                new = F.when(x["before"] < s, F.lit(1)).otherwise(F.lit(0))
-                d, n = acc["d"] + new, acc["m"] + F.when(x["hit"], new).otherwise(F.lit(0))
-                dice = 2 * n / (d + F.lit(size))
-                more = x["hit"] & (dice > acc["dice"])
-                return F.struct(
-                    (acc["i"] + 1).alias("i"), d.alias("d"), n.alias("m"),
-                    F.when(more, dice).otherwise(acc["dice"]).alias("dice"), F.when(more, acc["i"]).otherwise(acc["e"]).alias("e"),
-                    F.when(more, n).otherwise(acc["shared"]).alias("shared"),
+def _candidates(tables: Column, least: float) -> Column:
+    """The windows in a row (g, of, before, places, taken, whole): structs (-shared, -dice, place, first and last pair)."""
+
+    def of_template(t: Column) -> Column:
+        def of_marks(m: Column) -> Column:
+            """``m``: for each pair where it stood before, and whether the template has it."""
+
+            def taken(i: Column) -> Column:
+                return F.exists("taken", lambda o: (o["s"] <= i) & (i <= o["e"]))
+
+            def best_from(s: Column) -> Column:
+                def step(acc: Column, x: Column) -> Column:
+                    new = F.when(x["before"] < s, F.lit(1)).otherwise(F.lit(0))
+                    d, n = acc["d"] + new, acc["m"] + F.when(x["hit"], new).otherwise(F.lit(0))
+                    dice = 2 * n / (d + t["a"])
+                    more = x["hit"] & (dice > acc["dice"])
+                    return F.struct(
+                        (acc["i"] + 1).alias("i"), d.alias("d"), n.alias("m"),
+                        F.when(more, dice).otherwise(acc["dice"]).alias("dice"), F.when(more, acc["i"]).otherwise(acc["e"]).alias("e"),
+                        F.when(more, n).otherwise(acc["shared"]).alias("shared"),
+                    )
+
+                zero = F.struct(s.alias("i"), F.lit(0).alias("d"), F.lit(0).alias("m"), F.lit(0.0).alias("dice"), s.alias("e"), F.lit(0).alias("shared"))
+                end = F.coalesce(F.array_min(F.transform(F.filter("taken", lambda o: o["s"] > s), lambda o: o["s"])), F.size("g"))
+                return F.aggregate(
+                    F.slice(m, s + 1, F.least(t["most"], end - s)), zero, step,
+                    lambda a: F.struct(
+                        (-a["shared"]).alias("less"), (-a["dice"]).alias("minus"), t["place"].alias("place"), s.alias("s"), a["e"].alias("e")
+                    ),
                 )
 
-            zero = F.struct(s.alias("i"), F.lit(0).alias("d"), F.lit(0).alias("m"), F.lit(0.0).alias("dice"), s.alias("e"), F.lit(0).alias("shared"))
-            end = F.coalesce(F.array_min(F.transform(F.filter("taken", lambda o: o["s"] > s), lambda o: o["s"])), F.size("g"))
-            return F.aggregate(
-                F.slice(m, s + 1, F.least(F.lit(most), end - s)), zero, step,
-                lambda a: F.struct(
-                    (-a["shared"]).alias("less"), (-a["dice"]).alias("minus"), F.lit(t.place).alias("place"), s.alias("s"), a["e"].alias("e")
-                ),
-            )
+            def known(c: Column) -> Column:
+                """Does the text as a whole tell of it already?"""
+                other = F.col("whole")
+                here = F.array_intersect(F.slice("g", c["s"] + 1, c["e"] - c["s"] + 1), t["g"])
+                told = (other["name"] == t["name"]) | (F.size(F.array_intersect(here, other["g"])) >= -c["less"] * least)
+                return F.when(other.isNull(), F.lit(False)).otherwise(told)
 
-        def known(c: Column) -> Column:
-            """Does the text as a whole tell of it already?"""
-            other = F.get(tables, F.col("whole"))
-            here = F.array_intersect(F.slice("g", c["s"] + 1, c["e"] - c["s"] + 1), own)
-            told = (other["name"] == t.licence) | (F.size(F.array_intersect(here, other["g"])) >= -c["less"] * least)
-            return F.when(F.col("whole").isNull(), F.lit(False)).otherwise(told)
+            def from_hits(hits: Column) -> Column:
+                def starts(s: Column, k: Column) -> Column:
+                    within = lambda n, pairs: F.coalesce(F.get(hits, k + n - 1) < s + pairs, F.lit(False))
+                    begins = F.coalesce(~F.get(m, s - 1)["hit"], F.lit(True)) | taken(s - 1)
+                    return within(t["dense"], t["first"]) & within(t["low"], t["most"]) & begins & ~taken(s)
 
-        def from_hits(hits: Column) -> Column:
-            def starts(s: Column, k: Column) -> Column:
-                within = lambda n, pairs: F.coalesce(F.get(hits, k + F.lit(n - 1)) < s + F.lit(pairs), F.lit(False))
-                before = F.get(m, s - 1)
-                begins = F.coalesce(~before["hit"], F.lit(True)) | taken(s - 1)
-                return within(dense, first) & within(low, most) & begins & ~taken(s)
+                found = F.transform(F.filter(hits, starts), best_from)
+                return F.filter(found, lambda c: (-c["minus"] >= least) & ~known(c))
 
-            found = F.transform(F.filter(hits, starts), best_from)
-            return F.filter(found, lambda c: (-c["minus"] >= least) & ~known(c))
+            hit = F.filter(F.transform(m, lambda x, i: F.when(x["hit"], i)), lambda i: i.isNotNull())
+            return F.flatten(F.transform(F.array(hit), from_hits))
 
-        hit = F.filter(F.transform(m, lambda x, i: F.when(x["hit"], i)), lambda i: i.isNotNull())
-        return F.flatten(F.transform(F.array(hit), from_hits))
+        marks = F.transform(
+            "g", lambda x, i: F.struct(F.get("before", i).alias("before"), F.array_contains(F.get("of", i), t["place"]).alias("hit"))
+        )
+        return F.flatten(F.transform(F.array(marks), of_marks))
 
-    none = F.array().cast(_CANDIDATE)
-    return F.when(F.array_contains("places", t.place), F.flatten(F.transform(F.array(marks), of_marks))).otherwise(none)
+    some = F.filter(tables, lambda t: F.array_contains("places", t["place"]))
+    return F.sort_array(F.flatten(F.transform(some, of_template)))
 
 
 def _windows(some: DataFrame, ready: list[Template], least: float) -> DataFrame:
@@ -225,7 +255,6 @@ def _windows(some: DataFrame, ready: list[Template], least: float) -> DataFrame:
     """
     tables = _tables(ready, least)
     ready = [t for t in ready if t.bigrams]
-    known = ",".join(f"'{b}'" for b in sorted({b for t in ready for b in t.bigrams}))
     fewest = min((t.low(least) for t in ready), default=1)
 
     def numbered(line: Column, no: Column) -> Column:
@@ -238,14 +267,17 @@ def _windows(some: DataFrame, ready: list[Template], least: float) -> DataFrame:
     words = some.select("doc_id", once(F.flatten(F.transform(F.split("text", "\n"), numbered)), "w")).where(F.size("w") > fewest)
     at = F.sequence(F.lit(0), F.size("w") - 2)
     pairs = words.select("*", once(F.transform(at, lambda i: F.concat_ws(" ", F.get("w", i)["w"], F.get("w", i + 1)["w"])), "g"))
-    hits = pairs.select("*", once(F.expr(f"array_distinct(filter(g, x -> x IN ({known})))"), "hits")).where(F.size("hits") >= fewest)
+    # of: the templates that have each pair
+    told_of = pairs.select("*", once(F.transform("g", _lookup(ready)), "of"))
+    hit = F.filter(F.transform("g", lambda x, i: F.when(F.size(F.get("of", i)) > 0, x)), lambda x: x.isNotNull())
+    hits = told_of.select("*", once(F.array_distinct(hit), "hits")).where(F.size("hits") >= fewest)
 
-    def can(t: Template) -> Column:
-        enough = F.size(F.array_intersect(F.col("hits"), F.get(tables, F.lit(t.place))["g"])) >= t.low(least)
-        return F.when((F.size("hits") >= t.low(least)) & enough, F.lit(t.place))
+    def can(t: Column) -> Column:
+        enough = F.size(F.array_intersect(F.col("hits"), t["g"])) >= t["low"]
+        return F.when((t["a"] > 0) & (F.size("hits") >= t["low"]) & enough, t["place"])
 
-    places = F.filter(F.array(*map(can, ready)), lambda p: p.isNotNull())
-    hits = hits.select("doc_id", "w", "g", once(places, "places")).where(F.size("places") > 0)
+    places = F.filter(F.transform(tables, can), lambda p: p.isNotNull())
+    hits = hits.select("doc_id", "w", "g", "of", once(places, "places")).where(F.size("places") > 0)
     # before: where each pair stands for the last time before, -1 for the first
     hits = hits.select("*", once(F.sort_array(F.transform("g", lambda x, i: F.struct(x.alias("x"), i.alias("i")))), "order"))
     last = F.transform(
@@ -255,16 +287,17 @@ def _windows(some: DataFrame, ready: list[Template], least: float) -> DataFrame:
             F.when((k > 0) & (F.get("order", k - 1)["x"] == o["x"]), F.get("order", k - 1)["i"]).otherwise(F.lit(-1)).alias("before"),
         ),
     )
-    rows = hits.select(
-        "doc_id", "w", "g", "places", once(F.transform(F.sort_array(last), lambda x: x["before"]), "before"),
-        _best_of(F.array_distinct("g"), tables, least).alias("whole"), F.array().cast("array<struct<s:int,e:int>>").alias("taken"),
+    hits = hits.select("*", once(F.transform(F.sort_array(last), lambda x: x["before"]), "before"))
+    rows = hits.select("*", once(F.array_distinct("g"), "grams")).select(
+        "doc_id", "w", "g", "of", "places", "before", once(_best_of(F.col("grams"), tables, least), "whole"),
+        F.array().cast("array<struct<s:int,e:int>>").alias("taken"),
     )
 
     def apart(kept: Column, c: Column) -> Column:
         clash = F.exists(kept, lambda o: (o["s"] <= c["e"]) & (c["s"] <= o["e"]))
         return F.when(clash, kept).otherwise(F.concat(kept, F.array(c)))
 
-    found_in = F.sort_array(F.flatten(F.array(*[_candidates(t, tables, least) for t in ready])))
+    found_in = _candidates(tables, least)
     rounds: list[DataFrame] = []
     while True:
         found = rows.select("*", once(F.aggregate(found_in, F.array().cast(_CANDIDATE), apart), "found"))
@@ -273,31 +306,30 @@ def _windows(some: DataFrame, ready: list[Template], least: float) -> DataFrame:
         if found.isEmpty():
             break
         pairs_of = F.transform("found", lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e")))
-        rows = found.select("doc_id", "w", "g", "places", "before", "whole", F.concat("taken", pairs_of).alias("taken"))
+        rows = found.select("doc_id", "w", "g", "of", "places", "before", "whole", F.concat("taken", pairs_of).alias("taken"))
     kept = rounds[0]
     for more in rounds[1:]:
         kept = kept.unionAll(more)
     first, end = F.get("w", F.col("c.s")), F.get("w", F.col("c.e") + 1)
-    own = F.get(tables, F.col("c.place"))
-    line = F.array_distinct(F.slice("g", F.col("c.s") - first["k"] + 1, first["n"] - 1))
-    inside = kept.withColumn("teller", F.when(first["line"] == end["line"], _best_of(line, tables, least)))
-    teller = F.get(tables, F.col("teller"))
-    here = F.array_intersect(F.slice("g", F.col("c.s") + 1, F.col("c.e") - F.col("c.s") + 1), own["g"])
-    told = (teller["name"] == own["name"]) | (F.size(F.array_intersect(here, teller["g"])) >= -F.col("c.less") * least)
-    return inside.where(F.col("teller").isNull() | ~told).select(
+    one_line = F.when(first["line"] == end["line"], F.array_distinct(F.slice("g", F.col("c.s") - first["k"] + 1, first["n"] - 1)))
+    named = kept.select("*", once(F.get(tables, F.col("c.place")), "own"), first["line"].alias("first"), end["line"].alias("last"), one_line.alias("line"))
+    told = named.select("*", once(F.when(F.col("line").isNotNull(), _best_of(F.col("line"), tables, least)), "teller"))
+    here = F.array_intersect(F.slice("g", F.col("c.s") + 1, F.col("c.e") - F.col("c.s") + 1), F.col("own.g"))
+    by = F.col("teller")
+    known = (by["name"] == F.col("own.name")) | (F.size(F.array_intersect(here, by["g"])) >= -F.col("c.less") * least)
+    return told.where(by.isNull() | ~known).select(
         "doc_id",
-        first["line"].cast("long").alias("line_no"),
-        end["line"].cast("long").alias("last_line"),
-        own["name"].alias("license"),
+        F.col("first").cast("long").alias("line_no"),
+        F.col("last").cast("long").alias("last_line"),
+        F.col("own.name").alias("license"),
         (-F.col("c.minus")).alias("dice"),
     )
 
 
 def _best_of(grams: Column, tables: Column, least: float) -> Column:
-    """The place of the template that a set of bigrams reaches the coefficient with best; null if it does with none."""
-    each = F.transform(tables, lambda t, i: F.struct(_dice(grams, t, least).alias("dice"), (-i).alias("place")))
-    best = F.array_max(each)
-    return F.when(best["dice"] >= least, -best["place"])
+    """Name and bigrams of the template that a set of bigrams reaches the coefficient with best; null if it does with none."""
+    each = F.transform(tables, lambda t, i: F.struct(_dice(grams, t, least).alias("dice"), (-i).alias("place"), t["name"], t["g"]))
+    return F.get(F.transform(F.filter(F.array(F.array_max(each)), lambda b: b["dice"] >= least), lambda b: F.struct(b["name"], b["g"])), F.lit(0))
 
 
 def license_scan(
