@@ -21,6 +21,7 @@ from .common import col, fresh, staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Filters up to this many bytes in all are broadcast; beyond, pages meet them by a shuffle on the slice.
+SALTS = 16
 BROADCAST_BYTES = 64 << 20
 
 
@@ -80,17 +81,22 @@ class Cascade:
 
     def mark(self, rows: DataFrame, key: str, out: str) -> DataFrame:
         """Add the boolean ``out``: whether the key column's value is listed. Null keys are not."""
-        at, words, at2 = fresh(rows, "slice", "levels", "slice2")
+        at, words, at2, salt, salt2 = fresh(rows, "slice", "levels", "slice2", "salt", "salt2")
         filters = self.filters.select(F.col("slice").alias(at2), F.col("levels").alias(words))
-        if self.slices * sum(b // 8 for b in self.bits) <= BROADCAST_BYTES:
-            filters = F.broadcast(filters)
         dealt = rows.withColumn(at, F.coalesce(self.slice_of(col(key)), F.lit(0)))
-        joined = dealt.join(filters, dealt[at] == filters[at2], "left")
+        if self.slices * sum(b // 8 for b in self.bits) <= BROADCAST_BYTES:
+            filters = F.broadcast(filters.withColumn(salt2, F.lit(0)))
+            dealt = dealt.withColumn(salt, F.lit(0))
+        else:
+            # a key may hold a third of the rows: its slice is copied for every salt
+            filters = filters.withColumn(salt2, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            dealt = dealt.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+        joined = dealt.join(filters, (dealt[at] == filters[at2]) & (dealt[salt] == filters[salt2]), "left")
         verdict = F.lit(self.levels % 2 == 1)
         for level in range(self.levels, 0, -1):
             claimed = _claims(col(words)[level - 1], col(key), F.lit(level), F.lit(self.bits[level - 1]).cast("long"), self.hashes)
             verdict = F.when(~claimed, F.lit(level % 2 == 0)).otherwise(verdict)
-        return joined.withColumn(out, F.coalesce(verdict & col(key).isNotNull(), F.lit(False))).drop(at, at2, words)
+        return joined.withColumn(out, F.coalesce(verdict & col(key).isNotNull(), F.lit(False))).drop(at, at2, words, salt, salt2)
 
 
 def build_cascade(listed: DataFrame, universe: DataFrame, key: str, keys_per_slice: int = 16_384, bits_per_key: int = 10, hashes: int = 7) -> Cascade:
@@ -130,6 +136,8 @@ def build_cascade(listed: DataFrame, universe: DataFrame, key: str, keys_per_sli
         claimed = _claims(F.col("words"), F.col("k"), F.lit(level), F.lit(bits).cast("long"), hashes)
         # the next level's keys: wrongly claimed here; and those that it must tell apart: encoded here
         left = staged(left.join(small, "slice", "left").where(inside | F.coalesce(claimed, F.lit(False))).select("k", "l", "slice"), "cascade-keys")
+    else:
+        raise RuntimeError("the cascade still has wrong claims after 64 levels: give it more bits a key")
     empty = F.array().cast("array<bigint>")
     rows = listed.sparkSession.range(slices).select(F.col("id").cast("int").alias("slice"))
     names = []
