@@ -138,11 +138,13 @@ class Encoder:
         pool = self._pool(distinct.dictionary.to_pylist())
         other = np.fromiter((p is None for p in pool), bool, len(pool))
         pool = [p or b"" for p in pool]
-        sizes = np.fromiter(map(len, pool), np.int64, len(pool)) // self.width
-        begin, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(pool), self.kind)
+        sizes = np.fromiter(map(len, pool), np.int32, len(pool)) // self.width
+        begin, ids = np.cumsum(sizes, dtype=np.int32) - sizes, np.frombuffer(b"".join(pool), self.kind)
         counts = sizes[at]
-        before = np.cumsum(counts) - counts
-        return ids[np.repeat(begin[at] - before, counts) + np.arange(counts.sum())], counts, other[at]
+        ends = np.cumsum(counts, dtype=np.int32)
+        take = np.repeat(begin[at] - (ends - counts), counts)
+        take += np.arange(len(take), dtype=np.int32)
+        return ids[take], counts, other[at]
 
     def _group(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts that lie in ``data`` at ``offsets``, each with the end id, and their numbers of ids."""
@@ -157,8 +159,8 @@ class Encoder:
         buffers = [None, pa.py_buffer(bounds), pa.py_buffer(data)]
         segments = pa.Array.from_buffers(pa.binary(), len(starts), buffers)
         done = [self._ids(segments.slice(at, _CHUNK)) for at in range(0, len(starts), _CHUNK)]
-        ids, counts, other = (np.concatenate(x) for x in zip(*done, strict=True)) if done else (np.zeros(0, self.kind), np.zeros(0, np.int64), np.zeros(0, bool))
-        ends = np.r_[0, np.cumsum(counts)][first]
+        ids, counts, other = (np.concatenate(x) for x in zip(*done, strict=True)) if done else (np.zeros(0, self.kind), np.zeros(0, np.int32), np.zeros(0, bool))
+        ends = np.r_[0, np.cumsum(counts, dtype=np.int64)][first]
         strange = np.diff(np.r_[0, np.cumsum(other)][first]) > 0
         if not strange.any():
             return np.insert(ids, ends[1:], end_id), np.diff(ends) + 1
