@@ -56,6 +56,7 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a fan of 8: a round exchanges runs among eight partners, which is three binomial rounds (fan 2) in one shuffle."""
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
@@ -215,4 +216,82 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
 FROM c
 """
 
-ORACLES: dict[str, str] = {"op2_exact_dedup": _OP2, "op7_exact_topk": _OP7, "op10_url_filters": _OP10, "op11_fill_middle": _OP11}
+_H = "CASE WHEN {0} IS NULL THEN '-' ELSE octet_length(encode({0}::VARCHAR))::VARCHAR || ':' || {0}::VARCHAR END"
+_LEAF = " || ".join(_H.format(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
+_CLAIM = " || ".join(_H.format(c) for c in ("doc_id", "source", "lang", "claimed", "text"))
+# crc32 by its definition: a step for each bit of each digit of the decimal id
+_OP12 = f"""
+WITH RECURSIVE crc AS (
+  SELECT doc_id, doc_id::VARCHAR AS digits, 1 AS digit, 0 AS bit, xor(4294967295, ascii(substr(doc_id::VARCHAR, 1, 1))::BIGINT) AS c
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+  UNION ALL
+  SELECT doc_id, digits, digit + (bit = 7)::INT, (bit + 1) % 8,
+         xor(xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END),
+             CASE WHEN bit = 7 AND digit < length(digits) THEN ascii(substr(digits, digit + 1, 1))::BIGINT ELSE 0 END)
+  FROM crc WHERE digit <= length(digits)),
+hit AS (SELECT doc_id FROM crc WHERE digit > length(digits) AND xor(c, 4294967295) % 7 = 0),
+claims AS (SELECT d.*, n_chars + (doc_id IN (SELECT doc_id FROM hit) AND doc_id IS NOT NULL)::INT AS claimed FROM documents d),
+leaves AS (SELECT doc_id, lang, sha256({_LEAF}) AS leaf, sha256({_CLAIM}) AS claim FROM claims),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         dense_rank() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS place FROM leaves),
+-- every level of every group's tree, and of the tree over the groups (group -1)
+lower_levels AS (
+  SELECT place, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY place
+  UNION ALL
+  SELECT place, level + 1, list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+  FROM lower_levels WHERE len(nodes) > 1),
+tops AS (SELECT place, arg_max(nodes, level)[1] AS subroot, max(level) AS levels FROM lower_levels GROUP BY place),
+upper_levels AS (
+  SELECT -1 AS place, 0 AS level, list(subroot ORDER BY place) AS nodes FROM tops
+  UNION ALL
+  SELECT place, level + 1, list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+  FROM upper_levels WHERE len(nodes) > 1),
+roots AS (SELECT arg_max(nodes, level)[1] AS root FROM upper_levels),
+trees AS (SELECT * FROM lower_levels UNION ALL SELECT * FROM upper_levels),
+steps AS (
+  SELECT p.place, p.pos, t.level AS step, (p.pos >> t.level) AS spot, t.nodes FROM placed p JOIN trees t ON t.place = p.place AND len(t.nodes) > 1
+  UNION ALL
+  SELECT p.place, p.pos, o.levels + t.level, (p.place >> t.level), t.nodes
+  FROM placed p JOIN tops o USING (place) JOIN trees t ON t.place = -1 AND len(t.nodes) > 1),
+path AS (SELECT place, pos, step, spot % 2 = 1 AS odd, nodes[xor(spot, 1) + 1] AS sibling FROM steps),
+folds AS (
+  SELECT place, pos, 0 AS step, claim AS node FROM placed
+  UNION ALL
+  SELECT f.place, f.pos, f.step + 1,
+         sha256(CASE WHEN sibling IS NULL THEN node WHEN odd THEN sibling || node ELSE node || sibling END)
+  FROM folds f JOIN path p ON p.place = f.place AND p.pos = f.pos AND p.step = f.step),
+folded AS (SELECT place, pos, arg_max(node, step) AS folded_root FROM folds GROUP BY place, pos),
+proofs AS (SELECT place, pos, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256 FROM path GROUP BY place, pos)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN tops USING (place) JOIN folded USING (place, pos) LEFT JOIN proofs USING (place, pos), roots
+"""
+
+_OP13 = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+s AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g
+  FROM d),
+n AS (SELECT r, doc_id, CAST(len(g) AS BIGINT) AS n FROM s),
+x AS (SELECT r, unnest(g) AS g FROM s),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS both_have FROM x a JOIN x b ON a.g = b.g AND a.r < b.r GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON na.r = a JOIN n nb ON nb.r = b WHERE 100 * both_have >= 85 * (na.n + nb.n - both_have)),
+e AS (SELECT a AS u, b AS v FROM l UNION ALL SELECT b, a FROM l),
+c AS (SELECT r AS u, r AS v FROM n UNION SELECT c.u, e.v FROM c JOIN e ON c.v = e.u),
+m AS (SELECT u, min(doc_id) AS component_id FROM c JOIN n ON n.r = c.v GROUP BY u)
+SELECT doc_id, n AS n_shingles, component_id, coalesce(doc_id = component_id, false) AS kept FROM n JOIN m ON m.u = n.r
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_exact_dedup": _OP2,
+    "op7_exact_topk": _OP7,
+    "op10_url_filters": _OP10,
+    "op11_fill_middle": _OP11,
+    "op12_merkle_manifest": _OP12,
+    "op13_chosen_path": _OP13,
+}
