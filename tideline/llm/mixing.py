@@ -218,7 +218,13 @@ def fit_domains(
         raw = raw.when(F.col("fold") == f, model(f).scored(F.col("text"), raw=True))
     told = rows.select("place", once(raw, "m")).groupBy("place", "m").agg(F.count(F.lit(1)).alias("times"))
     held_out = [(r["place"], float(r["m"]["n"] * r["times"]), list(r["m"]["p"][1:])) for r in told.collect()]  # of the bounded sample
-    return model(None).calibrated(*_calibration(held_out, len(domains)))
+    # a domain whose rows are all in one fold was never seen by the model that scored them: its odds stay as they are
+    seen_in = [sum(bool(of.get(f * len(domains) + d)) for f in range(FOLDS)) for d in range(len(domains))]
+    scale, shift = _calibration([r for r in held_out if seen_in[r[0]] > 1], len(domains))
+    told_of = [n > 1 and seen_in[0] > 1 for n in seen_in[1:]]
+    return model(None).calibrated(
+        [a if ok else 1.0 for a, ok in zip(scale, told_of, strict=True)], [b if ok else 0.0 for b, ok in zip(shift, told_of, strict=True)]
+    )
 
 
 def _solve(gram: list[list[float]], right: list[float]) -> list[float]:
@@ -239,44 +245,55 @@ def _solve(gram: list[list[float]], right: list[float]) -> list[float]:
 
 
 def fit_rates(
-    members: DataFrame, targets: list[float], rounds: int = 40, tolerance: float = 1e-6, report: float = 1e-3
+    members: DataFrame, targets: list[float], rounds: int = 25, tolerance: float = 1e-6, report: float = 1e-3
 ) -> list[list[float]]:
     """The steps of the projected gradient for ``members`` (n tokens, p posteriors).
 
-    Least squares of the domain totals: every round moves the rates against the gradient and cuts them at zero. Steps
-    are taken in the metric of the documents' tokens and of the Gram matrix of those with a rate over zero, so that few rounds
-    are needed whatever the domains' sizes. A document's rate is found by :func:`rate_of` from these steps and its own
-    posteriors. Ends when the totals are within ``tolerance`` of their targets (relative to all tokens), when they no longer
-    move, or after ``rounds`` rounds; if the totals are then off by more than ``report`` of all tokens, which is so where no
+    Least squares of the domain totals: every round moves the rates against the gradient and cuts them at zero. A step is
+    first tried in the metric of the documents that it can move (their Gram matrix), so that few rounds are needed whatever the domains'
+    sizes, then a quarter of it if the totals do not come nearer to their targets; failing that, a plain gradient step is taken,
+    short enough to come nearer always, if slowly: targets far from what the documents hold are approached, not always reached. Every trial is one distributed sum of numbers per domain. A document's rate is found by :func:`rate_of` from the
+    steps and its own posteriors. Ends when the totals are within ``tolerance`` of their targets (relative to all tokens), when no step comes
+    nearer by a thousandth, or after ``rounds`` rounds; if the totals are then off by more than ``report`` of all tokens, which is so where no
     rates meet the targets, a warning tells by how much.
     """
     k = len(targets)
     p = [F.col("p")[i] for i in range(k)]
     n = F.col("n").cast("double")
     cells = [(i, j) for i in range(k) for j in range(i + 1)]
-    goal: list[float] = []
-    steps: list[list[float]] = []
-    before, metric, off = math.inf, None, 0.0
-    for turn in range(rounds + 1):
+
+    def totals(steps: list[list[float]]) -> list[float]:
         rate = rate_of(F.col("p"), steps)
-        live = n * F.when(rate > 0, 1.0).otherwise(0.0)
-        now = members.agg(
-            F.sum(n).alias("all"),
-            *[F.sum(rate * n * p[i]).alias(f"t{i}") for i in range(k)],
-            *[F.sum(live * p[i] * p[j]).alias(f"g{i}_{j}") for i, j in cells],
-        ).first()
-        if not now["all"]:
-            return []
-        goal = goal or [t / sum(targets) * now["all"] for t in targets]
-        gap = [now[f"t{i}"] - goal[i] for i in range(k)]
-        off = size = math.sqrt(sum(g * g for g in gap)) / now["all"]
-        if size <= tolerance or abs(size - before) <= tolerance / 100 or turn == rounds:
+        return [x or 0.0 for x in members.agg(F.sum(n), *[F.sum(rate * n * x) for x in p]).first()]
+
+    def metric(steps: list[list[float]], gap: list[float]) -> list[list[float]]:
+        """The Gram matrix of the documents with a rate over zero or a gradient that raises it."""
+        slope = sum((x * F.lit(g) for x, g in zip(p, gap, strict=True)), F.lit(0.0))
+        live = n * F.when((rate_of(F.col("p"), steps) > 0) | (slope < 0), 1.0).otherwise(0.0)
+        now = members.agg(*[F.sum(live * p[i] * p[j]).alias(f"g{i}_{j}") for i, j in cells]).first()
+        return [[now[f"g{max(i, j)}_{min(i, j)}"] or 0.0 for j in range(k)] for i in range(k)]
+
+    everything, *now = totals([])
+    if not everything:
+        return []
+    goal = [t / sum(targets) * everything for t in targets]
+    away = lambda now: math.sqrt(sum((t - g) ** 2 for t, g in zip(now, goal, strict=True))) / everything
+    steps: list[list[float]] = []
+    off = away(now)
+    longest = max(map(sum, metric([], [0.0] * k)))  # a bound on the curvature over all documents, whose rates start at 1
+    for _ in range(rounds):
+        if off <= tolerance:
+            break
+        gap = [t - g for t, g in zip(now, goal, strict=True)]
+        whole = _solve(metric(steps, gap), gap)
+        trials = [(whole, 0.02), ([0.25 * x for x in whole], 0.02), ([g / longest for g in gap], 1e-3)]
+        for step, gain in trials:
+            _, *then = totals([*steps, step])
+            if away(then) < off * (1 - gain):
+                steps, now, off = [*steps, step], then, away(then)
+                break
+        else:
             break
-        # the metric of the documents that can still move; a step that led away goes back to a wider one
-        gram = [[now[f"g{max(i, j)}_{min(i, j)}"] for j in range(k)] for i in range(k)]
-        metric = gram if size < before or not metric else [[2 * x for x in row] for row in metric]
-        steps.append(_solve(metric, gap))
-        before = size
     if off > report:
         warnings.warn(f"the domains' totals differ from their targets by {off:.3%} of all tokens", stacklevel=2)
     return steps
