@@ -27,10 +27,12 @@ from tideline.streaming import (
     LateSplitter,
     OutboxSender,
     PartitionMergeWriter,
+    compact_closed,
     hash_part,
     open_windows,
     read_attempts,
     read_changelog,
+    read_compacted,
     read_history,
     read_outbox,
     read_partitions,
@@ -352,6 +354,36 @@ def test_sketches_merge_as_if_counted_at_once(spark):
     assert abs(total - 20_011) <= 3 * 1.04 / 2**7.5 * 20_011
 
 
+# --- compaction ------------------------------------------------------------------------------
+
+
+def test_compaction_keeps_the_newest_rows_and_may_be_repeated(spark):
+    path = scratch_path(spark, "log")
+    write = ChangelogWriter(path, partition_by=["day"])
+    batch = lambda rows: spark.createDataFrame(rows, "day STRING, k INT, n LONG")
+    write(batch([("d1", 1, 10), ("d2", 2, 20)]), 0)
+    write(batch([("d1", 1, 11), ("d1", 3, 30), ("d3", 4, None)]), 1)
+    want = [(1, 11), (2, 20), (3, 30), (4, None)]
+    rows = lambda: _rows(read_compacted(spark, path, ["k"], "day").select("k", "n"))
+    assert rows() == want
+    assert compact_closed(spark, path, ["k"], "day", "d2") == ["d1"] and rows() == want
+    assert not [n for b in list_names(path) if b.startswith("batch-") for n in list_names(f"{path}/{b}") if n == "day=d1"]
+    write(batch([("d1", 1, 12), ("d2", 2, 21)]), 2)  # a row that comes after all for a compacted day
+    want = [(1, 12), (2, 21), (3, 30), (4, None)]
+    assert rows() == want
+    assert compact_closed(spark, path, ["k"], "day", "d3") == ["d1", "d2"] and rows() == want
+    assert compact_closed(spark, path, ["k"], "day", "d9") == ["d3"] and rows() == want
+    assert compact_closed(spark, path, ["k"], "day", "d9") == [] and rows() == want
+    assert read_compacted(spark, path, ["k"], "day").where("not compacted").count() == 0
+
+
+def test_an_incomplete_batch_is_not_read(spark):
+    path = scratch_path(spark, "log")
+    ChangelogWriter(path)(spark.range(3), 0)
+    spark.range(5).withColumn("batch_id", F.lit(1)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/batch-00000001")
+    assert read_changelog(spark, path).count() == 3
+
+
 def test_table_stream_reads_a_folder_and_what_is_added(spark):
     path, out, ck = (scratch_path(spark, k) for k in ("table", "out", "checkpoint"))
     spark.range(10).write.parquet(path)

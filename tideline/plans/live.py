@@ -22,7 +22,7 @@ from tideline.operators import (
     window_agg,
     with_watermark,
 )
-from tideline.plans.catalog import DELAY, TUMBLE
+from tideline.plans.catalog import DELAY, TUMBLE, WINDOW_KEYS
 from tideline.plans.common import (
     event_time,
     report,
@@ -41,10 +41,13 @@ from tideline.streaming import (
     LateSplitter,
     OutboxSender,
     PartitionMergeWriter,
+    checkpoint_offsets,
+    compact_closed,
     open_windows,
     progress_frame,
     read_attempts,
     read_changelog,
+    read_compacted,
     read_outbox,
     read_partitions,
     read_split,
@@ -186,6 +189,20 @@ def top_items_live(spark: SparkSession, sf: str) -> DataFrame:
     return run_to_changelog(top, st, "complete")
 
 
+def tumbling_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """OP-25 as a table that does not grow with its batches: the days that the watermark has closed are compacted."""
+    timed, st = _timed(spark, sf, keep=())
+    counts = window_agg(timed, "timestamp", TUMBLE, keys=["item"], aggs=[F.count("item").alias("item_count")], ntz=True)
+    out, ck = scratch_path(spark, "out"), scratch_path(spark, "checkpoint")
+    run(counts.withColumn("day", F.date_format("start", "yyyy-MM-dd")), "foreach_batch", "update",
+        target=ChangelogWriter(out, partition_by=["day"]), checkpoint=ck, shuffle_partitions=state_partitions(spark, st))
+    watermark = checkpoint_offsets(spark, ck).agg(F.max("watermark_ms")).select(
+        F.date_format(F.timestamp_millis("max(watermark_ms)"), "yyyy-MM-dd")
+    )
+    compact_closed(spark, out, WINDOW_KEYS, "day", before=watermark.first()[0])
+    return read_compacted(spark, out, WINDOW_KEYS, "day")
+
+
 class _LostReply(OutboxSender):
     """A receiver that takes every chunk, but whose first reply is lost: the sender has to send again."""
 
@@ -217,6 +234,7 @@ QUERIES = {
     "join_click_purchase_left": join_click_purchase_left,
     "top_items_live": top_items_live,
     "outbox_delivery": outbox_delivery,
+    "tumbling_compacted": tumbling_compacted,
 }
 
 _LAST = f"(SELECT max({ET}) - {_interval(DELAY)} FROM events)"
@@ -279,5 +297,6 @@ ORACLES = {
         n AS (SELECT x.b, e.item, count(*) AS count FROM (SELECT DISTINCT b FROM e) x JOIN e ON e.b <= x.b GROUP BY ALL)
         SELECT CAST(b AS BIGINT) AS batch_id, item, count FROM n
         QUALIFY row_number() OVER (PARTITION BY b ORDER BY count DESC, item) <= {TOP}""",
+    "tumbling_compacted": f"""SELECT *, date_trunc('day', start) < date_trunc('day', {_LAST}) AS compacted FROM ({_COUNTS})""",
     "outbox_delivery": f"""SELECT event_id AS "offset", {USER} AS user_id, event_type AS item, 2::INTEGER AS attempt FROM events""",
 }

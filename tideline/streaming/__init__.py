@@ -6,7 +6,9 @@ from tideline.streaming.sinks import (
     JdbcWriter,
     RowFileWriter,
     TopicWriter,
+    compact_closed,
     read_changelog,
+    read_compacted,
     read_topic,
 )
 from tideline.streaming.merge import (
@@ -38,6 +40,7 @@ __all__ = [
     "TopicWriter",
     "Trigger",
     "checkpoint_offsets",
+    "compact_closed",
     "hash_part",
     "kafka_offsets",
     "merge",
@@ -46,6 +49,7 @@ __all__ = [
     "progress_frame",
     "read_attempts",
     "read_changelog",
+    "read_compacted",
     "read_history",
     "read_merged",
     "read_outbox",

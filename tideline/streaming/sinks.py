@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tideline.streaming.files import arrow_target, exists, list_names
+from tideline.streaming.files import arrow_target, exists, list_names, remove
 
 
 def batch_dir(path: str, batch_id: int) -> str:
@@ -28,24 +28,31 @@ class ChangelogWriter:
     """``foreachBatch`` callback: each batch's rows, tagged ``batch_id``, in its own folder.
 
     With update mode this is the changelog of an aggregate (keys touched in a
-    batch with their running values); with append mode, the appended rows.
+    batch with their running values); with append mode, the appended rows. ``partition_by`` (for example a
+    day) parts each batch's folder, so that :func:`compact_closed` can take closed days out of all batches.
     """
 
-    def __init__(self, path: str, columns: Sequence[str] | None = None):
+    def __init__(self, path: str, columns: Sequence[str] | None = None, partition_by: Sequence[str] = ()):
         self.path = path
         self.columns = list(columns) if columns else None
+        self.partition_by = list(partition_by)
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         df = batch_df.select(*self.columns) if self.columns else batch_df
         (
             df.withColumn("batch_id", F.lit(batch_id).cast("long"))
             .write.mode("overwrite")
+            .partitionBy(*self.partition_by)
             .parquet(batch_dir(self.path, batch_id))
         )
 
 
 def read_changelog(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/batch-*")
+    """The rows of all complete batches (``_SUCCESS`` present): a batch that is being written is not seen."""
+    done = [batch_dir(path, b) for b in completed_batches(path)]
+    if not done:
+        raise FileNotFoundError(f"no completed batch under {path}")
+    return spark.read.parquet(*done)
 
 
 def completed_batches(path: str) -> Iterator[int]:
@@ -62,16 +69,60 @@ def read_latest_batch(spark: SparkSession, path: str) -> DataFrame:
     raise FileNotFoundError(f"no completed batch under {path}")
 
 
+def newest_rows(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The row of the highest ``batch_id`` for each key, by a partial aggregate. A NULL key is a key."""
+    values = [c for c in log.columns if c not in keys]
+    newest = F.max_by(F.struct(*values), "batch_id").alias("newest")
+    return log.groupBy(*keys).agg(newest).select(*keys, "newest.*")
+
+
 def read_latest_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """The newest row of each key of an update-mode changelog.
 
     A batch adds only the keys that it changed, so nothing written before is read or rewritten
-    while the stream runs; readers take the newest row by a partial aggregate. A NULL key is a key.
+    while the stream runs.
     """
-    log = read_changelog(spark, path)
-    values = [c for c in log.columns if c not in (*keys, "batch_id")]
-    newest = F.max_by(F.struct(*values), "batch_id").alias("newest")
-    return log.groupBy(*keys).agg(newest).select(*keys, "newest.*")
+    return newest_rows(read_changelog(spark, path), keys).drop("batch_id")
+
+
+def compact_closed(spark: SparkSession, path: str, keys: Sequence[str], part: str, before: str) -> list[str]:
+    """Take closed partitions out of a changelog; returns their values.
+
+    ``part`` is the column by which a :class:`ChangelogWriter` parts its batches (text that orders as time does, such as a
+    day), ``before`` the first value that may still change, for example the watermark's day. The newest rows of each earlier value are
+    written to ``closed/<part>=...`` and the value's folders are removed from all batches. A value that is compacted twice, or a run that
+    ended in between, gives the same rows, for what is in both places is one row by its key. A value's keys must
+    not occur under another one.
+    """
+    batches = [batch_dir(path, b) for b in completed_batches(path)]
+    folders = {f"{b}/{n}": n.split("=", 1)[1] for b in batches for n in list_names(b) if n.startswith(f"{part}=")}
+    closed = {f: v for f, v in folders.items() if v < before}
+    if not closed:
+        return []
+    rows = spark.read.parquet(*closed).withColumn(part, F.regexp_extract(F.col("_metadata.file_path"), f"/{part}=([^/]*)/", 1))
+    kept = f"{path}/closed"
+    if exists(kept):
+        again = spark.read.parquet(kept).where(F.col(part).cast("string").isin(*set(closed.values())))
+        rows = rows.unionByName(again.withColumn(part, F.col(part).cast("string")))
+    newest = newest_rows(rows, keys).repartition(part)
+    newest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(kept)
+    for folder in closed:
+        remove(folder)
+    return sorted(set(closed.values()))
+
+
+def read_compacted(spark: SparkSession, path: str, keys: Sequence[str], part: str) -> DataFrame:
+    """The newest row of each key of a changelog and of what :func:`compact_closed` took out of it, with ``compacted``."""
+    sources = []
+    live = [b for b in completed_batches(path) if any(n.startswith(f"{part}=") for n in list_names(batch_dir(path, b)))]
+    if live:
+        sources.append(spark.read.parquet(*[batch_dir(path, b) for b in live]).withColumn("compacted", F.lit(False)))
+    if exists(f"{path}/closed"):
+        sources.append(spark.read.parquet(f"{path}/closed").withColumn("compacted", F.lit(True)))
+    if not sources:
+        raise FileNotFoundError(f"no completed batch under {path}")
+    log = sources[0] if len(sources) == 1 else sources[0].unionByName(sources[1])
+    return newest_rows(log, keys).drop("batch_id", part)
 
 
 class TopicWriter:
@@ -99,7 +150,8 @@ class TopicWriter:
 
 
 def read_topic(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/batch-*")
+    """The records of all complete batches."""
+    return read_changelog(spark, path)
 
 
 class JdbcWriter:
