@@ -99,7 +99,8 @@ def compact_closed(spark: SparkSession, path: str, keys: Sequence[str], part: st
     closed = {f: v for f, v in folders.items() if v < before}
     if not closed:
         return []
-    rows = spark.read.parquet(*closed).withColumn(part, F.regexp_extract(F.col("_metadata.file_path"), f"/{part}=([^/]*)/", 1))
+    # every batch is a partitioned table of its own: the part is taken from the file's path
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(*closed).withColumn(part, F.regexp_extract(F.col("_metadata.file_path"), f"/{part}=([^/]*)/", 1))
     kept = f"{path}/closed"
     if exists(kept):
         again = spark.read.parquet(kept).where(F.col(part).cast("string").isin(*set(closed.values())))
@@ -116,13 +117,14 @@ def read_compacted(spark: SparkSession, path: str, keys: Sequence[str], part: st
     sources = []
     live = [b for b in completed_batches(path) if any(n.startswith(f"{part}=") for n in list_names(batch_dir(path, b)))]
     if live:
-        sources.append(spark.read.parquet(*[batch_dir(path, b) for b in live]).withColumn("compacted", F.lit(False)))
+        files = spark.read.option("recursiveFileLookup", "true").parquet(*[batch_dir(path, b) for b in live])
+        sources.append(files.withColumn("compacted", F.lit(False)))
     if exists(f"{path}/closed"):
-        sources.append(spark.read.parquet(f"{path}/closed").withColumn("compacted", F.lit(True)))
+        sources.append(spark.read.parquet(f"{path}/closed").drop(part).withColumn("compacted", F.lit(True)))
     if not sources:
         raise FileNotFoundError(f"no completed batch under {path}")
     log = sources[0] if len(sources) == 1 else sources[0].unionByName(sources[1])
-    return newest_rows(log, keys).drop("batch_id", part)
+    return newest_rows(log, keys).drop("batch_id")
 
 
 class TopicWriter:
