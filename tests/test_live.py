@@ -1,5 +1,9 @@
 """State as rows, late rows, recovery, partition merge, delivery, joins and chained windows."""
 
+import datetime as dt
+import math
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +19,7 @@ from tideline.operators import (
     window_agg,
     with_watermark,
 )
-from tideline.plans import ORACLES, live
+from tideline.plans import ORACLES, QUERIES, live
 from tideline.plans.common import batch_transactions, event_time, stream_transactions
 from tideline.session import scratch_path
 from tideline.sources import table_stream
@@ -395,6 +399,23 @@ def test_table_stream_reads_a_folder_and_what_is_added(spark):
     assert _rows(spark.read.parquet(out)) == [(i,) for i in sorted(range(15), key=lambda i: repr((i,)))]
 
 
+def test_start_earliest_reads_every_record_of_the_topic_by_position(spark):
+    path = scratch_path(spark, "tables")
+    ids = [*range(40), 39, 39, None, None, -4]
+    rows = [(None if i == 3 else dt.datetime(2024, 1, 1), i, None if i == 5 else "click") for i in ids]
+    frame = spark.createDataFrame(rows, "ts TIMESTAMP_NTZ, event_id LONG, event_type STRING")
+    frame = frame.withColumns({"user_id": F.lit(1).cast("long"), "props": F.lit("{}"), "value": F.lit(1.5)})
+    frame.write.parquet(f"{path}/events.parquet")
+    got = QUERIES["start_earliest"](spark, path)
+    assert got.columns == ["partition", "offset"]
+    want = [(None if i is None else int(math.fmod(i, 3)), i) for i in ids]
+    assert _rows(got) == sorted(want, key=repr)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS FROM read_parquet('{path}/events.parquet/*.parquet')")
+    told = con.sql(ORACLES["start_earliest"])
+    assert told.columns == got.columns and sorted(told.fetchall(), key=repr) == _rows(got)
+
+
 def test_split_report_of_the_query_adds_up(spark):
     rows = live.late_rows(spark, SF_SMALL).collect()
     assert sum(r.rows for r in rows) == 1000 and all(r.rows == r.late_rows + r.counted_rows for r in rows)
