@@ -135,6 +135,32 @@ def test_special_names_as_text(make):
     assert 50256 not in np.frombuffer(next(enc.encode(pa.array(["a <|endoftext|> b"]), 2))[0].as_py(), enc.kind)
 
 
+def test_the_memory_of_segments_is_bounded_by_their_bytes(monkeypatch):
+    monkeypatch.setattr(T, "_HELD", 1 << 18, raising=False)
+    texts = [f"{i:06d}" * 500 + f" and {i} more" for i in range(700)]  # words of 3,000 signs, each once
+    plain = T.encoder(REG.tokenizer_file()).tokenizer
+    want = [[*plain.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    enc = T.Encoder(REG.tokenizer_file(), False)
+    got = [x.as_py() for at in range(0, 700, 20) for part in enc.encode(pa.array(texts[at : at + 20]), 2) for x in part]
+    assert [np.frombuffer(x, enc.kind).tolist() for x in got] == want
+    held = lambda e: sum(map(len, e.known)) + sum(map(len, e.known.old))
+    assert 0 < held(enc) < 3 << 18 < sum(map(len, texts))
+    counter = T.IdCounter(REG.tokenizer_file(), False)
+    assert [n + 1 for at in range(0, 700, 20) for n in counter.counts(pa.array(texts[at : at + 20]))] == [len(x) for x in want]
+    assert 0 < held(counter) < 3 << 18
+
+
+def test_counted_ids_are_those_of_the_tokenizer():
+    counter = T.IdCounter(REG.tokenizer_file(), False)
+    texts = ["", " a", "a b  c\n\nd", "x y", "x\u2003 y z", "<|endoftext|> a", "  ", "\u65e5\u672c \u3000 b", "tail \u00a0"] * 2
+    want = [len(counter.tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert counter.counts(pa.array(texts)).tolist() == want
+    assert counter.counts(pa.array(texts).slice(3, 9)).tolist() == want[3:12]
+    assert counter.counts(pa.array([], pa.string())).tolist() == []
+    # of a segment no more than a number is kept
+    assert {type(n) for n in counter.known.values()} <= {int, type(None)}
+
+
 def test_ids_of_an_empty_table(make):
     store = T.write_ids(make([]), REG.tokenizer_file())
     assert T.read_ids(make([]), store).collect() == [] and store.get(1) is None

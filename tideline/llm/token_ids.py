@@ -13,6 +13,7 @@ shared mounts, HDFS, object stores).
 
 from __future__ import annotations
 
+import ctypes
 import io
 import itertools
 import os
@@ -44,31 +45,39 @@ SPACES = b" \t\n\r\x0b\x0c"
 _SPACE = np.isin(np.arange(256), list(SPACES))
 _PLAIN = re.compile(rb" [^" + re.escape(SPACES) + rb"]+")
 _OTHER_SPACE = re.compile(rf"[^\S{re.escape(SPACES.decode())}]")
-_GROUP = 8 << 20  # bytes of texts that are cut at a time
+_GROUP = 8 << 20  # bytes of texts that are cut at a time,
+_GROUP_COUNTS = 2 << 20  # where only numbers of ids are wanted
 _CHUNK = 1 << 20  # segments whose ids are put together at a time
 _JOINED = 64
-_KEPT = 300_000
-_LOADED: dict = {}  # (path, special_as_text) -> Encoder
+_KEPT = 300_000  # segments of a generation,
+_KEPT_COUNTS = 100_000  # where only their numbers of ids are kept,
+_HELD = 16 << 20  # and their bytes
+_LOADED: dict = {}  # (path, special_as_text, kind) -> Encoder
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
 
 
 class _Memory(dict):
-    """Ids of segments seen of late: two generations, so that what is used again stays and rare segments go."""
+    """Ids of segments seen of late; with the generation before it, so that what is used again stays and rare segments go."""
 
-    def __init__(self):
-        self.old: dict[bytes, bytes | None] = {}
+    def __init__(self, old: dict[bytes, bytes | None]):
+        self.old = old
         self.new: list[bytes] = []
+        self.held = 0  # bytes of the segments
 
     def __missing__(self, segment: bytes) -> bytes | None:
+        self.held += len(segment)
         if segment in self.old:
             found = self[segment] = self.old[segment]
             return found
         self.new.append(segment)
         return None
 
-    def rest(self) -> None:
-        if len(self) > _KEPT:
-            self.old = dict(self)
-            self.clear()
+    def rest(self, most: int) -> _Memory:
+        """This generation, or the next one if it is full; nothing is copied, the one before it goes."""
+        if len(self) <= most and self.held <= _HELD:
+            return self
+        self.old = {}
+        return _Memory(self)
 
 
 class Encoder:
@@ -80,6 +89,8 @@ class Encoder:
     from them, without a step for each document. A text with white space outside ASCII is encoded in one piece.
     """
 
+    kept, group = _KEPT, _GROUP
+
     def __init__(self, path: str, special_as_text: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
@@ -92,7 +103,7 @@ class Encoder:
         self.opens = np.zeros(max(vocab.values()) + 1, bool)  # ids that begin with a space
         for piece, i in vocab.items():
             self.opens[i] = piece.startswith("Ġ")
-        self.known = _Memory()  # a segment's ids; None where it has white space outside ASCII
+        self.known = _Memory({})  # a segment's ids; None where it has white space outside ASCII
 
     def _direct(self, text: bytes) -> np.ndarray:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, self.kind)
@@ -107,6 +118,9 @@ class Encoder:
         self.known.update(zip(segments, map(raw.__getitem__, map(slice, ends[:-1], ends[1:])), strict=True))
         return True
 
+    def _alone(self, segment: bytes) -> bytes:
+        return self._direct(segment).tobytes()
+
     def _learn(self) -> None:
         """Ids of all new segments; those of one space and other signs are encoded in joined texts."""
         new, self.known.new = self.known.new, []
@@ -120,7 +134,7 @@ class Encoder:
             if not s.isascii() and _OTHER_SPACE.search(s.decode()):
                 self.known[s] = None
             elif s not in self.known:
-                self.known[s] = self._direct(s).tobytes()
+                self.known[s] = self._alone(s)
 
     def _pool(self, segments: list[bytes]) -> list[bytes | None]:
         got = list(map(self.known.__getitem__, segments))
@@ -128,7 +142,7 @@ class Encoder:
             self._learn()
             for i in [i for i, ids in enumerate(got) if ids is None]:
                 got[i] = self.known[segments[i]]
-        self.known.rest()
+        self.known = self.known.rest(self.kept)
         return got
 
     def _ids(self, segments: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -146,9 +160,9 @@ class Encoder:
         take += np.arange(len(take), dtype=np.int32)
         return ids[take], counts, other[at]
 
-    def _group(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts that lie in ``data`` at ``offsets``, each with the end id, and their numbers of ids."""
-        n = len(offsets) - 1
+    @staticmethod
+    def _segments(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """The segments of the texts that lie in ``data`` at ``offsets``, and the place of each text's first one."""
         space = _SPACE[data]
         begins = np.zeros(len(data) + 1, bool)
         begins[1:-1] = space[1:] & ~space[:-1]
@@ -157,8 +171,13 @@ class Encoder:
         bounds = np.append(starts, len(data)).astype(np.int32)
         first = np.searchsorted(starts, offsets)
         buffers = [None, pa.py_buffer(bounds), pa.py_buffer(data)]
-        segments = pa.Array.from_buffers(pa.binary(), len(starts), buffers)
-        done = [self._ids(segments.slice(at, _CHUNK)) for at in range(0, len(starts), _CHUNK)]
+        return pa.Array.from_buffers(pa.binary(), len(starts), buffers), first
+
+    def _group(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts that lie in ``data`` at ``offsets``, each with the end id, and their numbers of ids."""
+        n = len(offsets) - 1
+        segments, first = self._segments(data, offsets)
+        done = [self._ids(segments.slice(at, _CHUNK)) for at in range(0, len(segments), _CHUNK)]
         ids, counts, other = (np.concatenate(x) for x in zip(*done, strict=True)) if done else (np.zeros(0, self.kind), np.zeros(0, np.int32), np.zeros(0, bool))
         ends = np.r_[0, np.cumsum(counts, dtype=np.int64)][first]
         strange = np.diff(np.r_[0, np.cumsum(other)][first]) > 0
@@ -170,26 +189,76 @@ class Encoder:
         sizes = np.fromiter(map(len, texts), np.int64, n)
         return np.insert(np.concatenate(texts), np.cumsum(sizes), end_id), sizes + 1
 
-    def encode(self, texts: pa.Array, end_id: int) -> Iterator[pa.Array]:
-        """The ids of each text with the end id, as binary values of ``width`` bytes an id, in arrays of groups of texts."""
+    def _groups(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Groups of texts: their bytes and where each begins."""
         texts = texts.cast(pa.string())
         offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
         raw = texts.buffers()[2]
         data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
         a = 0
         while a < len(texts):
-            b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + _GROUP, "right")) - 1)
-            ids, sizes = self._group(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], end_id)
-            ends = (np.r_[0, np.cumsum(sizes)] * self.width).astype(np.int32)
-            yield pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(ids, self.kind))])
+            b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + self.group, "right")) - 1)
+            yield data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
             a = b
 
+    def encode(self, texts: pa.Array, end_id: int) -> Iterator[pa.Array]:
+        """The ids of each text with the end id, as binary values of ``width`` bytes an id, in arrays of groups of texts."""
+        for data, offsets in self._groups(texts):
+            ids, sizes = self._group(data, offsets, end_id)
+            ends = (np.r_[0, np.cumsum(sizes)] * self.width).astype(np.int32)
+            yield pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(ids, self.kind))])
+
+
+class IdCounter(Encoder):
+    """How many ids the whole texts have: as :class:`Encoder`, but of a segment only the number of its ids is kept."""
+
+    kept, group = _KEPT_COUNTS, _GROUP_COUNTS
+
+    def _cut(self, segments: list[bytes], coded: list) -> bool:
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        ids = np.fromiter(itertools.chain.from_iterable(c.ids for c in coded), self.kind, int(sizes.sum()))
+        first = np.flatnonzero(self.opens[ids])
+        if len(first) != len(segments):
+            return False
+        self.known.update(zip(segments, np.diff(np.append(first, len(ids))).tolist(), strict=True))
+        return True
+
+    def _alone(self, segment: bytes) -> int:
+        return len(self._direct(segment))
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of each text, without an end id."""
+        out = [np.zeros(0, np.int64)]
+        for data, offsets in self._groups(texts):
+            segments, first = self._segments(data, offsets)
+            done = [self._sizes(segments.slice(at, _CHUNK)) for at in range(0, len(segments), _CHUNK)]
+            sizes = np.concatenate(done) if done else np.zeros(0, np.int32)
+            strange = np.flatnonzero(np.diff(np.r_[0, np.cumsum(sizes < 0)][first]))
+            sums = np.diff(np.r_[0, np.cumsum(sizes, dtype=np.int64)][first])
+            for i in strange.tolist():
+                sums[i] = self._alone(data[offsets[i] : offsets[i + 1]].tobytes())
+            out.append(sums)
+        return np.concatenate(out)
+
+    def _sizes(self, segments: pa.Array) -> np.ndarray:
+        """How many ids each segment has; -1 where it has white space outside ASCII."""
+        distinct = segments.dictionary_encode()
+        pool = self._pool(distinct.dictionary.to_pylist())
+        return np.fromiter((-1 if n is None else n for n in pool), np.int32, len(pool))[distinct.indices.to_numpy()]
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker stays for other stages, and what it keeps is the executor's."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
-def encoder(path: str, special_as_text: bool = False) -> Encoder:
-    """One encoder per Python worker; its memory of segments serves all tasks of the worker."""
-    key = (path, special_as_text)
+
+def encoder(path: str, special_as_text: bool = False, kind: type[Encoder] = Encoder) -> Encoder:
+    """One encoder of a kind per Python worker; its memory of segments serves all tasks of the worker."""
+    key = (path, special_as_text, kind.__name__)
     if key not in _LOADED:
-        _LOADED[key] = Encoder(path, special_as_text)
+        _LOADED[key] = kind(path, special_as_text)
     return _LOADED[key]
 
 
@@ -286,6 +355,8 @@ def _encode(tokenizer: str, special_as_text: bool, end_id: int):
             for ids in enc.encode(batch.column(1), end_id):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(ids)), ids], names=["doc_id", "ids"])
                 at += len(ids)
+            ids = None
+            give_back()
 
     return run
 
@@ -296,10 +367,10 @@ def token_counts(docs: DataFrame, tokenizer: str, text_col: str, name: str, spec
     rows = docs.select(*map(col, kept), text_of(text_col).alias(text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, special_as_text)
+        counter = encoder(tokenizer, special_as_text, IdCounter)
         for batch in batches:
-            sizes = [np.diff(np.frombuffer(ids.buffers()[1], np.int32)) // enc.width for ids in enc.encode(batch.column(len(kept)), end_id)]
-            counts = pa.array(np.concatenate(sizes) if sizes else np.zeros(0), pa.int64())
+            counts = pa.array(counter.counts(batch.column(len(kept))) + 1)
+            give_back()
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], counts], names=[*kept, name])
 
     schema = StructType([*(rows.schema[c] for c in kept), StructField(name, LongType())])
